@@ -20,7 +20,6 @@ equal ``doc_id`` keep both documents; an empty table gives no segment.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -57,13 +56,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blocks = -(-len(ids) // BLOCK)
     if not blocks:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint32), np.zeros(0, np.uint8)
-    values = np.zeros(blocks * BLOCK + 128, np.uint64)
-    values[: len(ids)] = ids
-    grid = values[: blocks * BLOCK].reshape(blocks, BLOCK)
+    grid = np.zeros((blocks, BLOCK), np.uint64)
+    grid.ravel()[: len(ids)] = ids
     top = int(ids.max()).bit_length()
-    if top <= 24:
-        wide = _BITS[grid.astype(np.uint32) >> 8]
-        width = np.where(wide > 0, wide + 8, _BITS[(grid & np.uint64(255)).astype(np.int64)]).astype(np.uint8)
+    if top <= 16:
+        width = _BITS[grid.astype(np.uint16)]
     else:
         width = _widths(grid.ravel()).reshape(blocks, BLOCK)
     # beyond the end of a block anything fits: a reader knows how many ids there are
@@ -91,17 +88,22 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sel = choice.ravel()[first]
     place = np.arange(len(first)) + np.concatenate([[0], np.cumsum(sel == 0)[:-1]]) if len(first) else first
     words = np.zeros(len(first) + int((sel == 0).sum()), np.uint64)
+    # ids with room after each block, so that a word never takes ids of the next block
+    pad = max(n for s, (n, bits) in enumerate(SELECTORS) if bits and (sel == s).any()) if (sel > 1).any() else 0
+    values = np.zeros((blocks, BLOCK + pad), np.uint64)
+    values[:, :BLOCK] = grid
+    values = values.ravel()
     for s, (n, bits) in enumerate(SELECTORS):
         of = np.flatnonzero(sel == s)
         if not len(of):
             continue
         w = np.full(len(of), s << 60, np.uint64)
         if s == 0:
-            words[place[of] + 1] = values[first[of]]
+            words[place[of] + 1] = grid.ravel()[first[of]]
         elif bits:
-            block_end = (first[of] // BLOCK + 1) * BLOCK
+            at = first[of] + first[of] // BLOCK * pad
             for j in range(n):
-                w |= np.where(first[of] + j < block_end, values[first[of] + j], 0).astype(np.uint64) << np.uint64(j * bits)
+                w |= values[at + j] << np.uint64(j * bits)
         words[place[of]] = w
     per_block = np.bincount(first // BLOCK, weights=1 + (sel == 0), minlength=blocks).astype(np.int64)
     escaped = np.bincount(first // BLOCK, weights=sel == 0, minlength=blocks) > 0
@@ -182,16 +184,19 @@ def read_segment(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
     return [int(d) if v else None for v, d in zip(valid, names)], counts, unpack(words, offsets, escaped, n_ids)
 
 
-#: A space that has white space beside it, or begins or ends a text: no place to cut.
-_UNSURE = re.compile(r"\s |\s$| \s|^\s|<\|")
-
-
 class Encoder:
     """Ids by the tokenizers library.  A byte-level pre-tokenizer always cuts before a
-    space between two other characters, so the library sees each distinct word once
-    for as long as a cache of bounded size keeps it; other texts go to it whole."""
+    space, or around a line break, between two other characters.  So texts are cut
+    there, and the library sees each distinct unit once for as long as a cache of
+    bounded size keeps it.  A text with any other white space beside a cut, or with
+    what may be a special token, goes to the library whole.
 
-    LIMIT = 400_000
+    Keys of units: a tab stands before the first of a text, a line break before the
+    first of another line; any other follows a space that its key leaves out.
+    """
+
+    #: Units in each half of the cache, and their longest length.
+    LIMIT, LONGEST = 250_000, 18
 
     def __init__(self, file: str, end_id: int):
         from tokenizers import Tokenizer
@@ -205,31 +210,35 @@ class Encoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of new units; a unit that is no sure cut has none."""
+        older = self.older
+        got = {u: older[u] for u in new.intersection(older)}
+        ask = []
+        for u in new.difference(got):
+            core = u[1:] if u[:1] in ("\t", "\n") else u
+            if core and core.strip() == core and "<|" not in core:
+                ask.append(u)
+        got.update(zip(ask, self._ids([u[1:] if u[0] == "\t" else u if u[0] == "\n" else " " + u for u in ask])))
+        longest = self.LONGEST
+        self.words.update((u, i) for u, i in got.items() if len(u) <= longest)
+        return got
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text with the end id."""
-        cut: list[list[str] | None] = []
-        new: set[str] = set()
-        words, older = self.words, self.older
-        for t in texts:
-            if t and not _UNSURE.search(t):
-                units = t.split(" ")
-                units[1:] = [" " + u for u in units[1:]]
-                new.update(units)
-                cut.append(units)
-            else:
-                cut.append(None)
-        new.difference_update(words)
-        kept = [w for w in new if w in older]
-        for w in kept:
-            words[w] = older[w]
-        new.difference_update(kept)
-        ask = [*new]
-        words.update(zip(ask, self._ids(ask)))
-        whole = iter(self._ids([t or "" for t, u in zip(texts, cut) if u is None]))
-        get = words.__getitem__
-        out = [(b"".join(map(get, u)) if u is not None else next(whole)) + self.end for u in cut]
-        if len(words) > self.LIMIT:
-            self.older, self.words = words, {}
+        get = self.words.get
+        cut = [("\t" + t.replace("\n", " \n")).split(" ") if t and "\t" not in t else None for t in texts]
+        found = [[*map(get, units)] if units else None for units in cut]
+        new = {u for units, ids in zip(cut, found) if units and None in ids for u, i in zip(units, ids) if i is None}
+        got = self._learn(new)
+        out = []
+        for t, units, ids in zip(texts, cut, found):
+            if ids and None in ids:
+                ids = [got.get(u) if i is None else i for u, i in zip(units, ids)]
+            whole = not ids or None in ids
+            out.append((self._ids([t])[0] if whole and t else b"" if whole else b"".join(ids)) + self.end)
+        if len(self.words) > self.LIMIT:
+            self.older, self.words = self.words, {}
         return out
 
 
