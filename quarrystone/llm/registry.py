@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm import piece_bpe, token_store
+from quarrystone.llm import licence_scan, main_text, piece_bpe, quality, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": quality.op1_quality,
+        "op4_licences": licence_scan.op4_licences,
+        "op5_main_text": main_text.op5_main_text,
         "op9_sentencepiece": piece_bpe.op9_sentencepiece,
         "op10_token_store": token_store.op10_token_store,
     }
