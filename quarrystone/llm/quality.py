@@ -5,7 +5,8 @@ A text is read as words and runs of signs.  Every word (by hashed bucket), word
 (case, digits, length) and run of signs has a sparse ternary index vector; its word
 vector is the sum of the index vectors seen within two places of it in the training
 sample.  A document is the mean vector of its words, of their shapes and of its signs,
-with its length; the network scores that.
+with its length and the shares of signs and of words that follow themselves; the
+network scores that.
 
 Training takes at most ``max_sample`` labelled documents, those with the smallest
 hashes of their ids, so the same rows at every size and order of the input.  A fifth
@@ -31,6 +32,8 @@ DIM, BUCKETS, SHAPES, SIGNS = 48, 1 << 15, 32, 256
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[48:58] = WORD_BYTES[65:91] = WORD_BYTES[97:123] = WORD_BYTES[128:] = True
 SIGN_BYTES = NOT_SPACE & ~WORD_BYTES
+#: Text bytes that one step of training reads.
+FIT_BYTES = 200_000
 #: The score from which a document counts as good.
 THRESHOLD = 0.3
 
@@ -66,7 +69,7 @@ def tokens(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _word_vectors(found: list[dict[str, np.ndarray]]) -> np.ndarray:
+def _word_vectors(found: Iterator[dict[str, np.ndarray]]) -> np.ndarray:
     index = _index_vectors()
     out = np.zeros_like(index)
     for t in found:
@@ -88,8 +91,8 @@ def _word_vectors(found: list[dict[str, np.ndarray]]) -> np.ndarray:
 
 
 def pooled(t: dict[str, np.ndarray], docs: int, vectors: np.ndarray) -> np.ndarray:
-    """Mean vectors of words, shapes and signs of each text, and two lengths."""
-    out = np.zeros((docs, 3 * DIM + 2), np.float32)
+    """Mean vectors of words, shapes and signs of each text, and three shares and lengths."""
+    out = np.zeros((docs, 3 * DIM + 3), np.float32)
     words = np.bincount(t["word_doc"], minlength=docs)
     signs = np.bincount(t["sign_doc"], minlength=docs)
     some = np.flatnonzero(words)
@@ -99,6 +102,8 @@ def pooled(t: dict[str, np.ndarray], docs: int, vectors: np.ndarray) -> np.ndarr
     for k, (ids, doc, low, n, count) in enumerate(((t["shape"], t["word_doc"], BUCKETS, SHAPES, words), (t["sign"], t["sign_doc"], BUCKETS + SHAPES, SIGNS, signs))):
         table_ = np.bincount(doc * n + (ids - low), minlength=docs * n).reshape(docs, n).astype(np.float32)
         out[:, (k + 1) * DIM : (k + 2) * DIM] = table_ @ vectors[low : low + n] / np.maximum(count, 1)[:, None]
+    same = (t["word"][1:] == t["word"][:-1]) & (t["word_doc"][1:] == t["word_doc"][:-1])
+    out[:, -3] = np.bincount(t["word_doc"][1:][same], minlength=docs) / np.maximum(words, 1)
     out[:, -2] = np.log1p(words) / 8
     out[:, -1] = signs / np.maximum(words + signs, 1)
     return out
@@ -142,12 +147,9 @@ def fit(texts: list[str | None], y: list[int], hidden: int = 24, epochs: int = 3
     if not texts:
         return None
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-    found, sizes = [], []
-    for some in slices(batch, "text"):
-        found.append(tokens(*text_bytes(some.column(0))))
-        sizes.append(some.num_rows)
-    vectors = _word_vectors(found)
-    x = np.concatenate([pooled(t, n, vectors) for t, n in zip(found, sizes)]).astype(np.float64)
+    # small slices, read twice: the driver never holds the words of the whole sample
+    vectors = _word_vectors(tokens(*text_bytes(some.column(0))) for some in slices(batch, "text", FIT_BYTES))
+    x = np.concatenate([pooled(tokens(*text_bytes(some.column(0))), some.num_rows, vectors) for some in slices(batch, "text", FIT_BYTES)]).astype(np.float64)
     y_ = np.array(y, np.float64)
     mean, spread = x.mean(0), x.std(0) + 0.05 * x.std() + 1e-6
     hold = np.arange(len(x)) % 5 == 4
