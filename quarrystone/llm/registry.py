@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm import fingerprint, licence_scan, main_text, near_dup, piece_bpe, quality, secret_scan, token_store
+from quarrystone.llm import fingerprint, licence_scan, main_text, near_dup, passage_dedup, piece_bpe, quality, secret_scan, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": quality.op1_quality,
         "op2_fingerprints": fingerprint.op2_fingerprints,
+        "op3_passages": passage_dedup.op3_passages,
         "op4_licences": licence_scan.op4_licences,
         "op5_main_text": main_text.op5_main_text,
         "op6_secrets": secret_scan.op6_secrets,
