@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm import fingerprint, licence_scan, main_text, near_dup, passage_dedup, piece_bpe, quality, secret_scan, token_store
+from quarrystone.llm import decontaminate, fingerprint, licence_scan, main_text, near_dup, passage_dedup, piece_bpe, quality, secret_scan, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_licences": licence_scan.op4_licences,
         "op5_main_text": main_text.op5_main_text,
         "op6_secrets": secret_scan.op6_secrets,
+        "op7_contamination": decontaminate.op7_contamination,
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op9_sentencepiece": piece_bpe.op9_sentencepiece,
         "op10_token_store": token_store.op10_token_store,
