@@ -172,6 +172,9 @@ class Searcher:
             latent[k] = v @ basis[nz]
         norm = np.linalg.norm(latent, axis=1, keepdims=True)
         self.latent = latent / np.maximum(norm, 1e-9)
+        self.sets = [set(w.tolist()) for w in items.words]
+        # distinct words that a subsequence of the least share must have
+        self.least = [len(s) - int((1 - overlap) * len(w)) for s, w in zip(self.sets, items.words)]
 
     def candidates(self, h: np.ndarray, doc: np.ndarray, docs: int) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, item, first word, end word, cosine) of windows that are close enough."""
@@ -261,6 +264,9 @@ class Searcher:
                     stretch.append([a, b, c])
             for a, b, c in stretch:
                 a, b = max(0, a - size), min(len(text), b + size)
+                # a common subsequence has no more words than the two have in common
+                if len(self.sets[i].intersection(text[a:b].tolist())) < self.least[i]:
+                    continue
                 for low in range(a, max(a + 1, b - 2 * size), max(1, size)):
                     seq = text[low : min(b, low + 3 * size)].tolist()
                     share, end = self.confirm(i, seq)
