@@ -23,6 +23,7 @@ an empty table on either side gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -277,21 +278,22 @@ class Searcher:
         return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, rank: int = 192, threshold: float = 0.4, overlap: float = 0.6, answer: float = 0.5) -> DataFrame:
-    """(document, benchmark item) pairs of which the document holds the item or a paraphrase."""
+def _searchers(docs: DataFrame, benchmark: DataFrame, rank: int, threshold: float, overlap: float, answer: float) -> Iterator:
+    """A broadcast searcher for each block of benchmark items."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text")
-    parts: list[DataFrame] = []
-    block: list = []
-
-    def search(block: list) -> DataFrame | None:
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()
+    while block := list(itertools.islice(rows, ITEMS)):
         items = Items([r["item_id"] for r in block], [r["text"] for r in block])
-        if not len(items.vocabulary):
-            return None
-        items.weigh(*_document_frequency(docs, items.vocabulary))
-        searcher = spark.sparkContext.broadcast(Searcher(items, randomised_basis(spark, items, rank), threshold, overlap, answer))
+        if len(items.vocabulary):
+            items.weigh(*_document_frequency(docs, items.vocabulary))
+            yield spark.sparkContext.broadcast(Searcher(items, randomised_basis(spark, items, rank), threshold, overlap, answer))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, rank: int = 192, threshold: float = 0.5, overlap: float = 0.6, answer: float = 0.5) -> DataFrame:
+    """(document, benchmark item) pairs of which the document holds the item or a paraphrase."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
+    def pairs(searcher) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for some in slices(b, "text", 1_000_000):
@@ -303,15 +305,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rank: int = 192, thresh
 
         return docs.mapInArrow(run, SCHEMA)
 
-    for r in rows.toLocalIterator():
-        block.append(r)
-        if len(block) == ITEMS:
-            parts.append(search(block))
-            block = []
-    if block:
-        parts.append(search(block))
-    parts = [p for p in parts if p is not None]
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], SCHEMA)
+    parts = [pairs(s) for s in _searchers(docs, benchmark, rank, threshold, overlap, answer)]
+    return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], SCHEMA)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, threshold: float = 0.5, overlap: float = 0.6, answer: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item or a paraphrase.  Map-only after the counts."""
+    at = docs.columns.index("text")
+    out = docs
+
+    for searcher in _searchers(docs, benchmark, rank, threshold, overlap, answer):
+
+        def run(batches: Iterator[pa.RecordBatch], searcher=searcher) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for some in slices(b, "text", 1_000_000):
+                    clean = np.ones(some.num_rows, bool)
+                    clean[[d for d, *_ in searcher.value.search(some.column(at))]] = False
+                    yield some.filter(pa.array(clean))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
 
 
 def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
