@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from quarrystone.llm.common import materialise, table
 
-WORDS_BELOW, GRAMS_BELOW, SPARSE = 1024, 200, 300
+WORDS_BELOW, GRAMS_BELOW, SPARSE = 400, 200, 300
 #: Cells for each unit of the two sketches in the first and in later attempts.
-CELLS, ATTEMPTS = (1.6, 3.2, 8.0), 3
+CELLS, ATTEMPTS = (1.5, 3.2, 8.0), 3
 STEPS = 12
 #: Documents up to which those to sketch again are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -155,20 +155,20 @@ def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
         F.transform("next", lambda d: F.struct(F.lit(0).alias("a"), F.lit(-1).alias("b"), d.alias("d"))),
         F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).cast("long").alias("d"))),
     )
+    fold = lambda c, check: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(_check(x) if check else x))
     sha = [_long(F.substring("sha", 1 + 16 * k, 16)) for k in range(4)]
     meta = F.array(
         _entry(F.lit(_TALLY), 0, 0, 0, 0, 0, 0),
         _entry(F.lit(_SHA), 0, sha[0], sha[1], 0, sha[2], sha[3]),
         _entry(F.lit(_SIZE), F.col("n_chars"), sizes[2], apart("own", "edited"), 0, apart("own", "next"), 0),
-        _entry(F.lit(_ROOT), sizes[0], 0, 0, sizes[1], 0, 0),
+        _entry(F.lit(_ROOT), sizes[0], fold("own", False), fold("own", True), sizes[1], fold("edited", False), fold("edited", True)),
     )
     rows = ready.select(*_KEY, width.alias("width"), meta.alias("meta"), F.explode(tagged).alias("u"))
     d, a, b = F.col("u.d"), F.col("u.a"), F.col("u.b")
     zero = F.lit(0).cast("long")
     in_a, in_b = a != 0, b != 0
     values = (a, F.when(in_a, d).otherwise(zero), F.when(in_a, _check(d)).otherwise(zero), b, F.when(in_b, d).otherwise(zero), F.when(in_b, _check(d)).otherwise(zero))
-    root = _entry(F.lit(_ROOT), 0, F.when(in_b & in_a, d).otherwise(zero), F.when(in_b & in_a, _check(d)).otherwise(zero), 0, F.when(in_a & ~in_b, d).otherwise(zero), F.when(in_a & ~in_b, _check(d)).otherwise(zero))
-    puts = F.when(in_a | in_b, F.array(*(_entry(_cell(d, j, F.col("width"), seed), *values) for j in range(3)), root)).otherwise(F.col("meta"))
+    puts = F.when(in_a | in_b, F.array(*(_entry(_cell(d, j, F.col("width"), seed), *values) for j in range(3)))).otherwise(F.col("meta"))
     cells = _gather(rows.select(*_KEY, "width", F.explode(puts).alias("e")).select(*_KEY, "width", "e.*"))
     for step in range(STEPS):
         cells = _peel(cells, step % 3, seed)
