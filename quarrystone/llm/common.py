@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one vectorised step takes at most (a longer text goes alone).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
+#: Rows of an Arrow batch: whole texts may be long, so far fewer than Spark's default.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(root or shared_dir(spark))
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with batches to Python no larger than ``BATCH_ROWS`` for the session from now on."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
 
 
 def materialise(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, table, text_bytes, word_spans
+from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, small_batches, table, text_bytes, word_spans
 
 FEATURES = 1 << 15
 STEP = 16
@@ -291,7 +291,7 @@ def _searchers(docs: DataFrame, benchmark: DataFrame, rank: int, threshold: floa
 
 def contamination(docs: DataFrame, benchmark: DataFrame, rank: int = 192, threshold: float = 0.5, overlap: float = 0.6, answer: float = 0.5) -> DataFrame:
     """(document, benchmark item) pairs of which the document holds the item or a paraphrase."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
 
     def pairs(searcher) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +312,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rank: int = 192, thresh
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, threshold: float = 0.5, overlap: float = 0.6, answer: float = 0.5) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item or a paraphrase.  Map-only after the counts."""
     at = docs.columns.index("text")
-    out = docs
+    out = small_batches(docs)
 
     for searcher in _searchers(docs, benchmark, rank, threshold, overlap, answer):
 

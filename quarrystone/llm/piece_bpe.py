@@ -28,11 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm.common import table
+from quarrystone.llm.common import small_batches, table
 
 MARK = "▁"
 #: Entries that a cache of a worker holds before its older half is dropped.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 
 
 class PieceCodec:
@@ -229,7 +229,7 @@ def encode_texts(df: DataFrame, model_file: str, id_col: str = "doc_id", text_co
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return small_batches(df.select(id_col, text_col)).mapInArrow(run, schema)
 
 
 def default_model() -> str:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import shared_dir, table
+from quarrystone.llm.common import shared_dir, small_batches, table
 
 BLOCK = 128
 #: Ids after which a segment is closed.
@@ -290,7 +290,7 @@ def write_tokens(df: DataFrame, path: str, file: str, end_id: int = 2, id_col: s
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     (
-        rows.repartitionByRange(F.col("doc_id").asc_nulls_first())
+        small_batches(rows).repartitionByRange(F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
         .mapInArrow(run, "part int, segment int, n_docs bigint, n_ids bigint, blob binary")
         .write.option("compression", "none")
