@@ -1,11 +1,623 @@
-"""Named queries over the canonical view, each with its SQL twin."""
+"""Named queries over the driver's tables, each with its SQL twin where SQL can state it.
+
+Doubles that come from interpolation are rounded to four places on both sides.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarrystone.functions import scalar
+from quarrystone.operators import aggregates, classify, joins, layout, quality, serving, windows
+from quarrystone.plans.canonical import APPS, ORDINARY, PERCENTILES, ROUTES, SUMMARY, applications, table
+from quarrystone.streaming.ingest import windowed_counts
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+SECRET = b"a documented example secret"
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _summary(spark: SparkSession, d: str) -> DataFrame:
+    return aggregates.program_cycle_summary(windows.percentile_position(applications(spark, d)), ORDINARY)
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 4) for c in columns})
+
+
+WITH = f"WITH {APPS}"
+GOLD = f"WITH {APPS}, {PERCENTILES}, {SUMMARY}"
+_ROUND = lambda *cols: ", ".join(f"round({c}, 4) AS {c}" for c in cols)
+
+
+@query(f"{GOLD} SELECT * EXCLUDE (median_score), {_ROUND('median_score')} FROM gold")
+def program_cycle_summary(spark, d):
+    """D1, D3-D8, E1"""
+    return _rounded(_summary(spark, d), "median_score")
+
+
+@query(f"""{WITH}, {PERCENTILES}, s AS (
+  SELECT cycle, program, route, count(*) AS applications, count(*) FILTER (WHERE admitted) AS admitted,
+         100.0::DOUBLE * count(*) FILTER (WHERE NOT admitted) / count(*) AS pct_rejected,
+         min(score) FILTER (WHERE admitted AND score <> 0) AS cutoff_score, min(percentile) FILTER (WHERE admitted) AS cutoff_percentile,
+         arg_min(floor_score, row_seq) FILTER (WHERE floor_score IS NOT NULL) AS floor_score,
+         min(score) FILTER (WHERE score <> 0) AS min_score, max(score) FILTER (WHERE score <> 0) AS max_score,
+         round(median(score) FILTER (WHERE score <> 0), 4) AS median_score
+  FROM pct WHERE admitted IS NOT NULL GROUP BY ALL)
+  SELECT *, pct_rejected >= 25 AS trusted,
+         CASE WHEN applications >= 15 AND pct_rejected >= 25 THEN 100.0::DOUBLE * admitted / applications END AS admission_rate,
+         CASE WHEN cycle >= '2024' THEN 'nueva' ELSE 'anterior' END AS scale FROM s""")
+def route_comparison(spark, d):
+    """D2"""
+    return _rounded(aggregates.route_comparison(windows.percentile_position(applications(spark, d))), "median_score")
+
+
+_BINS = """bins AS (SELECT cycle, program, cast(floor(score / 1000) * 1000 AS BIGINT) AS bin_from, admitted, count(*) AS applications
+  FROM apps WHERE admitted IS NOT NULL AND score IS NOT NULL GROUP BY ALL)"""
+
+
+@query(f"{WITH}, {_BINS} SELECT *, bin_from + 1000 AS bin_to FROM bins")
+def score_histogram(spark, d):
+    """D9, H10"""
+    return aggregates.score_histogram(applications(spark, d), 1000)
+
+
+@query(f"""{WITH} SELECT cycle, program, count(*) AS rejected, count(*) FILTER (WHERE floor_score - score <= 1000) AS near,
+  100.0::DOUBLE * count(*) FILTER (WHERE floor_score - score <= 1000) / count(*) AS near_pct
+  FROM apps WHERE NOT admitted AND score IS NOT NULL AND floor_score IS NOT NULL GROUP BY ALL""")
+def near_cutoff(spark, d):
+    """D10"""
+    return aggregates.near_floor(applications(spark, d), 1000.0)
+
+
+@query(f"""{WITH} SELECT cycle, program, count(*) AS rejected, count(*) FILTER (WHERE abs(floor_score - score) <= 1000) AS near,
+  100.0::DOUBLE * count(*) FILTER (WHERE abs(floor_score - score) <= 1000) / count(*) AS near_pct
+  FROM apps WHERE NOT admitted AND score IS NOT NULL AND floor_score IS NOT NULL GROUP BY ALL""")
+def near_cutoff_both_sides(spark, d):
+    """D10 within the distance on either side"""
+    return aggregates.near_floor(applications(spark, d), 1000.0, both_sides=True)
+
+
+@query(f"""{WITH}, e AS (SELECT person, least(count(*), 5) AS n, bool_or(admitted) AS ever_admitted FROM apps WHERE admitted IS NOT NULL GROUP BY person)
+  SELECT CASE WHEN n < 5 THEN cast(n AS VARCHAR) ELSE '5 o mas' END AS applications, ever_admitted, count(*) AS persons FROM e GROUP BY n, ever_admitted""")
+def retry_trajectory(spark, d):
+    """D11"""
+    return aggregates.retry_trajectory(applications(spark, d))
+
+
+def _seats(spark, d):
+    nation = table(spark, d, "nation")
+    years = nation.select("*", F.explode(F.sequence(F.lit(1995), F.lit(2002))).alias("year"))
+    return years.select(F.col("year").cast("string").alias("cycle"), F.initcap("n_name").alias("program"), (F.col("n_nationkey") * 7 % 50).cast("long").alias("seats")).withColumn("program_key", scalar.alnum_key(F.col("program")))
+
+
+def _occupancy(spark, d):
+    admitted = _summary(spark, d).select("cycle", scalar.alnum_key(F.col("program")).alias("program_key"), "admitted")
+    return aggregates.seat_occupancy(_seats(spark, d), admitted)
+
+
+@query(f"""{GOLD}, seats AS (SELECT cast(y AS VARCHAR) AS cycle, array_to_string(list_transform(string_split(lower(n_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS program,
+    cast(n_nationkey * 7 % 50 AS BIGINT) AS seats, regexp_replace(upper(n_name), '[^A-Z0-9]', '', 'g') AS program_key FROM nation, generate_series(1995, 2002) g(y))
+  SELECT s.cycle, s.program, s.seats, coalesce(g.admitted, 0) AS admitted, 100.0::DOUBLE * coalesce(g.admitted, 0) / s.seats AS occupancy_pct,
+    greatest(0, s.seats - coalesce(g.admitted, 0)) AS free_seats, coalesce(g.admitted, 0) > 0 AS crossed, g.admitted IS NOT NULL AS matched, 'provisional' AS state
+  FROM seats s LEFT JOIN gold g ON g.cycle = s.cycle AND regexp_replace(upper(g.program), '[^A-Z0-9]', '', 'g') = s.program_key WHERE s.seats > 0""")
+def seat_occupancy(spark, d):
+    """D12, C8, H4"""
+    return _occupancy(spark, d)
+
+
+@query(f"{WITH}, {PERCENTILES} SELECT row_seq, document, program, score, percentile FROM pct")
+def percentile_position(spark, d):
+    """E1"""
+    return windows.percentile_position(applications(spark, d)).select("row_seq", "document", "program", "score", "percentile")
+
+
+_COUNTS = "counts AS (SELECT cycle, program, count(*) AS applications FROM apps WHERE admitted IS NOT NULL GROUP BY ALL)"
+
+
+def _counts(spark, d):
+    return aggregates.with_outcome(applications(spark, d)).groupBy("cycle", "program").agg(F.count(F.lit(1)).alias("applications"))
+
+
+@query(f"""{WITH}, {_COUNTS}, l AS (SELECT *, lag(applications) OVER (PARTITION BY program ORDER BY cycle) AS previous FROM counts)
+  SELECT cycle, program, applications, previous, 100.0::DOUBLE * (applications - previous) / previous AS delta_pct FROM l WHERE previous IS NOT NULL AND previous <> 0""")
+def yoy_delta(spark, d):
+    """E2"""
+    return windows.yoy_delta(_counts(spark, d))
+
+
+@query(f"""{WITH}, m AS (SELECT cycle, program, median(score) AS m FROM apps WHERE score IS NOT NULL GROUP BY ALL),
+  l AS (SELECT program, lag(cycle) OVER w AS from_cycle, cycle AS to_cycle, m / nullif(lag(m) OVER w, 0) AS ratio FROM m WINDOW w AS (PARTITION BY program ORDER BY cycle))
+  SELECT program, from_cycle, to_cycle, round(ratio, 4) AS ratio, from_cycle = '2023' AND to_cycle = '2024' AS scale_change, ratio > 1.8 OR ratio < 0.55 AS jump FROM l WHERE ratio IS NOT NULL""")
+def median_jump(spark, d):
+    """E5, Q19"""
+    medians = applications(spark, d).where("score is not null").groupBy("cycle", "program").agg(F.median("score").alias("median_score"))
+    return _rounded(windows.median_jumps(medians), "ratio")
+
+
+_BOX = """box AS (SELECT cycle, program, count(*) AS n, min(score) AS low, round(quantile_cont(score, 0.25), 4) AS q1, round(quantile_cont(score, 0.5), 4) AS median,
+  round(quantile_cont(score, 0.75), 4) AS q3, max(score) AS high FROM apps WHERE admitted AND score IS NOT NULL GROUP BY ALL HAVING count(*) >= 5)"""
+
+
+def _box(spark, d):
+    return _rounded(aggregates.score_box(applications(spark, d)), "q1", "median", "q3")
+
+
+@query(f"{WITH}, {_BOX} SELECT * FROM box")
+def score_box(spark, d):
+    """D19, D20"""
+    return _box(spark, d)
+
+
+_POINTS = """points AS (SELECT cycle, program, score, row_number() OVER (PARTITION BY cycle, program ORDER BY score, row_seq) - 1 AS pos, count(*) OVER (PARTITION BY cycle, program) AS n
+  FROM apps WHERE admitted AND score IS NOT NULL)"""
+
+
+@query(f"""{WITH}, {_POINTS} SELECT cycle, program, cast(pos / step AS BIGINT) AS point, score
+  FROM (SELECT *, greatest(1, cast(floor(n / 40) AS BIGINT)) AS step FROM points) WHERE n >= 5 AND pos % step = 0 AND pos / step < 40""")
+def box_sample_points(spark, d):
+    """E4, H18"""
+    return windows.sample_points(applications(spark, d).where("admitted"), ("cycle", "program"))
+
+
+def _pivot(spark, d):
+    return aggregates.route_pivot(aggregates.route_comparison(windows.percentile_position(applications(spark, d))), ROUTES)
+
+
+_PIVOT = ", ".join(f"""count(*) FILTER (WHERE admitted AND route = '{r}') AS "{r}\"""" for r in ROUTES)
+
+
+@query(f"""{WITH} SELECT cycle, program, {_PIVOT}, count(*) FILTER (WHERE admitted AND route NOT IN ({", ".join(f"'{r}'" for r in ROUTES)})) AS otras
+  FROM apps WHERE admitted IS NOT NULL GROUP BY ALL""")
+def route_pivot(spark, d):
+    """D21"""
+    return _pivot(spark, d)
+
+
+@query(f"""{WITH}, p AS (SELECT cycle, CASE WHEN route IN ({", ".join(f"'{r}'" for r in ROUTES)}) THEN route ELSE 'otras' END AS route, count(*) FILTER (WHERE admitted) AS admitted
+  FROM apps WHERE admitted IS NOT NULL GROUP BY ALL) SELECT * FROM p""")
+def route_totals(spark, d):
+    """D27"""
+    return aggregates.route_totals(_pivot(spark, d), [*ROUTES, "otras"])
+
+
+@query(f"{WITH}, {_BINS} SELECT cycle, program, bin_from, cast(coalesce(sum(applications) FILTER (WHERE admitted), 0) AS BIGINT) AS n_admitted, cast(coalesce(sum(applications) FILTER (WHERE NOT admitted), 0) AS BIGINT) AS n_rejected FROM bins GROUP BY ALL")
+def outcome_pivot(spark, d):
+    """D22"""
+    return aggregates.outcome_pivot(aggregates.score_histogram(applications(spark, d), 1000))
+
+
+@query(f"{WITH}, {_BINS} SELECT cycle, bin_from, admitted, cast(sum(applications) AS BIGINT) AS applications FROM bins GROUP BY ALL")
+def merged_histogram(spark, d):
+    """D28"""
+    return aggregates.merged_histogram(aggregates.score_histogram(applications(spark, d), 1000))
+
+
+@query(f"""{WITH} SELECT cycle, count(*) AS rejected, count(*) FILTER (WHERE floor_score - score <= 1000) AS near,
+  100.0::DOUBLE * count(*) FILTER (WHERE floor_score - score <= 1000) / count(*) AS near_pct
+  FROM apps WHERE NOT admitted AND score IS NOT NULL AND floor_score IS NOT NULL GROUP BY ALL""")
+def near_rollup(spark, d):
+    """D29"""
+    return aggregates.near_rollup(aggregates.near_floor(applications(spark, d), 1000.0))
+
+
+CYCLES = [str(y) for y in range(1995, 2002)]
+
+
+@query(f"""{WITH} SELECT program, {", ".join(f"max(CASE WHEN cycle = '{c}' THEN 1 ELSE 0 END) AS in_{c}" for c in CYCLES)},
+  min(cycle) AS first_cycle, max(cycle) AS last_cycle, count(DISTINCT cycle) AS n_cycles FROM apps GROUP BY program""")
+def presence_matrix(spark, d):
+    """D23"""
+    return aggregates.presence_matrix(applications(spark, d), CYCLES)
+
+
+_KPIS = """kpi AS (SELECT cycle, cast(sum(applications) AS BIGINT) AS applications, cast(sum(admitted) AS BIGINT) AS admitted, count(*) AS programs, count(*) FILTER (WHERE trusted) AS trusted_programs,
+  100.0::DOUBLE * sum(admitted) FILTER (WHERE trusted) / nullif(sum(applications) FILTER (WHERE trusted), 0) AS trusted_rate FROM gold GROUP BY cycle)"""
+
+
+def _cycles(spark):
+    return spark.createDataFrame([(c,) for c in [*CYCLES, "2002"]], "cycle string")
+
+
+_ALL_CYCLES = "cycles AS (SELECT cast(y AS VARCHAR) AS cycle FROM generate_series(1995, 2002) g(y))"
+
+
+@query(f"{GOLD}, {_KPIS}, {_ALL_CYCLES} SELECT cycle, coalesce(applications, 0) AS applications, coalesce(admitted, 0) AS admitted, coalesce(programs, 0) AS programs, coalesce(trusted_programs, 0) AS trusted_programs, trusted_rate FROM cycles LEFT JOIN kpi USING (cycle)")
+def kpi_by_cycle(spark, d):
+    """D24, D25"""
+    return aggregates.kpi_series(_summary(spark, d), _cycles(spark))
+
+
+@query(f"""{GOLD}, {_KPIS}, {_ALL_CYCLES}, s AS (SELECT cycle, coalesce(applications, 0) AS applications, coalesce(admitted, 0) AS admitted FROM cycles LEFT JOIN kpi USING (cycle)),
+  l AS (SELECT *, lag(applications) OVER (ORDER BY cycle) AS pa, lag(admitted) OVER (ORDER BY cycle) AS pb FROM s)
+  SELECT cycle, applications, admitted, CASE WHEN pa <> 0 THEN 100.0::DOUBLE * (applications - pa) / pa END AS applications_change_pct,
+    CASE WHEN pb <> 0 THEN 100.0::DOUBLE * (admitted - pb) / pb END AS admitted_change_pct FROM l""")
+def kpi_change(spark, d):
+    """E3"""
+    series = aggregates.kpi_series(_summary(spark, d), _cycles(spark)).select("cycle", "applications", "admitted")
+    return windows.kpi_change(series, ("applications", "admitted"))
+
+
+def _areas(spark, d):
+    nation = table(spark, d, "nation").where("n_nationkey % 11 <> 0")
+    return nation.join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("program"), F.col("r_name").alias("area"))
+
+
+@query(f"""{GOLD}, areas AS (SELECT n_name AS program, r_name AS area FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 11 <> 0),
+  t AS (SELECT cycle, coalesce(area, 'Z') AS area, cast(sum(applications) AS BIGINT) AS applications, cast(sum(admitted) AS BIGINT) AS admitted FROM gold LEFT JOIN areas USING (program) GROUP BY ALL)
+  SELECT *, applications / (sum(applications) OVER (PARTITION BY cycle))::DOUBLE AS share FROM t WHERE applications > 0""")
+def area_share(spark, d):
+    """D26, E6, B23, V6"""
+    return serving.area_ring(aggregates.by_area(_summary(spark, d), _areas(spark, d)))
+
+
+@query(f"{WITH}, {_COUNTS} SELECT *, applications / (max(applications) OVER (PARTITION BY cycle))::DOUBLE AS to_max FROM counts")
+def ratio_to_max(spark, d):
+    """E7"""
+    return windows.ratio_to_max(_counts(spark, d), "applications", ("cycle",))
+
+
+@query(f"""{WITH}, {_COUNTS}, {_ALL_CYCLES}, prev AS (SELECT cycle, lag(cycle) OVER (ORDER BY cycle) AS previous_cycle FROM cycles)
+  SELECT n.cycle, p.previous_cycle, n.program, n.applications AS now, b.applications AS before FROM counts n JOIN prev p ON n.cycle = p.cycle JOIN counts b ON b.cycle = p.previous_cycle AND b.program = n.program""")
+def slope_prev_cycle(spark, d):
+    """C13, V4"""
+    return joins.slope(_counts(spark, d), _cycles(spark))
+
+
+@query(f"{WITH}, {_COUNTS} SELECT * FROM counts ORDER BY applications DESC, cycle, program LIMIT 10")
+def top_programs(spark, d):
+    """F2, F4"""
+    return serving.top_programs(_counts(spark, d))
+
+
+@query(f"{WITH}, {_COUNTS}, {_BOX} SELECT * FROM counts JOIN box USING (cycle, program) ORDER BY applications DESC, cycle, program LIMIT 10")
+def top_boxes(spark, d):
+    """F3"""
+    return _counts(spark, d).join(_box(spark, d), ["cycle", "program"]).orderBy(F.col("applications").desc(), "cycle", "program").limit(10)
+
+
+@query(f"""{GOLD}, {_BOX}, near AS (SELECT cycle, program, count(*) AS rejected, count(*) FILTER (WHERE floor_score - score <= 1000) AS near FROM apps WHERE NOT admitted AND score IS NOT NULL AND floor_score IS NOT NULL GROUP BY ALL)
+  SELECT cycle, program, applications, admitted, trusted, rejected, near, n, q1, q3 FROM gold LEFT JOIN near USING (cycle, program) LEFT JOIN box USING (cycle, program)""")
+def flat_export(spark, d):
+    """C15, B32"""
+    base = _summary(spark, d).select("cycle", "program", "applications", "admitted", "trusted")
+    near = aggregates.near_floor(applications(spark, d), 1000.0).drop("near_pct")
+    return joins.flat_export(base, near, _box(spark, d).select("cycle", "program", "n", "q1", "q3"))
+
+
+@query(f"""{GOLD}, {_COUNTS}, {_BOX}, l AS (SELECT *, lag(applications) OVER (PARTITION BY program ORDER BY cycle) AS previous FROM counts)
+  SELECT g.cycle, g.program, g.applications, g.admitted, CASE WHEN g.trusted THEN g.admission_rate END AS admission_rate, b.q1, b.q3,
+    CASE WHEN l.previous <> 0 THEN 100.0::DOUBLE * (l.applications - l.previous) / l.previous END AS delta_pct
+  FROM gold g LEFT JOIN l USING (cycle, program) LEFT JOIN box b USING (cycle, program)""")
+def detail_table(spark, d):
+    """V3, C15"""
+    seats = _occupancy(spark, d)
+    rows = serving.detail(_summary(spark, d), _box(spark, d), seats, windows.yoy_delta(_counts(spark, d)))
+    return rows.select("cycle", "program", "applications", "admitted", "admission_rate", "q1", "q3", "delta_pct")
+
+
+_LINES = "(SELECT l_orderkey % 500 AS block, l_suppkey % 7 AS part, nullif(l_linenumber, 3) AS site, l_partkey % 60 + 1 AS merit_rank FROM lineitem)"
+
+
+def _ranked_lines(spark, d):
+    lines = table(spark, d, "lineitem")
+    return lines.select((F.col("l_orderkey") % 500).alias("block"), (F.col("l_suppkey") % 7).alias("part"), F.nullif("l_linenumber", F.lit(3)).alias("site"), (F.col("l_partkey") % 60 + 1).alias("merit_rank"))
+
+
+@query(f"""WITH f AS {_LINES}, t AS (SELECT block, part, site, max(merit_rank) AS block_max FROM f GROUP BY ALL),
+  e AS (SELECT t.*, unnest(generate_series(1, block_max)) AS missing_rank FROM t)
+  SELECT e.block, e.part, e.site, e.missing_rank, e.block_max FROM e WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.block = e.block AND f.part = e.part AND f.site IS NOT DISTINCT FROM e.site AND f.merit_rank = e.missing_rank)""")
+def rank_gaps(spark, d):
+    """C6, C7, C14, E8"""
+    return joins.rank_gaps(_ranked_lines(spark, d), ("block", "part", "site"))
+
+
+@query(f"WITH f AS {_LINES} SELECT block, part, site, merit_rank, count(*) AS times FROM f GROUP BY ALL HAVING count(*) > 1")
+def duplicate_ranks(spark, d):
+    """E9, Q5"""
+    return windows.duplicate_ranks(_ranked_lines(spark, d), ("block", "part", "site"))
+
+
+@query(f"WITH f AS {_LINES} SELECT block, part, site, min(merit_rank) AS first_rank FROM f GROUP BY ALL HAVING min(merit_rank) <> 1")
+def late_starts(spark, d):
+    """E10, Q4"""
+    return windows.late_starts(_ranked_lines(spark, d), ("block", "part", "site"))
+
+
+@query(f"""WITH f AS {_LINES}, b AS (SELECT block, part, site, min(merit_rank) AS first FROM f GROUP BY ALL)
+  SELECT cast(block AS VARCHAR) AS document, CASE WHEN count(*) FILTER (WHERE first = 1) = count(*) THEN 'per_program' ELSE 'global' END AS grain, 'results' AS doc_class FROM b GROUP BY block""")
+def numbering_grain(spark, d):
+    """B21, D13"""
+    rows = _ranked_lines(spark, d).select(F.col("block").cast("string").alias("document"), F.col("part").alias("site"), F.col("site").alias("subgroup"), F.lit("x").alias("program"), "merit_rank")
+    return classify.numbering_grain(rows)
+
+
+@query("SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem WHERE l_orderkey + 0 NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)")
+def orphan_refs(spark, d):
+    """C10, Q11"""
+    parents = table(spark, d, "orders").where("o_orderkey % 3 <> 0")
+    return joins.orphans(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), parents, "o_orderkey")
+
+
+@query(f"""{WITH}, {_COUNTS}, a AS (SELECT * FROM counts WHERE program <> 'NATION_3'), b AS (SELECT cycle, program, applications + CASE WHEN program = 'NATION_4' THEN 1 ELSE 0 END AS applications FROM counts WHERE program <> 'NATION_5')
+  SELECT cycle, program, coalesce(a.applications, 0) AS left_applications, coalesce(b.applications, 0) AS right_applications, a.program IS NOT NULL AS in_left, b.program IS NOT NULL AS in_right
+  FROM a FULL OUTER JOIN b USING (cycle, program) WHERE a.program IS NULL OR b.program IS NULL OR a.applications <> b.applications""")
+def reconcile_layers(spark, d):
+    """C11, C12, C18, C21, Q14, Q28, Q29"""
+    counts = _counts(spark, d)
+    other = counts.where("program <> 'NATION_5'").withColumn("applications", F.col("applications") + F.when(F.col("program") == "NATION_4", 1).otherwise(0))
+    return joins.reconcile(counts.where("program <> 'NATION_3'"), other, ("cycle", "program"), ("applications",))
+
+
+_FORMS = "forms AS (SELECT DISTINCT left(p_name, cast(length(p_name) - p_partkey % 6 AS BIGINT)) AS form FROM part)"
+
+
+def _forms(spark, d):
+    part = table(spark, d, "part")
+    return part.select(F.expr("left(p_name, length(p_name) - cast(p_partkey % 6 as int))").alias("form")).distinct(), part.select(F.col("p_name").alias("program")).distinct()
+
+
+@query(f"""WITH {_FORMS}, cat AS (SELECT DISTINCT p_name AS program FROM part), h AS (SELECT form, count(*) AS n, min(program) AS canonical FROM forms JOIN cat ON starts_with(program, form) WHERE length(form) >= 5 GROUP BY form)
+  SELECT form, CASE WHEN form IN (SELECT program FROM cat) THEN form ELSE canonical END AS canonical FROM h WHERE n = 1 OR form IN (SELECT program FROM cat)""")
+def prefix_resolve(spark, d):
+    """C16"""
+    return joins.prefix_resolve(*_forms(spark, d))
+
+
+@query()
+def fuzzy_resolve(spark, d):
+    """No SQL has the ratio of matching blocks"""
+    forms, catalogue = _forms(spark, d)
+    typos = forms.select(F.regexp_replace("form", "([AEIOU])([B-DF-H])", "$1$1$2").alias("form"))
+    return joins.resolve_programs(forms.union(typos), catalogue)
+
+
+_LABELS = "CASE event_id % 9 WHEN 0 THEN 'no ingresó' WHEN 1 THEN 'INGRESÓ x' WHEN 2 THEN 'NO APTO' WHEN 3 THEN 'apto' WHEN 4 THEN 'TEST + ENTREVISTA' WHEN 5 THEN 'NSP' WHEN 6 THEN 'INGR NO BENEF' WHEN 7 THEN event_type ELSE NULL END"
+
+
+def _labelled(spark, d):
+    cell = F.expr(_LABELS)
+    events = table(spark, d, "events")
+    return events.select("event_id", F.concat(F.lit("doc"), (F.col("user_id") % 40).cast("string")).alias("document"), cell.alias("cell"), classify.condition_of(cell).alias("condition"))
+
+
+_CONDITION = "CASE " + " ".join(f"WHEN contains(upper(strip_accents(coalesce(cell, ''))), '{c}') THEN '{c}'" for c in classify.CONDITIONS) + " ELSE '' END"
+_MEANING = lambda m: "CASE condition " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in m.items()) + " END"
+_CELLS = f"cells AS (SELECT event_id, 'doc' || cast(user_id % 40 AS VARCHAR) AS document, {_LABELS} AS cell FROM events), labelled AS (SELECT *, {_CONDITION} AS condition FROM cells)"
+_LISTS = "lists AS (SELECT document FROM labelled GROUP BY document HAVING bool_or(condition = 'NO APTO') OR (bool_or(condition = 'APTO') AND NOT bool_or(condition IN ('INGRESO', 'NO INGRESO', 'SELECCIONADO'))))"
+
+
+@query(f"""WITH {_CELLS}, {_LISTS}, m AS (SELECT event_id, document, condition, document IN (SELECT document FROM lists) AS is_member,
+    CASE WHEN document IN (SELECT document FROM lists) THEN {_MEANING(classify.ELIGIBILITY_MEANING)} ELSE {_MEANING(classify.RESULT_MEANING)} END AS meaning FROM labelled)
+  SELECT *, CASE meaning WHEN 'ingreso' THEN TRUE WHEN 'no_ingreso' THEN FALSE END AS admitted FROM m""")
+def condition_classify(spark, d):
+    """B15-B17, C3"""
+    rows = _labelled(spark, d)
+    flagged = joins.flag_member(rows, classify.eligibility_documents(rows))
+    out = flagged.withColumn("meaning", classify.meaning_of(F.col("condition"), F.col("is_member")))
+    return out.withColumn("admitted", classify.admitted_of(F.col("meaning"))).select("event_id", "document", "condition", "is_member", "meaning", "admitted")
+
+
+@query(f"WITH {_CELLS}, {_LISTS} SELECT document FROM lists")
+def doc_class_vocab(spark, d):
+    """B20, D18, G1"""
+    return classify.eligibility_documents(_labelled(spark, d))
+
+
+_ROUTE = lambda t: "CASE " + " ".join(
+    f"WHEN {' OR '.join([f'contains({t}, {chr(39)}{w}{chr(39)})' if w[0] != '=' else f'list_contains(regexp_split_to_array(trim({t}), {chr(39)}\\s+{chr(39)}), {chr(39)}{w[1:]}{chr(39)})' for w in words] + ([f'regexp_matches({t}, {chr(39)}{classify.ORDINARY_FILE}{chr(39)})'] if route == 'ordinario' else []))} THEN '{route}'"
+    for route, words in classify.ROUTES
+) + " ELSE 'otro' END"
+_FILES = "files AS (SELECT p_partkey, p_name AS process, CASE p_partkey % 6 WHEN 0 THEN 'EG2023I.pdf' WHEN 1 THEN 'Aptos2026RS.pdf' WHEN 2 THEN 'Resultados RS 2022.pdf' WHEN 3 THEN 'precatolica2025-III.pdf' WHEN 4 THEN 'Beca20' ELSE p_brand END AS name FROM part)"
+
+
+@query(f"""WITH {_FILES}, r AS (SELECT *, {_ROUTE("upper(process || ' ' || name)")} AS route FROM files)
+  SELECT p_partkey, route, coalesce(nullif(regexp_extract(process, '20\\d{{2}}'), ''), nullif(regexp_extract(name, '20\\d{{2}}'), ''), 'sin_ciclo') AS cycle,
+    CASE route WHEN 'tercio_superior' THEN 'rendimiento_superior' ELSE route END AS unified FROM r""")
+def route_classify(spark, d):
+    """B10, B11, B18"""
+    name = F.expr("CASE p_partkey % 6 WHEN 0 THEN 'EG2023I.pdf' WHEN 1 THEN 'Aptos2026RS.pdf' WHEN 2 THEN 'Resultados RS 2022.pdf' WHEN 3 THEN 'precatolica2025-III.pdf' WHEN 4 THEN 'Beca20' ELSE p_brand END")
+    rows = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("process"), name.alias("name"))
+    route = classify.route_of(F.col("process"), F.col("name"))
+    return rows.select("p_partkey", route.alias("route"), classify.cycle_of(F.col("process"), F.col("name")).alias("cycle"), classify.unified_route(route).alias("unified"))
+
+
+@query("""WITH t AS (SELECT o_orderkey, cast(year(o_orderdate) + o_orderkey % 2 AS VARCHAR) AS cycle, o_orderdate AS day FROM orders)
+  SELECT o_orderkey, (year(day) = cast(cycle AS INT) - 1 AND month(day) >= 4) OR (year(day) = cast(cycle AS INT) AND month(day) <= 8) AS in_window FROM t""")
+def date_window(spark, d):
+    """B26, H13, Q13"""
+    rows = table(spark, d, "orders").select("o_orderkey", (F.year("o_orderdate") + F.col("o_orderkey") % 2).cast("string").alias("cycle"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("exam_date"))
+    return rows.select("o_orderkey", classify.in_exam_window(F.col("cycle"), F.col("exam_date")).alias("in_window"))
+
+
+@query("""SELECT doc_id, regexp_matches(text, '(^|[^0-9A-Za-z])[0-9]{8}([^0-9A-Za-z]|$)') AS has_number,
+  len(list_filter(regexp_extract_all(text, '\\b[A-ZÑÁÉÍÓÚ]{3,}(?: [A-ZÑÁÉÍÓÚ]{3,}){2,}'), lambda x: NOT list_has_any(string_split(x, ' '), ['POR','PARA','CON','SIN','SOBRE','ENTRE','DESDE','HASTA','SEGUN','ANTE','TRAS','DURANTE','MEDIANTE','LOS','LAS','DEL','UNA','UNO','QUE','MAS','SUS','ESTE','ESTA','ESOS','ESAS','TODO','TODA'])))  AS n_names FROM documents""")
+def pii_scan(spark, d):
+    """B30, Q24"""
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", classify.holds_identity_number(F.col("text")).alias("has_number"), F.size(classify.person_names(F.col("text"))).cast("long").alias("n_names"))
+
+
+_SHAPES = " OR ".join(f"regexp_matches(trim(line), '{p.replace(chr(39), chr(39) * 2)}')" for p in classify.ROW_SHAPES)
+
+
+@query(f"""WITH lines AS (SELECT doc_id AS document, unnest(string_split(text, chr(10))) AS line FROM documents)
+  SELECT cast(document AS VARCHAR) AS document, count(*) AS n_lines, count(*) FILTER (WHERE {_SHAPES}) AS n_rows FROM lines GROUP BY ALL""")
+def text_line_recount(spark, d):
+    """A9, B31, D34, Q27"""
+    from quarrystone.sources.readers import text_lines
+
+    lines = text_lines(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("document"), "text"))
+    return lines.groupBy("document").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(classify.is_row_line(F.col("line"))).alias("n_rows"))
+
+
+_NAMES = "names AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Ing.  de  ' || p_name || ' (V6)' WHEN 1 THEN p_name || ' áéñ 12.50' WHEN 2 THEN 'educ. ' || p_name ELSE p_name END AS raw FROM part)"
+
+
+@query(f"""WITH {_NAMES}, s AS (SELECT p_partkey, raw, strip_accents(raw) AS folded FROM names),
+  c AS (SELECT *, trim(regexp_replace(upper(regexp_replace(regexp_replace(folded, '\\(V\\s*\\d*\\)?', '', 'g'), '\\s+\\d+[.,]\\d+\\s*$', '')), '\\s+', ' ', 'g')) AS base FROM s)
+  SELECT p_partkey, regexp_replace(regexp_replace(base, '^ING\\.\\s+', 'INGENIERIA '), '^EDUC\\.\\s+', 'EDUCACION ') AS clean,
+    regexp_replace(upper(folded), '[^A-Z0-9]', '', 'g') AS alnum, trim(regexp_replace(upper(folded), '\\s+', ' ', 'g')) AS program_key,
+    trim(regexp_replace(regexp_replace(upper(folded), '[^A-Za-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')) AS catalogue FROM c""")
+def key_normalise(spark, d):
+    """H1-H5"""
+    raw = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'Ing.  de  ' || p_name || ' (V6)' WHEN 1 THEN p_name || ' áéñ 12.50' WHEN 2 THEN 'educ. ' || p_name ELSE p_name END")
+    return table(spark, d, "part").select("p_partkey", scalar.clean_program(raw).alias("clean"), scalar.alnum_key(raw).alias("alnum"), scalar.program_key(raw).alias("program_key"), scalar.catalogue_name(raw).alias("catalogue"))
+
+
+_PAD = lambda x: bytes(b ^ x for b in SECRET.ljust(64, b"\0")).hex()
+
+
+@query(f"""SELECT c_custkey, left(sha256(unhex('{_PAD(0x5C)}') || unhex(sha256(unhex('{_PAD(0x36)}') || cast(c_custkey AS VARCHAR)::BLOB))), 16) AS person,
+  left(sha256(c_name), 16) AS name_id FROM customer""")
+def pseudonym(spark, d):
+    """H11, H12"""
+    return table(spark, d, "customer").select("c_custkey", scalar.hmac_sha256(F.col("c_custkey").cast("string"), SECRET).alias("person"), scalar.content_id(F.col("c_name")).alias("name_id"))
+
+
+@query("SELECT min(doc_id) AS doc_id, left(sha256(text), 16) AS content_id FROM documents GROUP BY sha256(text)")
+def content_hash_dedup(spark, d):
+    """H12, E18"""
+    docs = table(spark, d, "documents")
+    return docs.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.substring("h", 1, 16).alias("content_id"))
+
+
+@query("WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n FROM orders) SELECT o_custkey, o_orderkey AS last_order, o_totalprice AS last_price FROM r WHERE n = 1")
+def last_wins(spark, d):
+    """E17"""
+    return windows.last_wins(table(spark, d, "orders"), ("o_custkey",), "o_orderkey").select("o_custkey", F.col("o_orderkey").alias("last_order"), F.col("o_totalprice").alias("last_price"))
+
+
+@query(f"{WITH} SELECT cycle, count(*) AS n_rows, count(admitted) AS with_outcome, 100.0::DOUBLE * count(*) FILTER (WHERE NOT admitted) / count(admitted) AS pct_rejected, coalesce(100.0::DOUBLE * count(*) FILTER (WHERE NOT admitted) / count(admitted) >= 25, FALSE) AS trusted FROM apps GROUP BY cycle")
+def cycle_coverage(spark, d):
+    """D32, Q25"""
+    return aggregates.cycle_coverage(applications(spark, d))
+
+
+@query(f"{WITH} SELECT count(person) AS with_value, count(DISTINCT person) AS distinct_values, count(DISTINCT person) / count(person)::DOUBLE AS ratio FROM apps")
+def distinct_ratio(spark, d):
+    """D33, Q17"""
+    return aggregates.distinct_ratio(applications(spark, d))
+
+
+@query("""SELECT c_mktsegment AS program, CASE WHEN n IS NULL THEN 'unmatched' ELSE 'matched' END AS state, count(*) AS n_rows
+  FROM customer LEFT JOIN (SELECT DISTINCT s_nationkey AS n FROM supplier) s ON c_nationkey = n GROUP BY ALL""")
+def cross_match_report(spark, d):
+    """C9"""
+    left = table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("program"), F.col("c_nationkey").alias("place"))
+    right = table(spark, d, "supplier").select(F.col("s_nationkey").alias("place")).distinct()
+    met, rest = joins.cross_and_report(left, right, F.col("place").cast("string"), ())
+    both = met.select("program", F.lit("matched").alias("state")).unionByName(rest.select("program", F.lit("unmatched").alias("state")))
+    return both.groupBy("program", "state").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("""SELECT o_custkey AS key, 'both' AS side FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
+  UNION ALL SELECT o_custkey, 'first only' FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
+def set_operations(spark, d):
+    """G1-G3, G6"""
+    orders = table(spark, d, "orders")
+    a, b = (orders.where(F.col("o_orderstatus") == s).select(F.col("o_custkey").alias("key")) for s in ("F", "O"))
+    return a.intersect(b).withColumn("side", F.lit("both")).unionByName(a.distinct().join(b, "key", "left_anti").withColumn("side", F.lit("first only")))
+
+
+_ROWS = """rows AS (SELECT cast(year(o_orderdate) AS VARCHAR) || o_orderpriority AS document, o_orderkey, o_totalprice AS score, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice * 0.5 END AS part_1,
+  CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice * 0.5 + CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END END AS part_2, CASE WHEN o_orderstatus = 'F' THEN 'INGRESO' ELSE 'NO INGRESO' END AS condition,
+  CASE WHEN o_orderkey % 3 = 0 THEN 50000.0 END AS floor_score FROM orders)"""
+
+
+def _score_rows(spark, d):
+    key = F.col("o_orderkey")
+    return table(spark, d, "orders").select(
+        F.concat(F.year("o_orderdate").cast("string"), F.col("o_orderpriority")).alias("document"),
+        "o_orderkey",
+        F.col("o_totalprice").alias("score"),
+        F.lit(None).cast("double").alias("part_extra"),
+        F.when(key % 4 != 0, F.col("o_totalprice") * 0.5).alias("part_1"),
+        F.when(key % 6 != 0, F.col("o_totalprice") * 0.5 + F.when(key % 50 == 0, 1).otherwise(0)).alias("part_2"),
+        F.when(F.col("o_orderstatus") == "F", "INGRESO").otherwise("NO INGRESO").alias("condition"),
+        F.when(key % 3 == 0, 50000.0).alias("floor_score"),
+    )
+
+
+@query(f"""WITH {_ROWS}, both_parts AS (SELECT document FROM rows GROUP BY document HAVING count(part_1) > 0 AND count(part_2) > 0), r AS (
+  SELECT 'parts add up' AS rule, count(*) AS violations FROM rows WHERE part_1 IS NOT NULL AND part_2 IS NOT NULL AND abs(part_1 + part_2 - score) > 0.001
+  UNION ALL SELECT 'single part is score', count(*) FROM rows WHERE document IN (SELECT document FROM both_parts) AND (part_1 IS NULL) <> (part_2 IS NULL) AND abs(coalesce(part_1, part_2) - score) > 0.001
+  UNION ALL SELECT 'above floor', count(*) FROM rows WHERE condition = 'INGRESO' AND floor_score IS NOT NULL AND score < floor_score - 0.001
+  UNION ALL SELECT 'score range', count(*) FROM rows WHERE score < 0 OR score > 2000
+  UNION ALL SELECT 'references', count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
+  SELECT rule, 'error' AS level, violations, CASE WHEN violations = 0 THEN 'ok' ELSE 'error' END AS state FROM r""")
+def quality_report(spark, d):
+    """Q1-Q3, Q7, Q11, D37"""
+    rows = _score_rows(spark, d)
+    orders = table(spark, d, "orders")
+    rules = [
+        quality.Rule("parts add up", quality.parts_add_up(rows)),
+        quality.Rule("single part is score", quality.single_part_is_score(rows)),
+        quality.Rule("above floor", quality.above_floor(rows)),
+        quality.Rule("score range", quality.score_range(rows)),
+        quality.Rule("references", joins.orphans(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), orders, "o_orderkey")),
+    ]
+    return quality.report(rules).drop("example")
+
+
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
+def event_windows(spark, d):
+    """Batch form of the streaming aggregate"""
+    counts = windowed_counts(table(spark, d, "events"))
+    return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+@query()
+def line_word_clusters(spark, d):
+    """Anchored clustering keeps state from row to row"""
+    part = table(spark, d, "part")
+    letters = part.select(F.col("p_brand").alias("document"), F.col("p_size").alias("page"), F.col("p_partkey").alias("n"), F.posexplode(F.split("p_name", "")).alias("at", "text"))
+    chars = letters.where("text <> ''").select(
+        "document",
+        "page",
+        (F.col("n") * 1000 + F.col("at")).alias("seq"),
+        "text",
+        (F.col("at") * 6.0 + F.when(F.col("at") > 6, 4.0).otherwise(0.0)).alias("x0"),
+        (F.col("at") * 6.0 + F.when(F.col("at") > 6, 4.0).otherwise(0.0) + 5.5).alias("x1"),
+        (F.col("n") * 1.5).alias("top"),
+    )
+    return layout.word_numbers(layout.line_numbers(chars)).groupBy("document", "page", "line_no", "word_no").agg(F.count(F.lit(1)).alias("n_chars"))
+
+
+@query()
+def payload(spark, d):
+    """One JSON object"""
+    apps = applications(spark, d)
+    summary = _summary(spark, d)
+    return serving.payload(
+        summary,
+        windows.yoy_delta(_counts(spark, d)),
+        _pivot(spark, d),
+        aggregates.outcome_pivot(aggregates.score_histogram(apps, 1000)),
+        aggregates.near_floor(apps, 1000.0),
+        _box(spark, d),
+        windows.sample_points(apps.where("admitted"), ("cycle", "program")),
+        _occupancy(spark, d).withColumn("program", F.upper("program")),
+        _areas(spark, d),
+    )
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
