@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from quarrystone.llm.common import materialise, table
 
-WORDS_BELOW, GRAMS_BELOW, SPARSE = 400, 200, 300
+WORDS_BELOW, GRAMS_BELOW, SPARSE = 800, 200, 300
 #: Cells for each unit of the two sketches in the first and in later attempts.
-CELLS, ATTEMPTS = (1.5, 3.2, 8.0), 3
+CELLS, ATTEMPTS = (1.6, 3.2, 8.0), 3
 STEPS = 12
 #: Documents up to which those to sketch again are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -68,7 +68,7 @@ def _cell(digest: Column, table_no: int, width: Column, seed: int) -> Column:
 def sketch_cells(df: DataFrame, keys: list[str], digests: str, cells: str, seed: int = 1) -> DataFrame:
     """The sketch of each row: its cells with count, digest and check (for other uses than the pairs here)."""
     width = F.greatest(F.lit(8), F.ceil(F.col(cells) / 3)).cast("long")
-    one = df.select(*keys, width.alias("_w"), F.explode(digests).alias("_d"))
+    one = df.select(*keys, width.alias("_w"), digests).select(*keys, "_w", F.explode(digests).alias("_d"))
     put = one.select(*keys, F.explode(F.array(*(_cell(F.col("_d"), j, F.col("_w"), seed) for j in range(3)))).alias("cell"), "_d")
     return put.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("_d").alias("digest"), F.bit_xor(_check(F.col("_d"))).alias("check"))
 
@@ -123,7 +123,7 @@ def _peel(rows: DataFrame, sub: int, seed: int) -> DataFrame:
         moves = [_entry(_cell(F.col(x), j, F.col("width"), seed), *values) for j in range(3)] + [_entry(F.lit(_TALLY), *tally)]
         out.append(F.when(pure, F.array(*moves)).otherwise(none))
     # most cells are not pure: they pass as they are
-    put = rows.select(*_KEY, "width", F.explode(F.concat(*out)).alias("e"))
+    put = rows.select(*_KEY, "width", F.concat(*out).alias("out")).select(*_KEY, "width", F.explode("out").alias("e"))
     return _gather(put.select(*_KEY, "width", "e.*"))
 
 
@@ -149,27 +149,30 @@ def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
     sizes = [F.size(c).cast("long") for c in ("own", "edited", "next")]
     width = F.greatest(F.lit(8), F.ceil((sizes[0] + F.greatest(sizes[1], sizes[2])) * factor / 3) + 6).cast("long")
     apart = lambda a, b: (F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))) if exact else F.lit(0)
-    tagged = F.concat(
-        F.transform("own", lambda d: F.struct(F.lit(1).alias("a"), F.lit(1).alias("b"), d.alias("d"))),
-        F.transform("edited", lambda d: F.struct(F.lit(-1).alias("a"), F.lit(0).alias("b"), d.alias("d"))),
-        F.transform("next", lambda d: F.struct(F.lit(0).alias("a"), F.lit(-1).alias("b"), d.alias("d"))),
-        F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).cast("long").alias("d"))),
-    )
     fold = lambda c, check: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(_check(x) if check else x))
     sha = [_long(F.substring("sha", 1 + 16 * k, 16)) for k in range(4)]
-    meta = F.array(
-        _entry(F.lit(_TALLY), 0, 0, 0, 0, 0, 0),
-        _entry(F.lit(_SHA), 0, sha[0], sha[1], 0, sha[2], sha[3]),
-        _entry(F.lit(_SIZE), F.col("n_chars"), sizes[2], apart("own", "edited"), 0, apart("own", "next"), 0),
-        _entry(F.lit(_ROOT), sizes[0], fold("own", False), fold("own", True), sizes[1], fold("edited", False), fold("edited", True)),
+    none = F.lit(None).cast("int")
+    unit = lambda a, b: lambda d: _entry(none, a, d, 0, b, 0, 0)
+    entries = F.concat(
+        F.transform("own", unit(1, 1)),
+        F.transform("edited", unit(-1, 0)),
+        F.transform("next", unit(0, -1)),
+        F.array(
+            _entry(F.lit(_TALLY), 0, 0, 0, 0, 0, 0),
+            _entry(F.lit(_SHA), 0, sha[0], sha[1], 0, sha[2], sha[3]),
+            _entry(F.lit(_SIZE), F.col("n_chars"), sizes[2], apart("own", "edited"), 0, apart("own", "next"), 0),
+            _entry(F.lit(_ROOT), sizes[0], fold("own", False), fold("own", True), sizes[1], fold("edited", False), fold("edited", True)),
+        ),
     )
-    rows = ready.select(*_KEY, width.alias("width"), meta.alias("meta"), F.explode(tagged).alias("u"))
-    d, a, b = F.col("u.d"), F.col("u.a"), F.col("u.b")
+    # what stands beside an explode is computed for each row it gives: so first the arrays, then the explode
+    ready = ready.select(*_KEY, width.alias("width"), entries.alias("entries"))
+    rows = ready.select(*_KEY, "width", F.explode("entries").alias("e"))
+    d, a, b = F.col("e.x1"), F.col("e.c1"), F.col("e.c2")
     zero = F.lit(0).cast("long")
     in_a, in_b = a != 0, b != 0
     values = (a, F.when(in_a, d).otherwise(zero), F.when(in_a, _check(d)).otherwise(zero), b, F.when(in_b, d).otherwise(zero), F.when(in_b, _check(d)).otherwise(zero))
-    puts = F.when(in_a | in_b, F.array(*(_entry(_cell(d, j, F.col("width"), seed), *values) for j in range(3)))).otherwise(F.col("meta"))
-    cells = _gather(rows.select(*_KEY, "width", F.explode(puts).alias("e")).select(*_KEY, "width", "e.*"))
+    puts = F.when(F.col("e.cell").isNull(), F.array(*(_entry(_cell(d, j, F.col("width"), seed), *values) for j in range(3)))).otherwise(F.array("e"))
+    cells = _gather(rows.select(*_KEY, "width", puts.alias("puts")).select(*_KEY, "width", F.explode("puts").alias("e")).select(*_KEY, "width", "e.*"))
     for step in range(STEPS):
         cells = _peel(cells, step % 3, seed)
     at = lambda cell, k: F.max(F.when(F.col("cell") == cell, F.col(k)))
