@@ -7,8 +7,11 @@ memory of a Python worker does not follow the size of a partition.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,29 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def tidy() -> None:
+    """Gives freed memory of this Python worker back: workers live on between tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and memory given back when its partition ends."""
+
+    @functools.wraps(run)
+    def tidied_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return tidied_run
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, with batches to Python no larger than ``BATCH_ROWS`` for the session from now on."""
     conf = df.sparkSession.conf

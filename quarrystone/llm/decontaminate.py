@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, small_batches, table, text_bytes, word_spans
+from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, small_batches, table, text_bytes, tidied, word_spans
 
 FEATURES = 1 << 15
 STEP = 16
@@ -153,7 +153,7 @@ def _document_frequency(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nda
         nz = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(nz, -1)), pa.array(np.append(count[nz], texts))], ["word", "n"])
 
-    found = docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    found = docs.select("text").mapInArrow(tidied(run), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     df, total = np.zeros(len(vocabulary), np.int64), 0
     for word, n in zip(found["word"].to_pylist(), found["n"].to_pylist()):
         if word < 0:
@@ -303,7 +303,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rank: int = 192, thresh
                         kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
                         yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(of)), *(pa.array(r, k) for r, k in zip(rest, kinds))], ["doc_id", "item_id", "similarity", "overlap", "answer", "start_word", "end_word"])
 
-        return docs.mapInArrow(run, SCHEMA)
+        return docs.mapInArrow(tidied(run), SCHEMA)
 
     parts = [pairs(s) for s in _searchers(docs, benchmark, rank, threshold, overlap, answer)]
     return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], SCHEMA)
@@ -323,7 +323,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, th
                     clean[[d for d, *_ in searcher.value.search(some.column(at))]] = False
                     yield some.filter(pa.array(clean))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(tidied(run), docs.schema)
     return out
 
 

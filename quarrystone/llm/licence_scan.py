@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, small_batches, table, text_bytes, word_spans
+from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, small_batches, table, text_bytes, tidied, word_spans
 
 # Phrases and the labels that their occurrence gives.
 PHRASES = {
@@ -220,7 +220,7 @@ def scan_licences(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, p
                 yield pa.RecordBatch.from_arrays([some.column(0), *(pa.array(got[k], t) for k, t in _ARROW)], [id_col, *(k for k, _ in _ARROW)])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return small_batches(df.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, {SCHEMA}")
+    return small_batches(df.select(id_col, text_col)).mapInArrow(tidied(run), f"`{id_col}` {kind}, {SCHEMA}")
 
 
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

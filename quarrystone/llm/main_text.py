@@ -23,7 +23,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm.common import small_batches, table
+from quarrystone.llm.common import small_batches, table, tidied
 
 # Element names of HTML by their part in a page.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -187,7 +187,7 @@ def extract_main_text(df: DataFrame, html_col: str = "html", keep: tuple[str, ..
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(texts, pa.string()), pa.array([*map(len, texts)], pa.int64())], [*keep, "text", "n_chars"])
 
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", text string, n_chars bigint"
-    return small_batches(df.select(*keep, html_col)).mapInArrow(run, schema)
+    return small_batches(df.select(*keep, html_col)).mapInArrow(tidied(run), schema)
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, word_spans
+from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, tidy, word_spans
 from quarrystone.llm.graph import connected_components
 
 SHINGLE = 5
@@ -142,7 +142,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)), pa.array(some_bands))
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(n), pa.array(digest[0]), pa.array(digest[1]), lists], ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
 
-    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, SIGNATURE)
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(tidied(run), SIGNATURE)
 
 
 def _forest(linked: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> list[tuple[int, int]]:
@@ -216,6 +216,8 @@ def _verify(percent: int):
                 pairs += links(s, off, rows, cols, percent)
         a = np.array([p for p, _ in pairs], np.int64)
         b = np.array([q for _, q in pairs], np.int64)
+        del s, parts, text, block
+        tidy()
         return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
 
     return run

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, word_spans
+from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, word_spans
 
 #: Bytes after which a clause ends, and which do not count in a word.
 ENDS = np.zeros(256, bool)
@@ -99,7 +99,7 @@ def _units(docs: DataFrame) -> DataFrame:
                 cols += [pa.array(u[k][keep].astype(np.int32)) for k in ("w0", "w1", "c0", "c1")]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "copy", "digest", "w0", "w1", "c0", "c1"])
 
-    return small_batches(docs.select("doc_id", F.xxhash64("text").alias("copy"), "text")).mapInArrow(run, "doc_id bigint, copy bigint, digest bigint, w0 int, w1 int, c0 int, c1 int")
+    return small_batches(docs.select("doc_id", F.xxhash64("text").alias("copy"), "text")).mapInArrow(tidied(run), "doc_id bigint, copy bigint, digest bigint, w0 int, w1 int, c0 int, c1 int")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 30, bridge: int = 6) -> DataFrame:

@@ -20,6 +20,7 @@ memory linear in its length.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm.common import small_batches, table
+from quarrystone.llm.common import small_batches, table, tidied
 
 MARK = "▁"
 #: Entries that a cache of a worker holds before its older half is dropped.
@@ -181,6 +182,11 @@ class PieceCodec:
         text = self._spell([i for i in ids if i in self.bytes_of or i in self.scores])
         return text[1:] if text[:1] == " " else text
 
+    def trim(self, keep: int = 40_000) -> None:
+        """Keeps the words met first, which are the common ones, for the next task."""
+        self.older = {}
+        self.words = dict(itertools.islice(self.words.items(), keep))
+
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids in decimal with commas, and SHA-256 of the decoded text."""
         if not text:
@@ -226,10 +232,11 @@ def encode_texts(df: DataFrame, model_file: str, id_col: str = "doc_id", text_co
                 arrays.append(pa.array(cols[3], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
+        c.trim()
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return small_batches(df.select(id_col, text_col)).mapInArrow(run, schema)
+    return small_batches(df.select(id_col, text_col)).mapInArrow(tidied(run), schema)
 
 
 def default_model() -> str:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, slices, small_batches, table, text_bytes, word_spans
+from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, slices, small_batches, table, text_bytes, tidied, word_spans
 
 DIM, BUCKETS, SHAPES, SIGNS = 48, 1 << 15, 32, 256
 WORD_BYTES = np.zeros(256, bool)
@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], [*out, "score", "predicted"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in out) + ", score double, predicted int"
-    return small_batches(docs.select(*columns)).mapInArrow(run, schema)
+    return small_batches(docs.select(*columns)).mapInArrow(tidied(run), schema)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ equal ``doc_id`` keep both documents; an empty table gives no segment.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import shared_dir, small_batches, table
+from quarrystone.llm.common import shared_dir, small_batches, table, tidied
 
 BLOCK = 128
 #: Ids after which a segment is closed.
@@ -241,6 +242,11 @@ class Encoder:
             self.older, self.words = self.words, {}
         return out
 
+    def trim(self, keep: int = 60_000) -> None:
+        """Keeps the units met first, which are the common ones, for the next task."""
+        self.older = {}
+        self.words = dict(itertools.islice(self.words.items(), keep))
+
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
@@ -287,12 +293,13 @@ def write_tokens(df: DataFrame, path: str, file: str, end_id: int = 2, id_col: s
                         names, counts, held, total, number = [], [], [], 0, number + 1
         if names:
             yield segment()
+        enc.trim()
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     (
         small_batches(rows).repartitionByRange(F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-        .mapInArrow(run, "part int, segment int, n_docs bigint, n_ids bigint, blob binary")
+        .mapInArrow(tidied(run), "part int, segment int, n_docs bigint, n_ids bigint, blob binary")
         .write.option("compression", "none")
         .parquet(path)
     )
@@ -327,7 +334,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
     NAMES = ["part", "segment", "doc_id", "begin", "n_tokens", "ids_crc32"]
     schema = "part int, segment int, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<bigint>" if with_ids else "")
-    docs = stored.select("part", "segment", "blob").mapInArrow(run, schema)
+    docs = stored.select("part", "segment", "blob").mapInArrow(tidied(run), schema)
     joined = docs.join(starts, ["part", "segment"])
     out = joined.select("doc_id", (F.col("begin") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
     return out
