@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quarrystone.llm.common import materialise, table
 
-WORDS_BELOW, GRAMS_BELOW, SPARSE = 800, 200, 300
+WORDS_BELOW, GRAMS_BELOW, SPARSE = 800, 48, 300
 #: Cells for each unit of the two sketches in the first and in later attempts.
 CELLS, ATTEMPTS = (1.6, 3.2, 8.0), 3
 STEPS = 12
@@ -43,17 +43,25 @@ _KEY = ["dk", "rid"]
 _NULL = -(1 << 63)
 
 
-def units(text: Column) -> Column:
-    """Digests of the units of a text."""
-    lines = F.split(text, r"\n|(?<=[.!?|*%&#$]) ", -1)
-    sparse = (F.char_length(text) < WORDS_BELOW) | (F.size(lines) * SPARSE < F.char_length(text))
-    words = F.when(sparse, F.split(text, r"[ \n]", -1)).otherwise(F.array().cast("array<string>"))
+#: A line break, or a space after a sign; the test of the character itself comes first.
+_ENDS = r"[ \n](?<=\n|[.!?|*%&#$] )"
+
+
+def with_units(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the digests of the units of ``text``.
+
+    Higher-order functions are interpreted, with all below them; so what is used more
+    than once (length, lines) is a column of its own first.
+    """
+    none = F.array().cast("array<string>")
+    step = df.withColumns({"_n": F.char_length(text), "_lines": F.split(text, _ENDS, -1)})
+    words = F.when((F.col("_n") < WORDS_BELOW) | (F.size("_lines") * SPARSE < F.col("_n")), F.split(text, r"[ \n]", -1)).otherwise(none)
     grams = F.when(
-        F.char_length(text).between(3, GRAMS_BELOW - 1),
-        F.transform(F.sequence(F.lit(1), F.char_length(text) - 2), lambda i: F.substr(text, i, F.lit(3))),
-    ).otherwise(F.array().cast("array<string>"))
-    every = F.filter(F.concat(lines, words, grams), lambda u: u != "")
-    return F.array_distinct(F.transform(every, lambda u: F.xxhash64(u)))
+        F.col("_n").between(3, GRAMS_BELOW - 1),
+        F.transform(F.sequence(F.lit(1), F.col("_n") - 2), lambda i: F.substr(F.col(text), i, F.lit(3))),
+    ).otherwise(none)
+    every = F.filter(F.concat("_lines", words, grams), lambda u: u != "")
+    return step.withColumn(out, F.array_distinct(F.transform(every, lambda u: F.xxhash64(u)))).drop("_n", "_lines")
 
 
 def _check(digest: Column) -> Column:
@@ -141,11 +149,12 @@ def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
     """A row for each document of ``link``'s predecessors: results of one attempt."""
     seed, factor, exact = attempt + 1, CELLS[attempt], attempt == ATTEMPTS - 1
     own = base.join(link.select(*_KEY, "half", "pred_dk", "pred_rid", "pred_half"), _KEY)
-    sent = own.select(F.col("pred_dk").alias("to_dk"), F.col("pred_rid").alias("to_rid"), F.expr("left(text, pred_half)").alias("prefix"), units(F.col("text")).alias("next"))
+    sent = with_units(own, "text", "next").select(F.col("pred_dk").alias("to_dk"), F.col("pred_rid").alias("to_rid"), F.expr("left(text, pred_half)").alias("prefix"), "next")
     both = own.select(*_KEY, "text", "half").join(sent, (F.col("dk") == F.col("to_dk")) & (F.col("rid") == F.col("to_rid")))
-    edited = F.concat(F.expr("left(text, char_length(text) - half)"), F.col("prefix"))
-    ready = both.select(*_KEY, "text", "next", edited.alias("edited"))
-    ready = ready.select(*_KEY, F.char_length("text").alias("n_chars"), F.sha2("edited", 256).alias("sha"), units(F.col("text")).alias("own"), units(F.col("edited")).alias("edited"), "next")
+    edited = F.concat(F.expr("left(text, n_chars - half)"), F.col("prefix"))
+    ready = both.withColumn("n_chars", F.char_length("text")).select(*_KEY, "text", "next", "n_chars", edited.alias("edited_text"))
+    ready = ready.withColumn("sha", F.sha2("edited_text", 256))
+    ready = with_units(with_units(ready, "text", "own"), "edited_text", "edited").select(*_KEY, "n_chars", "sha", "own", "edited", "next")
     sizes = [F.size(c).cast("long") for c in ("own", "edited", "next")]
     width = F.greatest(F.lit(8), F.ceil((sizes[0] + F.greatest(sizes[1], sizes[2])) * factor / 3) + 6).cast("long")
     apart = lambda a, b: (F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))) if exact else F.lit(0)
