@@ -33,7 +33,7 @@ from quarrystone.llm.common import small_batches, table, tidied
 
 MARK = "▁"
 #: Entries that a cache of a worker holds before its older half is dropped.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 130_000
 
 
 class PieceCodec:
@@ -61,8 +61,9 @@ class PieceCodec:
                 self.automaton.add_word(p, (i, len(p), i << 20))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[str, int, str]] = {}
-        self.older: dict[str, tuple[str, int, str]] = {}
+        self.words: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.odd: dict[str, str] = {}
 
     def _merge(self, text: str) -> list[int]:
         """The merges by definition, for single pieces and pairs of pieces: the best
@@ -84,7 +85,7 @@ class PieceCodec:
         key = left << 20 | right
         ok = self.pairs.get(key)
         if ok is None:
-            if len(self.pairs) > 2 * CACHE_ENTRIES:
+            if len(self.pairs) > CACHE_ENTRIES:
                 self.pairs.clear()
             ok = self.pairs[key] = self._merge(self.pieces[left] + self.pieces[right]) == [left, right]
         return ok
@@ -134,7 +135,9 @@ class PieceCodec:
             return text[1:].split(MARK) if not text.endswith(MARK) else re.findall(f"{MARK}+[^{MARK}]*", text)
         return re.findall(f"{MARK}+[^{MARK}]*", text)
 
-    def _entry(self, unit: str) -> tuple[str, int, str]:
+    def _entry(self, unit: str) -> str:
+        """Ids of a unit in decimal with commas.  Units that decode to anything but
+        themselves are noted in ``odd``."""
         found = self.older.get(unit)
         if found is None:
             full = unit if unit[:1] == MARK else MARK + unit
@@ -144,7 +147,9 @@ class PieceCodec:
             else:
                 ids = self._unit(full)
                 text = self._spell(ids)
-            found = (",".join([self.decimal[i] for i in ids]), len(ids), text)
+            if text != full.replace(MARK, " "):
+                self.odd[unit] = text
+            found = ",".join([self.decimal[i] for i in ids])
         if len(self.words) >= CACHE_ENTRIES:
             self.older, self.words = self.words, {}
         if len(unit) <= 64:
@@ -171,20 +176,16 @@ class PieceCodec:
         """Ids of a text as the library gives them without begin or end ids."""
         if not text:
             return []
-        return [int(i) for e in map(self._lookup, self._units(text)) for i in e[0].split(",")]
-
-    def _lookup(self, unit: str) -> tuple[str, int, str]:
-        found = self.words.get(unit)
-        return self._entry(unit) if found is None else found
+        return [int(i) for u in self._units(text) for i in (self.words.get(u) or self._entry(u)).split(",")]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space that encoding puts first goes."""
         text = self._spell([i for i in ids if i in self.bytes_of or i in self.scores])
         return text[1:] if text[:1] == " " else text
 
-    def trim(self, keep: int = 40_000) -> None:
+    def trim(self, keep: int = 80_000) -> None:
         """Keeps the words met first, which are the common ones, for the next task."""
-        self.older = {}
+        self.older, self.odd = {}, {}
         self.words = dict(itertools.islice(self.words.items(), keep))
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
@@ -195,8 +196,11 @@ class PieceCodec:
         found = [*map(self.words.get, units)]
         if None in found:
             found = [self._entry(u) if f is None else f for u, f in zip(units, found)]
-        ids, counts, texts = zip(*found)
-        return sum(counts), hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256("".join(texts)[1:].encode()).hexdigest()
+        ids = ",".join(found)
+        spelled = [u.replace(MARK, " ") if u[:1] == MARK else " " + u for u in units]
+        if self.odd:
+            spelled = [self.odd.get(u, t) for u, t in zip(units, spelled)]
+        return ids.count(",") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256("".join(spelled)[1:].encode()).hexdigest()
 
 
 _CODECS: dict[str, PieceCodec] = {}
