@@ -69,7 +69,8 @@ def connected_components(spark: SparkSession, pairs: DataFrame) -> DataFrame:
     edges = pairs.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root"), F.lit(True).alias("live"))
     edges = materialise(spark, edges.mapInArrow(_contract, kind))
     while True:
-        best = edges.groupBy("node").agg(F.min("root").alias("up"))
+        # written, so that a root with very many nodes is a key that a join can split
+        best = materialise(spark, edges.groupBy("node").agg(F.min("root").alias("up")))
         up = best.select(F.col("node").alias("via"), F.col("up").alias("top"))
         jump = best.join(up, F.col("up") == F.col("via"), "left").select("node", F.coalesce("top", "up").alias("root"), F.col("top").isNotNull().alias("live"))
         hook = edges.join(best, "node").where("root != up").select(F.col("root").alias("node"), F.col("up").alias("root"), F.lit(True).alias("live"))

@@ -230,10 +230,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     sig = materialise(spark, signatures(docs))
     key = ["n_shingles", "set_a", "set_b"]
     named = sig.where("doc_id is not null")
-    classes = named.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
+    classes = materialise(spark, named.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")))
     reps = named.join(classes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
     cells = materialise(spark, reps.select("doc_id", F.explode("bands").alias("cell")))
-    leads = cells.groupBy("cell").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # written before they are joined: a join of two plain shuffles can have its large keys split
+    leads = materialise(spark, cells.groupBy("cell").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     ties = cells.join(leads, "cell").where("doc_id != lead").select("doc_id", "lead")
     found = connected_components(spark, ties)
     roots = found.select(F.col("root").alias("node"), "root").distinct()
@@ -258,7 +259,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     blocks = docs.join(dealt, "doc_id").select("doc_id", "text", "comp", "big", F.explode("to").alias("t")).select("doc_id", "text", "comp", "big", "t.*")
     pairs = blocks.groupBy("big", "p", "q").applyInArrow(_verify(percent), "a bigint, b bigint")
     joined = connected_components(spark, pairs)
-    top = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("component_id"))
+    top = materialise(spark, classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("component_id")))
     return (
         sig.select("doc_id", *key)
         .join(top, key, "left")

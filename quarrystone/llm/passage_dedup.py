@@ -108,7 +108,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 30, bridge: int = 6) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = materialise(spark, _units(docs))
     place = F.struct("doc_id", "copy", "w0")
-    firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # written before they are joined: a join of two plain shuffles can have its large keys split
+    firsts = materialise(spark, found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     repeats = found.join(firsts, "digest").where(place != F.col("first")).select("doc_id", "copy", "w0", "w1", "c0", "c1", F.col("first.doc_id").alias("first_doc_id"))
     text = Window.partitionBy("doc_id", "copy").orderBy("w0")
     apart = F.col("w0") - F.lag("w1").over(text)
