@@ -3,16 +3,15 @@
 A text is a set of units: its lines, cut further at ends of sentences and after signs,
 with the words of short texts (below ``WORDS_BELOW`` characters) and of those with few
 ends (``SPARSE`` characters for each), and the three-character strings of the shortest
-(below ``GRAMS_BELOW``).  Each unit's 64-bit digest is put into one cell of each of three
-sub-tables; a cell keeps a count, the XOR of its digests and the XOR of their check
-sums.  Sketches subtract cell by cell, so common units cancel; peeling then recovers
+(below ``GRAMS_BELOW``).  Each unit's 64-bit digest (40 bits of hash, 24 that check them) is put into one cell of
+each of three sub-tables; a cell keeps a count and the XOR of its digests.  Sketches subtract cell by cell, so common units cancel; peeling then recovers
 the digests of the difference: a cell whose count is 1 or -1 and whose check fits
 holds one digest, which is taken out of its other cells too.  Sub-tables are peeled in
 turn, so no digest is taken twice in a step.  Where peeling ends with cells left, the
 document is sketched again with a larger table and other cells.
 
-The fingerprint column is the root of the sketch (all cells in one: number of units,
-XOR of digests, XOR of checks).  The likeness of two is one less the share of the
+The fingerprint column is the root of the sketch (all cells in one: number of units
+and XOR of digests).  The likeness of two is one less the share of the
 units in their difference.
 
 Rows stay dealt by document from the join of neighbours on, so cells are aggregated
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quarrystone.llm.common import materialise, table
 
-WORDS_BELOW, GRAMS_BELOW, SPARSE = 800, 48, 300
+WORDS_BELOW, GRAMS_BELOW, SPARSE = 600, 48, 300
 #: Cells for each unit of the two sketches in the first and in later attempts.
 CELLS, ATTEMPTS = (1.6, 3.2, 8.0), 3
 STEPS = 12
@@ -60,12 +59,23 @@ def with_units(df: DataFrame, text: str, out: str) -> DataFrame:
         F.col("_n").between(3, GRAMS_BELOW - 1),
         F.transform(F.sequence(F.lit(1), F.col("_n") - 2), lambda i: F.substr(F.col(text), i, F.lit(3))),
     ).otherwise(none)
-    every = F.filter(F.concat("_lines", words, grams), lambda u: u != "")
-    return step.withColumn(out, F.array_distinct(F.transform(every, lambda u: F.xxhash64(u)))).drop("_n", "_lines")
+    every = F.array_remove(F.concat("_lines", words, grams), "")
+    return step.withColumn(out, F.array_distinct(F.transform(every, _digest))).drop("_n", "_lines")
 
 
-def _check(digest: Column) -> Column:
-    return F.xxhash64(digest, F.lit(77))
+def _digest(unit: Column) -> Column:
+    """40 bits of a unit's hash, and below them 24 bits that check them."""
+    high = F.shiftrightunsigned(F.xxhash64(unit), 24)
+    return F.shiftleft(high, 24).bitwiseOR(_check(high))
+
+
+def _check(high: Column) -> Column:
+    return F.xxhash64(high, F.lit(77)).bitwiseAND(F.lit(0xFFFFFF).cast("long"))
+
+
+def _fits(digest: Column) -> Column:
+    """Whether a cell's XOR can be one digest."""
+    return digest.bitwiseAND(F.lit(0xFFFFFF).cast("long")) == _check(F.shiftrightunsigned(digest, 24))
 
 
 def _cell(digest: Column, table_no: int, width: Column, seed: int) -> Column:
@@ -74,11 +84,11 @@ def _cell(digest: Column, table_no: int, width: Column, seed: int) -> Column:
 
 
 def sketch_cells(df: DataFrame, keys: list[str], digests: str, cells: str, seed: int = 1) -> DataFrame:
-    """The sketch of each row: its cells with count, digest and check (for other uses than the pairs here)."""
+    """The sketch of each row: its cells with count and digest (for other uses than the pairs here)."""
     width = F.greatest(F.lit(8), F.ceil(F.col(cells) / 3)).cast("long")
     one = df.select(*keys, width.alias("_w"), digests).select(*keys, "_w", F.explode(digests).alias("_d"))
     put = one.select(*keys, F.explode(F.array(*(_cell(F.col("_d"), j, F.col("_w"), seed) for j in range(3)))).alias("cell"), "_d")
-    return put.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("_d").alias("digest"), F.bit_xor(_check(F.col("_d"))).alias("check"))
+    return put.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("_d").alias("digest"))
 
 
 def _neighbours(base: DataFrame) -> tuple[DataFrame, bool]:
@@ -103,9 +113,10 @@ def _neighbours(base: DataFrame) -> tuple[DataFrame, bool]:
     return link, any(e["copies"] > 1 for e in ends)
 
 
-_LONGS = ("c1", "x1", "h1", "c2", "x2", "h2")
-#: Cells below 0 carry what goes along: recovered counts, SHA-256, root cells, sizes.
-_TALLY, _SHA, _ROOT, _SIZE = -1, -2, -3, -4
+_LONGS = ("c1", "x1", "c2", "x2")
+#: Cells below 0 carry what goes along: recovered counts, SHA-256 in two, root cells, sizes, exact differences.
+_TALLY, _SHA, _SHA2, _ROOT, _SIZE, _EXACT = -1, -2, -3, -4, -5, -6
+_META = (_TALLY, _SHA, _SHA2, _ROOT, _SIZE, _EXACT)
 
 
 def _entry(cell: Column, *values: Column | int) -> Column:
@@ -121,17 +132,19 @@ def _gather(rows: DataFrame) -> DataFrame:
 def _peel(rows: DataFrame, sub: int, seed: int) -> DataFrame:
     """Takes what the pure cells of one sub-table hold out of all cells."""
     mine = (F.col("cell") >= 0) & (F.col("cell") % 3 == sub)
-    out = [F.array(_entry(F.col("cell"), *(F.col(k) for k in _LONGS)))]
-    none = F.array().cast("array<struct<cell:int,c1:bigint,x1:bigint,h1:bigint,c2:bigint,x2:bigint,h2:bigint>>")
-    for c, x, h, first in (("c1", "x1", "h1", True), ("c2", "x2", "h2", False)):
-        pure = mine & (F.abs(c) == 1) & (_check(F.col(x)) == F.col(h))
-        taken = (-F.col(c), F.col(x), F.col(h))
-        values = (*taken, 0, 0, 0) if first else (0, 0, 0, *taken)
-        tally = (1, 0, 0, 0, 0, 0) if first else (0, 0, 0, 1, 0, 0)
+    own = F.array(_entry(F.col("cell"), *(F.col(k) for k in _LONGS)))
+    none = F.array().cast("array<struct<cell:int,c1:bigint,x1:bigint,c2:bigint,x2:bigint>>")
+    tests, taken = [], []
+    for c, x, first in (("c1", "x1", True), ("c2", "x2", False)):
+        pure = mine & (F.abs(c) == 1) & _fits(F.col(x)) & (_cell(F.col(x), sub, F.col("width"), seed) == F.col("cell"))
+        values = (-F.col(c), F.col(x), 0, 0) if first else (0, 0, -F.col(c), F.col(x))
+        tally = (1, 0, 0, 0) if first else (0, 0, 1, 0)
         moves = [_entry(_cell(F.col(x), j, F.col("width"), seed), *values) for j in range(3)] + [_entry(F.lit(_TALLY), *tally)]
-        out.append(F.when(pure, F.array(*moves)).otherwise(none))
+        tests.append(pure)
+        taken.append(F.when(pure, F.array(*moves)).otherwise(none))
     # most cells are not pure: they pass as they are
-    put = rows.select(*_KEY, "width", F.concat(*out).alias("out")).select(*_KEY, "width", F.explode("out").alias("e"))
+    out = F.when(tests[0] | tests[1], F.concat(own, *taken)).otherwise(own)
+    put = rows.select(*_KEY, "width", out.alias("out")).select(*_KEY, "width", F.explode("out").alias("e"))
     return _gather(put.select(*_KEY, "width", "e.*"))
 
 
@@ -158,39 +171,51 @@ def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
     sizes = [F.size(c).cast("long") for c in ("own", "edited", "next")]
     width = F.greatest(F.lit(8), F.ceil((sizes[0] + F.greatest(sizes[1], sizes[2])) * factor / 3) + 6).cast("long")
     apart = lambda a, b: (F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))) if exact else F.lit(0)
-    fold = lambda c, check: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(_check(x) if check else x))
-    sha = [_long(F.substring("sha", 1 + 16 * k, 16)) for k in range(4)]
-    none = F.lit(None).cast("int")
-    unit = lambda a, b: lambda d: _entry(none, a, d, 0, b, 0, 0)
-    entries = F.concat(
-        F.transform("own", unit(1, 1)),
-        F.transform("edited", unit(-1, 0)),
-        F.transform("next", unit(0, -1)),
-        F.array(
-            _entry(F.lit(_TALLY), 0, 0, 0, 0, 0, 0),
-            _entry(F.lit(_SHA), 0, sha[0], sha[1], 0, sha[2], sha[3]),
-            _entry(F.lit(_SIZE), F.col("n_chars"), sizes[2], apart("own", "edited"), 0, apart("own", "next"), 0),
-            _entry(F.lit(_ROOT), sizes[0], fold("own", False), fold("own", True), sizes[1], fold("edited", False), fold("edited", True)),
-        ),
-    )
-    # what stands beside an explode is computed for each row it gives: so first the arrays, then the explode
-    ready = ready.select(*_KEY, width.alias("width"), entries.alias("entries"))
-    rows = ready.select(*_KEY, "width", F.explode("entries").alias("e"))
-    d, a, b = F.col("e.x1"), F.col("e.c1"), F.col("e.c2")
+    fold = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x))
     zero = F.lit(0).cast("long")
-    in_a, in_b = a != 0, b != 0
-    values = (a, F.when(in_a, d).otherwise(zero), F.when(in_a, _check(d)).otherwise(zero), b, F.when(in_b, d).otherwise(zero), F.when(in_b, _check(d)).otherwise(zero))
-    puts = F.when(F.col("e.cell").isNull(), F.array(*(_entry(_cell(d, j, F.col("width"), seed), *values) for j in range(3)))).otherwise(F.array("e"))
+    # what stands beside an explode is computed for each row it gives: so first all columns, then the explode
+    ready = ready.select(
+        *_KEY,
+        width.alias("width"),
+        F.col("n_chars").cast("long").alias("n_chars"),
+        *(n.alias(k) for n, k in zip(sizes, ("n0", "n1", "n2"))),
+        *(_long(F.substring("sha", 1 + 16 * k, 16)).alias(f"s{k}") for k in range(4)),
+        fold("own").alias("r0"),
+        fold("edited").alias("r1"),
+        apart("own", "edited").cast("long").alias("a1"),
+        apart("own", "next").cast("long").alias("a2"),
+        F.concat("own", "edited", "next", F.array(*[zero] * len(_META))).alias("digests"),
+    )
+    carried = [c for c in ready.columns if c != "digests"]
+    rows = ready.select(*carried, F.posexplode("digests").alias("pos", "d"))
+    # by its place a digest is the text's own, the edited text's, the next text's, or stands for what goes along
+    at, d = F.col("pos"), F.col("d")
+    own, edited_ = at < F.col("n0"), at < F.col("n0") + F.col("n1")
+    c1 = F.when(own, 1).when(edited_, -1).otherwise(0)
+    c2 = F.when(own, 1).when(edited_, 0).otherwise(-1)
+    values = (c1, F.when(c1 != 0, d).otherwise(zero), c2, F.when(c2 != 0, d).otherwise(zero))
+    past = at - (F.col("n0") + F.col("n1") + F.col("n2"))
+    col = F.col
+    along = [
+        _entry(F.lit(_TALLY), 0, 0, 0, 0),
+        _entry(F.lit(_SHA), 0, col("s0"), 0, col("s1")),
+        _entry(F.lit(_SHA2), 0, col("s2"), 0, col("s3")),
+        _entry(F.lit(_ROOT), col("n0"), col("r0"), col("n1"), col("r1")),
+        _entry(F.lit(_SIZE), col("n_chars"), 0, col("n2"), 0),
+        _entry(F.lit(_EXACT), col("a1"), 0, col("a2"), 0),
+    ]
+    puts = F.when(past < 0, F.array(*(_entry(_cell(d, j, F.col("width"), seed), *values) for j in range(3))))
+    for k, e in enumerate(along):
+        puts = puts.when(past == k, F.array(e))
     cells = _gather(rows.select(*_KEY, "width", puts.alias("puts")).select(*_KEY, "width", F.explode("puts").alias("e")).select(*_KEY, "width", "e.*"))
     for step in range(STEPS):
         cells = _peel(cells, step % 3, seed)
     at = lambda cell, k: F.max(F.when(F.col("cell") == cell, F.col(k)))
-    left = lambda k: F.max(F.when((F.col("cell") >= 0) & ((F.col(f"c{k}") != 0) | (F.col(f"x{k}") != 0) | (F.col(f"h{k}") != 0)), 1).otherwise(0))
+    left = lambda k: F.max(F.when((F.col("cell") >= 0) & ((F.col(f"c{k}") != 0) | (F.col(f"x{k}") != 0)), 1).otherwise(0))
     out = cells.groupBy(*_KEY).agg(
-        at(_SIZE, "c1").alias("n_chars"), at(_SIZE, "x1").alias("n_next"), at(_SIZE, "h1").alias("exact1"), at(_SIZE, "x2").alias("exact2"),
-        at(_SHA, "x1").alias("s0"), at(_SHA, "h1").alias("s1"), at(_SHA, "x2").alias("s2"), at(_SHA, "h2").alias("s3"),
-        at(_ROOT, "c1").alias("n_own"), at(_ROOT, "x1").alias("own_x"), at(_ROOT, "h1").alias("own_h"),
-        at(_ROOT, "c2").alias("n_edited"), at(_ROOT, "x2").alias("edited_x"), at(_ROOT, "h2").alias("edited_h"),
+        at(_SIZE, "c1").alias("n_chars"), at(_SIZE, "c2").alias("n_next"), at(_EXACT, "c1").alias("exact1"), at(_EXACT, "c2").alias("exact2"),
+        at(_SHA, "x1").alias("s0"), at(_SHA, "x2").alias("s1"), at(_SHA2, "x1").alias("s2"), at(_SHA2, "x2").alias("s3"),
+        at(_ROOT, "c1").alias("n_own"), at(_ROOT, "x1").alias("own_x"), at(_ROOT, "c2").alias("n_edited"), at(_ROOT, "x2").alias("edited_x"),
         at(_TALLY, "c1").alias("d1"), at(_TALLY, "c2").alias("d2"), left(1).alias("left1"), left(2).alias("left2"),
     )
     if exact:
@@ -224,15 +249,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         some = F.broadcast(some) if n <= BROADCAST_ROWS else some
         part, todo = single.join(some, _KEY, "left_semi"), link.join(some, _KEY, "left_semi")
     every = reduce(DataFrame.unionByName, done)
-    root = lambda n, x, h: F.concat_ws(":", F.col(n).cast("string"), _hex(F.col(x)), _hex(F.col(h)))
+    root = lambda n, x: F.concat_ws(":", F.col(n).cast("string"), _hex(F.col(x)))
     like = lambda d, other: F.when(F.col("n_own") + F.col(other) == 0, F.lit(1.0)).otherwise(1 - F.col(d) / (F.col("n_own") + F.col(other)))
     out = every.select(
         *_KEY,
         F.when(F.col("dk") != _NULL, F.col("dk")).alias("doc_id"),
         F.col("n_chars").cast("long").alias("n_chars"),
         F.concat(*(_hex(F.col(f"s{k}")) for k in range(4))).alias("edited_sha256"),
-        root("n_own", "own_x", "own_h").alias("fingerprint"),
-        root("n_edited", "edited_x", "edited_h").alias("edited_fingerprint"),
+        root("n_own", "own_x").alias("fingerprint"),
+        root("n_edited", "edited_x").alias("edited_fingerprint"),
         like("d1", "n_edited").alias("near_edited"),
         like("d2", "n_next").alias("near_next"),
         "attempts",
