@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import shared_dir, small_batches, table, tidied
+from quarrystone.llm.common import hash_words, shared_dir, slices, small_batches, table, text_bytes, tidied
 
 BLOCK = 128
 #: Ids after which a segment is closed.
@@ -187,67 +187,130 @@ def read_segment(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
 
 class Encoder:
     """Ids by the tokenizers library.  A byte-level pre-tokenizer always cuts before a
-    space, or around a line break, between two other characters.  So texts are cut
-    there, and the library sees each distinct unit once for as long as a cache of
-    bounded size keeps it.  A text with any other white space beside a cut, or with
-    what may be a special token, goes to the library whole.
-
-    Keys of units: a tab stands before the first of a text, a line break before the
-    first of another line; any other follows a space that its key leaves out.
+    single space, and around a single line break, between two characters that are no
+    white space.  Texts are cut there (nowhere else), a slice of texts at a time; equal
+    units of a slice are found by their hashes, and the library sees each distinct unit
+    once for as long as a cache of bounded size keeps it.
     """
 
-    #: Units in each half of the cache, and their longest length.
-    LIMIT, LONGEST = 250_000, 18
+    #: Units in each half of the cache.
+    LIMIT = 500_000
+    #: Units that the library sees in one text.
+    JOIN = 128
 
     def __init__(self, file: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(file)
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.end = np.array([end_id], "<u4").tobytes()
+        # a byte-level vocabulary writes each byte as one character
+        self.bytes_of = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size())], np.int64)
+
+    def _each(self, units: list[bytes]) -> list[bytes]:
+        texts = [u.decode("utf-8", "surrogatepass") for u in units]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ask(self, units: list[bytes]) -> list[bytes]:
+        """Ids of units from the library.  Units that begin as at a sure cut are encoded
+        many in one text; the bytes of the ids tell where each unit ends."""
+        joined = [k for k, u in enumerate(units) if len(u) > 1 and (u[0] == 32 or u[0] == 10) and not _SPACE_LIST[u[1]]]
+        groups = [joined[k : k + self.JOIN] for k in range(0, len(joined), self.JOIN)]
+        texts = [b"".join([units[k] for k in g]).decode("utf-8", "surrogatepass") for g in groups]
+        out: list[bytes | None] = [None] * len(units)
+        for g, e in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([len(units[k]) for k in g])
+            done = np.cumsum(self.bytes_of[ids])
+            cut = np.searchsorted(done, ends)
+            if len(ids) and cut[-1] < len(ids) and (done[cut] == ends).all():
+                raw, at = ids.tobytes(), [0, *((cut + 1) * 4).tolist()]
+                for k, x, y in zip(g, at, at[1:]):
+                    out[k] = raw[x:y]
+        alone = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(alone, self._each([units[k] for k in alone])):
+            out[k] = ids
+        return out
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of new units; a unit that is no sure cut has none."""
-        older = self.older
-        got = {u: older[u] for u in new.intersection(older)}
-        ask = []
-        for u in new.difference(got):
-            core = u[1:] if u[:1] in ("\t", "\n") else u
-            if core and core.strip() == core and "<|" not in core:
-                ask.append(u)
-        got.update(zip(ask, self._ids([u[1:] if u[0] == "\t" else u if u[0] == "\n" else " " + u for u in ask])))
-        longest = self.LONGEST
-        self.words.update((u, i) for u, i in got.items() if len(u) <= longest)
-        return got
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text with the end id."""
-        get = self.words.get
-        cut = [("\t" + t.replace("\n", " \n")).split(" ") if t and "\t" not in t else None for t in texts]
-        found = [[*map(get, units)] if units else None for units in cut]
-        new = {u for units, ids in zip(cut, found) if units and None in ids for u, i in zip(units, ids) if i is None}
-        got = self._learn(new)
-        out = []
-        for t, units, ids in zip(texts, cut, found):
-            if ids and None in ids:
-                ids = [got.get(u) if i is None else i for u, i in zip(units, ids)]
-            whole = not ids or None in ids
-            out.append((self._ids([t])[0] if whole and t else b"" if whole else b"".join(ids)) + self.end)
+    def _learn(self, units: list[bytes]) -> list[bytes]:
+        """Ids of distinct units as little-endian 32-bit numbers."""
+        found = [*map(self.words.get, units)]
+        lost = [k for k, ids in enumerate(found) if ids is None]
+        older, ask = self.older, []
+        for k in lost:
+            if (ids := older.get(units[k])) is None:
+                ask.append(k)
+            else:
+                found[k] = ids
+        for k, ids in zip(ask, self._ask([units[k] for k in ask])):
+            found[k] = ids
+        self.words.update(zip([units[k] for k in lost], [found[k] for k in lost]))
         if len(self.words) > self.LIMIT:
             self.older, self.words = self.words, {}
-        return out
+        return found
+
+    def encode_column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, each text followed by the end id, and how many each has."""
+        data, off = text_bytes(col)
+        docs = len(col)
+        starts = _cuts(data, off)
+        ends = np.append(starts[1:], len(data))
+        doc = np.searchsorted(off[1:], starts, side="right")
+        h = hash_words(data, starts, ends)
+        order = np.argsort(h)
+        new = np.ones(len(h), bool)
+        new[1:] = h[order][1:] != h[order][:-1]
+        first, inverse = order[new], np.empty(len(h), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        raw = data.tobytes()
+        found = self._learn([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+        found.append(self.end)
+        size = np.array([*map(len, found)], np.int64) // 4
+        begin = np.cumsum(size) - size
+        # the end id is one more unit after the last of each text
+        units = np.insert(inverse, np.searchsorted(doc, np.arange(docs), side="right"), len(found) - 1)
+        owner = np.insert(doc, np.searchsorted(doc, np.arange(docs), side="right"), np.arange(docs))
+        n = size[units]
+        pool = np.frombuffer(b"".join(found), "<u4")
+        place = np.repeat(begin[units] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return pool[place], np.bincount(owner, weights=n, minlength=docs).astype(np.int64)
 
-    def trim(self, keep: int = 60_000) -> None:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The same for a list of texts, as bytes of each."""
+        ids, counts = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts) * 4
+        return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def trim(self, keep: int = 300_000) -> None:
         """Keeps the units met first, which are the common ones, for the next task."""
         self.older = {}
         self.words = dict(itertools.islice(self.words.items(), keep))
 
 
+#: Bytes that may be, or be part of, white space: control signs and space, and the first
+#: bytes of the characters beyond ASCII that are.
+_SPACE_FIRST = np.zeros(256, bool)
+_SPACE_FIRST[:33] = _SPACE_FIRST[127] = True
+_SPACE_FIRST[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_SPACE_LIST = _SPACE_FIRST.tolist()
+
+
+def _cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where units begin: each text that has any, and the sure cuts within texts."""
+    at = np.flatnonzero((data == 32) | (data == 10))
+    at = at[(at > 2) & (at < len(data) - 1)]
+    before, after = data[at - 1], data[at + 1]
+    plain = (before > 32) & (before < 127)
+    # a character of two or three bytes before: not if it may be white space
+    wide = (before >= 128) & (data[at - 2] != 0xC2) & ~np.isin(data[at - 3], (0xE1, 0xE2, 0xE3))
+    sure = (plain | wide) & ~_SPACE_FIRST[after]
+    # not at the ends of texts
+    sure &= ~np.isin(at, off) & ~np.isin(at + 1, off)
+    begins = off[:-1][np.diff(off) > 0]
+    return np.sort(np.concatenate([begins, at[sure]]))
+
+
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
@@ -270,27 +333,26 @@ def write_tokens(df: DataFrame, path: str, file: str, end_id: int = 2, id_col: s
         enc, part = encoder(file, end_id), TaskContext.get().partitionId()
         names: list[int | None] = []
         counts: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         total, number = 0, 0
 
         def segment() -> pa.RecordBatch:
-            blob = write_segment(names, counts, np.frombuffer(b"".join(held), "<u4"))
+            blob = write_segment(names, counts, np.concatenate(held))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(names)], pa.int64()), pa.array([total], pa.int64()), pa.array([blob], pa.binary())],
                 ["part", "segment", "n_docs", "n_ids", "blob"],
             )
 
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                some = b.slice(at, 256)
-                for d, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
-                    names.append(d)
-                    counts.append(len(ids) // 4)
-                    held.append(ids)
-                    total += counts[-1]
-                    if total >= SEGMENT_IDS:
-                        yield segment()
-                        names, counts, held, total, number = [], [], [], 0, number + 1
+            for some in slices(b, "text"):
+                ids, n = enc.encode_column(some.column(1))
+                names += some.column(0).to_pylist()
+                counts += n.tolist()
+                held.append(ids)
+                total += len(ids)
+                if total >= SEGMENT_IDS:
+                    yield segment()
+                    names, counts, held, total, number = [], [], [], 0, number + 1
         if names:
             yield segment()
         enc.trim()
