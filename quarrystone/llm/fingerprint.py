@@ -25,6 +25,8 @@ own next; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -161,9 +163,10 @@ def _hex(number: Column) -> Column:
 def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
     """A row for each document of ``link``'s predecessors: results of one attempt."""
     seed, factor, exact = attempt + 1, CELLS[attempt], attempt == ATTEMPTS - 1
-    own = base.join(link.select(*_KEY, "half", "pred_dk", "pred_rid", "pred_half"), _KEY)
+    # hashed joins: no sort holds memory that the aggregates of the same tasks need
+    own = base.join(link.select(*_KEY, "half", "pred_dk", "pred_rid", "pred_half").hint("shuffle_hash"), _KEY)
     sent = with_units(own, "text", "next").select(F.col("pred_dk").alias("to_dk"), F.col("pred_rid").alias("to_rid"), F.expr("left(text, pred_half)").alias("prefix"), "next")
-    both = own.select(*_KEY, "text", "half").join(sent, (F.col("dk") == F.col("to_dk")) & (F.col("rid") == F.col("to_rid")))
+    both = own.select(*_KEY, "text", "half").join(sent.hint("shuffle_hash"), (F.col("dk") == F.col("to_dk")) & (F.col("rid") == F.col("to_rid")))
     edited = F.concat(F.expr("left(text, n_chars - half)"), F.col("prefix"))
     ready = both.withColumn("n_chars", F.char_length("text")).select(*_KEY, "text", "next", "n_chars", edited.alias("edited_text"))
     ready = ready.withColumn("sha", F.sha2("edited_text", 256))
@@ -225,6 +228,19 @@ def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
     return out.drop("exact1", "exact2").withColumn("attempts", F.lit(attempt + 1))
 
 
+@contextlib.contextmanager
+def _one_level_maps(spark: SparkSession) -> Iterator[None]:
+    """Aggregates without the small map before the large one: a chain of them in a task
+    would hold two pages each."""
+    key = "spark.sql.codegen.aggregate.map.twolevel.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was) if was is not None else spark.conf.unset(key)
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited text, and their likenesses."""
     spark = docs.sparkSession
@@ -235,7 +251,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     single = base.dropDuplicates(_KEY) if copies else base
     todo, part, wanted, done = link, single, None, []
     for attempt in range(ATTEMPTS):
-        got = materialise(spark, _pairs(part, todo, attempt))
+        with _one_level_maps(spark):
+            got = materialise(spark, _pairs(part, todo, attempt))
         if wanted is not None:
             got = got.join(wanted, _KEY, "left_semi")
         done.append(got.where("left1 + left2 = 0"))
