@@ -33,7 +33,7 @@ from quarrystone.llm.common import small_batches, table, tidied
 
 MARK = "▁"
 #: Entries that a cache of a worker holds before its older half is dropped.
-CACHE_ENTRIES = 130_000
+CACHE_ENTRIES = 220_000
 
 
 class PieceCodec:
@@ -183,7 +183,7 @@ class PieceCodec:
         text = self._spell([i for i in ids if i in self.bytes_of or i in self.scores])
         return text[1:] if text[:1] == " " else text
 
-    def trim(self, keep: int = 80_000) -> None:
+    def trim(self, keep: int = 180_000) -> None:
         """Keeps the words met first, which are the common ones, for the next task."""
         self.older, self.odd = {}, {}
         self.words = dict(itertools.islice(self.words.items(), keep))
