@@ -115,7 +115,9 @@ _BITS = np.array([v.bit_length() for v in range(1 << 16)], np.uint8)
 
 
 def unpack(words: np.ndarray, offsets: np.ndarray, escaped: np.ndarray, n_ids: int) -> np.ndarray:
-    out = np.zeros(len(escaped) * BLOCK + 128, np.uint64)
+    # room after each block for what a last word holds beyond its end
+    wide = BLOCK + 120
+    out = np.zeros(len(escaped) * wide, np.uint64)
     block_of = np.repeat(np.arange(len(escaped)), np.diff(offsets.astype(np.int64)))
     plain = np.flatnonzero(escaped[block_of] == 0)
     sel = (words[plain] >> np.uint64(60)).astype(np.int64)
@@ -125,18 +127,18 @@ def unpack(words: np.ndarray, offsets: np.ndarray, escaped: np.ndarray, n_ids: i
     base = np.zeros(len(escaped), np.int64)
     whole = np.flatnonzero(escaped == 0)
     base[whole] = before[start_word[whole]]
-    at = before - base[block_of[plain]] + block_of[plain] * BLOCK
+    at = before - base[block_of[plain]] + block_of[plain] * wide
     for s, (count, bits) in enumerate(SELECTORS):
         of = np.flatnonzero(sel == s) if s else np.zeros(0, np.int64)
         if not len(of) or not bits:
             continue
-        w, to, end = words[plain[of]], at[of], (block_of[plain[of]] + 1) * BLOCK
+        w, to = words[plain[of]], at[of]
         mask = np.uint64((1 << bits) - 1)
         for j in range(count):
-            inside = to + j < end
-            out[to[inside] + j] = (w[inside] >> np.uint64(j * bits)) & mask
+            out[to + j] = (w >> np.uint64(j * bits)) & mask
     for b in np.flatnonzero(escaped):
-        k, to, end = int(offsets[b]), b * BLOCK, min((b + 1) * BLOCK, n_ids)
+        k, to = int(offsets[b]), b * wide
+        end = to + min(BLOCK, n_ids - b * BLOCK)
         while to < end:
             w = int(words[k])
             s = w >> 60
@@ -147,7 +149,7 @@ def unpack(words: np.ndarray, offsets: np.ndarray, escaped: np.ndarray, n_ids: i
                 for j in range(min(count, end - to)):
                     out[to + j] = (w >> (j * bits)) & ((1 << bits) - 1)
             to, k = to + count, k + 1
-    return out[:n_ids]
+    return out.reshape(len(escaped), wide)[:, :BLOCK].ravel()[:n_ids]
 
 
 def write_segment(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
@@ -194,7 +196,7 @@ class Encoder:
     """
 
     #: Units in each half of the cache.
-    LIMIT = 500_000
+    LIMIT = 650_000
     #: Units that the library sees in one text.
     JOIN = 128
 
@@ -282,7 +284,7 @@ class Encoder:
         raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts) * 4
         return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
-    def trim(self, keep: int = 300_000) -> None:
+    def trim(self, keep: int = 600_000) -> None:
         """Keeps the units met first, which are the common ones, for the next task."""
         self.older = {}
         self.words = dict(itertools.islice(self.words.items(), keep))
