@@ -196,7 +196,7 @@ class Encoder:
     """
 
     #: Units in each half of the cache.
-    LIMIT = 650_000
+    LIMIT = 500_000
     #: Units that the library sees in one text.
     JOIN = 128
 
@@ -284,7 +284,7 @@ class Encoder:
         raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts) * 4
         return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
-    def trim(self, keep: int = 600_000) -> None:
+    def trim(self, keep: int = 300_000) -> None:
         """Keeps the units met first, which are the common ones, for the next task."""
         self.older = {}
         self.words = dict(itertools.islice(self.words.items(), keep))
