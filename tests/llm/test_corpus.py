@@ -180,6 +180,20 @@ def test_passage_put_into_a_line_is_found(spark):
     assert [(r.doc_id, r.first_doc_id) for r in got] == [(2, 1)]
 
 
+def test_passage_without_marks_is_found_to_its_ends(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 9)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], set()
+    for k, n in enumerate([30, 31, 40, 52, 60, 80, 52, 29]):
+        passage, before = some(n), some(rng.randint(5, 40))
+        rows += [(3 * k, f"{some(12)} {passage} {some(9)}"), (3 * k + 1, some(70)), (3 * k + 2, f"{before} {passage.upper()}, é {some(20)}")]
+        if n >= 30:
+            want.add((3 * k + 2, len(before) + 1, len(before) + 2 + len(passage), n, 3 * k))
+    found = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.doc_id, r.start, r.end, r.n_words, r.first_doc_id) for r in found.collect()} == want
+
+
 def test_passages_of_edge_rows(edge, none):
     got = passage_dedup.repeated_passages(edge)
     assert got.where("doc_id in (5, 1, 2, 3)").count() == 0
