@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from quarrystone.llm import decontaminate, near_dup, piece_bpe, quality, secret_scan
 from quarrystone.llm.common import materialise, table
 
+#: Least Jaccard similarity in % at which word shingles make two documents near duplicates here.
+NEAR_PERCENT = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Ids up to which those to leave out are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -29,9 +31,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One document of each group of near duplicates (``NEAR_PERCENT`` or more): the one with the smallest id."""
     docs = docs.select(*COLUMNS)
-    found = materialise(spark, near_dup.near_duplicates(docs))
+    found = materialise(spark, near_dup.near_duplicates(docs, NEAR_PERCENT))
     gone = found.where("not kept").select("doc_id").distinct()
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     out = docs.join(gone, "doc_id", "left_anti")

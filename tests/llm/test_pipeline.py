@@ -36,6 +36,15 @@ def test_stages_take_edge_rows(spark, edge, none, small, pipeline):
     assert kept.count(8) == 1 and 9 not in kept and kept.count(None) == 1 and kept.count(10) == 1
 
 
+def test_near_copies_between_80_and_85_percent_go(spark, small, pipeline):
+    words = [f"w{k}" for k in range(104)]
+    edited = ["other" if k in (30, 60) else w for k, w in enumerate(words)]  # 90 of 110 shingles: 0.82
+    far = ["other" if k in (20, 40, 60) else w for k, w in enumerate(words)]  # 85 of 115: 0.74
+    rows = [(k, " ".join(w), "en", "s", 0) for k, w in enumerate([words, edited])] + [(7, " ".join(x + "f" for x in words), "en", "s", 0), (8, " ".join(x + "f" for x in far), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r.doc_id for r in pipeline.keep_one_of_near(spark, docs, small).collect()) == [0, 7, 8]
+
+
 def test_registry_names():
     names = list(registry.queries())
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
