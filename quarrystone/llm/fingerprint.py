@@ -1,9 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text is a set of units: its lines, cut further at ends of sentences and after signs,
-with the words of short texts (below ``WORDS_BELOW`` characters) and of those with few
-ends (``SPARSE`` characters for each), and the three-character strings of the shortest
-(below ``GRAMS_BELOW``).  Each unit's 64-bit digest (40 bits of hash, 24 that check them) is put into one cell of
+A text is a set of units, by one rule for every text, so that any two texts compare: its
+lines, cut further at ends of sentences and after signs, and its words.
+Each unit's 64-bit digest (40 bits of hash, 24 that check them) is put into one cell of
 each of three sub-tables; a cell keeps a count and the XOR of its digests.  Sketches subtract cell by cell, so common units cancel; peeling then recovers
 the digests of the difference: a cell whose count is 1 or -1 and whose check fits
 holds one digest, which is taken out of its other cells too.  Sub-tables are peeled in
@@ -34,7 +33,9 @@ from pyspark.sql import functions as F
 
 from quarrystone.llm.common import materialise, table
 
-WORDS_BELOW, GRAMS_BELOW, SPARSE = 600, 48, 300
+#: Words are units of texts of any length, three-character strings of none: a kind that
+#: depends on a text's own length would differ between the two sides of a comparison.
+WORDS_BELOW, GRAMS_BELOW, SPARSE = float("inf"), 0, 300
 #: Cells for each unit of the two sketches in the first and in later attempts.
 CELLS, ATTEMPTS = (1.6, 3.2, 8.0), 3
 STEPS = 12
@@ -52,17 +53,11 @@ def with_units(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the digests of the units of ``text``.
 
     Higher-order functions are interpreted, with all below them; so what is used more
-    than once (length, lines) is a column of its own first.
+    than once is a column of its own first.
     """
-    none = F.array().cast("array<string>")
-    step = df.withColumns({"_n": F.char_length(text), "_lines": F.split(text, _ENDS, -1)})
-    words = F.when((F.col("_n") < WORDS_BELOW) | (F.size("_lines") * SPARSE < F.col("_n")), F.split(text, r"[ \n]", -1)).otherwise(none)
-    grams = F.when(
-        F.col("_n").between(3, GRAMS_BELOW - 1),
-        F.transform(F.sequence(F.lit(1), F.col("_n") - 2), lambda i: F.substr(F.col(text), i, F.lit(3))),
-    ).otherwise(none)
-    every = F.array_remove(F.concat("_lines", words, grams), "")
-    return step.withColumn(out, F.array_distinct(F.transform(every, _digest))).drop("_n", "_lines")
+    step = df.withColumn("_lines", F.split(text, _ENDS, -1))
+    every = F.array_remove(F.concat("_lines", F.split(text, r"[ \n]", -1)), "")
+    return step.withColumn(out, F.array_distinct(F.transform(every, _digest))).drop("_lines")
 
 
 def _digest(unit: Column) -> Column:

@@ -90,6 +90,19 @@ def test_fingerprints_of_a_table(spark, small):
     assert len(prints) == len(set(texts.values())) == len({r.fingerprint for r in got})
 
 
+def test_units_do_not_depend_on_length(spark):
+    rows = []
+    for n in (36, 47, 48, 60, 590, 600, 611, 5000):
+        words = " ".join(f"u{n}x{k}" for k in range(n))[:n]
+        rows.append((words, words[: len(words) - 2]))
+        lines = ". ".join(f"line {n} number {k} of a text" for k in range(n))[:n]
+        rows.append((lines, lines[: len(lines) - 2]))
+    df = spark.createDataFrame(rows, "a string, b string")
+    for r in fingerprint.with_units(fingerprint.with_units(df, "a", "ua"), "b", "ub").collect():
+        assert likeness(set(r.ua), set(r.ub)) >= 0.5, r.a
+        assert len(r.a) < 500 or likeness(set(r.ua), set(r.ub)) > 0.9
+
+
 def test_small_tables_are_sketched_again(spark, monkeypatch):
     monkeypatch.setattr(fingerprint, "CELLS", (0.4, 0.8, 1.6))
     rows = [(k, ". ".join(f"unit {k} {j}" for j in range(90))) for k in range(6)]
