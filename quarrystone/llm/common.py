@@ -28,9 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors share."""
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share.
+
+    Where it is unset, a session whose driver is its only machine uses its warehouse; any other raises.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -74,6 +80,15 @@ def materialise(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*written: DataFrame) -> None:
+    """Deletes tables of ``materialise`` that nothing reads any more."""
+    for df in written:
+        jvm, context = df.sparkSession._jvm, df.sparkSession._jsc
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of ``batch`` whose ``column`` holds about ``limit`` bytes each."""
     if not batch.num_rows:

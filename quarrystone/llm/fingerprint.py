@@ -1,91 +1,242 @@
 """Document fingerprints: invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text is a set of units, by one rule for every text, so that any two texts compare: its
-lines, cut further at ends of sentences and after signs, and its words.
-Each unit's 64-bit digest (40 bits of hash, 24 that check them) is put into one cell of
-each of three sub-tables; a cell keeps a count and the XOR of its digests.  Sketches subtract cell by cell, so common units cancel; peeling then recovers
-the digests of the difference: a cell whose count is 1 or -1 and whose check fits
-holds one digest, which is taken out of its other cells too.  Sub-tables are peeled in
-turn, so no digest is taken twice in a step.  Where peeling ends with cells left, the
-document is sketched again with a larger table and other cells.
-
-The fingerprint column is the root of the sketch (all cells in one: number of units
-and XOR of digests).  The likeness of two is one less the share of the
-units in their difference.
+A text is a set of units, by one rule for every text, so that any two texts compare: it
+is cut at line breaks, and within a line at white space after a sign or after a word
+that ends in one of a few letters, so that an edit changes the units it touches and no
+others.  A unit's 64-bit digest holds 34 bits of hash, the unit's length, and 16 bits
+that check both, so what peeling recovers says how much text differs.
+
+A sketch puts each digest into one cell of each of three sub-tables; a cell keeps a
+count and the XOR of its digests.  Sketches subtract cell by cell, so common units
+cancel; peeling then recovers the digests of the difference: a cell whose count is 1 or
+-1 and whose check fits holds one digest, which is taken out of its other cells too.
+Sub-tables are peeled in turn, so no digest is taken twice in a step.  The likeness of
+two sketches is one less the share of text in units of their difference.
+
+The ``fingerprint`` column is such a sketch in ``SMALL`` cells for each sub-table, behind
+a digest of the whole text; ``difference`` subtracts and peels two of them.  It recovers
+differences of up to about 16 units.  Where more may differ (here: half of a text), the
+sketches of both sides are made larger, by the number of units, and where peeling ends
+with cells left they are made again, twice as large and with other cells, until none fails.
 
 Rows stay dealt by document from the join of neighbours on, so cells are aggregated
 and peeled without any further shuffle.
 
-Cases: null text is empty; two empty texts have likeness 1; ids in ascending order,
-null first; equal ids are ordered by a digest of their texts; repeated rows (same id
-and text) count once as neighbours and all get the result; a single document is its
-own next; an empty table gives an empty result.
+Cases: null text is empty; two empty texts have likeness 1; a unit that a text repeats
+counts once; very long texts have as many units as they need and very long units count
+as ``LONGEST`` code points; ids in ascending order, null first; equal ids are ordered by a
+digest of their texts; repeated rows (same id and text) count once as neighbours and all
+get the result; a single document is its own next; further columns of the input are
+ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import materialise, table
+from quarrystone.llm.common import discard, materialise, table
 
-#: Words are units of texts of any length, three-character strings of none: a kind that
-#: depends on a text's own length would differ between the two sides of a comparison.
-WORDS_BELOW, GRAMS_BELOW, SPARSE = float("inf"), 0, 300
-#: Cells for each unit of the two sketches in the first and in later attempts.
-CELLS, ATTEMPTS = (1.6, 3.2, 8.0), 3
-STEPS = 12
+#: Cells for each unit of the two sketches in the first attempt; each later one doubles them.
+CELLS = 3
+#: Further cells of each sub-table, and peeling steps of an attempt.
+SPARE, STEPS = 12, 7
+#: Cells of each sub-table of the fingerprint column.
+SMALL = 8
+#: Code points that a unit counts as at most (14 bits of a digest).
+LONGEST = (1 << 14) - 1
 #: Documents up to which those to sketch again are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 _KEY = ["dk", "rid"]
 _NULL = -(1 << 63)
+_TALLY = -1
 
+# Where a unit ends within a line: at white space after these, or after signs of scripts without it.
+_ENDS = r"[ \t\r\n](?<=\n|[.!?,;:|*%&#$)ogyаоя][ \t\r])|(?<=[。！？；，、])"
 
-#: A line break, or a space after a sign; the test of the character itself comes first.
-_ENDS = r"[ \n](?<=\n|[.!?|*%&#$] )"
 
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
 
-def with_units(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the digests of the units of ``text``.
 
-    Higher-order functions are interpreted, with all below them; so what is used more
-    than once is a column of its own first.
-    """
-    step = df.withColumn("_lines", F.split(text, _ENDS, -1))
-    every = F.array_remove(F.concat("_lines", F.split(text, r"[ \n]", -1)), "")
-    return step.withColumn(out, F.array_distinct(F.transform(every, _digest))).drop("_lines")
+def units(text: Column) -> Column:
+    """Digests of the distinct units of a text."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(text, _ENDS, -1), ""), _digest))
 
 
 def _digest(unit: Column) -> Column:
-    """40 bits of a unit's hash, and below them 24 bits that check them."""
-    high = F.shiftrightunsigned(F.xxhash64(unit), 24)
-    return F.shiftleft(high, 24).bitwiseOR(_check(high))
+    size = F.least(F.char_length(unit), F.lit(LONGEST)).cast("long")
+    high = F.shiftleft(F.shiftrightunsigned(F.xxhash64(unit), 30), 14).bitwiseOR(size)
+    return F.shiftleft(high, 16).bitwiseOR(_check(high))
 
 
 def _check(high: Column) -> Column:
-    return F.xxhash64(high, F.lit(77)).bitwiseAND(F.lit(0xFFFFFF).cast("long"))
+    return F.xxhash64(high).bitwiseAND(_long(0xFFFF))
 
 
 def _fits(digest: Column) -> Column:
     """Whether a cell's XOR can be one digest."""
-    return digest.bitwiseAND(F.lit(0xFFFFFF).cast("long")) == _check(F.shiftrightunsigned(digest, 24))
+    return digest.bitwiseAND(_long(0xFFFF)) == _check(F.shiftrightunsigned(digest, 16))
+
+
+def length_of(digest: Column) -> Column:
+    """Code points of the unit that a digest stands for."""
+    return F.shiftrightunsigned(digest, 16).bitwiseAND(_long(LONGEST))
+
+
+def text_of(digests: Column) -> Column:
+    """Code points of all units of an array of digests."""
+    return F.aggregate(digests, _long(0), lambda acc, d: acc + length_of(d))
+
+
+# ---- sketches of few cells, as a value -----------------------------------------------------
+
+
+def _slot(digest: Column, sub: int) -> Column:
+    return F.shiftrightunsigned(digest, 30 + 3 * sub).bitwiseAND(_long(SMALL - 1))
+
+
+def small_sketch(digests: Column) -> Column:
+    """Array of ``3 * SMALL`` cells (n, digest): those of sub-table 0, then 1, then 2."""
+
+    def cell(sub: int, slot: int) -> Column:
+        own = F.filter(digests, lambda d: _slot(d, sub) == slot)
+        return F.aggregate(
+            own,
+            F.struct(_long(0).alias("n"), _long(0).alias("digest")),
+            lambda acc, d: F.struct((acc["n"] + 1).alias("n"), acc["digest"].bitwiseXOR(d).alias("digest")),
+        )
+
+    return F.array(*(cell(sub, slot) for sub in range(3) for slot in range(SMALL)))
+
+
+def written(text: Column, sketch: Column) -> Column:
+    """A fingerprint: digest of the text, then count and XOR of each cell, in hexadecimal digits."""
+    cells = F.transform(sketch, lambda c: F.concat(F.lpad(F.hex(c["n"]), 6, "0"), F.lpad(F.hex(c["digest"]), 16, "0")))
+    return F.lower(F.concat(F.lpad(F.hex(F.xxhash64(text)), 16, "0"), F.lit(":"), F.array_join(cells, "")))
+
 
+def read_sketch(fingerprint: Column) -> Column:
+    """The cells that a fingerprint holds."""
+    # to base -10: a signed number
+    number = lambda at, size: F.conv(F.substr(fingerprint, at, F.lit(size)), 16, -10).cast("long")
+    cells = F.sequence(F.lit(0), F.lit(3 * SMALL - 1))
+    return F.transform(cells, lambda k: F.struct(number(18 + 22 * k, 6).alias("n"), number(24 + 22 * k, 16).alias("digest")))
 
-def _cell(digest: Column, table_no: int, width: Column, seed: int) -> Column:
-    """The cell of a digest in a sub-table: numbers 0, 3, 6, ... of sub-table 0, and so on."""
-    return (F.pmod(F.xxhash64(digest, F.lit(1000 * seed + table_no)), width) * 3 + table_no).cast("int")
 
+def difference(a: Column, b: Column) -> Column:
+    """Of two fingerprints: struct(complete, only_a, only_b), the digests that only one holds.
+
+    ``complete`` is false where more units differ than the cells can give back.
+    """
+    cell = lambda n, d: F.struct(n.alias("n"), d.alias("digest"))
+    start = F.zip_with(read_sketch(a), read_sketch(b), lambda x, y: cell(x["n"] - y["n"], x["digest"].bitwiseXOR(y["digest"])))
+    none = F.array().cast("array<bigint>")
+
+    def step(state: Column, number: Column) -> Column:
+        sub = number % 3
+        at = lambda d, s: F.when(s == 0, _slot(d, 0)).when(s == 1, _slot(d, 1)).otherwise(_slot(d, 2)) + s * SMALL
+        pure = F.filter(state["cells"], lambda c, i: (F.floor(i / SMALL) == sub) & (F.abs(c["n"]) == 1) & _fits(c["digest"]) & (at(c["digest"], sub) == i))
+        cells = F.transform(
+            state["cells"],
+            lambda c, i: F.aggregate(
+                F.filter(pure, lambda p: at(p["digest"], F.floor(i / SMALL)) == i),
+                c,
+                lambda acc, p: cell(acc["n"] - p["n"], acc["digest"].bitwiseXOR(p["digest"])),
+            ),
+        )
+        got = lambda sign: F.transform(F.filter(pure, lambda p: p["n"] == sign), lambda p: p["digest"])
+        return F.struct(cells.alias("cells"), F.concat(state["only_a"], got(1)).alias("only_a"), F.concat(state["only_b"], got(-1)).alias("only_b"))
+
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(11)),
+        F.struct(start.alias("cells"), none.alias("only_a"), none.alias("only_b")),
+        step,
+        lambda s: F.struct((~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["digest"] != 0))).alias("complete"), s["only_a"].alias("only_a"), s["only_b"].alias("only_b")),
+    )
+
+
+# ---- sketches of any size, a row for each cell that is not empty ---------------------------
+
+
+def _cell(digest: Column, sub: int, width: Column, seed: int) -> Column:
+    """The cell of a digest in a sub-table of ``width`` cells; the number holds the width too."""
+    return F.shiftleft(width, 32).bitwiseOR(F.pmod(F.xxhash64(digest, F.lit(1000 * seed + sub)), width) * 3 + sub)
+
+
+def _width(cell: Column) -> Column:
+    return F.shiftright(cell, 32)
+
+
+def _sub(cell: Column) -> Column:
+    return cell.bitwiseAND(_long(0xFFFFFFFF)) % 3
+
+
+_VALUES = ("c1", "x1", "c2", "x2")
+
+
+def _gather(rows: DataFrame) -> DataFrame:
+    aggs = [F.sum(k).alias(k) if k[0] == "c" else F.bit_xor(k).alias(k) for k in _VALUES]
+    return rows.groupBy(*_KEY, "cell").agg(*aggs).where("c1 != 0 or x1 != 0 or c2 != 0 or x2 != 0")
 
-def sketch_cells(df: DataFrame, keys: list[str], digests: str, cells: str, seed: int = 1) -> DataFrame:
-    """The sketch of each row: its cells with count and digest (for other uses than the pairs here)."""
-    width = F.greatest(F.lit(8), F.ceil(F.col(cells) / 3)).cast("long")
-    one = df.select(*keys, width.alias("_w"), digests).select(*keys, "_w", F.explode(digests).alias("_d"))
-    put = one.select(*keys, F.explode(F.array(*(_cell(F.col("_d"), j, F.col("_w"), seed) for j in range(3)))).alias("cell"), "_d")
-    return put.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("_d").alias("digest"))
+
+def subtracted(rows: DataFrame, seed: int) -> DataFrame:
+    """The cells of two differences: own less edited (c1, x1), own less next (c2, x2).
+
+    ``rows`` have the document's key, ``width`` and the digests of the three texts.
+    """
+    put = rows.select(*_KEY, "width", F.size("own").alias("n0"), (F.size("own") + F.size("edited")).alias("n1"), F.posexplode(F.concat("own", "edited", "next")).alias("at", "d"))
+    own, edited = F.col("at") < F.col("n0"), F.col("at") < F.col("n1")
+    c1 = F.when(own, 1).when(edited, -1).otherwise(0).cast("long")
+    c2 = F.when(own, 1).when(edited, 0).otherwise(-1).cast("long")
+    put = put.select(*_KEY, "width", "d", c1.alias("c1"), c2.alias("c2"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("sub"))
+    cell = F.when(F.col("sub") == 0, _cell(F.col("d"), 0, F.col("width"), seed)).when(F.col("sub") == 1, _cell(F.col("d"), 1, F.col("width"), seed)).otherwise(_cell(F.col("d"), 2, F.col("width"), seed))
+    held = lambda c: F.when(F.col(c) != 0, F.col("d")).otherwise(_long(0))
+    return _gather(put.select(*_KEY, cell.alias("cell"), "c1", held("c1").alias("x1"), "c2", held("c2").alias("x2")))
+
+
+def peeled(cells: DataFrame, sub: int, seed: int) -> DataFrame:
+    """Takes what the pure cells of one sub-table hold out of all cells.
+
+    A cell that is not pure passes as it is; for a pure one rows are made by number:
+    0 what the cell keeps, 1 and 2 the first difference's digest in the other
+    sub-tables (with the second's, where it is the same), 3 and 4 the second's, 5 the tally.
+    """
+    col = F.col
+    mine = (_sub(col("cell")) == sub) & (col("cell") >= 0)
+    pure = lambda c, x: mine & (F.abs(c) == 1) & _fits(col(x)) & (_cell(col(x), sub, _width(col("cell")), seed) == col("cell"))
+    marked = cells.select(*_KEY, "cell", *_VALUES, pure("c1", "x1").alias("p1"), pure("c2", "x2").alias("p2"))
+    p1, p2 = col("p1"), col("p2")
+    same = p1 & p2 & (col("x1") == col("x2"))
+    numbers = lambda *k: F.array(*(F.lit(v) for v in k))
+    codes = (
+        F.when(~p1 & ~p2, numbers(0))
+        .when(same, numbers(1, 2, 5))
+        .when(p1 & p2, numbers(1, 2, 3, 4, 5))
+        .when(p1, F.when((col("c2") == 0) & (col("x2") == 0), numbers(1, 2, 5)).otherwise(numbers(0, 1, 2, 5)))
+        .otherwise(F.when((col("c1") == 0) & (col("x1") == 0), numbers(3, 4, 5)).otherwise(numbers(0, 3, 4, 5)))
+    )
+    put = marked.select(*_KEY, "cell", *_VALUES, "p1", "p2", same.alias("same"), F.explode(codes).alias("k"))
+    k, width = col("k"), _width(col("cell"))
+    other = [j for j in range(3) if j != sub]
+    first, second = k.isin(1, 2), k.isin(3, 4)
+    digest = F.when(first, col("x1")).otherwise(col("x2"))
+    cell = F.when(k == 0, col("cell")).when(k == 5, _long(_TALLY)).when(k.isin(1, 3), _cell(digest, other[0], width, seed)).otherwise(_cell(digest, other[1], width, seed))
+    kept = lambda p, v: F.when(col(p), _long(0)).otherwise(col(v))
+    size = lambda p, x: F.when(col(p), length_of(col(x))).otherwise(_long(0))
+    none = _long(0)
+    values = [
+        F.when(k == 0, kept("p1", "c1")).when(first, -col("c1")).when(k == 5, size("p1", "x1")).otherwise(none).alias("c1"),
+        F.when(k == 0, kept("p1", "x1")).when(first, col("x1")).otherwise(none).alias("x1"),
+        F.when(k == 0, kept("p2", "c2")).when(second | (first & col("same")), -col("c2")).when(k == 5, size("p2", "x2")).otherwise(none).alias("c2"),
+        F.when(k == 0, kept("p2", "x2")).when(second | (first & col("same")), col("x2")).otherwise(none).alias("x2"),
+    ]
+    return _gather(put.select(*_KEY, cell.alias("cell"), *values))
+
+
+# ---- documents, their edited texts and the next ones ---------------------------------------
 
 
 def _neighbours(base: DataFrame) -> tuple[DataFrame, bool]:
@@ -107,133 +258,52 @@ def _neighbours(base: DataFrame) -> tuple[DataFrame, bool]:
         F.col("dk").alias("pred_dk"), F.col("rid").alias("pred_rid"), F.floor(F.col("n") / 2).cast("int").alias("pred_half"), F.coalesce("low", F.col("seq") + 1).alias("seq")
     )
     link = to.join(row.select(*_KEY, F.floor(F.col("n") / 2).cast("int").alias("half"), "seq"), "seq").drop("seq")
+    link = materialise(spark, link)
+    discard(row)
     return link, any(e["copies"] > 1 for e in ends)
 
 
-_LONGS = ("c1", "x1", "c2", "x2")
-#: Cells below 0 carry what goes along: recovered counts, SHA-256 in two, root cells, sizes, exact differences.
-_TALLY, _SHA, _SHA2, _ROOT, _SIZE, _EXACT = -1, -2, -3, -4, -5, -6
-_META = (_TALLY, _SHA, _SHA2, _ROOT, _SIZE, _EXACT)
-
-
-def _entry(cell: Column, *values: Column | int) -> Column:
-    return F.struct(cell.cast("int").alias("cell"), *(F.lit(v).cast("long").alias(k) if isinstance(v, int) else v.cast("long").alias(k) for k, v in zip(_LONGS, values)))
-
-
-def _gather(rows: DataFrame) -> DataFrame:
-    aggs = [F.sum(k).alias(k) if k[0] == "c" else F.bit_xor(k).alias(k) for k in _LONGS]
-    summed = rows.groupBy(*_KEY, "width", "cell").agg(*aggs)
-    return summed.where(F.col("cell").between(-9, -1) | reduce(lambda a, b: a | b, (F.col(k) != 0 for k in _LONGS)))
-
-
-def _peel(rows: DataFrame, sub: int, seed: int) -> DataFrame:
-    """Takes what the pure cells of one sub-table hold out of all cells."""
-    mine = (F.col("cell") >= 0) & (F.col("cell") % 3 == sub)
-    own = F.array(_entry(F.col("cell"), *(F.col(k) for k in _LONGS)))
-    none = F.array().cast("array<struct<cell:int,c1:bigint,x1:bigint,c2:bigint,x2:bigint>>")
-    tests, taken = [], []
-    for c, x, first in (("c1", "x1", True), ("c2", "x2", False)):
-        pure = mine & (F.abs(c) == 1) & _fits(F.col(x)) & (_cell(F.col(x), sub, F.col("width"), seed) == F.col("cell"))
-        values = (-F.col(c), F.col(x), 0, 0) if first else (0, 0, -F.col(c), F.col(x))
-        tally = (1, 0, 0, 0) if first else (0, 0, 1, 0)
-        moves = [_entry(_cell(F.col(x), j, F.col("width"), seed), *values) for j in range(3)] + [_entry(F.lit(_TALLY), *tally)]
-        tests.append(pure)
-        taken.append(F.when(pure, F.array(*moves)).otherwise(none))
-    # most cells are not pure: they pass as they are
-    out = F.when(tests[0] | tests[1], F.concat(own, *taken)).otherwise(own)
-    put = rows.select(*_KEY, "width", out.alias("out")).select(*_KEY, "width", F.explode("out").alias("e"))
-    return _gather(put.select(*_KEY, "width", "e.*"))
-
-
-def _long(hex16: Column) -> Column:
-    """16 hexadecimal digits as a signed 64-bit number."""
-    part = lambda at: F.conv(F.substring(hex16, at, 8), 16, 10).cast("long")
-    return F.shiftleft(part(1), 32).bitwiseOR(part(9))
-
-
-def _hex(number: Column) -> Column:
-    return F.lower(F.lpad(F.hex(number), 16, "0"))
-
-
 def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
     """A row for each document of ``link``'s predecessors: results of one attempt."""
-    seed, factor, exact = attempt + 1, CELLS[attempt], attempt == ATTEMPTS - 1
+    seed = attempt + 1
     # hashed joins: no sort holds memory that the aggregates of the same tasks need
     own = base.join(link.select(*_KEY, "half", "pred_dk", "pred_rid", "pred_half").hint("shuffle_hash"), _KEY)
-    sent = with_units(own, "text", "next").select(F.col("pred_dk").alias("to_dk"), F.col("pred_rid").alias("to_rid"), F.expr("left(text, pred_half)").alias("prefix"), "next")
+    sent = own.select(F.col("pred_dk").alias("to_dk"), F.col("pred_rid").alias("to_rid"), F.expr("left(text, pred_half)").alias("prefix"), units(F.col("text")).alias("next"))
     both = own.select(*_KEY, "text", "half").join(sent.hint("shuffle_hash"), (F.col("dk") == F.col("to_dk")) & (F.col("rid") == F.col("to_rid")))
-    edited = F.concat(F.expr("left(text, n_chars - half)"), F.col("prefix"))
-    ready = both.withColumn("n_chars", F.char_length("text")).select(*_KEY, "text", "next", "n_chars", edited.alias("edited_text"))
-    ready = ready.withColumn("sha", F.sha2("edited_text", 256))
-    ready = with_units(with_units(ready, "text", "own"), "edited_text", "edited").select(*_KEY, "n_chars", "sha", "own", "edited", "next")
-    sizes = [F.size(c).cast("long") for c in ("own", "edited", "next")]
-    width = F.greatest(F.lit(8), F.ceil((sizes[0] + F.greatest(sizes[1], sizes[2])) * factor / 3) + 6).cast("long")
-    apart = lambda a, b: (F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))) if exact else F.lit(0)
-    fold = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x))
-    zero = F.lit(0).cast("long")
-    # what stands beside an explode is computed for each row it gives: so first all columns, then the explode
-    ready = ready.select(
+    edited = F.concat(F.expr("left(text, char_length(text) - half)"), F.col("prefix"))
+    texts = both.select(*_KEY, "text", edited.alias("edited_text"), "next")
+    sets = texts.select(*_KEY, "text", "edited_text", units(F.col("text")).alias("own"), units(F.col("edited_text")).alias("edited"), "next")
+    about = sets.select(
         *_KEY,
-        width.alias("width"),
-        F.col("n_chars").cast("long").alias("n_chars"),
-        *(n.alias(k) for n, k in zip(sizes, ("n0", "n1", "n2"))),
-        *(_long(F.substring("sha", 1 + 16 * k, 16)).alias(f"s{k}") for k in range(4)),
-        fold("own").alias("r0"),
-        fold("edited").alias("r1"),
-        apart("own", "edited").cast("long").alias("a1"),
-        apart("own", "next").cast("long").alias("a2"),
-        F.concat("own", "edited", "next", F.array(*[zero] * len(_META))).alias("digests"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        written(F.col("text"), small_sketch(F.col("own"))).alias("fingerprint"),
+        written(F.col("edited_text"), small_sketch(F.col("edited"))).alias("edited_fingerprint"),
+        (text_of(F.col("own")) + text_of(F.col("edited"))).alias("both1"),
+        (text_of(F.col("own")) + text_of(F.col("next"))).alias("both2"),
     )
-    carried = [c for c in ready.columns if c != "digests"]
-    rows = ready.select(*carried, F.posexplode("digests").alias("pos", "d"))
-    # by its place a digest is the text's own, the edited text's, the next text's, or stands for what goes along
-    at, d = F.col("pos"), F.col("d")
-    own, edited_ = at < F.col("n0"), at < F.col("n0") + F.col("n1")
-    c1 = F.when(own, 1).when(edited_, -1).otherwise(0)
-    c2 = F.when(own, 1).when(edited_, 0).otherwise(-1)
-    values = (c1, F.when(c1 != 0, d).otherwise(zero), c2, F.when(c2 != 0, d).otherwise(zero))
-    past = at - (F.col("n0") + F.col("n1") + F.col("n2"))
-    col = F.col
-    along = [
-        _entry(F.lit(_TALLY), 0, 0, 0, 0),
-        _entry(F.lit(_SHA), 0, col("s0"), 0, col("s1")),
-        _entry(F.lit(_SHA2), 0, col("s2"), 0, col("s3")),
-        _entry(F.lit(_ROOT), col("n0"), col("r0"), col("n1"), col("r1")),
-        _entry(F.lit(_SIZE), col("n_chars"), 0, col("n2"), 0),
-        _entry(F.lit(_EXACT), col("a1"), 0, col("a2"), 0),
-    ]
-    puts = F.when(past < 0, F.array(*(_entry(_cell(d, j, F.col("width"), seed), *values) for j in range(3))))
-    for k, e in enumerate(along):
-        puts = puts.when(past == k, F.array(e))
-    cells = _gather(rows.select(*_KEY, "width", puts.alias("puts")).select(*_KEY, "width", F.explode("puts").alias("e")).select(*_KEY, "width", "e.*"))
+    width = F.ceil((F.size("own") + F.greatest(F.size("edited"), F.size("next"))) * (CELLS << attempt) / 3).cast("long") + SPARE
+    cells = subtracted(sets.select(*_KEY, "own", "edited", "next", width.alias("width")), seed)
     for step in range(STEPS):
-        cells = _peel(cells, step % 3, seed)
-    at = lambda cell, k: F.max(F.when(F.col("cell") == cell, F.col(k)))
-    left = lambda k: F.max(F.when((F.col("cell") >= 0) & ((F.col(f"c{k}") != 0) | (F.col(f"x{k}") != 0)), 1).otherwise(0))
-    out = cells.groupBy(*_KEY).agg(
-        at(_SIZE, "c1").alias("n_chars"), at(_SIZE, "c2").alias("n_next"), at(_EXACT, "c1").alias("exact1"), at(_EXACT, "c2").alias("exact2"),
-        at(_SHA, "x1").alias("s0"), at(_SHA, "x2").alias("s1"), at(_SHA2, "x1").alias("s2"), at(_SHA2, "x2").alias("s3"),
-        at(_ROOT, "c1").alias("n_own"), at(_ROOT, "x1").alias("own_x"), at(_ROOT, "c2").alias("n_edited"), at(_ROOT, "x2").alias("edited_x"),
-        at(_TALLY, "c1").alias("d1"), at(_TALLY, "c2").alias("d2"), left(1).alias("left1"), left(2).alias("left2"),
-    )
-    if exact:
-        # a last resort that no test has ever needed: the difference of the sets themselves
-        out = out.withColumn("d1", F.when(F.col("left1") == 1, F.col("exact1")).otherwise(F.col("d1"))).withColumn("d2", F.when(F.col("left2") == 1, F.col("exact2")).otherwise(F.col("d2")))
-        out = out.withColumn("left1", F.lit(0)).withColumn("left2", F.lit(0))
-    return out.drop("exact1", "exact2").withColumn("attempts", F.lit(attempt + 1))
-
-
-@contextlib.contextmanager
-def _one_level_maps(spark: SparkSession) -> Iterator[None]:
-    """Aggregates without the small map before the large one: a chain of them in a task
-    would hold two pages each."""
-    key = "spark.sql.codegen.aggregate.map.twolevel.enabled"
-    was = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, was) if was is not None else spark.conf.unset(key)
+        cells = peeled(cells, step % 3, seed)
+    tally = F.col("cell") == _TALLY
+    left = lambda c, x: F.max(F.when(~tally & ((F.col(c) != 0) | (F.col(x) != 0)), 1).otherwise(0))
+    apart = cells.groupBy(*_KEY).agg(
+        F.sum(F.when(tally, F.col("c1"))).alias("d1"), F.sum(F.when(tally, F.col("c2"))).alias("d2"), F.greatest(left("c1", "x1"), left("c2", "x2")).alias("left")
+    )
+    out = about.join(apart.hint("shuffle_hash"), _KEY, "left")
+    like = lambda d, both: F.when(F.col(both) == 0, F.lit(1.0)).otherwise(1 - F.coalesce(d, F.lit(0)) / F.col(both))
+    return out.select(
+        *_KEY,
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        like("d1", "both1").alias("near_edited"),
+        like("d2", "both2").alias("near_next"),
+        F.lit(attempt + 1).alias("attempts"),
+        (F.coalesce("left", F.lit(0)) == 1).alias("failed"),
+    )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -242,16 +312,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     base = base.select(F.coalesce("doc_id", F.lit(_NULL)).alias("dk"), F.xxhash64("text").alias("rid"), "text")
     link, copies = _neighbours(base)
-    link = materialise(spark, link)
     single = base.dropDuplicates(_KEY) if copies else base
-    todo, part, wanted, done = link, single, None, []
-    for attempt in range(ATTEMPTS):
-        with _one_level_maps(spark):
-            got = materialise(spark, _pairs(part, todo, attempt))
+    todo, part, wanted, done, attempt = link, single, None, [], 0
+    while True:
+        got = _pairs(part, todo, attempt)
         if wanted is not None:
             got = got.join(wanted, _KEY, "left_semi")
-        done.append(got.where("left1 + left2 = 0"))
-        wanted = got.where("left1 + left2 > 0").select(*_KEY)
+        got = materialise(spark, got)
+        done.append(got.where("not failed"))
+        wanted = got.where("failed").select(*_KEY)
         n = wanted.count()
         if not n:
             break
@@ -259,24 +328,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         nexts = link.join(wanted.toDF("pred_dk", "pred_rid"), ["pred_dk", "pred_rid"], "left_semi").select(*_KEY)
         some = wanted.union(nexts).distinct()
         some = F.broadcast(some) if n <= BROADCAST_ROWS else some
-        part, todo = single.join(some, _KEY, "left_semi"), link.join(some, _KEY, "left_semi")
-    every = reduce(DataFrame.unionByName, done)
-    root = lambda n, x: F.concat_ws(":", F.col(n).cast("string"), _hex(F.col(x)))
-    like = lambda d, other: F.when(F.col("n_own") + F.col(other) == 0, F.lit(1.0)).otherwise(1 - F.col(d) / (F.col("n_own") + F.col(other)))
-    out = every.select(
-        *_KEY,
-        F.when(F.col("dk") != _NULL, F.col("dk")).alias("doc_id"),
-        F.col("n_chars").cast("long").alias("n_chars"),
-        F.concat(*(_hex(F.col(f"s{k}")) for k in range(4))).alias("edited_sha256"),
-        root("n_own", "own_x").alias("fingerprint"),
-        root("n_edited", "edited_x").alias("edited_fingerprint"),
-        like("d1", "n_edited").alias("near_edited"),
-        like("d2", "n_next").alias("near_next"),
-        "attempts",
-    )
+        part, todo, attempt = single.join(some, _KEY, "left_semi"), link.join(some, _KEY, "left_semi"), attempt + 1
+    out = reduce(DataFrame.unionByName, done).drop("failed").withColumn("doc_id", F.when(F.col("dk") != _NULL, F.col("dk")))
     if copies:
         out = base.select(*_KEY).join(out, _KEY)
-    return out.drop(*_KEY)
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "attempts")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
