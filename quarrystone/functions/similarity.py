@@ -3,35 +3,17 @@
 from __future__ import annotations
 
 import difflib
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Names that a catalogue shipped with a function may have.
-CATALOGUE_LIMIT = 20_000
-
 
 def ratio(a: Column, b: Column) -> Column:
-    """Twice the matching characters by the length of both."""
+    """Twice the matching characters by the length of both, ``b`` searched for in ``a``."""
 
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else difflib.SequenceMatcher(None, q, p).ratio() for p, q in zip(x, y)])
+        return pd.Series([None if p is None or q is None else difflib.SequenceMatcher(None, q, p).ratio() for p, q in zip(x, y)], dtype="float64")
 
     return run(a, b)
-
-
-def closest(form: Column, catalogue: list[str], cutoff: float = 0.92) -> Column:
-    """The name of a small catalogue closest to ``form``, null below ``cutoff``."""
-    if len(catalogue) > CATALOGUE_LIMIT:
-        raise ValueError("the catalogue is too large to ship; join it instead")
-
-    @F.pandas_udf("string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            found = [difflib.get_close_matches(x, catalogue, n=1, cutoff=cutoff) if x else [] for x in part]
-            yield pd.Series([f[0] if f else None for f in found], dtype=object)
-
-    return run(form)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrystone.operators import windows
 from quarrystone.operators.classify import scale_of
 
 # Thresholds of published figures.
@@ -31,7 +34,7 @@ def _pct_rejected() -> Column:
     return 100.0 * F.count_if(~F.col("admitted")) / F.count("admitted")
 
 
-def _summary(rows: DataFrame, keys: list[str], cutoff: Column) -> DataFrame:
+def _summary(rows: DataFrame, keys: list[str], cutoff: Column, width: float) -> DataFrame:
     score = nonzero(F.col("score"))
     found = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("applications"),
@@ -42,22 +45,29 @@ def _summary(rows: DataFrame, keys: list[str], cutoff: Column) -> DataFrame:
         F.min_by(F.col("floor_score"), F.when(F.col("floor_score").isNotNull(), F.col("row_seq"))).alias("floor_score"),
         F.min(score).alias("min_score"),
         F.max(score).alias("max_score"),
-        F.median(score).alias("median_score"),
     )
+    middle = windows.positions(rows.where("score <> 0").select(*keys, "score", "row_seq"), tuple(keys), "score", width, ("row_seq",))
+    median = windows.quantiles(middle, tuple(keys), {"median_score": 0.5}).select(*keys, "median_score")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    found = found.join(median.select(*(F.col(k).alias(f"_of_{k}") for k in keys), "median_score"), same, "left").drop(*(f"_of_{k}" for k in keys))
     trusted = F.col("pct_rejected") >= TRUST_PCT
     rate = F.when((F.col("applications") >= RATE_MIN_ROWS) & trusted, 100.0 * F.col("admitted") / F.col("applications"))
     return found.withColumn("trusted", trusted).withColumn("admission_rate", rate).withColumn("scale", scale_of(F.col("cycle")))
 
 
-def program_cycle_summary(apps: DataFrame, ordinary: str = "ordinario") -> DataFrame:
-    """A programme in a cycle.  Needs ``percentile`` (E1).  One shuffle: median
-    and the other measures share the exchange on (cycle, program)."""
-    return _summary(with_outcome(apps), ["cycle", "program"], F.col("admitted") & (F.col("route") == ordinary))
+def program_cycle_summary(apps: DataFrame, ordinary: str = "ordinario", width: float = BIN) -> DataFrame:
+    """A programme in a cycle.  Needs ``percentile``.
+
+    All measures but the median combine before the shuffle; the median is that of the scores'
+    places, so no task holds or sorts the scores of a whole group.  ``width``: bins of scores
+    for these places.
+    """
+    return _summary(with_outcome(apps), ["cycle", "program"], F.col("admitted") & (F.col("route") == ordinary), width)
 
 
-def route_comparison(apps: DataFrame) -> DataFrame:
+def route_comparison(apps: DataFrame, width: float = BIN) -> DataFrame:
     """The same by route; the cutoff is that of all admitted of the route."""
-    return _summary(with_outcome(apps), ["cycle", "program", "route"], F.col("admitted"))
+    return _summary(with_outcome(apps), ["cycle", "program", "route"], F.col("admitted"), width)
 
 
 def score_histogram(apps: DataFrame, width: int = BIN) -> DataFrame:
@@ -104,11 +114,17 @@ def seat_occupancy(seats: DataFrame, admitted: DataFrame) -> DataFrame:
     )
 
 
-def score_box(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program")) -> DataFrame:
+def score_box(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program"), width: float = BIN) -> DataFrame:
     """Size, extremes and interpolated quartiles of admitted scores, groups of five or more."""
-    q = F.percentile("score", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    rows = apps.where("admitted and score is not null").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), q.alias("q"), F.max("score").alias("high"))
-    return rows.where(F.col("n") >= BOX_MIN).select(*keys, "n", "low", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "high")
+    rows = apps.where("admitted and score is not null").select(*keys, "score", "row_seq")
+    placed = windows.positions(rows, keys, "score", width, ("row_seq",))
+    return windows.quantiles(placed, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}).where(F.col("n") >= BOX_MIN)
+
+
+def medians(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program"), width: float = BIN) -> DataFrame:
+    """The mean of the two middle scores of each group."""
+    placed = windows.positions(apps.where("score is not null").select(*keys, "score", "row_seq"), keys, "score", width, ("row_seq",))
+    return windows.quantiles(placed, keys, {"median_score": 0.5}).select(*keys, "median_score")
 
 
 def route_pivot(routes: DataFrame, main: list[str] | None = None, left_out: str = "lista_aptos") -> DataFrame:
@@ -150,7 +166,8 @@ def kpi_series(summary: DataFrame, cycles: DataFrame) -> DataFrame:
 
 def by_area(summary: DataFrame, areas: DataFrame) -> DataFrame:
     """Totals by area; programmes without one fall into Z."""
-    named = summary.join(F.broadcast(areas), "program", "left").withColumn("area", F.coalesce("area", F.lit("Z")))
+    # adaptive execution broadcasts the areas if they are small
+    named = summary.join(areas, "program", "left").withColumn("area", F.coalesce("area", F.lit("Z")))
     return named.groupBy("cycle", "area").agg(F.sum("applications").alias("applications"), F.sum("admitted").alias("admitted")).where("applications > 0")
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.functions.scalar import ascii_fold, exam_date
+from quarrystone.functions.scalar import ascii_fold, exam_date, safe_double, safe_int
 
 # Labels of outcomes in order of recognition (longer ones first).
 CONDITIONS = [
@@ -67,6 +67,12 @@ SCALE_CYCLE = "2024"
 MIN_CYCLE = "2021"
 
 
+def typed_rows(rows: DataFrame, doubles: tuple[str, ...] = (), ints: tuple[str, ...] = (), required: str = "program") -> DataFrame:
+    """B1: the string layer with numbers, null where a text is none; rows without ``required`` go."""
+    kinds = {c: safe_double(F.col(c)) for c in doubles} | {c: safe_int(F.col(c)) for c in ints}
+    return rows.where(F.coalesce(required, F.lit("")) != "").withColumns(kinds)
+
+
 def first_match(rules: list[tuple[str, Column]], default: str | None = None) -> Column:
     """The label of the first rule that holds."""
     chain = reduce(lambda acc, rule: (F if acc is None else acc).when(rule[1], F.lit(rule[0])), rules, None)

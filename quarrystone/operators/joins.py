@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrystone.functions.similarity import CATALOGUE_LIMIT, closest
+from quarrystone.functions.similarity import ratio
+from quarrystone.operators import windows
 from quarrystone.operators.classify import is_program
 
 FUZZY_CUTOFF = 0.92
@@ -16,8 +17,12 @@ FUZZY_CUTOFF = 0.92
 def first_origin(*sources: tuple[str, DataFrame], key: str = "document") -> DataFrame:
     """The union of sources; a key that several have keeps the earliest source."""
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (df.withColumn("origin", F.lit(name)).withColumn("_order", F.lit(k)) for k, (name, df) in enumerate(sources)))
-    w = Window.partitionBy(key).orderBy("_order")
-    return every.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_order")
+    return windows.first_wins(every, (key,), "_order").drop("_order")
+
+
+def known_names(*sources: DataFrame, column: str = "program") -> DataFrame:
+    """All names that any of the sources has, once."""
+    return reduce(DataFrame.union, (s.select(column) for s in sources)).where(F.col(column).isNotNull()).distinct()
 
 
 def with_manifest(rows: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -120,6 +125,11 @@ def flat_export(base: DataFrame, *others: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b, ["cycle", "program"], "left"), others, base)
 
 
+def by_length(names: DataFrame, column: str = "program") -> DataFrame:
+    """distinct names, the longest first, so that a longer name is tried before one it begins with."""
+    return names.select(column).distinct().withColumn("n", F.char_length(column).cast("long")).orderBy(F.col("n").desc(), column)
+
+
 def prefix_resolve(forms: DataFrame, catalogue: DataFrame, least: int = 5) -> DataFrame:
     """A truncated form stands for the only catalogue name that begins with it.
 
@@ -132,15 +142,47 @@ def prefix_resolve(forms: DataFrame, catalogue: DataFrame, least: int = 5) -> Da
     return hits.where("n = 1").select("form", "canonical").join(exact.select("form"), "form", "left_anti").unionByName(exact)
 
 
+def near_names(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
+    """C17: form and the catalogue name whose ratio of matching blocks is highest and ``cutoff`` at least.
+
+    A ratio of r leaves at most (1 - r) of the characters of both unmatched, so of the shorter text at least
+    the share s = r / (2 - r) matches.  Such texts differ little in length, and cutting a text into
+    ``parts`` pieces, one more than the characters it may lose, leaves one piece that stands whole in the other
+    within that distance of its place.  Pieces are joined on equality with the windows of catalogue names of
+    their length and nearby place; only pairs that meet are compared.  Both sides are shuffled by piece,
+    and no name is collected.
+    """
+    if cutoff < 0.9:
+        raise ValueError("below 0.9 no piece is sure to stand whole")
+    names = catalogue.select("program").distinct()
+    size = lambda c: F.char_length(c)
+    # characters of a form of n that may be unmatched, at most: n + m < 2n / (2r - 1) or so; with r m / (2 - r) <= n
+    lose = lambda n: F.floor(n - cutoff * (n + n * cutoff / (2 - cutoff)) / 2 + 1e-9).cast("int")
+    gain = lambda n: F.floor(n * (2 - cutoff) / cutoff + 1e-9).cast("int")
+    some = forms.select("form").distinct().where(size("form") >= 1)
+    cut = some.withColumn("_n", size("form")).withColumn("_lose", lose(F.col("_n"))).withColumn("_gain", gain(F.col("_n")) - F.col("_n"))
+    # unmatched characters of the form, and places where others come between, break one piece each
+    cut = cut.withColumn("_parts", F.least(F.col("_n"), F.col("_lose") + F.col("_gain") + 1))
+    edge = lambda k: F.floor(k * F.col("_n") / F.col("_parts")).cast("int")
+    piece = F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: F.struct(edge(k).alias("at"), F.substr(F.col("form"), edge(k) + 1, edge(k + 1) - edge(k)).alias("piece"))))
+    pieces = cut.select("form", "_n", "_lose", "_gain", piece.alias("p")).select("form", "_n", "_lose", "_gain", "p.at", "p.piece")
+    lengths = [r["n"] for r in pieces.select(size("piece").alias("n")).distinct().collect()]  # as many as a piece has characters
+    windows_of = F.explode(F.flatten(F.array(*(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), size("program") - n + 1)), lambda i, n=n: F.struct((i - 1).alias("place"), F.substr(F.col("program"), i, F.lit(n)).alias("piece"))) for n in lengths or [1]))))
+    there = names.select("program", windows_of.alias("w")).select("program", "w.place", "w.piece")
+    shift = F.col("place") - F.col("at")
+    met = pieces.join(there, "piece").where((shift >= -F.col("_lose")) & (shift <= F.col("_gain")) & (size("program") <= F.col("_n") + F.col("_gain")))
+    pairs = met.select("form", "program").distinct()
+    scored = pairs.withColumn("_ratio", ratio(F.col("form"), F.col("program"))).where(F.col("_ratio") >= cutoff)
+    return scored.groupBy("form").agg(F.max_by("program", F.struct("_ratio", "program")).alias("canonical"))
+
+
 def resolve_programs(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
     """Exact name, else unique prefix, else the closest name, else the form itself.
 
-    The catalogue is shipped to the tasks after a check of its size; only distinct
-    forms that nothing else resolved are compared.
+    Only distinct forms that nothing else resolved are compared with names.
     """
     usable = forms.select("form").distinct().where((F.char_length("form") >= 5) & is_program(F.col("form")))
     sure = prefix_resolve(usable, catalogue)
-    names = [r["program"] for r in catalogue.select("program").distinct().orderBy(F.char_length("program").desc(), "program").limit(CATALOGUE_LIMIT + 1).collect()]
     rest = usable.join(sure.select("form"), "form", "left_anti")
-    near = rest.select("form", F.coalesce(closest(F.col("form"), names, cutoff), F.col("form")).alias("canonical"))
+    near = rest.join(near_names(rest, catalogue, cutoff), "form", "left").select("form", F.coalesce("canonical", "form").alias("canonical"))
     return sure.unionByName(near)

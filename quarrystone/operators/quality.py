@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrystone.operators import aggregates, joins, windows
-from quarrystone.operators.classify import holds_identity_number, in_exam_window, in_score_range, is_code, person_names
+from quarrystone.operators.classify import empty_reason, holds_identity_number, in_exam_window, in_score_range, is_code, person_names
 
 EPS = 0.001
 BLOCK = ("document", "site", "subgroup", "program")
@@ -128,6 +128,35 @@ def chain_counts(audit: DataFrame, disk: DataFrame, parsed: DataFrame) -> DataFr
     return every.where("a is null or b is null or c is null")
 
 
+def empty_documents(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents without rows, with the reason."""
+    empty = docs.join(rows.select("document"), "document", "left_anti")
+    redundant = F.col("redundant") if "redundant" in docs.columns else None
+    return empty.select("document", empty_reason(F.col("text"), redundant).alias("reason"))
+
+
+def unexplained(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Q22: documents without rows and without a reason."""
+    return empty_documents(docs, rows).where("reason = 'sin explicar'")
+
+
+def not_cited(texts: DataFrame, live: DataFrame) -> DataFrame:
+    """Q26: figures (rule, figure) that stand in none of the documents.  Both are a handful."""
+    whole = texts.agg(F.concat_ws("\n", F.collect_list("text")).alias("_text"))
+    return live.join(F.broadcast(whole)).where(~F.contains("_text", F.col("figure"))).drop("_text")
+
+
+def without_docstring(scripts: DataFrame) -> DataFrame:
+    """Q26: scripts whose first statement is no text."""
+    return scripts.where(~F.col("text").rlike(r"""\A(\s*#[^\n]*\n)*\s*[rR]?(\"\"\"|''')"""))
+
+
+def examples(rules: list[Rule], k: int, order: str) -> DataFrame:
+    """the first ``k`` violations of each rule."""
+    first = (rule.violations.orderBy(order).limit(k).select(F.lit(rule.name).alias("rule"), *rule.violations.columns) for rule in rules)
+    return reduce(DataFrame.unionByName, first)
+
+
 def personal_data(lines: DataFrame, known: list[str] | None = None) -> DataFrame:
     """Q24: published lines with an identity number or a person's name."""
     names = person_names(F.col("line"), known)

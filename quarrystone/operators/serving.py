@@ -39,7 +39,7 @@ def top_programs(rows: DataFrame, value: str = "applications", n: int = 10) -> D
 def boxes_of(rows: DataFrame, box: DataFrame, n: int = 10) -> DataFrame:
     """Of the programmes that have a box, those with the most applications."""
     have = rows.join(box, ["cycle", "program"])
-    return have.orderBy(F.col("applications").desc(), "program").limit(n)
+    return have.orderBy(F.col("applications").desc(), "program", "cycle").limit(n)
 
 
 def worst(differences: DataFrame, left: str, right: str, n: int = 10) -> DataFrame:
@@ -76,7 +76,7 @@ def payload(summary: DataFrame, delta: DataFrame, pivoted: DataFrame, bins: Data
     def as_map(rows: DataFrame, value, name: str) -> DataFrame:
         return rows.select(key.alias("k"), value.alias("v")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(name))
 
-    named = summary.join(F.broadcast(areas), "program", "left").withColumn("area", F.coalesce("area", F.lit("Z")))
+    named = summary.join(areas, "program", "left").withColumn("area", F.coalesce("area", F.lit("Z")))
     columns = ["cycle", "program", "area", "applications", "admitted", "admission_rate", "trusted", "cutoff_score", "scale", "min_score", "max_score", "median_score"]
     parts = [
         named.agg(F.array_sort(F.collect_set("cycle")).alias("cycles"), F.array_sort(F.collect_set("program")).alias("programs"), F.array_sort(F.collect_list(F.struct(*columns))).alias("by_program")),

@@ -2,31 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrystone.functions.scalar import half_even
 
 PERCENTILE_MIN = 5
 SAMPLE_POINTS = 40
+#: Width of the bins by which scores are counted before they are ranked.
+BIN_WIDTH = 10
 #: Jumps of a median between neighbouring cycles that need an explanation.
 JUMP_UP, JUMP_DOWN = 1.8, 0.55
 SCALE_CHANGE = ("2023", "2024")
 
 
-def percentile_position(apps: DataFrame, keys: tuple[str, ...] = ("document", "program"), score: str = "score", digits: int | None = None, out: str = "percentile") -> DataFrame:
-    """Share of the scores of a group that are strictly lower, in percent.
+def positions(rows: DataFrame, keys: tuple[str, ...], score: str = "score", width: float = BIN_WIDTH, tie: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` with ``at``, the 0-based place of the row's score in its group (equal scores share one, unless
+    ``tie`` orders them), and ``n``, the group's scores; both null without a score.
 
-    Rows without a score, and groups of fewer than five, get null.  One window over
-    (group, score): null scores sort last and are left out of both counts.
+    Groups are few and may be of any size, so none is sorted as a whole: scores are counted by bins of
+    ``width`` first, running sums over the bins say how many are lower, and only the rows of one bin are ranked.
     """
+    # rows without a score go to bins of their own, by a digest of the row
+    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64(*rows.columns), F.lit(64)).cast("string"))
+    binned = rows.withColumn("_bin", F.coalesce(F.floor(F.col(score) / width).cast("string"), spread))
+    counted = binned.where(F.col(score).isNotNull()).groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_count"), F.min(score).alias("_low"))
     group = Window.partitionBy(*keys)
-    ranked = group.orderBy(F.col(score).asc_nulls_last())
-    n = F.count(score).over(group)
-    value = 100.0 * (F.rank().over(ranked) - 1) / n
+    lower = counted.select(
+        *(F.col(k).alias(f"_key_{k}") for k in keys),
+        F.col("_bin").alias("_of"),
+        (F.sum("_count").over(group.orderBy("_low")) - F.col("_count")).alias("_lower"),
+        F.sum("_count").over(group).alias("n"),
+    )
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys), F.col("_bin") == F.col("_of"))
+    within = Window.partitionBy(*keys, "_bin").orderBy(score, *tie)
+    placed = binned.withColumn("_rank", (F.row_number() if tie else F.rank()).over(within)).join(lower, same, "left")
+    at = F.when(F.col(score).isNotNull(), F.col("_lower") + F.col("_rank") - 1)
+    return placed.select(*rows.columns, at.alias("at"), F.when(F.col(score).isNotNull(), F.col("n")).alias("n"))
+
+
+def quantiles(placed: DataFrame, keys: tuple[str, ...], shares: dict[str, float], score: str = "score") -> DataFrame:
+    """Interpolated quantiles, by name, of what ``positions`` gave (with a tie, so that no two rows share a
+    place), with n, low and high.  Two rows of a group make a quantile, so all combines before the shuffle."""
+    aggs = [F.max("n").alias("n"), F.min(score).alias("low"), F.max(score).alias("high")]
+    for name, share in shares.items():
+        k = (F.col("n") - 1) * F.lit(share)
+        low = F.floor(k)
+        at = lambda place: F.max(F.when(F.col("at") == place, F.col(score)))
+        aggs += [at(low).alias(f"_{name}_0"), at(low + 1).alias(f"_{name}_1"), F.max(k - low).alias(f"_{name}_f")]
+    out = placed.where(F.col("at").isNotNull()).groupBy(*keys).agg(*aggs)
+    value = lambda name: F.col(f"_{name}_0") + F.col(f"_{name}_f") * (F.coalesce(f"_{name}_1", f"_{name}_0") - F.col(f"_{name}_0"))
+    return out.select(*keys, "n", "low", *(value(name).alias(name) for name in shares), "high")
+
+
+def percentile_position(apps: DataFrame, keys: tuple[str, ...] = ("document", "program"), score: str = "score", digits: int | None = None, out: str = "percentile", width: float = BIN_WIDTH) -> DataFrame:
+    """Share of the scores of a group that are strictly lower, in percent.
+
+    Rows without a score, and groups of fewer than five, get null.
+    """
+    placed = positions(apps, keys, score, width)
+    value = 100.0 * F.col("at") / F.col("n")
     if digits is not None:
         value = half_even(value, digits)
-    return apps.withColumn(out, F.when(F.col(score).isNotNull() & (n >= PERCENTILE_MIN), value))
+    return placed.select(*apps.columns, F.when(F.col("n") >= PERCENTILE_MIN, value).alias(out))
 
 
 def yoy_delta(counts: DataFrame, value: str = "applications", key: str = "program", order: str = "cycle") -> DataFrame:
@@ -46,12 +86,10 @@ def kpi_change(series: DataFrame, values: tuple[str, ...], order: str = "cycle")
     return series.select("*", *changes)
 
 
-def sample_points(rows: DataFrame, keys: tuple[str, ...], score: str = "score", tie: str = "row_seq", most: int = SAMPLE_POINTS) -> DataFrame:
+def sample_points(rows: DataFrame, keys: tuple[str, ...], score: str = "score", tie: str = "row_seq", most: int = SAMPLE_POINTS, width: float = BIN_WIDTH) -> DataFrame:
     """Of each group's sorted scores every ``max(1, n div most)``-th, ``most`` of them, as rows."""
-    group = Window.partitionBy(*keys)
-    ordered = group.orderBy(score, tie)
     step = F.greatest(F.lit(1), F.floor(F.col("n") / most))
-    at = rows.where(F.col(score).isNotNull()).select(*keys, score, (F.row_number().over(ordered) - 1).alias("at"), F.count(F.lit(1)).over(group).alias("n"))
+    at = positions(rows.where(F.col(score).isNotNull()).select(*keys, score, tie), keys, score, width, (tie,))
     return at.where((F.col("n") >= 5) & (F.col("at") % step == 0) & (F.col("at") / step < most)).select(*keys, (F.col("at") / step).cast("long").alias("point"), score)
 
 
@@ -77,19 +115,21 @@ def ratio_to_max(rows: DataFrame, value: str, within: tuple[str, ...], out: str
     return rows.withColumn(out, F.col(value) / F.max(value).over(Window.partitionBy(*within)))
 
 
-def _pick(rows: DataFrame, keys: tuple[str, ...], order: Column) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order)
-    return rows.withColumn("_pick", F.row_number().over(w)).where("_pick = 1").drop("_pick")
+def _pick(rows: DataFrame, keys: tuple[str, ...], pick, order: str) -> DataFrame:
+    """The row of each key that ``pick`` (max_by, min_by) takes: combined before the shuffle, nothing is sorted."""
+    rest = [c for c in rows.columns if c not in keys]
+    picked = rows.groupBy(*keys).agg(pick(F.struct(*rest), F.col(order)).alias("_row"))
+    return picked.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in rows.columns))
 
 
 def last_wins(rows: DataFrame, keys: tuple[str, ...], order: str = "row_seq") -> DataFrame:
     """Of rows with equal keys the last in source order."""
-    return _pick(rows, keys, F.col(order).desc())
+    return _pick(rows, keys, F.max_by, order)
 
 
 def first_wins(rows: DataFrame, keys: tuple[str, ...], order: str = "row_seq") -> DataFrame:
     """Of rows with equal keys the first in source order."""
-    return _pick(rows, keys, F.col(order).asc())
+    return _pick(rows, keys, F.min_by, order)
 
 
 def duplicate_ranks(rows: DataFrame, block: tuple[str, ...], rank: str = "merit_rank") -> DataFrame:

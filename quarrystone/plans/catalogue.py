@@ -11,27 +11,17 @@ from pyspark.sql import functions as F
 from quarrystone.functions import scalar
 from quarrystone.operators import aggregates, classify, joins, layout, quality, serving, windows
 from quarrystone.plans.canonical import APPS, ORDINARY, PERCENTILES, ROUTES, SUMMARY, applications, table
+from quarrystone.plans.named import QUERIES, SQL, query
 from quarrystone.streaming.ingest import windowed_counts
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
 SECRET = b"a documented example secret"
+#: Bins by which the scores of these tables (order totals up to half a million) are counted.
+WIDTH = 1000
 
 
-def query(sql: str | None = None):
-    """Registers a query under its function's name."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _summary(spark: SparkSession, d: str) -> DataFrame:
-    return aggregates.program_cycle_summary(windows.percentile_position(applications(spark, d)), ORDINARY)
+def _summary(spark: SparkSession, d: str, apps: DataFrame | None = None) -> DataFrame:
+    apps = applications(spark, d) if apps is None else apps
+    return aggregates.program_cycle_summary(windows.percentile_position(apps, width=WIDTH), ORDINARY, WIDTH)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -62,7 +52,7 @@ def program_cycle_summary(spark, d):
          CASE WHEN cycle >= '2024' THEN 'nueva' ELSE 'anterior' END AS scale FROM s""")
 def route_comparison(spark, d):
     """D2"""
-    return _rounded(aggregates.route_comparison(windows.percentile_position(applications(spark, d))), "median_score")
+    return _rounded(aggregates.route_comparison(windows.percentile_position(applications(spark, d), width=WIDTH), WIDTH), "median_score")
 
 
 _BINS = """bins AS (SELECT cycle, program, cast(floor(score / 1000) * 1000 AS BIGINT) AS bin_from, admitted, count(*) AS applications
@@ -122,7 +112,7 @@ def seat_occupancy(spark, d):
 @query(f"{WITH}, {PERCENTILES} SELECT row_seq, document, program, score, percentile FROM pct")
 def percentile_position(spark, d):
     """E1"""
-    return windows.percentile_position(applications(spark, d)).select("row_seq", "document", "program", "score", "percentile")
+    return windows.percentile_position(applications(spark, d), width=WIDTH).select("row_seq", "document", "program", "score", "percentile")
 
 
 _COUNTS = "counts AS (SELECT cycle, program, count(*) AS applications FROM apps WHERE admitted IS NOT NULL GROUP BY ALL)"
@@ -144,8 +134,7 @@ def yoy_delta(spark, d):
   SELECT program, from_cycle, to_cycle, round(ratio, 4) AS ratio, from_cycle = '2023' AND to_cycle = '2024' AS scale_change, ratio > 1.8 OR ratio < 0.55 AS jump FROM l WHERE ratio IS NOT NULL""")
 def median_jump(spark, d):
     """E5, Q19"""
-    medians = applications(spark, d).where("score is not null").groupBy("cycle", "program").agg(F.median("score").alias("median_score"))
-    return _rounded(windows.median_jumps(medians), "ratio")
+    return _rounded(windows.median_jumps(aggregates.medians(applications(spark, d), width=WIDTH)), "ratio")
 
 
 _BOX = """box AS (SELECT cycle, program, count(*) AS n, min(score) AS low, round(quantile_cont(score, 0.25), 4) AS q1, round(quantile_cont(score, 0.5), 4) AS median,
@@ -153,7 +142,7 @@ _BOX = """box AS (SELECT cycle, program, count(*) AS n, min(score) AS low, round
 
 
 def _box(spark, d):
-    return _rounded(aggregates.score_box(applications(spark, d)), "q1", "median", "q3")
+    return _rounded(aggregates.score_box(applications(spark, d), width=WIDTH), "q1", "median", "q3")
 
 
 @query(f"{WITH}, {_BOX} SELECT * FROM box")
@@ -170,11 +159,12 @@ _POINTS = """points AS (SELECT cycle, program, score, row_number() OVER (PARTITI
   FROM (SELECT *, greatest(1, cast(floor(n / 40) AS BIGINT)) AS step FROM points) WHERE n >= 5 AND pos % step = 0 AND pos / step < 40""")
 def box_sample_points(spark, d):
     """E4, H18"""
-    return windows.sample_points(applications(spark, d).where("admitted"), ("cycle", "program"))
+    return windows.sample_points(applications(spark, d).where("admitted"), ("cycle", "program"), width=WIDTH)
 
 
 def _pivot(spark, d):
-    return aggregates.route_pivot(aggregates.route_comparison(windows.percentile_position(applications(spark, d))), ROUTES)
+    admitted = aggregates.with_outcome(applications(spark, d)).groupBy("cycle", "program", "route").agg(F.count_if("admitted").alias("admitted"))
+    return aggregates.route_pivot(admitted, ROUTES)
 
 
 _PIVOT = ", ".join(f"""count(*) FILTER (WHERE admitted AND route = '{r}') AS "{r}\"""" for r in ROUTES)
@@ -609,15 +599,20 @@ def payload(spark, d):
         aggregates.outcome_pivot(aggregates.score_histogram(apps, 1000)),
         aggregates.near_floor(apps, 1000.0),
         _box(spark, d),
-        windows.sample_points(apps.where("admitted"), ("cycle", "program")),
+        windows.sample_points(apps.where("admitted"), ("cycle", "program"), width=WIDTH),
         _occupancy(spark, d).withColumn("program", F.upper("program")),
         _areas(spark, d),
     )
 
 
 def queries() -> dict:
+    """All named queries, those of the rules and sources too."""
+    from quarrystone.plans import checks  # noqa: F401  (registers its queries)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from quarrystone.plans import checks  # noqa: F401
+
     return dict(SQL)

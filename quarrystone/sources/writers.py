@@ -29,9 +29,12 @@ def save_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def export_lines(df: DataFrame) -> DataFrame:
-    """Lines of an export for spreadsheets: quoted where needed, a byte-order mark first."""
-    head = F.lit("﻿" + ",".join(df.columns))
-    body = df.select(F.concat_ws(",", *(csv_field(F.col(c)) for c in df.columns)).alias("line"))
-    first = df.sparkSession.range(1).select(head.alias("line"))
-    return first.union(body)
+def export_lines(df: DataFrame, numbered: bool = False) -> DataFrame:
+    """Lines of an export for spreadsheets: quoted where needed, a byte-order mark first.
+
+    ``part`` (0: the head, 1: a row) is what a sink has to sort by; it goes with ``numbered`` only.
+    """
+    head = F.lit("\ufeff" + ",".join(df.columns))
+    body = df.select(F.lit(1).alias("part"), F.concat_ws(",", *(csv_field(F.col(c)) for c in df.columns)).alias("line"))
+    lines = df.sparkSession.range(1).select(F.lit(0).alias("part"), head.alias("line")).union(body)
+    return lines if numbered else lines.orderBy("part").select("line")

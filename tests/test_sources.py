@@ -18,12 +18,25 @@ def pdf(content: str, cmap: dict[str, str] | None = None) -> bytes:
 
 def test_pdf_tokens():
     pages, mapped = readers.pdf_tokens(pdf("(lit \\(x\\)) Tj <00010002> Tj", {"0001": "A", "0002": "B"}))
-    assert (pages, mapped) == ([["AB", "lit \\(x\\)"]], True)
+    assert (pages, mapped) == ([["AB", "lit (x)"]], True)
     pages, mapped = readers.pdf_tokens(pdf("[(De) -20 (recho)] TJ (12) Tj"), kerned=True)
     assert (pages, mapped) == ([["Derecho", "12"]], False)
     assert readers.pdf_tokens(b"no streams") == ([], False)
 
 
+def test_content_streams_and_glyph_maps():
+    text = r"/F1 12 Tf (a \(b\) (c) \101\n) Tj << /K [1 2] >> BDC % (not this) Tj" + "\n[(x) 3 [(y)] <41>] TJ (z) ' 1 0 (w) \""
+    got = [(o, a) for o, a in readers.ContentStream(text).operations() if o in ("Tj", "TJ", "'", '"')]
+    assert got[0] == ("Tj", [("text", "a (b) (c) A\n")])
+    assert got[1] == ("TJ", [[("text", "x"), ("word", "3"), [("text", "y")], ("hex", "41")]])
+    assert [a[-1][1] for _, a in got[2:]] == ["z", "w"]
+    glyphs = readers.GlyphMap()
+    maps = "1 begincodespacerange <00> <FF> endcodespacerange 1 beginbfchar <01> <00660069> endbfchar 2 beginbfrange <10> <12> <0041> <20> <21> [<0058> <0059>] endbfrange"
+    for operator, operands in readers.ContentStream(maps).operations():
+        glyphs.learn(operator, operands)
+    assert glyphs.decode("01101112202199") == "fiABCXY"
+
+
 def test_document_scan(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(pdf("(EXAMEN ORDINARIO 2023) Tj (29/08/2022) Tj (NO INGRESO) Tj"))
     (tmp_path / "b.pdf").write_bytes(b"not a pdf" * 200)
