@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import materialise
+from quarrystone.llm.common import discard, materialise
 
 
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +75,8 @@ def connected_components(spark: SparkSession, pairs: DataFrame) -> DataFrame:
         jump = best.join(up, F.col("up") == F.col("via"), "left").select("node", F.coalesce("top", "up").alias("root"), F.col("top").isNotNull().alias("live"))
         hook = edges.join(best, "node").where("root != up").select(F.col("root").alias("node"), F.col("up").alias("root"), F.lit(True).alias("live"))
         done = materialise(spark, jump.unionByName(hook))
+        discard(best, edges)
         if done.where("live").limit(1).count() == 0:
             return done.select("node", "root")
         edges = materialise(spark, done.mapInArrow(_contract, kind))
+        discard(done)

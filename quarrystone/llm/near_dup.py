@@ -17,8 +17,10 @@ A pair of similarity 0.80 shares none of the 34 bands of 5 slots with probabilit
 one of 0.85 with 2.2e-9; nothing else is lost.
 
 Cases: null text, empty text and text without words have an empty set and no link;
-fewer than five words are one shingle; rows with the same id count as one node; rows
-with a null id are never linked and are kept; an empty table gives an empty result.
+fewer than five words are one shingle; rows with the same id are one node, linked by
+any of their texts; rows with a null id are never linked and are kept; a very long text
+goes alone through each vectorised step; of equally good representatives the smallest
+id leads; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, tidy, word_spans
+from quarrystone.llm.common import NOT_SPACE, discard, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, tidy, word_spans
 from quarrystone.llm.graph import connected_components
 
 SHINGLE = 5
@@ -223,24 +225,31 @@ def _verify(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row; links need ``percent`` % of Jaccard similarity."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = materialise(spark, signatures(docs))
     key = ["n_shingles", "set_a", "set_b"]
-    named = sig.where("doc_id is not null")
-    classes = materialise(spark, named.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")))
-    reps = named.join(classes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    filled = sig.where("doc_id is not null and n_shingles > 0")
+    classes = materialise(spark, filled.groupBy(*key).agg(F.min("doc_id").alias("rep")))
+    # one row, and so one signature, for each set; an id may lead several
+    reps = filled.join(classes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").dropDuplicates(key)
     cells = materialise(spark, reps.select("doc_id", F.explode("bands").alias("cell")))
     # written before they are joined: a join of two plain shuffles can have its large keys split
     leads = materialise(spark, cells.groupBy("cell").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    own = F.struct(*key)
+    per_id = filled.groupBy("doc_id").agg(F.sum(F.col("n_shingles") + 400).alias("weight"), F.min(own).alias("low"), F.max(own).alias("high"))
+    per_id = materialise(spark, per_id.select("doc_id", "weight", (F.col("low") != F.col("high")).alias("several")))
+    # an id with several sets ties what these sets lead to
+    several = per_id.where("several").select("doc_id")
+    same = materialise(spark, filled.join(several, "doc_id").join(classes, key).where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
     ties = cells.join(leads, "cell").where("doc_id != lead").select("doc_id", "lead")
+    # two sets of one id may lie in a bucket together: then the id is its own lead, and both are compared as one node's
     found = connected_components(spark, ties)
     roots = found.select(F.col("root").alias("node"), "root").distinct()
     members = found.unionByName(roots).select(F.col("node").alias("doc_id"), F.col("root").alias("comp"))
-    weights = named.where("n_shingles > 0").groupBy("doc_id").agg((F.max("n_shingles") + 400).alias("weight"))
-    members = materialise(spark, members.join(weights, "doc_id"))
+    members = materialise(spark, members.join(per_id.select("doc_id", "weight"), "doc_id"))
     sizes = members.groupBy("comp").agg(F.sum("weight").alias("total"))
     all_of = members.agg(F.sum("weight").alias("w"), F.count(F.lit(1)).alias("n")).first()
     count, total = all_of["n"], all_of["w"] or 0
@@ -258,18 +267,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         dealt = F.broadcast(dealt)
     blocks = docs.join(dealt, "doc_id").select("doc_id", "text", "comp", "big", F.explode("to").alias("t")).select("doc_id", "text", "comp", "big", "t.*")
     pairs = blocks.groupBy("big", "p", "q").applyInArrow(_verify(percent), "a bigint, b bigint")
-    joined = connected_components(spark, pairs)
+    joined = connected_components(spark, pairs.unionByName(same))
     top = materialise(spark, classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("component_id")))
-    return (
-        sig.select("doc_id", *key)
-        .join(top, key, "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+    out = sig.select("doc_id", *key).join(top, key, "left")
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    if several.limit(1).count() or _repeats(sig):
+        # rows without words, too, belong to what other rows of their id are linked with
+        least = materialise(spark, out.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("least")))
+        out = out.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
+    discard(cells, leads, members)
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _repeats(sig: DataFrame) -> bool:
+    """Whether an id has a row without words beside other rows."""
+    empty = sig.where("doc_id is not null and n_shingles = 0").select("doc_id")
+    return sig.where("n_shingles > 0").join(empty, "doc_id", "left_semi").limit(1).count() > 0
 
 
 def _chunk_pairs(own, parts):
@@ -285,4 +298,4 @@ def _chunk_pairs(own, parts):
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)

@@ -51,7 +51,7 @@ def test_against_all_pairs(spark):
         rows += [" ".join(base)] * rng.choice([1, 2, 5]) + [edited(rng, base, rng.randrange(0, 8)) for _ in range(12)]
     rng.shuffle(rows)
     rows = list(enumerate(rows))
-    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 85).collect()
     want = brute(rows)
     assert {r.doc_id: r.component_id for r in got} == want
     assert all(r.kept == (r.doc_id == r.component_id) and r.n_shingles == len(shingles(dict(rows)[r.doc_id])) for r in got)
@@ -63,10 +63,26 @@ def test_a_large_family_is_cut_into_chunks(spark, monkeypatch):
     rng = random.Random(8)
     base = [f"w{k}" for k in range(100)]
     rows = [(k, edited(rng, base, rng.randrange(0, 6))) for k in range(150)]
-    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 85).collect()
     assert {r.doc_id: r.component_id for r in got} == brute(rows)
 
 
+def test_repeated_ids_with_other_texts(spark):
+    rng = random.Random(21)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    one, two = fresh(60), fresh(60)
+    near = lambda w, k: " ".join([*w, f"x{k}", f"y{k}"])
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, near(one, 2)), (3, near(two, 3))]
+    rows += [(10, " ".join(a := fresh(60))), (11, " ".join(b := fresh(60))), (15, near(b, 1)), (15, near(a, 2)), (16, near(b, 3)), (16, "")]
+    families = [fresh(40) for _ in range(8)]
+    rows += [(rng.randrange(20, 60), edited(rng, rng.choice(families), rng.randrange(3))) for _ in range(60)]
+    rng.shuffle(rows)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), 85).collect()
+    want = brute(rows)
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == set(want.items())
+    assert want[3] == 1 and want[16] == 10
+
+
 def test_edge_rows(edge, none):
     got = near_dup.near_duplicates(edge).collect()
     assert len(got) == edge.count()
