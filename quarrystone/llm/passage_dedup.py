@@ -19,9 +19,11 @@ the joins back split large keys, so a unit that a third of all texts share is no
 single task.
 
 Cases: null text = empty text = no units; rows with equal ids are one text after the
-other in the order of their contents; null ids rank first and are removed from like
-any other; a match within one text begins after its first occurrence's ``GRAM`` words; an
-empty table gives no passage.
+other in the order of their contents, and repeated rows (same id and text) one row after
+the other, so all but the first of them are repeats; null ids rank first and are removed
+from like any other; a match within one text begins after its first occurrence's ``GRAM``
+words; very long texts are read whole, one at a time; columns of the input keep their
+names and values; an empty table gives no passage.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import NOT_SPACE, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, word_spans
+from quarrystone.llm.common import NOT_SPACE, discard, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, word_spans
 
 #: Bytes after which a clause ends, and which do not count in a word.
 ENDS = np.zeros(256, bool)
@@ -245,31 +247,63 @@ def _passages(clauses: DataFrame, matches: DataFrame, min_words: int, bridge: in
     )
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 30, bridge: int = 6) -> DataFrame:
-    """Passages to remove: doc_id, copy, start, end, n_words, first_doc_id (where the first unit stays)."""
+def with_copies(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column that, with ``doc_id``, names each row: a digest of its text, or a
+    number in the order of these where rows repeat."""
+    key = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64("text")]
+    if not docs.groupBy(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).count().where("count > 1").limit(1).count():
+        return docs.withColumn(name, F.xxhash64("text"))
+    dealt = docs.repartitionByRange(*key).sortWithinPartitions(*key)
+    return materialise(docs.sparkSession, dealt.withColumn(name, F.monotonically_increasing_id()))
+
+
+def repeated_passages(docs: DataFrame, min_words: int = 30, bridge: int = 6, copy_col: str | None = None) -> DataFrame:
+    """Passages to remove: doc_id, copy, start, end, n_words, first_doc_id (where the first unit stays).
+
+    ``copy`` is what ``with_copies`` gives; ``copy_col``: where ``docs`` have it already.
+    """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("copy"), "text")
+    if copy_col is None:
+        docs, copy_col = with_copies(docs.select("doc_id", "text"), "copy"), "copy"
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(copy_col).alias("copy"), "text")
     found = materialise(spark, _units(docs))
     place = F.struct("doc_id", "copy", "w0")
     # written before they are joined: a join of two plain shuffles can have its large keys split
     firsts = materialise(spark, found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     repeats = materialise(spark, found.join(firsts, "digest").where(place != F.col("first")).drop("digest"))
+    discard(found, firsts)
     clauses = repeats.where("not gram").select("doc_id", "copy", "w0", "w1", "c0", "c1", F.col("first.doc_id").alias("first_doc_id"))
     return _passages(clauses, _matches(docs, repeats), min_words, bridge)
 
 
-def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """``docs`` with the passages cut out of ``text`` and their spans in ``removed_spans``."""
-    spans = passages.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed_spans"))
-    keyed = docs.withColumn("_copy", F.xxhash64("text"))
-    joined = keyed.join(spans.withColumnRenamed("doc_id", "_doc").withColumnRenamed("copy", "_span_copy"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_copy") == F.col("_span_copy")), "left")
+def remove_passages(docs: DataFrame, passages: DataFrame, copy_col: str | None = None) -> DataFrame:
+    """``docs`` with the passages cut out of ``text`` and their spans in ``removed_spans``.
+
+    ``copy_col`` as for ``repeated_passages``; without it rows must not repeat.
+    """
+    names = set(docs.columns)
+    fresh = lambda name: name if name not in names else fresh(name + "_")
+    doc, copy, at = fresh("_span_doc"), fresh("_span_copy"), fresh("_spans")
+    spans = passages.groupBy(F.col("doc_id").alias(doc), F.col("copy").alias(copy)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(at))
+    own = F.col(copy_col) if copy_col else F.xxhash64("text")
+    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (own == F.col(copy)), "left")
     cut = F.aggregate(
-        "removed_spans",
+        at,
         F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substr(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))).alias("out")),
         lambda acc: F.concat(acc["out"], F.substr(F.col("text"), (acc["at"] + 1).cast("int"))),
     )
-    return joined.withColumn("text", F.when(F.col("removed_spans").isNotNull(), cut).otherwise(F.col("text"))).drop("_copy", "_doc", "_span_copy")
+    out = joined.withColumn("text", F.when(F.col(at).isNotNull(), cut).otherwise(F.col("text"))).withColumn("removed_spans", F.col(at))
+    return out.drop(doc, copy, at)
+
+
+def remove_repeats(docs: DataFrame, min_words: int = 30, bridge: int = 6) -> DataFrame:
+    """``docs`` without repeated passages; rows that repeat lose theirs but for the first."""
+    name = "_copy"
+    while name in docs.columns:
+        name += "_"
+    docs = with_copies(docs, name)
+    return remove_passages(docs, repeated_passages(docs, min_words, bridge, name), name).drop(name)
 
 
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
