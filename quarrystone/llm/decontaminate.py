@@ -6,24 +6,28 @@
    the passages, and gives the latent space of at most ``rank`` dimensions.
 3. Every text is read in windows of 32 and 64 words, a new one every 16 words; windows
    are projected into the space and compared with all items by cosine.  Benchmark
-   items are a stated query set, taken in blocks of ``ITEMS``; all windows of the
-   corpus are searched, and every window above the threshold is a candidate.
-4. A candidate is confirmed on exact words: the longest common subsequence with the
+   items are a stated query set, taken in blocks; all windows of the corpus are
+   searched, and every window above the threshold is a candidate.
+4. Beside it, places are candidates where a text has a run of ``RUN`` words of an item, so
+   that an item that very many texts hold, and whose words so weigh little, is found too.
+5. A candidate is confirmed on exact words: the longest common subsequence with the
    words around the window must cover ``overlap`` of the item, and ``answer`` of its
    answer (its last quarter), so paraphrases with other words between still count.
 
-What is broadcast is bounded by a block of items: their words and the projection (at
-most 2^15 features by ``rank``).  The corpus itself is never shuffled; only confirmed
-pairs leave the tasks.
+What is broadcast is bounded by a block of items, at most ``ITEMS`` of them with about
+``VOCABULARY`` words: these and the projection (a feature for each word, by ``rank``).
+The corpus itself is never shuffled; only confirmed pairs leave the tasks.
 
 Cases: null or empty texts and items have no words and match nothing; items of fewer
-than eight words must occur whole and in one piece; equal items are all reported;
-an empty table on either side gives an empty result.
+than eight words (``RUN``) must occur whole and in one piece, and are found by that alone;
+equal items are all reported; each of repeated rows is reported; very long texts are
+searched whole, one at a time; of equally good places the first is given; further
+columns of both tables are ignored or kept as they are; an empty table on either side
+gives an empty result.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -32,12 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, small_batches, table, text_bytes, tidied, word_spans
+from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, mix, slices, small_batches, table, text_bytes, tidied, word_spans
 
-FEATURES = 1 << 15
 STEP = 16
-#: Benchmark items that one pass over the corpus searches for.
-ITEMS = 4096
+#: Benchmark items that one pass over the corpus searches for, and about how many words they have together.
+ITEMS, VOCABULARY = 4096, 1 << 15
+#: Words of a run that makes a candidate by itself, and how many runs of an item are looked for.
+RUN, RUNS = 8, 4
+#: Share of texts from which on a word weighs nothing, and texts without it that are added to the count of texts.
+COMMON, PRIOR = 0.01, 10_000
+_C = np.uint64(0xD6E8FEB86659FD93)
 #: An item must share so many words with a window before the window is projected.
 SHARED = 3
 SCHEMA = "doc_id bigint, item_id bigint, similarity double, overlap double, answer double, start_word bigint, end_word bigint"
@@ -62,6 +70,15 @@ def common_subsequence(item: dict[int, int], size: int, seq: list[int]) -> int:
     return full & ~v
 
 
+def _run_digests(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Digests of the runs of ``size`` words that begin at ``at``."""
+    out = np.full(len(at), size, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            out = mix(out * _C + h[at + k])
+    return out
+
+
 class Items:
     """A block of benchmark items: words, TF-IDF weights, latent vectors."""
 
@@ -79,28 +96,26 @@ class Items:
             self.masks.append(m)
 
     def weigh(self, df: np.ndarray, docs: int) -> None:
-        """Inverse document frequencies; words of more than 1 % of the texts weigh nothing,
-        unless an item has fewer than eight others."""
-        idf = np.log((1 + docs) / (1 + df))
-        common = df > max(20, docs // 100)
-        keep = ~common
+        """Weights fall with the logarithm of the share of texts that hold a word, to nothing at ``COMMON``;
+        an item with fewer than eight words that weigh has its eight rarest."""
+        share = (df + 1) / (docs + PRIOR)
+        idf = np.maximum(np.log(COMMON / share), 0)
         at = [np.searchsorted(self.vocabulary, w) for w in self.words]
         for w in at:
             u = np.unique(w)
-            if keep[u].sum() < 8:
-                keep[u[np.argsort(df[u], kind="stable")[:8]]] = True
-        self.weight = np.where(keep, np.maximum(idf, 0.1), 0).astype(np.float32)
-        self.feature = (np.arange(len(self.vocabulary)) % FEATURES).astype(np.int64)
+            if (idf[u] > 0).sum() < 8:
+                rare = u[np.argsort(df[u], kind="stable")[:8]]
+                idf[rare] = np.maximum(idf[rare], 0.1)
+        self.weight = idf.astype(np.float32)
         self.index = at
 
     def vectors(self, rows: range) -> list[tuple[np.ndarray, np.ndarray]]:
         out = []
         for r in rows:
             w = self.index[r]
-            f = np.bincount(self.feature[w], weights=self.weight[w], minlength=0).astype(np.float32) if len(w) else np.zeros(0, np.float32)
-            nz = np.flatnonzero(f)
-            norm = np.linalg.norm(f[nz]) or 1.0
-            out.append((nz, f[nz] / norm))
+            nz, times = np.unique(w, return_counts=True)
+            f = self.weight[nz] * times
+            out.append((nz[f > 0], (f / (np.linalg.norm(f) or 1.0))[f > 0].astype(np.float32)))
         return out
 
 
@@ -110,7 +125,7 @@ def randomised_basis(spark: SparkSession, items: Items, rank: int, steps: int =
     Each step multiplies A'A with the current basis, a distributed pass over blocks of
     passages; the sums that reach the driver have (features used) x (rank + 8) entries.
     """
-    used = int(items.feature.max()) + 1 if len(items.feature) else 1
+    used = max(1, len(items.vocabulary))
     width = min(rank, len(items.ids)) + (8 if len(items.ids) > rank else 0)
     q = np.random.default_rng(seed).normal(size=(used, max(1, width))).astype(np.float32)
     blocks = [(k,) for k in range(0, len(items.ids), 512)]
@@ -166,8 +181,7 @@ def _document_frequency(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nda
 class Searcher:
     def __init__(self, items: Items, basis: np.ndarray, threshold: float, overlap: float, answer: float):
         self.items, self.threshold, self.overlap, self.answer = items, threshold, overlap, answer
-        weighted = items.weight[:, None] * basis[items.feature]
-        self.token = weighted.astype(np.float32)
+        self.token = (items.weight[:, None] * basis).astype(np.float32)
         latent = np.zeros((len(items.ids), basis.shape[1]), np.float32)
         for k, (nz, v) in enumerate(items.vectors(range(len(items.ids)))):
             latent[k] = v @ basis[nz]
@@ -176,6 +190,41 @@ class Searcher:
         self.sets = [set(w.tolist()) for w in items.words]
         # distinct words that a subsequence of the least share must have
         self.least = [len(s) - int((1 - overlap) * len(w)) for s, w in zip(self.sets, items.words)]
+        #: By number of words: digests of runs, sorted, and the item of each.
+        self.runs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        known: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for k, w in enumerate(items.words):
+            if len(w):
+                known.setdefault(min(RUN, len(w)), []).append((k, _run_digests(w, np.arange(len(w) - min(RUN, len(w)) + 1), min(RUN, len(w)))))
+        for size, found in known.items():
+            every, times = np.unique(np.concatenate([np.unique(g) for _, g in found]), return_counts=True)
+            picked, owner = [], []
+            for k, g in found:
+                g = np.unique(g)
+                # those that the fewest items share: a run that many have in common says little
+                g = g[np.argsort(times[np.searchsorted(every, g)], kind="stable")[:RUNS]]
+                picked.append(g)
+                owner.append(np.full(len(g), k))
+            digest, of = np.concatenate(picked), np.concatenate(owner)
+            order = np.argsort(digest, kind="stable")
+            self.runs[size] = digest[order], of[order]
+
+    def same_runs(self, h: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, word, words) where a run that is looked for stands."""
+        vocabulary = self.items.vocabulary
+        known = vocabulary[np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)] == h
+        before = np.concatenate([[0], np.cumsum(known)])
+        for size, (digest, of) in self.runs.items():
+            if len(h) < size:
+                continue
+            at = np.flatnonzero((before[size:] - before[:-size] == size) & (doc[size - 1 :] == doc[: len(doc) - size + 1]))
+            if not len(at):
+                continue
+            g = _run_digests(h, at, size)
+            low, high = np.searchsorted(digest, g, side="left"), np.searchsorted(digest, g, side="right")
+            for k in np.flatnonzero(high > low):
+                for j in range(low[k], high[k]):
+                    yield int(doc[at[k]]), int(of[j]), int(at[k]), size
 
     def candidates(self, h: np.ndarray, doc: np.ndarray, docs: int) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, item, first word, end word, cosine) of windows that are close enough."""
@@ -236,10 +285,6 @@ class Searcher:
     def confirm(self, item: int, seq: list[int]) -> tuple[float, float]:
         """Shares of the item and of its answer that a longest common subsequence has."""
         size = len(self.items.words[item])
-        if size < 8:
-            want = self.items.words[item].tolist()
-            whole = any(seq[k : k + size] == want for k in range(len(seq) - size + 1))
-            return float(whole), float(whole)
         got = common_subsequence(self.items.masks[item], size, seq)
         tail = max(3, size // 4)
         return got.bit_count() / size, (got >> (size - tail)).bit_count() / tail
@@ -251,7 +296,19 @@ class Searcher:
             near.setdefault((d, i), []).append((a, b, c))
         split = np.searchsorted(doc, np.arange(len(col) + 1))
         out = []
+        short: dict[tuple[int, int], int] = {}
+        for d, i, at, size in self.same_runs(h, doc):
+            at -= int(split[d])
+            if len(self.items.words[i]) < RUN:
+                short.setdefault((d, i), at)
+            else:
+                near.setdefault((d, i), []).append((at, at + size, 1.0))
+        for (d, i), at in short.items():
+            # a run of all its words: nothing is left to confirm
+            out.append((d, self.items.ids[i], 1.0, 1.0, 1.0, at, at + len(self.items.words[i])))
         for (d, i), windows in sorted(near.items()):
+            if len(self.items.words[i]) < RUN:
+                continue
             text = h[split[d] : split[d + 1]]
             best = None
             size = len(self.items.words[i])
@@ -278,14 +335,34 @@ class Searcher:
         return out
 
 
+def _blocks(benchmark: DataFrame) -> Iterator[Items]:
+    """The benchmark in blocks of bounded size, read one after the other."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()
+    block: list = []
+    words: set[int] = set()
+    for row in rows:
+        block.append(row)
+        words.update(words_of(pa.array([row["text"]], pa.string()))[0].tolist())
+        if len(block) == ITEMS or len(words) >= VOCABULARY:
+            yield Items([r["item_id"] for r in block], [r["text"] for r in block])
+            block, words = [], set()
+    if block:
+        yield Items([r["item_id"] for r in block], [r["text"] for r in block])
+
+
 def _searchers(docs: DataFrame, benchmark: DataFrame, rank: int, threshold: float, overlap: float, answer: float) -> Iterator:
     """A broadcast searcher for each block of benchmark items."""
     spark = docs.sparkSession
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()
-    while block := list(itertools.islice(rows, ITEMS)):
-        items = Items([r["item_id"] for r in block], [r["text"] for r in block])
+    # the words of all blocks (8 bytes each) are counted in one pass over the corpus
+    vocabulary = np.zeros(0, np.uint64)
+    for items in _blocks(benchmark):
+        vocabulary = np.union1d(vocabulary, items.vocabulary)
+    if not len(vocabulary):
+        return
+    df, total = _document_frequency(docs, vocabulary)
+    for items in _blocks(benchmark):
         if len(items.vocabulary):
-            items.weigh(*_document_frequency(docs, items.vocabulary))
+            items.weigh(df[np.searchsorted(vocabulary, items.vocabulary)], total)
             yield spark.sparkContext.broadcast(Searcher(items, randomised_basis(spark, items, rank), threshold, overlap, answer))
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import functions as F
 
 from quarrystone.llm import decontaminate, fingerprint, passage_dedup, quality
@@ -56,15 +57,12 @@ def test_quality_of_edge_rows(spark, edge, none):
 
 # ---- fingerprints
 def units(t):
-    u = re.split(r"\n|(?<=[.!?|*%&#$]) ", t)
-    few = len(t) < fingerprint.WORDS_BELOW or len(u) * fingerprint.SPARSE < len(t)
-    u += re.split(r"[ \n]", t) if few else []
-    u += [t[k : k + 3] for k in range(len(t) - 2)] if 3 <= len(t) < fingerprint.GRAMS_BELOW else []
-    return {x for x in u if x}
+    return {x for x in regex.split(fingerprint._ENDS, t) if x}
 
 
 def likeness(a, b):
-    return 1 - len(a ^ b) / (len(a) + len(b)) if a or b else 1.0
+    size = lambda s: sum(min(len(x), fingerprint.LONGEST) for x in s)
+    return 1 - size(a ^ b) / (size(a) + size(b)) if a or b else 1.0
 
 
 def check_fingerprints(rows, got):
@@ -90,21 +88,35 @@ def test_fingerprints_of_a_table(spark, small):
     assert len(prints) == len(set(texts.values())) == len({r.fingerprint for r in got})
 
 
-def test_units_do_not_depend_on_length(spark):
-    rows = []
-    for n in (36, 47, 48, 60, 590, 600, 611, 5000):
-        words = " ".join(f"u{n}x{k}" for k in range(n))[:n]
-        rows.append((words, words[: len(words) - 2]))
-        lines = ". ".join(f"line {n} number {k} of a text" for k in range(n))[:n]
-        rows.append((lines, lines[: len(lines) - 2]))
+def test_likeness_moves_smoothly_with_length(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abdefgiklmnoprstuvy") for _ in range(rng.randint(2, 8))) + rng.choice(["", "", ",", "."]) for _ in range(2000)]
+    whole = " ".join(words)
+    rows = [(whole[:n], whole[: n - 1]) for n in [*range(2, 60), *range(60, 2001, 45), 599, 600, 601]]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for r in df.select("a", "b", fingerprint.units(F.col("a")).alias("ua"), fingerprint.units(F.col("b")).alias("ub")).collect():
+        assert len(r.ua) == len(units(r.a)) and len(r.ub) == len(units(r.b))
+        # what one lost character can change is its own unit, a few words of all
+        assert likeness(units(r.a), units(r.b)) >= 1 - 60 / len(r.a)
+
+
+def test_fingerprints_subtract_and_peel(spark):
+    one = [f"sentence number {k} here." for k in range(40)]
+    rows = [(" ".join(one), " ".join([*one[:20], "another one.", *one[25:]])), ("", "a. b."), ("", ""), (" ".join(one), "nothing of it. at all. " * 3), (" ".join(one), " ".join(x.upper() for x in one))]
     df = spark.createDataFrame(rows, "a string, b string")
-    for r in fingerprint.with_units(fingerprint.with_units(df, "a", "ua"), "b", "ub").collect():
-        assert likeness(set(r.ua), set(r.ub)) >= 0.5, r.a
-        assert len(r.a) < 500 or likeness(set(r.ua), set(r.ub)) > 0.9
+    write = lambda c: fingerprint.written(F.col(c), fingerprint.small_sketch(fingerprint.units(F.col(c))))
+    df = df.select("a", "b", fingerprint.units(F.col("a")).alias("ua"), fingerprint.units(F.col("b")).alias("ub"), write("a").alias("fa"), write("b").alias("fb"))
+    got = df.select("*", fingerprint.difference(F.col("fa"), F.col("fb")).alias("d"), fingerprint.text_of(F.array_except("ua", "ub")).alias("n")).collect()
+    for r in got[:3]:
+        assert r.d.complete
+        assert set(r.d.only_a) == set(r.ua) - set(r.ub) and set(r.d.only_b) == set(r.ub) - set(r.ua)
+    assert got[0].n == sum(len(x) for x in units(rows[0][0]) - units(rows[0][1]))
+    assert not got[4].d.complete
 
 
 def test_small_tables_are_sketched_again(spark, monkeypatch):
-    monkeypatch.setattr(fingerprint, "CELLS", (0.4, 0.8, 1.6))
+    monkeypatch.setattr(fingerprint, "CELLS", 1)
+    monkeypatch.setattr(fingerprint, "SPARE", 2)
     rows = [(k, ". ".join(f"unit {k} {j}" for j in range(90))) for k in range(6)]
     got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     check_fingerprints(rows, got)
@@ -207,10 +219,38 @@ def test_passage_without_marks_is_found_to_its_ends(spark):
     assert {(r.doc_id, r.start, r.end, r.n_words, r.first_doc_id) for r in found.collect()} == want
 
 
+def test_repeated_rows_are_repeats_one_after_the_other(spark):
+    rng = random.Random(14)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 9))) for _ in range(n))
+    short, long, whole = some(15), some(40), some(50)
+    # a repeat of 15 words is too short, however often its row stands there
+    rows = [(1, f"{some(20)}. {short}. {some(20)}."), (2, f"x {some(20)}. {short}."), (2, f"x {some(20)}. {short}.")]
+    rows[2] = rows[1]
+    rows += [(3, whole + ".")] * 3 + [(4, f"{some(5)}. {long}. {some(6)}."), (5, f"{long}."), (None, short + "."), (None, short + ".")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter((r.doc_id, r.start, r.end, r.n_words, r.first_doc_id) for r in passage_dedup.repeated_passages(docs).collect())
+    size = len(rows[1][1])
+    # of two equal rows the second is a repeat as a whole; of three the second and third
+    assert got == Counter({(2, 0, size, 36, 2): 1, (3, 0, len(whole) + 1, 50, 3): 2, (5, 0, len(long) + 1, 40, 4): 1})
+    left = Counter((r.doc_id, r.text) for r in passage_dedup.remove_repeats(docs).collect())
+    assert left[(3, whole + ".")] == 1 and left[(3, "")] == 2 and left[rows[1]] == 1 and left[(2, "")] == 1 and left[(5, "")] == 1
+    alone = spark.createDataFrame([rows[3]] * 2, "doc_id bigint, text string")
+    assert [(r.doc_id, r.n_words) for r in passage_dedup.repeated_passages(alone).collect()] == [(3, 50)]
+
+
+def test_columns_keep_their_names(spark):
+    text = " ".join(f"word{k}" for k in range(40))
+    names = ["doc_id", "text", "_copy", "_span_doc", "_span_copy", "_spans", "copy"]
+    docs = spark.createDataFrame([(k, text, 1, 2, 3, 4, 5) for k in range(2)], names)
+    got = passage_dedup.remove_repeats(docs)
+    assert got.columns == [*names, "removed_spans"]
+    assert sorted((r.doc_id, len(r.text), *r[2:7]) for r in got.collect()) == [(0, len(text), 1, 2, 3, 4, 5), (1, 0, 1, 2, 3, 4, 5)]
+
+
 def test_passages_of_edge_rows(edge, none):
     got = passage_dedup.repeated_passages(edge)
     assert got.where("doc_id in (5, 1, 2, 3)").count() == 0
-    assert passage_dedup.remove_passages(edge, got).count() >= edge.count()
+    assert passage_dedup.remove_passages(edge, got).count() == edge.count()
     assert passage_dedup.repeated_passages(none).count() == 0
 
 
@@ -267,10 +307,51 @@ def test_blocks_of_items_give_the_same(spark, small, monkeypatch):
     assert {(d, i) for d, t in texts.items() for i, b in bench.items() if b in t} <= once
 
 
+def test_short_items_must_occur_whole(spark):
+    rows = [(1, "Xylophone"), (2, "a xylo phone, and a blue zebra."), (3, "blue. Zebra"), (4, "zebra blue"), (5, "one two three four five six seven"), (6, "one two three four five six and seven")]
+    items = [(1, "xylophone"), (2, "Blue zebra!"), (3, "one two three four five six seven")]
+    got = decontaminate.contamination(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.start_word) for r in got) == [(1, 1, 0), (2, 2, 5), (3, 2, 0), (5, 3, 0)]
+
+
+def test_an_item_that_many_texts_hold_is_found(spark):
+    rng = random.Random(5)
+    texts = corpus(rng, 240)
+    item = " ".join(texts[0].split()[:20])
+    rows = [(k, f"{t} {item}." if k % 3 == 0 else t) for k, t in enumerate(texts)]
+    bench = spark.createDataFrame([(7, item), (8, texts[200] + " and more")], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contamination(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert got == {(k, 7) for k in range(0, 240, 3)} | {(200, 8)}
+
+
+def test_paraphrases_against_all_pairs(spark, small):
+    """All (text, item) pairs whose common subsequence is long enough, texts being single lines of a table."""
+    rng = random.Random(31)
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    words = sorted({w for _, t in bench for w in re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())})
+    rows = []
+    for k in range(160):
+        base = re.findall(r"\S+", bench[k % len(bench)][1])
+        changed = [w if rng.random() > 0.22 else rng.choice(words) for w in base]
+        rows.append((k, " ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) + " " + " ".join(changed)))
+    split = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())
+    want = set()
+    for i, t in bench:
+        item = split(t)
+        for d, text in rows:
+            seq = split(text)
+            tail = max(3, len(item) // 4)
+            if len(item) >= 8 and len(set(item) & set(seq)) >= 0.6 * len(set(item)) and lcs(item, seq) >= 0.6 * len(item) and lcs(item[-tail:], seq) >= 0.5 * tail:
+                want.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contamination(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string")).collect()}
+    assert len(got & want) >= 0.9 * len(want) and len(want) > 100
+    assert all(d % len(bench) == [i for i, _ in bench].index(i) for d, i in got - want)
+
+
 def test_contamination_of_edge_rows(spark, edge, none):
     bench = spark.createDataFrame([(1, "same text here for all of us to read"), (2, None), (3, "one two")], "item_id bigint, text string")
     got = Counter((r.doc_id, r.item_id) for r in decontaminate.contamination(edge, bench).collect())
-    assert got[(8, 1)] == 2 and got[(9, 1)] == 1
+    assert got[(8, 1)] == 2 and got[(9, 1)] == 1 and got[(3, 3)] == 1
     assert decontaminate.contamination(none, bench).count() == 0
     assert decontaminate.contamination(edge, bench.where("false")).count() == 0
     assert decontaminate.drop_contaminated(edge, bench).where("doc_id in (8, 9)").count() == 0
