@@ -33,7 +33,16 @@ def test_stages_take_edge_rows(spark, edge, none, small, pipeline):
             stage(spark, docs, small).collect()
     one = pipeline.keep_one_of_near(spark, edge, small)
     kept = [r.doc_id for r in one.collect()]
-    assert kept.count(8) == 1 and 9 not in kept and kept.count(None) == 1 and kept.count(10) == 1
+    assert kept.count(8) == 1 and 9 not in kept and kept.count(None) == 1 and kept.count(10) == 2
+
+
+def test_rows_with_one_id_are_judged_each_by_its_text(spark, small, pipeline):
+    words = [f"w{k}" for k in range(80)]
+    a, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(w + "u" for w in words)
+    rows = [(1, a), (7, near), (7, other), (9, other), (9, other), (None, a), (None, a), (5, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(r.doc_id, r.text) for r in pipeline.keep_one_of_near(spark, docs, small).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (7, other), (None, a), (None, a), (5, None), (5, "")], key=str)
 
 
 def test_near_copies_between_80_and_85_percent_go(spark, small, pipeline):
