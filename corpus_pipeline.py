@@ -2,14 +2,16 @@
 benchmark leaks, secrets, and encoding.
 
 Each stage takes all that its predecessor kept and returns the columns of ``documents``
-(other columns go), but for the last, which returns what encoding gives.  Null ids
-are kept through all stages; rows that repeat an id are one document to the near
-duplicates, which keep one of them; an empty table passes through.
+(other columns go), but for the last, which returns what encoding gives.  Rows with a
+null id are kept by the near duplicates; rows that repeat an id are judged each by its
+own text, so that none goes for what another holds; of rows that repeat id and text one
+is enough, where the text has words; null and empty texts pass all stages that do not
+reject them; very long texts are worked on whole; an empty table passes through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.llm import decontaminate, near_dup, piece_bpe, quality, secret_scan
@@ -31,17 +33,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (``NEAR_PERCENT`` or more): the one with the smallest id."""
+    """One row of each group of near duplicates (``NEAR_PERCENT`` or more): the one with the smallest id."""
     docs = docs.select(*COLUMNS)
-    found = materialise(spark, near_dup.near_duplicates(docs, NEAR_PERCENT))
-    gone = found.where("not kept").select("doc_id").distinct()
+    row = "doc_id"
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        # ids that repeat name no row: rows are numbered in the order of their ids
+        row = "_row"
+        order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+        dealt = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+        docs = materialise(spark, dealt.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())))
+    found = materialise(spark, near_dup.near_duplicates(docs.select(F.col(row).alias("doc_id"), "text"), NEAR_PERCENT))
+    gone = found.where("not kept").select(F.col("doc_id").alias(row))
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    out = docs.join(gone, "doc_id", "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if repeated:
-        order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), "lang", "source", "n_chars")
-        out = out.withColumn("_n", F.row_number().over(order)).where("doc_id is null or _n = 1")
-    return out.select(*COLUMNS)
+    return docs.join(gone, row, "left_anti").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
