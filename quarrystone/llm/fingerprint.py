@@ -43,6 +43,8 @@ from quarrystone.llm.common import discard, materialise, table
 CELLS = 3
 #: Further cells of each sub-table, and peeling steps of an attempt.
 SPARE, STEPS = 12, 7
+#: Tasks of the first attempt for each of the session's shuffle partitions.
+FINER = 3
 #: Cells of each sub-table of the fingerprint column.
 SMALL = 8
 #: Code points that a unit counts as at most (14 bits of a digest).
@@ -266,9 +268,13 @@ def _neighbours(base: DataFrame) -> tuple[DataFrame, bool]:
 def _pairs(base: DataFrame, link: DataFrame, attempt: int) -> DataFrame:
     """A row for each document of ``link``'s predecessors: results of one attempt."""
     seed = attempt + 1
+    # many small tasks: each holds the cells of its documents in several aggregates at once
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")) * (FINER if attempt == 0 else 1)
     # hashed joins: no sort holds memory that the aggregates of the same tasks need
-    own = base.join(link.select(*_KEY, "half", "pred_dk", "pred_rid", "pred_half").hint("shuffle_hash"), _KEY)
+    near = link.select(*_KEY, "half", "pred_dk", "pred_rid", "pred_half").repartition(parts, *_KEY)
+    own = base.repartition(parts, *_KEY).join(near.hint("shuffle_hash"), _KEY)
     sent = own.select(F.col("pred_dk").alias("to_dk"), F.col("pred_rid").alias("to_rid"), F.expr("left(text, pred_half)").alias("prefix"), units(F.col("text")).alias("next"))
+    sent = sent.repartition(parts, "to_dk", "to_rid")
     both = own.select(*_KEY, "text", "half").join(sent.hint("shuffle_hash"), (F.col("dk") == F.col("to_dk")) & (F.col("rid") == F.col("to_rid")))
     edited = F.concat(F.expr("left(text, char_length(text) - half)"), F.col("prefix"))
     texts = both.select(*_KEY, "text", edited.alias("edited_text"), "next")
