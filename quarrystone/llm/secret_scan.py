@@ -5,15 +5,21 @@ between matches and the matches themselves alternate, so running sums of their
 lengths are the spans (in code points).  Cheap ``contains`` and ``rlike`` tests go
 first, so most texts are never split.
 
-The models are character bigrams of random strings and of ordinary identifiers.  A
-token of token characters is reported (kind ``markov``) when the log-likelihood ratio
-a character exceeds the threshold, it mixes letters with digits, and no fixed form
-covers it.  Both are trained here from labelled samples: strings drawn from digests
-in three alphabets, and names made of ordinary words.
+The models are character models of random strings and of ordinary identifiers, each
+of the character that follows two others, backed off to the one before and to none.
+Every token of ``TOKEN_LEAST`` characters or more that no fixed form covers is scored by
+the log-likelihood ratio summed over its characters, and reported (kind ``markov``) from
+the model's threshold on, which holds a stated rate of false reports on ordinary
+identifiers kept out of its counts.  ``fit`` trains on any labelled samples;
+``default_model`` on samples made here: strings drawn from digests in five alphabets,
+and names, words and numbers put together in the usual ways.
 
 Cases: null text = empty text = no spans; a span is never reported twice for a kind;
-overlapping spans of different kinds all count; redaction replaces each stretch that
-spans cover by one placeholder.
+overlapping spans of different kinds all count; repeated rows get the same spans; very
+long texts are searched whole, and a token of any length is scored over all its
+characters; further columns stay, whatever their names (``secret_spans`` is replaced);
+redaction replaces each stretch that spans cover by one placeholder; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -21,8 +27,9 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import itertools
 import math
+import unicodedata
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +45,8 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
 TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Token length from which the models judge.
-TOKEN_LEAST = 20
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+TOKEN_LEAST = 12
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 # Ordinary words of which identifiers are made.
@@ -48,31 +55,83 @@ WORDS = (
 ).split()
 
 
-def labelled_samples(n: int = 3000) -> tuple[list[str], list[str]]:
+# Ordinary words of other languages, so that their letters in a row are ordinary too.
+FOREIGN = (
+    "abschnitt anwendung aufgabe bedeutung beispiel berechnung bereich beschreibung bestimmung datei durchschnitt eigenschaft einstellung entwicklung ergebnis gesellschaft geschichte grundlage herstellung leistung möglichkeit nachricht schaltfläche schnittstelle sprache verbindung verwaltung vorschlag werkzeug wirtschaft zeitraum zusammenfassung "
+    "aplicación archivo búsqueda cantidad conocimiento contraseña desarrollo dirección documento empresa ejemplo escuela estructura fecha función gobierno historia información lenguaje mensaje momento número persona problema programa pueblo respuesta servicio siguiente trabajo usuario ventana "
+    "affichage bibliothèque chaîne chemin commande connexion développement donnée enregistrement entreprise environnement erreur fenêtre fichier fonction gouvernement histoire langage logiciel lumière mémoire nombre nouvelle ordinateur paramètre personne quelque réponse réseau sauvegarde système travail utilisateur valeur"
+).split()
+
+
+def labelled_samples(n: int = 4000) -> tuple[list[str], list[str]]:
     """Random strings and ordinary identifiers, the same at every call."""
     random, plain = [], []
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    words = [*WORDS, *(unicodedata.normalize("NFKD", w).encode("ascii", "ignore").decode() for w in FOREIGN)]
     for k in range(n):
         d = hashlib.sha512(f"sample {k}".encode()).digest()
-        text = (base64.b64encode(d).decode(), d.hex(), base64.b32encode(d).decode().rstrip("="))[k % 3]
-        random.append(text[: 20 + d[0] % 40])
-        picked = [WORDS[x % len(WORDS)] for x in d[: 3 + d[1] % 3]]
-        joined = ("_".join(picked), "".join(w.title() for w in picked), "-".join(picked), "/".join(picked), "".join(picked), "_".join(picked).upper())[k % 6]
-        plain.append(joined + (str(d[2] % 100) if d[3] % 4 == 0 else ""))
+        alphabets = (base64.b64encode(d).decode(), d.hex(), base64.b32encode(d).decode().rstrip("="), "".join((letters + "0123456789")[x % 62] for x in d), "".join(letters[x % 52] for x in d))
+        random.append(alphabets[k % 5][: 12 + d[0] % 44])
+        picked = [words[(x + 256 * y) % len(words)] for x, y in zip(d[: 2 + d[1] % 4], d[32:])]
+        forms = ("_".join(picked), "".join(w.title() for w in picked), "-".join(picked), "/".join(picked), "".join(picked), "_".join(picked).upper(), picked[0] + "".join(w.title() for w in picked[1:]), "-".join(picked).upper())
+        joined = forms[k % 8]
+        if d[3] % 4 == 0:
+            joined += str(d[2] % 100)
+        if d[3] % 16 == 1:  # dates, counters and rules of signs
+            joined = (f"20{d[4] % 40:02}-{d[5] % 12 + 1:02}-{d[6] % 28 + 1:02}", f"{int.from_bytes(d[4:8]) % 10 ** (9 + d[8] % 6):014}", "-" * (12 + d[4] % 40), "=" * (12 + d[4] % 40), "_" * (12 + d[4] % 30))[d[9] % 5]
+        plain.append(joined)
     return random, plain
 
 
-@functools.cache
-def ratio_rows(scale: float = 8.0) -> tuple[str, ...]:
-    """For each character, the log-likelihood ratios of the next one, each as a printable character."""
+@dataclass(frozen=True)
+class Model:
+    """For each two characters, the log-likelihood ratios of the next one as printable characters, and the least sum that is reported."""
+
+    rows: tuple[str, ...]
+    threshold: float
+
+
+#: Steps of a ratio of one, and the character that stands for a ratio of nothing.
+_SCALE, _ZERO = 8.0, 80
+
+
+def _likelihoods(sample: list[str], back: float = 3.0) -> list[list[float]]:
+    """Logarithm of the likelihood of each character after each two; the first of a token follow themselves."""
     size = len(TOKEN_CHARS)
-    logs = []
-    for sample in labelled_samples():
-        counts = [[0.5] * size for _ in range(size)]
-        for text in sample:
-            for a, b in itertools.pairwise(text):
-                counts[TOKEN_CHARS.index(a)][TOKEN_CHARS.index(b)] += 1
-        logs.append([[math.log(c / sum(row)) for c in row] for row in counts])
-    return tuple("".join(chr(80 + max(-40, min(40, round(scale * (r - p))))) for r, p in zip(*pair)) for pair in zip(*logs))
+    one, two, three = [0.5] * size, [[0.0] * size for _ in range(size)], [[0.0] * size for _ in range(size * size)]
+    for text in sample:
+        codes = [TOKEN_CHARS.index(c) for c in text if c in TOKEN_CHARS]
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            one[c] += 1
+            two[b][c] += 1
+            three[a * size + b][c] += 1
+    p1 = [n / sum(one) for n in one]
+    p2 = [[(n + back * p) / (sum(row) + back) for n, p in zip(row, p1)] for row in two]
+    return [[math.log((n + back * p) / (sum(row) + back)) for n, p in zip(row, p2[k % size])] for k, row in enumerate(three)]
+
+
+def _sum_of(rows: tuple[str, ...], token: str) -> float:
+    codes = [TOKEN_CHARS.index(c) for c in token]
+    return sum(ord(rows[a * len(TOKEN_CHARS) + b][c]) - _ZERO for a, b, c in zip(codes, codes[1:], codes[2:])) / _SCALE
+
+
+def fit(random: list[str], plain: list[str], rate: float = 0.001, held_out: int = 4) -> Model:
+    """Models of both kinds of labelled strings; every ``held_out``-th ordinary one only sets the threshold,
+    from which on at most the share ``rate`` of these are reported."""
+    kept = [t for k, t in enumerate(plain) if k % held_out]
+    pairs = zip(_likelihoods(random), _likelihoods(kept))
+    rows = tuple("".join(chr(_ZERO + max(-40, min(40, round(_SCALE * (r - p))))) for r, p in zip(*pair)) for pair in pairs)
+    sums = sorted(_sum_of(rows, t) for t in plain[::held_out] if len(t) >= TOKEN_LEAST)
+    return Model(rows, max(LEAST_SUM, sums[-1 - int(rate * len(sums))] + 1 / _SCALE if sums else 0.0))
+
+
+#: Sum of ratios below which nothing is reported, whatever the samples say.
+LEAST_SUM = 18.0
+
+
+@functools.cache
+def default_model() -> Model:
+    return fit(*labelled_samples())
 
 
 def _matches(text: Column, pattern: str, worth: Column) -> Column:
@@ -94,39 +153,46 @@ def _matches(text: Column, pattern: str, worth: Column) -> Column:
     return F.when(worth, walk).otherwise(F.array().cast(kind))
 
 
-def _random_ratio(token: Column) -> Column:
-    """The log-likelihood ratio a character of a token being random."""
-    rows = F.array(*(F.lit(r) for r in ratio_rows()))
-    alphabet = F.lit(TOKEN_CHARS)
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.char_length(token) - 1),
-        F.lit(0),
-        lambda acc, i: acc + F.ascii(F.substr(F.element_at(rows, F.instr(alphabet, F.substr(token, i, F.lit(1)))), F.instr(alphabet, F.substr(token, i + 1, F.lit(1))), F.lit(1))) - 80,
-    )
-    return total / (8.0 * (F.char_length(token) - 1))
+def _random_sum(token: Column, model: Model) -> Column:
+    """The log-likelihood ratio of a token being random, summed over its characters."""
+    size = len(TOKEN_CHARS)
+    # folded into one constant array
+    rows = F.split(F.lit("\x01".join(model.rows)), "\x01", -1)
+    codes = F.transform(F.split(token, "", -1), lambda c: F.instr(F.lit(TOKEN_CHARS), c) - 1)
+    start = F.struct(F.lit(-1).alias("a"), F.lit(-1).alias("b"), F.lit(0).alias("sum"))
+
+    def step(acc: Column, c: Column) -> Column:
+        known = (acc["a"] >= 0) & (c >= 0)
+        worth = F.ascii(F.substr(F.element_at(rows, acc["a"] * size + acc["b"] + 1), c + 1, F.lit(1))) - _ZERO
+        # an empty part at the end of a split has no place among the characters
+        return F.struct(F.when(c >= 0, acc["b"]).otherwise(acc["a"]).alias("a"), F.when(c >= 0, c).otherwise(acc["b"]).alias("b"), (acc["sum"] + F.when(known, worth).otherwise(0)).alias("sum"))
+
+    return F.aggregate(F.filter(codes, lambda c: c >= 0), start, step, lambda acc: acc["sum"] / _SCALE)
 
 
-def scan_secrets(df: DataFrame, text_col: str = "text", threshold: float = 0.35) -> DataFrame:
+def scan_secrets(df: DataFrame, text_col: str = "text", model: Model | None = None) -> DataFrame:
     """``df`` with ``secret_spans``: array of (start, rank of the kind, end, kind), sorted."""
+    model = model or default_model()
     text = F.coalesce(F.col(text_col), F.lit(""))
     low = F.lower(text)
     named = functools.reduce(lambda a, b: a | b, (F.contains(low, F.lit(w)) for w in ASSIGN_WORDS))
+    names = set(df.columns)
+    fresh = lambda name: name if name not in names else fresh(name + "_")
+    tokens_col, base_col = fresh("_tokens"), fresh("_base")
 
     def of(kind: str, spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
     assign = F.filter(_matches(text, ASSIGN, named & text.rlike(ASSIGN)), lambda s: F.char_length(F.regexp_extract(s["match"], ASSIGN, 2)) >= ASSIGN_LEAST)
     access = _matches(text, ACCESS, F.contains(text, F.lit("AKIA")))
-    # one test serves hex runs and tokens: either is a run of 20 token characters
-    long = text.rlike(TOKEN)
-    hexes = _matches(text, HEX, long & text.rlike(HEX))
-    tokens = F.filter(_matches(text, TOKEN, long), lambda s: s["match"].rlike("[0-9]") & s["match"].rlike("[A-Za-z]"))
-    step = df.withColumn("_tokens", tokens).withColumn("_base", F.concat(of("assign", assign), of("access", access), of("hex", hexes)))
+    hexes = _matches(text, HEX, text.rlike(HEX))
+    tokens = _matches(text, TOKEN, text.rlike(TOKEN))
+    step = df.withColumn(tokens_col, tokens).withColumn(base_col, F.concat(of("assign", assign), of("access", access), of("hex", hexes)))
     odd = F.filter(
-        "_tokens",
-        lambda s: ~F.exists("_base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])) & (_random_ratio(s["match"]) >= threshold),
+        tokens_col,
+        lambda s: (_random_sum(s["match"], model) >= model.threshold) & ~F.exists(base_col, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])),
     )
-    return step.withColumn("secret_spans", F.sort_array(F.concat("_base", of("markov", odd)))).drop("_tokens", "_base")
+    return step.withColumn("secret_spans", F.sort_array(F.concat(base_col, of("markov", odd)))).drop(tokens_col, base_col)
 
 
 def _joined(spans: Column) -> Column:

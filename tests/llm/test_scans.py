@@ -45,15 +45,45 @@ def test_secrets_of_edge_rows_and_plan(edge, none):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
-def test_models_tell_random_from_ordinary(spark):
-    random_, plain = secret_scan.labelled_samples(300)
-    # other samples than those of training: strings reversed, names of other words
-    rows = [(s[::-1], 1) for s in random_] + [(s.replace("a", "o"), 0) for s in plain if any(c.isdigit() for c in s) and len(s) >= 20]
+def python_names():
+    import asyncio, ctypes, http.client, logging, socket, ssl, subprocess, unittest  # noqa: E401
+
+    names = set()
+    for module in (asyncio, ctypes, http.client, logging, socket, ssl, subprocess, unittest):
+        names |= {n for k in dir(module) for n in [k, *dir(getattr(module, k))]}
+    return sorted(n for n in names if re.fullmatch("[A-Za-z0-9_]{12,}", n))
+
+
+def test_models_on_strings_of_other_origin(spark):
+    rng = random.Random(77)
+    alphabets = ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef"]
+    keys = ["".join(rng.choice(rng.choice(alphabets[:1]) if k % 4 == 0 else alphabets[k % 4]) for _ in range(rng.randint(16, 31))) for k in range(800)]
+    keys.append("XyZkQpLmWvRtBnHsGfDcJq")
+    rows = [(s, 1) for s in keys] + [(s, 0) for s in python_names()]
     df = secret_scan.scan_secrets(spark.createDataFrame(rows, "text string, y int"))
-    got = df.select("y", (F.size("secret_spans") > 0).alias("p")).collect()
-    hit = [r.p for r in got if r.y == 1]
-    wrong = [r.p for r in got if r.y == 0]
-    assert sum(hit) / len(hit) > 0.9 and sum(wrong) <= 0.1 * max(1, len(wrong))
+    got = df.select("text", "y", (F.size("secret_spans") > 0).alias("p")).collect()
+    model = secret_scan.default_model()
+    # the expression sums what the model says
+    assert all(r.p == (secret_scan._sum_of(model.rows, r.text) >= model.threshold) for r in got)
+    hit, wrong = [r.p for r in got if r.y], [r.p for r in got if not r.y]
+    recall, false = sum(hit) / len(hit), sum(wrong) / len(wrong)
+    assert recall > 0.9 and false < 0.005 and len(wrong) > 1000, (recall, false)
+    assert next(r.p for r in got if r.text == "XyZkQpLmWvRtBnHsGfDcJq")
+
+
+def test_models_of_given_samples(spark):
+    rng = random.Random(8)
+    odd = ["".join(rng.choice("pqbd") for _ in range(30)) for _ in range(400)]
+    model = secret_scan.fit(odd, ["".join(rng.choice(["mo", "na", "li"]) for _ in range(14)) for _ in range(400)])
+    df = spark.createDataFrame([("a pqbdqpbdpqqbdpqdbpqd b",), ("a monalimonalimonalimona b",)], "text string")
+    assert [r.secret_spans[0].start if r.secret_spans else None for r in secret_scan.scan_secrets(df, model=model).collect()] == [2, None]
+
+
+def test_secret_columns_keep_their_names(spark):
+    df = spark.createDataFrame([("token=abcdefgh1", 1, 2, 3)], "text string, _tokens int, _base int, match int")
+    got = secret_scan.scan_secrets(df)
+    assert got.columns == ["text", "_tokens", "_base", "match", "secret_spans"]
+    assert tuple(got.first())[1:4] == (1, 2, 3)
 
 
 def test_redaction_merges_spans(spark):
