@@ -2,15 +2,25 @@
 
 The standard library's parser runs over the page once.  Block elements end lines;
 each line keeps its characters, the tags that stood in it and the container it lies
-in.  The ratios of characters to tags are smoothed with a Gaussian along the page,
-two-means clustering of their logarithms sets the threshold, and the container that
-gains most (characters of lines above the threshold less those below) is the content
-region; ``article`` and ``main`` elements go before others.  All lines of the region
-are kept, but for those in menus, forms, notices, adverts, comments and the like.
+in.  The ratios of characters to tags are smoothed with a Gaussian along the page, and
+two-means clustering of their logarithms sets the threshold: lines from it on are
+selected.  The content region follows from them: the ``article`` and ``main`` elements,
+if these hold at least half of the selected text; else the smallest container that
+holds nearly all of it, and from there outwards while what is added is mostly selected.
+All lines of the region are kept, selected or not, but for those in menus, forms,
+notices, adverts, comments and the like.
+
+Such parts are known by their element, or by whole names in class, id and role: names
+put together (``cookie-notice``) count by their parts, those that say what is not or what
+has something (``no-comments``, ``has-sidebar``) do not, and names that a paragraph may
+have as well (``related-work``) count only where links make up much of the text.  What
+holds most of a page's text is never left out for its name.
 
 Cases: null or empty html gives empty text; a page without any text too; markup that
 is cut off or left open is read as far as it goes; white space within a line becomes
-one space.
+one space; very long pages are read whole; of equally small containers the innermost
+counts; repeated rows get the same text; further columns are ignored, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,19 +42,53 @@ DROPPED = frozenset("aside button dialog footer form head header iframe menu nav
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-# Words in class, id or role that mark what is not main text.
-MARKS = frozenset("ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo consent cookie cookies dialog disqus footer header menu modal nav navbar navigation newsletter notice notices pagination popup promo reply replies related search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
-_WORD = re.compile(r"[a-z0-9]+")
+#: Containers that can be the content region; others are parts of a text.
+REGIONS = frozenset("article body div html main page section".split())
+
+# Parts of names in class, id or role by which an element is no main text.  Always; as the last
+# part; as the first part, where links make up much of the text; and those that turn a name into another thing's.
+ALWAYS = frozenset("ad ads advert adverts advertisement advertisements advertising breadcrumb breadcrumbs comment comments complementary contentinfo consent cookie cookies disqus modal nav navbar navigation newsletter pagination popup promo replies sponsor sponsored subscribe toolbar".split())
+LAST = frozenset("banner dialog footer header menu notice notices related reply search share sharing sidebar social widget".split())
+LINKED = frozenset("footer header menu related share sharing sidebar social search widget".split())
+NOT = frozenset("has have hide in is js no not show with without".split())
+COMMENTS = frozenset("comment comments disqus replies reply".split())
+#: Share of links in the text from which on a name of ``LINKED`` counts, and share of the page that no name takes away.
+LINK_SHARE, MOST = 0.3, 0.5
+#: Share of the selected text that the content region holds at least.
+NEARLY_ALL = 0.8
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+
+
+def mark_of(attrs: list[tuple[str, str | None]]) -> str:
+    """What the names of an element say of it: comments, always, linked, or nothing."""
+    found = ""
+    for name, value in attrs:
+        if not value or name not in ("class", "id", "role"):
+            continue
+        for whole in value.split():
+            parts = [p.lower() for p in _PART.findall(whole)]
+            if not parts or not NOT.isdisjoint(parts[:-1] or parts):
+                continue
+            if not ALWAYS.isdisjoint(parts) or parts[-1] in LAST:
+                if not COMMENTS.isdisjoint(parts):
+                    return "comments"
+                found = "always"
+            elif not found and parts[0] in LINKED:
+                found = "linked"
+    return found
 
 
 class PageEvents(HTMLParser):
-    """Lines of a page: [text, tags, container, dropped]; parents of containers."""
+    """Lines of a page: [text, tags, container, dropped, marked elements, characters of links]; parents of containers."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, tuple[int, ...], int]] = []
         self.parent, self.kind = [-1], ["page"]
-        self.open: list[tuple[str, int, bool]] = []
+        #: tag, container around, whether it is left out, number among the marked elements (0: none)
+        self.open: list[tuple[str, int, bool, int]] = []
+        self.marks = [""]
+        self.links = self.linked = 0
         self.container, self.dropped, self.heading = 0, 0, False
         self.held: list[str] = []
         self.tags = 0
@@ -53,9 +97,10 @@ class PageEvents(HTMLParser):
         if self.held:
             text = " ".join("".join(self.held).split())
             if text:
-                self.lines.append((text, self.tags, self.container, self.dropped > 0 and not self.heading))
+                marked = tuple(mark for *_, mark in self.open if mark)
+                self.lines.append((text, self.tags, self.container, self.dropped > 0 and not self.heading, marked, self.linked))
             self.held = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -69,12 +114,16 @@ class PageEvents(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
+        self.links += tag == "a"
+        mark = mark_of(attrs)
+        if tag in ("html", "body", "main") or (tag == "article" and mark != "comments"):
+            mark = ""
         drop = tag in DROPPED
-        for name, value in attrs:
-            if value and name in ("class", "id", "role") and not MARKS.isdisjoint(_WORD.findall(value.lower())):
-                drop = tag not in ("html", "body", "article", "main") or "comment" in value.lower()
-        if drop or tag in CONTAINERS:
-            self.open.append((tag, self.container, drop))
+        if drop or mark or tag in CONTAINERS:
+            if mark:
+                self.flush()
+                self.marks.append(mark)
+            self.open.append((tag, self.container, drop, len(self.marks) - 1 if mark else 0))
             self.dropped += drop
             if tag in CONTAINERS:
                 self.parent.append(self.container)
@@ -83,12 +132,12 @@ class PageEvents(HTMLParser):
 
     def _titled(self) -> bool:
         """Whether only header elements of an article or main element hide a heading here."""
-        hides = [t for t, _, drop in self.open if drop]
-        return bool(hides) and all(t == "header" for t in hides) and self.open[0][0] != "header" and any(t in ("article", "main") for t, _, _ in self.open)
+        hides = [t for t, _, drop, _ in self.open if drop]
+        return bool(hides) and all(t == "header" for t in hides) and self.open[0][0] != "header" and any(t in ("article", "main") for t, *_ in self.open)
 
     def _close(self, at: int) -> None:
         while len(self.open) > at:
-            _, self.container, drop = self.open.pop()
+            _, self.container, drop, _ = self.open.pop()
             self.dropped -= drop
 
     def handle_endtag(self, tag: str) -> None:
@@ -98,6 +147,7 @@ class PageEvents(HTMLParser):
         elif tag == "br":
             self.held.append(" ")
         self.tags += 1
+        self.links = max(0, self.links - (tag == "a"))
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
                 self.flush()
@@ -107,6 +157,8 @@ class PageEvents(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.open or self.open[-1][0] not in ("script", "style"):
             self.held.append(data)
+            if self.links:
+                self.linked += len("".join(data.split()))
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         """Marked sections are no text of a page; the base class raises on unknown ones."""
@@ -147,35 +199,65 @@ def _threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def _left_out(page: PageEvents) -> list[bool]:
+    """Whether each line is left out: by its element, or by a marked element that counts."""
+    chars, linked = [0] * len(page.marks), [0] * len(page.marks)
+    whole = 0
+    for text, _, _, dropped, marked, links in page.lines:
+        if not dropped:
+            size = len("".join(text.split()))
+            whole += size
+            for m in marked:
+                chars[m] += size
+                linked[m] += links
+    out = [False]
+    for mark, size, links in zip(page.marks[1:], chars[1:], linked[1:]):
+        few = size < MOST * whole
+        out.append(size < whole if mark == "comments" else few if mark == "always" else few and links >= LINK_SHARE * size)
+    return [dropped or any(out[m] for m in marked) for _, _, _, dropped, marked, _ in page.lines]
+
+
+def _region(page: PageEvents, live: list[bool], selected: list[bool]) -> list[bool]:
+    """Whether each container lies in the content region."""
+    n = len(page.parent)
+    chosen, other = [0] * n, [0] * n
+    for (text, _, c, *_), is_live, is_selected in zip(page.lines, live, selected):
+        if is_live:
+            size = len(text)
+            while c >= 0:
+                (chosen if is_selected else other)[c] += size
+                c = page.parent[c]
+    inside = [False] * n
+    named = [False] * n
+    for c in range(1, n):
+        named[c] = named[page.parent[c]] or page.kind[c] in ("article", "main")
+    held = sum(chosen[c] for c in range(1, n) if named[c] and not named[page.parent[c]])
+    if held and held >= chosen[0] / 2:
+        return named
+    fit = [c for c in range(n) if page.kind[c] in REGIONS and chosen[c] >= NEARLY_ALL * chosen[0]]
+    best = min(fit, key=lambda c: (chosen[c] + other[c], -c))
+    # outwards while what comes along is mostly selected text
+    while (up := page.parent[best]) >= 0 and (gain := chosen[up] - chosen[best]) and gain >= other[up] - other[best]:
+        best = up
+    for c in range(n):
+        inside[c] = c == best or (page.parent[c] >= 0 and inside[page.parent[c]])
+    return inside
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     if not html:
         return ""
     page = PageEvents()
     page.feed(html)
     page.finish()
-    lines = page.lines
-    if not any(not dropped for *_, dropped in lines):
+    live = [not x for x in _left_out(page)]
+    if not any(live):
         return ""
-    ratio = _smooth([math.log1p(len(text) / max(1, tags)) for text, tags, _, _ in lines], sigma)
-    cut = _threshold(ratio)
-    gain = [0.0] * len(page.parent)
-    for (text, _, container, dropped), r in zip(lines, ratio):
-        worth = 0 if dropped else len(text) if r >= cut else -len(text)
-        while container >= 0:
-            gain[container] += worth
-            container = page.parent[container]
-    holds = {c for _, _, c, dropped in lines if not dropped}
-    for c in [*holds]:
-        while c >= 0:
-            holds.add(c)
-            c = page.parent[c]
-    named = [c for c in holds if page.kind[c] in ("article", "main")]
-    # of equal gain, the outermost: it was opened first
-    best = max(named or holds, key=lambda c: (gain[c], -c))
-    inside = [False] * len(page.parent)
-    for c in range(len(inside)):
-        inside[c] = c == best or (page.parent[c] >= 0 and inside[page.parent[c]])
-    return "\n\n".join(text for text, _, c, dropped in lines if inside[c] and not dropped)
+    ratio = _smooth([math.log1p(len(text) / max(1, tags)) for text, tags, *_ in page.lines], sigma)
+    cut = _threshold([r for r, is_live in zip(ratio, live) if is_live])
+    selected = [is_live and r >= cut for r, is_live in zip(ratio, live)]
+    inside = _region(page, live, selected)
+    return "\n\n".join(text for (text, _, c, *_), is_live in zip(page.lines, live) if is_live and inside[c])
 
 
 def extract_main_text(df: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -165,6 +165,45 @@ def test_what_is_no_main_text():
     assert main_text.main_text(page) == "Title & more\n\nFirst paragraph with enough words to count.\n\nSecond line é.\n\na\n\nb"
 
 
+PARAGRAPHS = ["This is a paragraph of the text that says something at some length, and goes on for a while.", "A second one follows it, which is about as long as the first and has a link or two, but not more.", "The third of them ends the text, and has enough words in it to be told from menus and the like."]
+MENU = "<div><ul>" + "".join(f'<li><a href="/{k}">Item {k}</a></li>' for k in range(12)) + "</ul></div>"
+
+
+def test_regions_without_article(monkeypatch):
+    one, two, three = PARAGRAPHS
+    page = f"<body>{MENU}<div><h2>Title</h2><p>{one}</p><ul><li>a</li><li>b</li><li>c</li></ul><p>{two}</p><table><tr><td>1</td><td>2</td></tr></table><blockquote><p>{three}</p></blockquote></div>{MENU}<div><a href='/'>Home</a> | <a href='/x'>Imprint</a></div></body>"
+    want = "\n\n".join(["Title", one, "a", "b", "c", two, "1", "2", three])
+    assert main_text.main_text(page) == want
+    # the clustering decides: with a constant threshold the menus come along
+    with monkeypatch.context() as m:
+        m.setattr(main_text, "_threshold", lambda values: -1.0)
+        assert main_text.main_text(page) != want
+    quoted = f"<body>{MENU}<div><p>{one}</p><blockquote><p>{two}</p><p>{three}</p><p>{two}</p><p>{three}</p></blockquote><p>{two}</p></div></body>"
+    assert main_text.main_text(quoted) == "\n\n".join([one, two, three, two, three, two])
+    parts = f"<body>{MENU}<section><p>{one}</p></section><section><p>{two}</p></section><section><p>{three}</p></section></body>"
+    assert main_text.main_text(parts).startswith("\n\n".join(PARAGRAPHS)) or main_text.main_text(parts).endswith("\n\n".join(PARAGRAPHS))
+
+
+def test_names_of_elements():
+    one, two, three = PARAGRAPHS
+    text = "\n\n".join(PARAGRAPHS)
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    for name in ("layout has-sidebar", "page no-comments", "sidebar", "with-comments", "main header"):
+        assert main_text.main_text(f'<body><nav>x</nav><div class="{name}"><article>{body}</article></div></body>') == text, name
+    assert main_text.main_text(f'<article><p>{one}</p><p class="related-work">{two}</p><p class="social-policy">{three}</p></article>') == text
+    linked = '<div class="related-posts"><a href="/1">One more post</a> <a href="/2">And another</a></div>'
+    extra = '<div class="comment-list"><p>Nice post</p></div><div id="post-comments"><p>So it is</p></div><div class="cookie-bar">We use cookies</div><div class="adSlot">Buy</div>'
+    assert main_text.main_text(f"<article>{body}{linked}{extra}</article>") == text
+    many = "".join(f"<p>Reader {k}: {one}</p>" for k in range(9))
+    assert main_text.main_text(f'<article><p>{two}</p><section id="comments">{many}</section></article>') == two
+    assert main_text.main_text(f'<article><p>{two}</p></article><article class="comment"><p>{one}</p></article>') == two
+
+
+def test_several_articles():
+    one, two, three = PARAGRAPHS
+    assert main_text.main_text(f"<body>{MENU}<article><p>{one}</p></article><div>ad</div><article><p>{two}</p><p>{three}</p></article></body>") == "\n\n".join(PARAGRAPHS)
+
+
 def test_odd_pages():
     assert [main_text.main_text(p) for p in (None, "", "<p>", "<nav>only a menu</nav>")] == ["", "", "", ""]
     assert main_text.main_text("just text, no tags at all") == "just text, no tags at all"
