@@ -1,22 +1,31 @@
 """Licence scan: a suffix automaton of licence templates over word ids.
 
-Words of a text are hashed together, a slice of the batch at a time.  Only runs of
+Templates are whole licence texts and notices (the files in ``licences``, one for each
+label) and sentences by which works state a licence.  Words of a text are hashed
+together, a slice of the batch at a time.  Only runs of
 at least ``min_match`` words that all occur in some template can hold a match of
 that length, so the automaton walks these runs alone and yields for each position
-the longest match that ends there (the matching statistics).  Maximal matches are
-chained for each template in text and template order over short gaps; a chain that
-covers enough of its template gives a span and the label of the template.
+the longest match that ends there (the matching statistics).  Maximal matches, at every
+place that a template has them, are chained for each template in text and template order
+over short gaps; the chains that cover most of their template, and enough of it, and do
+not overlap give a span and the label of the template.
 
 The base phrases are counted at every place where their words stand consecutively.
 
 Cases: null text = empty text = no words, null first and last places, empty labels,
-score 0; equal matches of several templates count for each of them; further columns
-of the input are ignored.
+score 0; equal matches of several templates count for each of them; of overlapping chains
+that cover the same the first counts; repeated rows get the same result; very long texts
+are read whole, one at a time; further columns of the input are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+import bisect
+import functools
+import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, slices, small_batches, table, text_bytes, tidied, word_spans
 
+_WORD = re.compile(r"[a-z0-9\x80-\U0010ffff]+")
+
 # Phrases and the labels that their occurrence gives.
 PHRASES = {
     "cc by": "cc-by",
@@ -48,22 +59,29 @@ TEMPLATES = [
 ]
 
 
+def whole_licences() -> list[tuple[str, str]]:
+    """Label and words of each licence text that comes with this module."""
+    files = sorted((Path(__file__).parent / "licences").glob("*.txt"))
+    return [(f.stem, " ".join(_WORD.findall(f.read_text().lower()))) for f in files]
+
+
 class SuffixAutomaton:
-    """All factors of some sequences.  ``ends[state]`` maps a sequence to where one
-    occurrence of the state's factors ends in it."""
+    """All factors of some sequences.  ``ends[state]`` maps a sequence to the places where
+    the state's factors end in it; states of factors shorter than ``least`` have none."""
 
-    def __init__(self, sequences: list[list[int]]):
+    def __init__(self, sequences: list[list[int]], least: int = 1):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length, self.ends = [-1], [0], [{}]
         for number, seq in enumerate(sequences):
             last = 0
             for at, c in enumerate(seq):
                 last = self._extend(last, c)
-                self.ends[last].setdefault(number, at)
+                self.ends[last].setdefault(number, set()).add(at)
         for s in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
-            up = self.ends[self.link[s]]
-            for number, at in self.ends[s].items():
-                up.setdefault(number, at)
+            if self.length[self.link[s]] >= least:
+                up = self.ends[self.link[s]]
+                for number, places in self.ends[s].items():
+                    up.setdefault(number, set()).update(places)
 
     def _state(self, length: int, edges: dict[int, int], link: int) -> int:
         self.next.append(edges)
@@ -127,7 +145,7 @@ class LicenceScanner:
         self.sorted = hashes[self.order]
         number = {w: k + 1 for k, w in enumerate(words)}
         self.sequences = [[number[w] for w in t] for t in split]
-        self.automaton = SuffixAutomaton(self.sequences)
+        self.automaton = SuffixAutomaton(self.sequences, min_match)
         self.in_template = np.zeros(len(words) + 1, bool)
         self.in_template[[c for s in self.sequences for c in s]] = True
         self.phrases = [([number[w] for w in p.split()], label) for p, label in phrases.items()]
@@ -137,25 +155,36 @@ class LicenceScanner:
         found: dict[int, list[tuple[int, int, int]]] = {}
         for start, tokens in runs:
             for at, n, state in self.automaton.matches(tokens, self.min_match):
-                for t, end in self.automaton.ends[state].items():
-                    found.setdefault(t, []).append((start + at, n, end - n + 1))
+                for t, ends in self.automaton.ends[state].items():
+                    found.setdefault(t, []).extend((start + at, n, end - n + 1) for end in ends)
         out = []
         for t, hits in found.items():
-            hits.sort()
-            size, chain = len(self.sequences[t]), []
-            for hit in [*hits, None]:
-                if hit and chain and hit[0] <= chain[-1][0] + chain[-1][1] + self.gap and hit[2] > chain[-1][2]:
-                    chain.append(hit)
-                    continue
-                if chain:
-                    covered = np.zeros(size, bool)
-                    for _, n, at in chain:
-                        covered[at : at + n] = True
-                    if covered.mean() >= self.coverage:
-                        out.append((t, chain[0][0], chain[-1][0] + chain[-1][1], float(covered.mean())))
-                chain = [hit] if hit else []
+            out += [(t, *span) for span in self._chains(sorted(hits), len(self.sequences[t]))]
         return sorted(out, key=lambda s: (s[1], s[0]))
 
+    def _chains(self, hits: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, float]]:
+        """(first word, end word, coverage) of the chains of matches (place, words, place in the template)."""
+        covered, first, low = [0] * len(hits), [0] * len(hits), 0
+        longest = max(n for _, n, _ in hits)
+        for k, (a, n, p) in enumerate(hits):
+            covered[k], first[k] = n, a
+            while hits[low][0] + longest + self.gap < a:
+                low += 1
+            for j in range(low, k):
+                b, m, q = hits[j]
+                if b < a <= b + m + self.gap and q < p:
+                    new = n - max(0, b + m - a, q + m - p)
+                    if new > 0 and covered[j] + new > covered[k]:
+                        covered[k], first[k] = covered[j] + new, first[j]
+        enough = [k for k in range(len(hits)) if covered[k] >= self.coverage * size]
+        taken: list[tuple[int, int, float]] = []
+        for k in sorted(enough, key=lambda k: (-covered[k], first[k])):
+            span = (first[k], hits[k][0] + hits[k][1], covered[k] / size)
+            at = bisect.bisect_left(taken, span)
+            if (at == 0 or taken[at - 1][1] <= span[0]) and (at == len(taken) or taken[at][0] >= span[1]):
+                taken.insert(at, span)
+        return taken
+
     def scan(self, col: pa.Array) -> dict[str, list]:
         data, off = text_bytes(col)
         data = lower_ascii(data)
@@ -205,15 +234,22 @@ class LicenceScanner:
         }
 
 
+@functools.lru_cache(maxsize=2)
+def _scanner(templates: tuple, phrases: tuple, min_match: int, gap: int, coverage: float) -> LicenceScanner:
+    """Built once for each worker: the tasks that follow on it use it again."""
+    return LicenceScanner(list(templates), dict(phrases), min_match, gap, coverage)
+
+
 SCHEMA = "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double, spans array<struct<label:string,start_word:bigint,end_word:bigint,coverage:double>>"
 _ARROW = [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("label", pa.string()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("coverage", pa.float64())])))]
 
 
-def scan_licences(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, min_match: int = 3, gap: int = 8, coverage: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licences(df: DataFrame, templates: list[tuple[str, str]] | None = None, phrases: dict[str, str] = PHRASES, min_match: int = 3, gap: int = 8, coverage: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licence labels, spans and base phrases of each row.  Map-only: no shuffle."""
+    templates = TEMPLATES + whole_licences() if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = LicenceScanner(templates, phrases, min_match, gap, coverage)
+        scanner = _scanner(tuple(templates), tuple(phrases.items()), min_match, gap, coverage)
         for b in batches:
             for some in slices(b, text_col):
                 got = scanner.scan(some.column(1))

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quarrystone.llm import licence_scan, main_text, secret_scan
@@ -133,12 +134,46 @@ def test_automaton_against_all_factors():
     for start, n, state in sam.matches(text, 1):
         assert tuple(text[start : start + n]) in factors
         assert start + n == len(text) or tuple(text[start : start + n + 1]) not in factors
-        for number, end in sam.ends[state].items():
-            assert seqs[number][end - n + 1 : end + 1] == text[start : start + n]
+        for number, ends in sam.ends[state].items():
+            places = {e for e in range(n - 1, len(seqs[number])) if seqs[number][e - n + 1 : e + 1] == text[start : start + n]}
+            assert set(ends) == places and places
     longest = max((b - a for a in range(300) for b in range(a + 1, min(300, a + 10) + 1) if tuple(text[a:b]) in factors), default=0)
     assert max(n for _, n, _ in sam.matches(text, 1)) == longest
 
 
+def test_spans_of_planted_licences():
+    rng = random.Random(19)
+    # a template that holds a phrase twice, and one that shares words with it
+    templates = [("twice", "we grant the right to copy it and we grant the right to sell it to all"), ("other", "the right to copy is kept by us and by nobody else")]
+    scanner = licence_scan.LicenceScanner(templates, {}, 3, 8, 0.8)
+    for _ in range(200):
+        words, want = [], []
+        for _ in range(rng.randint(1, 4)):
+            words += [f"w{rng.randrange(99)}" for _ in range(rng.randint(9, 14))]
+            t = rng.randrange(2)
+            planted = templates[t][1].split()
+            if rng.random() < 0.5:  # up to two words between, where a match of three is left on both sides
+                at = rng.randrange(3, len(planted) - 3)
+                planted = planted[:at] + ["x1", "x2"][: rng.randint(1, 2)] + planted[at:]
+            want.append((templates[t][0], len(words), len(words) + len(planted)))
+            words += planted
+        words += ["end"] * 9
+        got = scanner.scan(pa.array([" ".join(words)]))["spans"][0]
+        assert [(s["label"], s["start_word"], s["end_word"]) for s in got] == want
+        assert all(s["coverage"] == 1.0 for s in got)
+
+
+def test_whole_licences_are_told_apart(spark):
+    licences = licence_scan.whole_licences()
+    rows = [(k, f"Copyright 2020 someone. {text} End of it.") for k, (_, text) in enumerate(licences)]
+    got = {r.doc_id: r for r in licence_scan.scan_licences(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(licences) >= 15
+    for k, (label, text) in enumerate(licences):
+        assert label in got[k].labels.split(",") and got[k].score == 1.0
+        span = next(s for s in got[k].spans if s.label == label and s.coverage == 1.0 and s.end_word - s.start_word >= len(text.split()))
+        assert span.start_word == 3
+
+
 def test_licences_of_edge_rows(edge, none):
     assert licence_scan.scan_licences(edge).count() == edge.count()
     assert licence_scan.scan_licences(none).count() == 0
