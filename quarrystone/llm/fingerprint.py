@@ -115,17 +115,18 @@ def small_sketch(digests: Column) -> Column:
 
 
 def written(text: Column, sketch: Column) -> Column:
-    """A fingerprint: digest of the text, then count and XOR of each cell, in hexadecimal digits."""
+    """A fingerprint: digest of the text in hexadecimal digits, then count (3 bytes) and XOR of each cell in base 64."""
     cells = F.transform(sketch, lambda c: F.concat(F.lpad(F.hex(c["n"]), 6, "0"), F.lpad(F.hex(c["digest"]), 16, "0")))
-    return F.lower(F.concat(F.lpad(F.hex(F.xxhash64(text)), 16, "0"), F.lit(":"), F.array_join(cells, "")))
+    return F.concat(F.lower(F.lpad(F.hex(F.xxhash64(text)), 16, "0")), F.lit(":"), F.base64(F.unhex(F.array_join(cells, ""))))
 
 
 def read_sketch(fingerprint: Column) -> Column:
     """The cells that a fingerprint holds."""
+    digits = F.hex(F.unbase64(F.substr(fingerprint, F.lit(18))))
     # to base -10: a signed number
-    number = lambda at, size: F.conv(F.substr(fingerprint, at, F.lit(size)), 16, -10).cast("long")
-    cells = F.sequence(F.lit(0), F.lit(3 * SMALL - 1))
-    return F.transform(cells, lambda k: F.struct(number(18 + 22 * k, 6).alias("n"), number(24 + 22 * k, 16).alias("digest")))
+    number = lambda part, at, size: F.conv(F.substring(part, at, size), 16, -10).cast("long")
+    cells = F.transform(F.sequence(F.lit(0), F.lit(3 * SMALL - 1)), lambda k: F.substr(digits, 22 * k + 1, F.lit(22)))
+    return F.transform(cells, lambda part: F.struct(number(part, 1, 6).alias("n"), number(part, 7, 16).alias("digest")))
 
 
 def difference(a: Column, b: Column) -> Column:
