@@ -3,18 +3,22 @@ two-layer network with temperature-calibrated probabilities.
 
 A text is read as words and runs of signs.  Every word (by hashed bucket), word shape
 (case, digits, length) and run of signs has a sparse ternary index vector; its word
-vector is the sum of the index vectors seen within two places of it in the training
-sample.  A document is the mean vector of its words, of their shapes and of its signs,
-with its length and the shares of signs and of words that follow themselves; the
-network scores that.
+vector is the sum of the index vectors seen within two places of it in all documents.
+Each task sums its own, so what is shuffled is a bounded table a task, and the sums are
+whole numbers, the same in any order.  A document is the mean vector of its words, of
+their shapes and of its signs, with its length and the shares of signs and of words that
+follow themselves; the network scores that.
 
 Training takes at most ``max_sample`` labelled documents, those with the smallest
-hashes of their ids, so the same rows at every size and order of the input.  A fifth
+hashes of their ids, so the same rows at every size and order of the input.  They are
+pooled in the tasks; only these features reach the driver.  A fifth
 of them fits the temperature alone.  Labels, language, source and id are no inputs.
 
-Cases: null text = empty text (zero vectors, still scored); labels that are null or
-occur twice for a document are ignored or kept once (the smallest); without any
-labelled row every score is 0.5.
+Cases: null text = empty text (zero vectors, still scored); labels that are neither 0
+nor 1 are ignored, of several for a document the smallest counts; of rows that repeat a
+labelled id the first by a digest of their texts is learnt from; without any labelled row
+every score is 0.5; very long texts are pooled whole, one at a time; further columns are
+ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -69,25 +73,56 @@ def tokens(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _word_vectors(found: Iterator[dict[str, np.ndarray]]) -> np.ndarray:
-    index = _index_vectors()
-    out = np.zeros_like(index)
-    for t in found:
-        at = np.concatenate([t["word_at"], t["sign_at"]])
-        order = np.argsort(at)
-        doc = np.concatenate([t["word_doc"], t["sign_doc"]])[order]
-        main = np.concatenate([t["word"], t["sign"]])[order]
-        shape = np.concatenate([t["shape"], np.full(len(t["sign"]), -1)])[order]
-        own = index[main] + np.where(shape[:, None] >= 0, index[shape], index[main])
-        near = own.copy()
-        for d in (1, 2):
-            same = (doc[d:] == doc[:-d])[:, None]
-            near[d:] += own[:-d] * same
-            near[:-d] += own[d:] * same
-        np.add.at(out, main, near)
-        np.add.at(out, shape[shape >= 0], near[shape >= 0])
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return (out / np.maximum(norm, 1e-6)).astype(np.float32)
+def _add_rows(out: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+    if not len(ids):
+        return
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    begin = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    out[ids[begin]] += np.add.reduceat(rows[order], begin, axis=0, dtype=np.int64)
+
+
+def add_contexts(out: np.ndarray, t: dict[str, np.ndarray], index: np.ndarray) -> None:
+    """Adds to each token's row the index vectors that stand within two places of it."""
+    order = np.argsort(np.concatenate([t["word_at"], t["sign_at"]]))
+    doc = np.concatenate([t["word_doc"], t["sign_doc"]])[order]
+    main = np.concatenate([t["word"], t["sign"]])[order]
+    shape = np.concatenate([t["shape"], np.full(len(t["sign"]), -1)])[order]
+    own = index[main] + np.where(shape[:, None] >= 0, index[shape], index[main])
+    near = own.copy()
+    for d in (1, 2):
+        same = (doc[d:] == doc[:-d])[:, None]
+        near[d:] += own[:-d] * same
+        near[:-d] += own[d:] * same
+    _add_rows(out, main, near)
+    _add_rows(out, shape[shape >= 0], near[shape >= 0])
+
+
+def _unit(sums: np.ndarray) -> np.ndarray:
+    sums = sums.astype(np.float64)
+    return (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-6)).astype(np.float32)
+
+
+def word_vectors(docs: DataFrame) -> np.ndarray:
+    """Word vectors from the contexts of all texts.  What reaches the driver has a row for each bucket, shape and sign."""
+    columns = [f"v{k}" for k in range(DIM)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index_vectors().astype(np.int16)
+        out = np.zeros(index.shape, np.int64)
+        for b in batches:
+            for some in slices(b, "text", FIT_BYTES):
+                add_contexts(out, tokens(*text_bytes(some.column(0))), index)
+        seen = np.flatnonzero(out.any(axis=1))
+        for at in range(0, len(seen), 4096):
+            ids = seen[at : at + 4096]
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), *(pa.array(np.ascontiguousarray(out[ids, k])) for k in range(DIM))], ["token", *columns])
+
+    parts = small_batches(docs.select("text")).mapInArrow(tidied(run), "token int, " + ", ".join(f"{c} bigint" for c in columns))
+    sums = parts.groupBy("token").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
+    out = np.zeros((BUCKETS + SHAPES + SIGNS, DIM), np.int64)
+    out[sums["token"].to_numpy()] = np.stack([sums[c].to_numpy() for c in columns], axis=1)
+    return _unit(out)
 
 
 def pooled(t: dict[str, np.ndarray], docs: int, vectors: np.ndarray) -> np.ndarray:
@@ -142,20 +177,25 @@ def _temperature(logit: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
+def fit_features(x: np.ndarray, y: np.ndarray, hidden: int = 24, epochs: int = 30) -> dict:
+    """Network and temperature from pooled vectors; every fifth row fits the temperature alone."""
+    mean, spread = x.mean(0), x.std(0) + 0.05 * x.std() + 1e-6
+    hold = np.arange(len(x)) % 5 == 4
+    p = _network((x[~hold] - mean) / spread, y[~hold], hidden, epochs) | {"mean": mean, "spread": spread}
+    p["temperature"] = _temperature(_logit(x[hold], p), y[hold]) if hold.any() else 1.0
+    return p
+
+
 def fit(texts: list[str | None], y: list[int], hidden: int = 24, epochs: int = 30) -> dict | None:
-    """Word vectors, network and temperature from labelled texts."""
+    """A model of a few texts at hand, word vectors included."""
     if not texts:
         return None
-    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-    # small slices, read twice: the driver never holds the words of the whole sample
-    vectors = _word_vectors(tokens(*text_bytes(some.column(0))) for some in slices(batch, "text", FIT_BYTES))
-    x = np.concatenate([pooled(tokens(*text_bytes(some.column(0))), some.num_rows, vectors) for some in slices(batch, "text", FIT_BYTES)]).astype(np.float64)
-    y_ = np.array(y, np.float64)
-    mean, spread = x.mean(0), x.std(0) + 0.05 * x.std() + 1e-6
-    hold = np.arange(len(x)) % 5 == 4
-    p = _network((x[~hold] - mean) / spread, y_[~hold], hidden, epochs) | {"mean": mean, "spread": spread}
-    p["temperature"] = _temperature(_logit(x[hold], p), y_[hold]) if hold.any() else 1.0
-    return p | {"vectors": vectors}
+    index = _index_vectors().astype(np.int16)
+    sums = np.zeros(index.shape, np.int64)
+    t = tokens(*text_bytes(pa.array(texts, pa.string())))
+    add_contexts(sums, t, index)
+    vectors = _unit(sums)
+    return fit_features(pooled(t, len(texts), vectors).astype(np.float64), np.array(y, np.float64), hidden, epochs) | {"vectors": vectors}
 
 
 def score_texts(col: pa.Array, model: dict | None) -> np.ndarray:
@@ -172,15 +212,35 @@ def held_out(id_col: str = "doc_id"):
 def fit_on(docs: DataFrame, labels: DataFrame, max_sample: int = 6000) -> dict | None:
     """Fits on at most ``max_sample`` labelled documents that are not held out."""
     chosen = (
-        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+        labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id")
-        .agg(F.min("quality").alias("quality"))
+        .agg(F.min("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_sample)
     )
-    # the limit bounds what is broadcast and what is collected
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").toArrow()
-    return fit(rows["text"].to_pylist(), rows["quality"].to_pylist())
+    if not chosen.limit(1).count():
+        return None
+    vectors = word_vectors(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for some in slices(b, "text", FIT_BYTES):
+                x = pooled(tokens(*text_bytes(some.column(3))), some.num_rows, shared.value)
+                yield pa.RecordBatch.from_arrays([*some.columns[:3], pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "quality", "copy", "x"])
+
+    # the limit bounds what is broadcast, and, as a row for each id is kept, what is collected
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "quality", F.xxhash64("text").alias("copy"), "text")
+    found = small_batches(rows).mapInArrow(tidied(run), "doc_id bigint, quality int, copy bigint, x binary")
+    kept = found.groupBy("doc_id").agg(F.min_by(F.struct("quality", "x"), "copy").alias("r")).select("doc_id", "r.quality", "r.x").toArrow()
+    order = np.argsort(kept["doc_id"].to_numpy())
+    if not len(order):
+        return None
+    x = np.stack([np.frombuffer(v.as_py(), np.float32) for v in kept["x"]])[order].astype(np.float64)
+    y = kept["quality"].to_numpy()[order].astype(np.float64)
+    # rows in an order that says nothing of their labels, the same at every run
+    mixed = np.random.default_rng(3).permutation(len(x))
+    return fit_features(x[mixed], y[mixed]) | {"vectors": vectors}
 
 
 def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

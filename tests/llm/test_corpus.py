@@ -43,6 +43,35 @@ def test_quality_learns_nothing_from_held_out_rows(spark):
     assert quality.fit_on(docs, labels.where(quality.held_out())) is None
 
 
+def test_word_vectors_are_sums_over_all_texts(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["alpha", "Beta", "g4mma", "--", "delta!"]) for _ in range(rng.randint(0, 30))) for _ in range(60)] + [None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    index = quality._index_vectors()
+    sums = np.zeros(index.shape)
+    for text in texts:
+        t = quality.tokens(*(a for a in quality.text_bytes(pa.array([text], pa.string()))))
+        at = sorted([(p, w, s) for p, w, s in zip(t["word_at"], t["word"], t["shape"])] + [(p, w, w) for p, w in zip(t["sign_at"], t["sign"])])
+        for k, (_, word, shape) in enumerate(at):
+            for _, w, s in at[max(0, k - 2) : k + 3]:
+                for own in {word, shape}:
+                    sums[own] += index[w] + index[s]
+    want = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-6)
+    assert np.allclose(quality.word_vectors(docs), want, atol=1e-5)
+
+
+def test_quality_takes_one_row_of_an_id_and_only_labels_0_and_1(spark):
+    rows = [(k, f"text {k} of words, fine." if k % 2 else f"BAD ### {k}") for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(80)], "doc_id bigint, quality int")
+    more = labels.union(spark.createDataFrame([(k, 7) for k in range(80, 90)], "doc_id bigint, quality int"))
+    scores = lambda d, y: {r.doc_id: r.score for r in quality.score(docs, quality.fit_on(d, y)).collect()}
+    plain = scores(docs, labels)
+    assert plain == scores(docs, more)
+    model = quality.fit_on(docs.union(docs.where("doc_id < 5")).union(docs.where("doc_id < 5")), labels, max_sample=20)
+    assert model is not None and quality.fit_on(docs, more.where("quality = 7")) is None
+
+
 def test_quality_of_edge_rows(spark, edge, none):
     model = quality.fit(["a good text, you see"] * 20 + ["BAD!! ###"] * 20, [1] * 20 + [0] * 20)
     got = quality.score(edge, model).collect()
