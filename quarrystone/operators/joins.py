@@ -167,7 +167,12 @@ def near_names(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUT
     piece = F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: F.struct(edge(k).alias("at"), F.substr(F.col("form"), edge(k) + 1, edge(k + 1) - edge(k)).alias("piece"))))
     pieces = cut.select("form", "_n", "_lose", "_gain", piece.alias("p")).select("form", "_n", "_lose", "_gain", "p.at", "p.piece")
     lengths = [r["n"] for r in pieces.select(size("piece").alias("n")).distinct().collect()]  # as many as a piece has characters
-    windows_of = F.explode(F.flatten(F.array(*(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), size("program") - n + 1)), lambda i, n=n: F.struct((i - 1).alias("place"), F.substr(F.col("program"), i, F.lit(n)).alias("piece"))) for n in lengths or [1]))))
+
+    def pieces_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), size("program") - n + 1))
+        return F.transform(starts, lambda i: F.struct((i - 1).alias("place"), F.substr(F.col("program"), i, F.lit(n)).alias("piece")))
+
+    windows_of = F.explode(F.flatten(F.array(*map(pieces_of, lengths or [1]))))
     there = names.select("program", windows_of.alias("w")).select("program", "w.place", "w.piece")
     shift = F.col("place") - F.col("at")
     met = pieces.join(there, "piece").where((shift >= -F.col("_lose")) & (shift <= F.col("_gain")) & (size("program") <= F.col("_n") + F.col("_gain")))

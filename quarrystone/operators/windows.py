@@ -26,7 +26,7 @@ def positions(rows: DataFrame, keys: tuple[str, ...], score: str = "score", widt
     ``width`` first, running sums over the bins say how many are lower, and only the rows of one bin are ranked.
     """
     # rows without a score go to bins of their own, by a digest of the row
-    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64(*rows.columns), F.lit(64)).cast("string"))
+    spread = F.concat(F.lit("none "), F.pmod(F.xxhash64(*rows.columns), F.lit(64)).cast("string"))
     binned = rows.withColumn("_bin", F.coalesce(F.floor(F.col(score) / width).cast("string"), spread))
     counted = binned.where(F.col(score).isNotNull()).groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_count"), F.min(score).alias("_low"))
     group = Window.partitionBy(*keys)

@@ -176,3 +176,56 @@ def test_selectors(spark):
     summary = counts.withColumn("admitted", counts.applications)
     shares = {(r.cycle, r.area): r.share for r in serving.area_ring(aggregates.by_area(summary, areas)).collect()}
     assert shares == {("2021", "X"): 1.0, ("2022", "Z"): 1.0}
+
+
+def test_places_and_quantiles_against_sorting(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, 2]), rng.choice([None, 0.0, 5.0, round(rng.uniform(-30, 400), 1)]), k) for k in range(600)]
+    rows += [("c", 1, None, 600), ("d", 1, 3.5, 601)]
+    df = spark.createDataFrame(rows, "k string, j int, score double, row_seq int").repartition(7)
+    groups: dict = {}
+    for k, j, s, _ in rows:
+        if s is not None:
+            groups.setdefault((k, j), []).append(s)
+    for width in (1, 10, 1000):
+        for r in windows.positions(df, ("k", "j"), width=width).collect():
+            have = groups.get((r.k, r.j), [])
+            assert (r.at, r.n) == ((None, None) if r.score is None else (sum(x < r.score for x in have), len(have)))
+        placed = windows.positions(df, ("k", "j"), width=width, tie=("row_seq",))
+        assert sorted(r.at for r in placed.where("k = 'a' and j = 1 and score is not null").collect()) == list(range(len(groups["a", 1])))
+        got = {(r.k, r.j): (r.n, r.low, r.q1, r.mid, r.high) for r in windows.quantiles(placed, ("k", "j"), {"q1": 0.25, "mid": 0.5}).collect()}
+        assert set(got) == set(groups)
+        for key, have in groups.items():
+            assert np.allclose(got[key], (len(have), min(have), np.quantile(have, 0.25), np.median(have), max(have)))
+
+
+def test_near_names_against_every_name(spark):
+    import difflib
+    import random
+
+    rng = random.Random(6)
+    names = ["".join(rng.choice("ABCDE") for _ in range(rng.randint(1, 40))) for _ in range(150)]
+
+    def edited(name):
+        out = list(name)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(out) + 1)
+            out[at : at + rng.randint(0, 1)] = rng.choice(["", "A", "X", "BC"])
+        return "".join(out)
+
+    forms = sorted({edited(rng.choice(names)) for _ in range(300)} - {""})
+    df = lambda values, c: spark.createDataFrame([(v,) for v in values], f"{c} string")
+    for cutoff in (0.92, 0.97):
+        want = {f: m[0] for f in forms if (m := difflib.get_close_matches(f, sorted(set(names)), n=1, cutoff=cutoff))}
+        got = {r.form: r.canonical for r in joins.near_names(df(forms, "form"), df(names, "program"), cutoff).collect()}
+        assert got == want and len(want) > 100
+
+
+def test_picks_keep_whole_rows(spark):
+    df = spark.createDataFrame([("a", 1, None, 5), ("a", 2, "x", 6), (None, 3, "y", 1), (None, 1, "z", 2)], "k string, row_seq int, t string, n int")
+    assert sorted(map(tuple, windows.last_wins(df, ("k",)).collect()), key=str) == sorted([("a", 2, "x", 6), (None, 3, "y", 1)], key=str)
+    assert sorted(map(tuple, windows.first_wins(df, ("k",)).collect()), key=str) == sorted([("a", 1, None, 5), (None, 1, "z", 2)], key=str)
