@@ -14,7 +14,8 @@ computation.
 
 Cases: null text = empty text = no ids and an empty decoded text; characters
 without a piece become byte pieces; a text of any length is encoded whole in
-memory linear in its length.
+memory linear in its length; repeated rows and equal words get the same ids; further
+columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

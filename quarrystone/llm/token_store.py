@@ -15,7 +15,9 @@ of ``doc_id`` and sorted, so the segments in order of (part, segment) hold the
 documents in ascending order.
 
 Cases: null text = empty text = only the end id; null ids of documents come first;
-equal ``doc_id`` keep both documents; an empty table gives no segment.
+equal ``doc_id`` and repeated rows keep each document; the ids of a very long text make a
+segment of their own, or end one that is open; further columns are ignored, whatever their
+names; an empty table gives no segment.
 """
 
 from __future__ import annotations
