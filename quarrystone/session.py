@@ -13,6 +13,8 @@ def build_session(app: str = "quarrystone", master: str | None = None, **conf: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # whole texts may be long: batches of few rows for Python
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     }
     builder = SparkSession.builder.appName(app)
     if master:
