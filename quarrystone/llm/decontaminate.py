@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, mix, slices, small_batches, table, text_bytes, tidied, word_spans
+from quarrystone.llm.common import LETTERS, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, word_spans
 
 STEP = 16
 #: Benchmark items that one pass over the corpus searches for, and about how many words they have together.
@@ -387,9 +387,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rank: int = 192, thresh
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, threshold: float = 0.5, overlap: float = 0.6, answer: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item or a paraphrase.  Map-only after the counts."""
+    """``docs`` without the rows that hold a benchmark item or a paraphrase.
+
+    Map-only after the counts; of several blocks of items each takes what the one before left, from
+    a written table, so that no task needs more than one worker and one block.
+    """
     at = docs.columns.index("text")
-    out = small_batches(docs)
+    out, before = small_batches(docs), None
 
     for searcher in _searchers(docs, benchmark, rank, threshold, overlap, answer):
 
@@ -400,7 +404,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, th
                     clean[[d for d, *_ in searcher.value.search(some.column(at))]] = False
                     yield some.filter(pa.array(clean))
 
-        out = out.mapInArrow(tidied(run), docs.schema)
+        if before is not None:
+            out = materialise(docs.sparkSession, out)
+        out = before = out.mapInArrow(tidied(run), docs.schema)
     return out
 
 

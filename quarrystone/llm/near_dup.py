@@ -267,6 +267,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         dealt = F.broadcast(dealt)
     blocks = docs.join(dealt, "doc_id").select("doc_id", "text", "comp", "big", F.explode("to").alias("t")).select("doc_id", "text", "comp", "big", "t.*")
     pairs = blocks.groupBy("big", "p", "q").applyInArrow(_verify(percent), "a bigint, b bigint")
+    # written first: two Python functions in one stage would take two workers for each core
+    pairs = materialise(spark, pairs)
     joined = connected_components(spark, pairs.unionByName(same))
     top = materialise(spark, classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("component_id")))
     out = sig.select("doc_id", *key).join(top, key, "left")
@@ -275,7 +277,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         # rows without words, too, belong to what other rows of their id are linked with
         least = materialise(spark, out.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("least")))
         out = out.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
-    discard(cells, leads, members)
+    discard(cells, leads, members, pairs, same)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
