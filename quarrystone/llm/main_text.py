@@ -78,29 +78,42 @@ def mark_of(attrs: list[tuple[str, str | None]]) -> str:
     return found
 
 
+class Piece:
+    """Text of a line under the same elements."""
+
+    def __init__(self, dropped: bool, marks: tuple[int, ...]) -> None:
+        self.text, self.links = "", 0
+        self.dropped, self.marks = dropped, marks
+
+
 class PageEvents(HTMLParser):
-    """Lines of a page: [text, tags, container, dropped, marked elements, characters of links]; parents of containers."""
+    """Lines of a page: [pieces, tags, container]; parents and elements of containers; what marked elements are."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, tuple[int, ...], int]] = []
+        self.lines: list[tuple[list[Piece], int, int]] = []
         self.parent, self.kind = [-1], ["page"]
         #: tag, container around, whether it is left out, number among the marked elements (0: none)
         self.open: list[tuple[str, int, bool, int]] = []
         self.marks = [""]
-        self.links = self.linked = 0
         self.container, self.dropped, self.heading = 0, 0, False
-        self.held: list[str] = []
-        self.tags = 0
+        self.held: list[Piece] = []
+        self.tags = self.links = 0
 
     def flush(self) -> None:
-        if self.held:
-            text = " ".join("".join(self.held).split())
-            if text:
-                marked = tuple(mark for *_, mark in self.open if mark)
-                self.lines.append((text, self.tags, self.container, self.dropped > 0 and not self.heading, marked, self.linked))
-            self.held = []
-        self.tags = self.linked = 0
+        if any(p.text.strip() for p in self.held):
+            self.lines.append((self.held, self.tags, self.container))
+        self.held = []
+        self.tags = 0
+
+    def hold(self, data: str) -> None:
+        dropped = self.dropped > 0 and not self.heading
+        marks = tuple(mark for *_, mark in self.open if mark)
+        if not self.held or (self.held[-1].dropped, self.held[-1].marks) != (dropped, marks):
+            self.held.append(Piece(dropped, marks))
+        self.held[-1].text += data
+        if self.links:
+            self.held[-1].links += _size(data)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -110,7 +123,7 @@ class PageEvents(HTMLParser):
             if tag in HEADINGS:
                 self.heading = self._titled()
         elif tag == "br":
-            self.held.append(" ")
+            self.hold(" ")
         self.tags += 1
         if tag in VOID:
             return
@@ -121,7 +134,6 @@ class PageEvents(HTMLParser):
         drop = tag in DROPPED
         if drop or mark or tag in CONTAINERS:
             if mark:
-                self.flush()
                 self.marks.append(mark)
             self.open.append((tag, self.container, drop, len(self.marks) - 1 if mark else 0))
             self.dropped += drop
@@ -145,20 +157,17 @@ class PageEvents(HTMLParser):
             self.flush()
             self.heading = False
         elif tag == "br":
-            self.held.append(" ")
+            self.hold(" ")
         self.tags += 1
         self.links = max(0, self.links - (tag == "a"))
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                self.flush()
                 self._close(at)
                 break
 
     def handle_data(self, data: str) -> None:
         if not self.open or self.open[-1][0] not in ("script", "style"):
-            self.held.append(data)
-            if self.links:
-                self.linked += len("".join(data.split()))
+            self.hold(data)
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         """Marked sections are no text of a page; the base class raises on unknown ones."""
@@ -199,30 +208,35 @@ def _threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def _size(text: str) -> int:
+    return len("".join(text.split()))
+
+
 def _left_out(page: PageEvents) -> list[bool]:
-    """Whether each line is left out: by its element, or by a marked element that counts."""
+    """Whether each marked element is left out for its name."""
     chars, linked = [0] * len(page.marks), [0] * len(page.marks)
     whole = 0
-    for text, _, _, dropped, marked, links in page.lines:
-        if not dropped:
-            size = len("".join(text.split()))
-            whole += size
-            for m in marked:
-                chars[m] += size
-                linked[m] += links
+    for pieces, _, _ in page.lines:
+        for p in pieces:
+            if not p.dropped:
+                size = _size(p.text)
+                whole += size
+                for m in p.marks:
+                    chars[m] += size
+                    linked[m] += p.links
     out = [False]
     for mark, size, links in zip(page.marks[1:], chars[1:], linked[1:]):
         few = size < MOST * whole
         out.append(size < whole if mark == "comments" else few if mark == "always" else few and links >= LINK_SHARE * size)
-    return [dropped or any(out[m] for m in marked) for _, _, _, dropped, marked, _ in page.lines]
+    return out
 
 
-def _region(page: PageEvents, live: list[bool], selected: list[bool]) -> list[bool]:
+def _region(page: PageEvents, texts: list[str], selected: list[bool]) -> list[bool]:
     """Whether each container lies in the content region."""
     n = len(page.parent)
     chosen, other = [0] * n, [0] * n
-    for (text, _, c, *_), is_live, is_selected in zip(page.lines, live, selected):
-        if is_live:
+    for text, (_, _, c), is_selected in zip(texts, page.lines, selected):
+        if text:
             size = len(text)
             while c >= 0:
                 (chosen if is_selected else other)[c] += size
@@ -250,14 +264,16 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     page = PageEvents()
     page.feed(html)
     page.finish()
-    live = [not x for x in _left_out(page)]
-    if not any(live):
+    out = _left_out(page)
+    # white space at the border of two pieces stays one space, in whichever piece it stands
+    texts = [" ".join("".join(p.text if not p.dropped and not any(out[m] for m in p.marks) else " " for p in pieces).split()) for pieces, *_ in page.lines]
+    if not any(texts):
         return ""
-    ratio = _smooth([math.log1p(len(text) / max(1, tags)) for text, tags, *_ in page.lines], sigma)
-    cut = _threshold([r for r, is_live in zip(ratio, live) if is_live])
-    selected = [is_live and r >= cut for r, is_live in zip(ratio, live)]
-    inside = _region(page, live, selected)
-    return "\n\n".join(text for (text, _, c, *_), is_live in zip(page.lines, live) if is_live and inside[c])
+    ratio = _smooth([math.log1p(len(" ".join("".join(p.text for p in pieces).split())) / max(1, tags)) for pieces, tags, _ in page.lines], sigma)
+    cut = _threshold([r for r, text in zip(ratio, texts) if text])
+    selected = [bool(text) and r >= cut for r, text in zip(ratio, texts)]
+    inside = _region(page, texts, selected)
+    return "\n\n".join(text for text, (_, _, c) in zip(texts, page.lines) if text and inside[c])
 
 
 def extract_main_text(df: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -234,6 +234,12 @@ def test_names_of_elements():
     assert main_text.main_text(f'<article><p>{two}</p></article><article class="comment"><p>{one}</p></article>') == two
 
 
+def test_parts_within_a_line():
+    one, two, _ = PARAGRAPHS
+    page = f'<article><p>{one} <button>Share it</button> and more<span class="ad">Buy</span>, so.</p><p>{two}<script>x</script>!</p></article>'
+    assert main_text.main_text(page) == f"{one} and more , so.\n\n{two}!"
+
+
 def test_several_articles():
     one, two, three = PARAGRAPHS
     assert main_text.main_text(f"<body>{MENU}<article><p>{one}</p></article><div>ad</div><article><p>{two}</p><p>{three}</p></article></body>") == "\n\n".join(PARAGRAPHS)
