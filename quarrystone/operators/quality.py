@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrystone.operators import aggregates, joins, windows
@@ -23,10 +23,15 @@ class Rule:
     skipped: bool = False
 
 
+def parts_differ(eps: float = EPS) -> Column:
+    """Q1 of a row: both parts and the score are there, and do not add up."""
+    total = F.coalesce("part_extra", F.lit(0.0)) + F.col("part_1") + F.col("part_2")
+    return F.coalesce(F.abs(total - F.col("score")) > eps, F.lit(False))
+
+
 def parts_add_up(rows: DataFrame, eps: float = EPS) -> DataFrame:
     """Q1"""
-    total = F.coalesce("part_extra", F.lit(0.0)) + F.col("part_1") + F.col("part_2")
-    return rows.where("part_1 is not null and part_2 is not null and score is not null").where(F.abs(total - F.col("score")) > eps)
+    return rows.where(parts_differ(eps))
 
 
 def single_part_is_score(rows: DataFrame, eps: float = EPS) -> DataFrame:
@@ -36,9 +41,14 @@ def single_part_is_score(rows: DataFrame, eps: float = EPS) -> DataFrame:
     return lone.where(F.abs(F.coalesce("part_1", "part_2") - F.col("score")) > eps).join(both, "document", "left_semi")
 
 
+def below_floor(eps: float = EPS) -> Column:
+    """Q3 of a row: admitted below the floor."""
+    return F.coalesce((F.col("condition") == "INGRESO") & (F.col("score") < F.col("floor_score") - eps), F.lit(False))
+
+
 def above_floor(rows: DataFrame, eps: float = EPS) -> DataFrame:
     """Q3"""
-    return rows.where("condition = 'INGRESO' and floor_score is not null and score is not null").where(F.col("score") < F.col("floor_score") - eps)
+    return rows.where(below_floor(eps))
 
 
 def _ranked(rows: DataFrame, grain: DataFrame) -> DataFrame:
@@ -63,9 +73,14 @@ def one_floor(rows: DataFrame, but: tuple[str, ...] = ()) -> DataFrame:
     return some.groupBy("document", "site", "subgroup").agg(F.countDistinct("floor_score").alias("floors")).where("floors > 1")
 
 
+def out_of_range() -> Column:
+    """Q7 of a row"""
+    return F.coalesce(~in_score_range(F.col("score")), F.lit(False))
+
+
 def score_range(rows: DataFrame) -> DataFrame:
     """Q7"""
-    return rows.where(F.col("score").isNotNull() & ~in_score_range(F.col("score")))
+    return rows.where(out_of_range())
 
 
 def code_form(rows: DataFrame) -> DataFrame:
@@ -246,6 +261,15 @@ def report(rules: list[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def report_rows(rows: DataFrame, rules: dict[str, Column], level: str = "error") -> DataFrame:
+    """The same for rules on single rows: all of them in one pass over the rows."""
+    row = F.to_json(F.struct(*(F.col(c) for c in rows.columns)))
+    aggs = [F.struct(F.lit(name).alias("rule"), F.count_if(bad).alias("violations"), F.min(F.when(bad, row)).alias("example")) for name, bad in rules.items()]
+    found = rows.agg(F.array(*aggs).alias("r")).select(F.explode("r").alias("r"))
+    state = F.when(F.col("r.violations") == 0, "ok").otherwise(level)
+    return found.select("r.rule", F.lit(level).alias("level"), "r.violations", "r.example", state.alias("state"))
+
+
 def failed(found: DataFrame) -> bool:
     """Whether any rule of level error has violations (the exit code of a run)."""
     return found.where("state = 'error'").limit(1).count() > 0
