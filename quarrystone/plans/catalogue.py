@@ -447,7 +447,7 @@ _SHAPES = " OR ".join(f"regexp_matches(trim(line), '{p.replace(chr(39), chr(39)
 @query(f"""WITH lines AS (SELECT doc_id AS document, unnest(string_split(text, chr(10))) AS line FROM documents)
   SELECT cast(document AS VARCHAR) AS document, count(*) AS n_lines, count(*) FILTER (WHERE {_SHAPES}) AS n_rows FROM lines GROUP BY ALL""")
 def text_line_recount(spark, d):
-    """A9, B31, D34, Q27"""
+    """A9, B31"""
     from quarrystone.sources.readers import text_lines
 
     lines = text_lines(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("document"), "text"))
@@ -463,7 +463,7 @@ _NAMES = "names AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Ing.  de
     regexp_replace(upper(folded), '[^A-Z0-9]', '', 'g') AS alnum, trim(regexp_replace(upper(folded), '\\s+', ' ', 'g')) AS program_key,
     trim(regexp_replace(regexp_replace(upper(folded), '[^A-Za-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')) AS catalogue FROM c""")
 def key_normalise(spark, d):
-    """H1-H5"""
+    """H1, H2, H4, H5"""
     raw = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'Ing.  de  ' || p_name || ' (V6)' WHEN 1 THEN p_name || ' áéñ 12.50' WHEN 2 THEN 'educ. ' || p_name ELSE p_name END")
     return table(spark, d, "part").select("p_partkey", scalar.clean_program(raw).alias("clean"), scalar.alnum_key(raw).alias("alnum"), scalar.program_key(raw).alias("program_key"), scalar.catalogue_name(raw).alias("catalogue"))
 

@@ -136,11 +136,11 @@ _EMPTY = "CASE c_custkey % 5 WHEN 0 THEN 'Lista de postulantes aptos' WHEN 1 THE
 
 @query(f"""WITH d AS (SELECT cast(c_custkey AS VARCHAR) AS document, upper({_EMPTY}) AS t, c_nationkey = 3 AS same FROM customer),
   r AS (SELECT document, CASE WHEN same THEN 'duplicado de otro PDF del mismo proceso' {" ".join("WHEN " + " OR ".join(f"contains(t, '{w}')" for w in words) + f" THEN '{reason}'" for reason, words in classify.EMPTY_REASONS)} ELSE 'sin explicar' END AS reason FROM d
-    WHERE document NOT IN (SELECT cast(o_custkey AS VARCHAR) FROM orders)) SELECT reason, count(*) AS documents, CASE WHEN reason = 'sin explicar' THEN count(*) ELSE 0 END AS unexplained FROM r GROUP BY reason""")
+    WHERE document NOT IN (SELECT cast(o_custkey AS VARCHAR) FROM orders WHERE o_custkey % 3 = 0)) SELECT reason, count(*) AS documents, CASE WHEN reason = 'sin explicar' THEN count(*) ELSE 0 END AS unexplained FROM r GROUP BY reason""")
 def empty_documents(spark, d):
     """Documents without rows by reason; any that is left unexplained violates the rule"""
     docs = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("document"), F.expr(_EMPTY).alias("text"), (F.col("c_nationkey") == 3).alias("redundant"))
-    rows = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("document"))
+    rows = table(spark, d, "orders").where("o_custkey % 3 = 0").select(F.col("o_custkey").cast("string").alias("document"))
     reasons = quality.empty_documents(docs, rows)
     bad = quality.unexplained(docs, rows).select("document").withColumn("_bad", F.lit(1))
     return reasons.join(bad, "document", "left").groupBy("reason").agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("unexplained"))
@@ -200,7 +200,7 @@ def canonical_names(spark, d):
     return joins.canonical(applications(spark, d).select("program"), mapping).groupBy("program").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_RANKED = "r AS (SELECT cast(l_orderkey % 90 AS VARCHAR) AS document, l_suppkey % 3 AS site, CASE WHEN l_linenumber <> 3 THEN l_linenumber END AS subgroup, cast(l_partkey % 2 AS VARCHAR) AS program, CASE WHEN l_orderkey % 90 < 40 THEN 1 + cast(l_quantity AS INT) % 12 ELSE 3 + cast(l_quantity AS INT) % 9 END AS merit_rank FROM lineitem)"
+_RANKED = "r AS (SELECT cast(l_orderkey % 90 AS VARCHAR) AS document, l_suppkey % 3 AS site, CASE WHEN l_linenumber <> 3 THEN l_linenumber END AS subgroup, cast(l_partkey % 2 AS VARCHAR) AS program, CASE WHEN l_orderkey % 90 < 40 THEN 1 + cast(l_quantity AS INT) % 2 ELSE 3 + cast(l_quantity AS INT) % 9 END AS merit_rank FROM lineitem)"
 _CLASSES = "c AS (SELECT cast(k AS VARCHAR) AS document, CASE WHEN k % 4 = 0 THEN 'eligibility' ELSE 'results' END AS doc_class FROM generate_series(0, 69) g(k))"
 _GRAIN = f"{_RANKED}, {_CLASSES}, b AS (SELECT document, site, subgroup, program, min(merit_rank) AS first FROM r GROUP BY ALL), g AS (SELECT document, CASE WHEN count(*) FILTER (WHERE first = 1) = count(*) THEN 'per_program' ELSE 'global' END AS grain, coalesce(any_value(doc_class), 'results') AS doc_class FROM b LEFT JOIN c USING (document) GROUP BY document)"
 
@@ -210,7 +210,7 @@ def _ranked(spark, d):
     quantity = F.col("l_quantity").cast("int")
     return table(spark, d, "lineitem").select(
         k.cast("string").alias("document"), (F.col("l_suppkey") % 3).alias("site"), F.when(F.col("l_linenumber") != 3, F.col("l_linenumber")).alias("subgroup"),
-        (F.col("l_partkey") % 2).cast("string").alias("program"), F.when(k < 40, 1 + quantity % 12).otherwise(3 + quantity % 9).alias("merit_rank"),
+        (F.col("l_partkey") % 2).cast("string").alias("program"), F.when(k < 40, 1 + quantity % 2).otherwise(3 + quantity % 9).alias("merit_rank"),
     )
 
 
@@ -623,7 +623,7 @@ def file_inventory(spark, d):
     names = F.concat(F.when(F.col("n_nationkey") % 3 == 0, "kept_").otherwise("other_"), F.col("n_nationkey").cast("string"))
     table(spark, d, "nation").select(names.alias("stem"), F.repeat(F.lit("x"), 1500).alias("value")).write.partitionBy("stem").text(path)
     stem = F.regexp_extract("path", r"stem=([^/]+)/", 1)
-    files = readers.inventory(spark, path, "*.txt").withColumn("document", stem).where(F.contains("document", F.lit("kept_"))).select("document", "bytes")
+    files = readers.inventory(spark, path, "*.txt", named="kept_").select(stem.alias("document"), "bytes")
     have = table(spark, d, "nation").where("n_nationkey % 2 = 1").select(F.concat(F.lit("kept_"), F.col("n_nationkey").cast("string")).alias("document"))
     new = readers.not_ingested(files, have).select("document", F.lit(True).alias("new"))
     return files.select("document").join(new, "document", "left").select(F.col("document").alias("stem"), F.coalesce("new", F.lit(False)).alias("new"))
