@@ -239,8 +239,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     # written before they are joined: a join of two plain shuffles can have its large keys split
     leads = materialise(spark, cells.groupBy("cell").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     own = F.struct(*key)
-    per_id = filled.groupBy("doc_id").agg(F.sum(F.col("n_shingles") + 400).alias("weight"), F.min(own).alias("low"), F.max(own).alias("high"))
-    per_id = materialise(spark, per_id.select("doc_id", "weight", (F.col("low") != F.col("high")).alias("several")))
+    sets = filled.groupBy("doc_id", *key).agg(F.count(F.lit(1)).alias("rows"))
+    per_id = sets.groupBy("doc_id").agg(F.sum(F.col("n_shingles") + 400).alias("weight"), F.max("rows").alias("rows"), F.min(own).alias("low"), F.max(own).alias("high"))
+    per_id = materialise(spark, per_id.select("doc_id", "weight", "rows", (F.col("low") != F.col("high")).alias("several")))
+    if per_id.where("rows > 1").limit(1).count():
+        # a row is compared once, however often it stands there
+        docs = docs.dropDuplicates(["doc_id", "text"])
     # an id with several sets ties what these sets lead to
     several = per_id.where("several").select("doc_id")
     same = materialise(spark, filled.join(several, "doc_id").join(classes, key).where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
