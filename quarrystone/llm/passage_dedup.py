@@ -253,7 +253,9 @@ def with_copies(docs: DataFrame, name: str) -> DataFrame:
     key = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64("text")]
     if not docs.groupBy(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).count().where("count > 1").limit(1).count():
         return docs.withColumn(name, F.xxhash64("text"))
-    dealt = docs.repartitionByRange(*key).sortWithinPartitions(*key)
+    # by their place, too, so that a row that very many repeat is no single task
+    key.append(F.col(name))
+    dealt = docs.withColumn(name, F.monotonically_increasing_id()).repartitionByRange(*key).sortWithinPartitions(*key)
     return materialise(docs.sparkSession, dealt.withColumn(name, F.monotonically_increasing_id()))
 
 
