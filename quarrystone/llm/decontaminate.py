@@ -209,10 +209,8 @@ class Searcher:
             order = np.argsort(digest, kind="stable")
             self.runs[size] = digest[order], of[order]
 
-    def same_runs(self, h: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, word, words) where a run that is looked for stands."""
-        vocabulary = self.items.vocabulary
-        known = vocabulary[np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)] == h
+    def same_runs(self, h: np.ndarray, doc: np.ndarray, known: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, word, words) where a run that is looked for stands; ``known``: whether a word is one of the items'."""
         before = np.concatenate([[0], np.cumsum(known)])
         for size, (digest, of) in self.runs.items():
             if len(h) < size:
@@ -226,13 +224,12 @@ class Searcher:
                 for j in range(low[k], high[k]):
                     yield int(doc[at[k]]), int(of[j]), int(at[k]), size
 
-    def candidates(self, h: np.ndarray, doc: np.ndarray, docs: int) -> Iterator[tuple[int, int, int, int, float]]:
+    def candidates(self, at: np.ndarray, known: np.ndarray, doc: np.ndarray, docs: int) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, item, first word, end word, cosine) of windows that are close enough."""
         items = self.items
         n = np.bincount(doc, minlength=docs)
         first = np.cumsum(n) - n
-        at = np.minimum(np.searchsorted(items.vocabulary, h), len(items.vocabulary) - 1)
-        hit = np.flatnonzero((items.vocabulary[at] == h) & (items.weight[at] > 0))
+        hit = np.flatnonzero(known & (items.weight[at] > 0))
         if not len(hit):
             return
         at, of = at[hit], doc[hit]
@@ -292,20 +289,23 @@ class Searcher:
     def search(self, col: pa.Array) -> list[tuple[int, int, float, float, float, int, int]]:
         h, doc = words_of(col)
         near: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
-        for d, i, a, b, c in self.candidates(h, doc, len(col)):
+        vocabulary = self.items.vocabulary
+        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+        known = vocabulary[at] == h
+        for d, i, a, b, c in self.candidates(at, known, doc, len(col)):
             near.setdefault((d, i), []).append((a, b, c))
         split = np.searchsorted(doc, np.arange(len(col) + 1))
         out = []
         short: dict[tuple[int, int], int] = {}
-        for d, i, at, size in self.same_runs(h, doc):
-            at -= int(split[d])
+        for d, i, word, size in self.same_runs(h, doc, known):
+            word -= int(split[d])
             if len(self.items.words[i]) < RUN:
-                short.setdefault((d, i), at)
+                short.setdefault((d, i), word)
             else:
-                near.setdefault((d, i), []).append((at, at + size, 1.0))
-        for (d, i), at in short.items():
+                near.setdefault((d, i), []).append((word, word + size, 1.0))
+        for (d, i), word in short.items():
             # a run of all its words: nothing is left to confirm
-            out.append((d, self.items.ids[i], 1.0, 1.0, 1.0, at, at + len(self.items.words[i])))
+            out.append((d, self.items.ids[i], 1.0, 1.0, 1.0, word, word + len(self.items.words[i])))
         for (d, i), windows in sorted(near.items()):
             if len(self.items.words[i]) < RUN:
                 continue
