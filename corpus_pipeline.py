@@ -39,8 +39,9 @@ def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         # ids that repeat name no row: rows are numbered in the order of their ids
         row = "_row"
-        order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-        dealt = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+        # by their place, too, so that a row that very many repeat is no single task
+        order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col(row)]
+        dealt = docs.withColumn(row, F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
         docs = materialise(spark, dealt.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())))
     found = materialise(spark, near_dup.near_duplicates(docs.select(F.col(row).alias("doc_id"), "text"), NEAR_PERCENT))
     gone = found.where("not kept").select(F.col("doc_id").alias(row))
