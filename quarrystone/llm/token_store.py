@@ -216,7 +216,7 @@ class Encoder:
         texts = [u.decode("utf-8", "surrogatepass") for u in units]
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ask(self, units: list[bytes]) -> list[bytes]:
+    def ask(self, units: list[bytes]) -> list[bytes]:
         """Ids of units from the library.  Units that begin as at a sure cut are encoded
         many in one text; the bytes of the ids tell where each unit ends."""
         joined = [k for k, u in enumerate(units) if len(u) > 1 and (u[0] == 32 or u[0] == 10) and not _SPACE_LIST[u[1]]]
@@ -247,7 +247,7 @@ class Encoder:
                 ask.append(k)
             else:
                 found[k] = ids
-        for k, ids in zip(ask, self._ask([units[k] for k in ask])):
+        for k, ids in zip(ask, self.ask([units[k] for k in ask])):
             found[k] = ids
         self.words.update(zip([units[k] for k in lost], [found[k] for k in lost]))
         if len(self.words) > self.LIMIT:
