@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrystone.llm import alignment, decontaminate, fingerprint, licence_scan, main_text, near_dup, passage_dedup, piece_bpe, quality, secret_scan, spelling, token_store
+from quarrystone.llm import alignment, decontaminate, fingerprint, licence_scan, main_text, near_dup, passage_dedup, piece_bpe, quality, secret_scan, spelling, token_store, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,10 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op9_sentencepiece": piece_bpe.op9_sentencepiece,
         "op10_token_store": token_store.op10_token_store,
+        "op11_warc": warc.op11_warc,
         "op12_alignment": alignment.op12_alignment,
         "op13_spelling": spelling.op13_spelling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(warc.ORACLE_SQL)
