@@ -363,8 +363,9 @@ def write_tokens(df: DataFrame, path: str, file: str, end_id: int = 2, id_col: s
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     (
-        small_batches(rows).repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        # by a digest of the text, too, so that rows of one id (or of none) need no single task
+        small_batches(rows).repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
         .mapInArrow(tidied(run), "part int, segment int, n_docs bigint, n_ids bigint, blob binary")
         .write.option("compression", "none")
         .parquet(path)
