@@ -15,7 +15,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step takes at most (a longer text goes alone).
 SLICE_BYTES = 500_000
@@ -41,6 +42,55 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names for a time, none of which is one of ``df``'s (whose case Spark does not tell apart) or of the others."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """What ``join`` (a sum, a maximum) gives of each value of an array and all before it.
+
+    Each sweep joins values twice as far apart, so that an array is copied as often as its size has digits.
+    """
+    sweeps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def sweep(acc: Column, k: Column) -> Column:
+        far = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(acc, lambda x, i: F.when(i >= far, join(F.get(acc, i - far), x)).otherwise(x))
+
+    return F.aggregate(sweeps, values, sweep)
+
+
+def cut_out(text: Column, spans: Column, between: str = "") -> Column:
+    """``text`` without what the sorted ``spans`` (start, end) cover; ``between`` for each stretch.
+
+    Pieces are taken from four bytes a character, so each costs its own length wherever it stands.
+    """
+    # a sign before each piece, as a first U+FEFF would be taken for a byte order mark
+    piece = lambda raw, a, b: F.substring(F.decode(F.concat(F.lit(b"\0\0\0x"), F.substr(raw, (4 * a + 1).cast("int"), (4 * (b - a)).cast("int"))), "UTF-32"), 2, 2**31 - 1)
+
+    def put(raw: Column, reach: Column) -> Column:
+        def before(s: Column, i: Column) -> Column:
+            done = F.coalesce(F.get(reach, i - 1), F.lit(0).cast("long"))
+            return F.when(s["start"] > done, F.concat(piece(raw, done, s["start"]), F.lit(between))).when((i == 0) & (s["start"] == 0), F.lit(between)).otherwise("")
+
+        return F.concat(F.array_join(F.transform(spans, before), ""), piece(raw, F.element_at(reach, -1), F.length(raw) / 4))
+
+    ends = running(F.transform(spans, lambda s: s["end"].cast("long")), lambda a, b: F.greatest(a, b))
+    return bound(F.struct(F.encode(text, "UTF-32").alias("raw"), ends.alias("reach")), lambda x: put(x["raw"], x["reach"]))
+
+
 def tidy() -> None:
     """Gives freed memory of this Python worker back: workers live on between tasks and stages."""
     gc.collect()

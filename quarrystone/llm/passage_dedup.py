@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import NOT_SPACE, discard, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, word_spans
+from quarrystone.llm.common import NOT_SPACE, cut_out, discard, fresh, hash_words, lower_ascii, materialise, mix, slices, small_batches, table, text_bytes, tidied, word_spans
 
 #: Bytes after which a clause ends, and which do not count in a word.
 ENDS = np.zeros(256, bool)
@@ -283,27 +283,18 @@ def remove_passages(docs: DataFrame, passages: DataFrame, copy_col: str | None =
 
     ``copy_col`` as for ``repeated_passages``; without it rows must not repeat.
     """
-    names = set(docs.columns)
-    fresh = lambda name: name if name not in names else fresh(name + "_")
-    doc, copy, at = fresh("_span_doc"), fresh("_span_copy"), fresh("_spans")
+    doc, copy, at = fresh(docs, "_span_doc", "_span_copy", "_spans")
     spans = passages.groupBy(F.col("doc_id").alias(doc), F.col("copy").alias(copy)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(at))
     own = F.col(copy_col) if copy_col else F.xxhash64("text")
     joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (own == F.col(copy)), "left")
-    cut = F.aggregate(
-        at,
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substr(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))).alias("out")),
-        lambda acc: F.concat(acc["out"], F.substr(F.col("text"), (acc["at"] + 1).cast("int"))),
-    )
+    cut = cut_out(F.col("text"), F.col(at))
     out = joined.withColumn("text", F.when(F.col(at).isNotNull(), cut).otherwise(F.col("text"))).withColumn("removed_spans", F.col(at))
     return out.drop(doc, copy, at)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 30, bridge: int = 6) -> DataFrame:
     """``docs`` without repeated passages; rows that repeat lose theirs but for the first."""
-    name = "_copy"
-    while name in docs.columns:
-        name += "_"
+    (name,) = fresh(docs, "_copy")
     docs = with_copies(docs, name)
     return remove_passages(docs, repeated_passages(docs, min_words, bridge, name), name).drop(name)
 

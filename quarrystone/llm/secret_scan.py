@@ -2,7 +2,8 @@
 
 Positions come from splitting a text at the matches of an expression: the parts
 between matches and the matches themselves alternate, so running sums of their
-lengths are the spans (in code points).  Cheap ``contains`` and ``rlike`` tests go
+lengths are the spans (in code points), which take time in proportion to the matches
+and the digits of their number.  Cheap ``contains`` and ``rlike`` tests go
 first, so most texts are never split.
 
 The models are character models of random strings and of ordinary identifiers, each
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import table
+from quarrystone.llm.common import bound, cut_out, fresh, running, table
 
 # Forms of secrets, least length of the part that counts.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -139,20 +140,29 @@ def _matches(text: Column, pattern: str, worth: Column) -> Column:
     kind = "array<struct<start:int,end:int,match:string>>"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-    pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    walk = F.aggregate(
-        pairs,
-        start,
-        lambda acc, p: F.struct(
-            (acc["at"] + p["g"] + F.char_length(p["m"])).alias("at"),
-            F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["g"]).alias("start"), (acc["at"] + p["g"] + F.char_length(p["m"])).alias("end"), p["m"].alias("match")))).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
+
+    def spans(found: Column, gaps: Column) -> Column:
+        steps = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.char_length(m) + g)
+        return F.zip_with(found, running(steps, lambda a, b: a + b), lambda m, end: F.struct((end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("match")))
+
+    walk = bound(F.struct(found.alias("found"), gaps.alias("gaps")), lambda x: spans(x["found"], x["gaps"]))
     return F.when(worth, walk).otherwise(F.array().cast(kind))
 
 
+def _covered(span: Column, starts: Column, reach: Column) -> Column:
+    """Whether one of the spans with these sorted starts, and what they reach up to each, holds ``span``: by bisection."""
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        go = acc["low"] < acc["high"]
+        right = go & (F.get(starts, middle) <= span["start"])
+        return F.struct(F.when(right, middle + 1).otherwise(acc["low"]).alias("low"), F.when(go & ~right, middle).otherwise(acc["high"]).alias("high"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(starts) + F.lit(1))).cast("int"))
+    begin = F.struct(F.lit(0).alias("low"), F.size(starts).alias("high"))
+    return F.aggregate(steps, begin, halve, lambda acc: F.coalesce(F.get(reach, acc["low"] - 1) >= span["end"], F.lit(False)))
+
+
 def _random_sum(token: Column, model: Model) -> Column:
     """The log-likelihood ratio of a token being random, summed over its characters."""
     size = len(TOKEN_CHARS)
@@ -176,9 +186,7 @@ def scan_secrets(df: DataFrame, text_col: str = "text", model: Model | None = No
     text = F.coalesce(F.col(text_col), F.lit(""))
     low = F.lower(text)
     named = functools.reduce(lambda a, b: a | b, (F.contains(low, F.lit(w)) for w in ASSIGN_WORDS))
-    names = set(df.columns)
-    fresh = lambda name: name if name not in names else fresh(name + "_")
-    tokens_col, base_col = fresh("_tokens"), fresh("_base")
+    tokens_col, base_col = fresh(df, "_tokens", "_base")
 
     def of(kind: str, spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind")))
@@ -188,10 +196,11 @@ def scan_secrets(df: DataFrame, text_col: str = "text", model: Model | None = No
     hexes = _matches(text, HEX, text.rlike(HEX))
     tokens = _matches(text, TOKEN, text.rlike(TOKEN))
     step = df.withColumn(tokens_col, tokens).withColumn(base_col, F.concat(of("assign", assign), of("access", access), of("hex", hexes)))
-    odd = F.filter(
-        tokens_col,
-        lambda s: (_random_sum(s["match"], model) >= model.threshold) & ~F.exists(base_col, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])),
-    )
+    high = lambda s: _random_sum(s["match"], model) >= model.threshold
+    sorted_base = F.sort_array(base_col)
+    reach = running(F.transform(sorted_base, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    known = F.struct(F.transform(sorted_base, lambda s: s["start"]).alias("starts"), reach.alias("reach"))
+    odd = bound(known, lambda k: F.filter(tokens_col, lambda s: high(s) & ~_covered(s, k["starts"], k["reach"])))
     return step.withColumn("secret_spans", F.sort_array(F.concat(base_col, of("markov", odd)))).drop(tokens_col, base_col)
 
 
@@ -202,19 +211,7 @@ def _joined(spans: Column) -> Column:
 def redact(df: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]", spans_col: str = "secret_spans") -> DataFrame:
     """Replaces what the spans cover; touching or overlapping spans give one placeholder."""
     text = F.col(text_col)
-    walk = F.aggregate(
-        spans_col,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] > acc["at"], F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(placeholder)))
-            .when((acc["at"] == 0) & (s["start"] == 0), F.lit(placeholder))
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)),
-    )
-    return df.withColumn(text_col, F.when(F.size(spans_col) > 0, walk).otherwise(text))
+    return df.withColumn(text_col, F.when(F.size(spans_col) > 0, cut_out(text, F.col(spans_col), placeholder)).otherwise(text))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
