@@ -1,10 +1,13 @@
 """Document fingerprints: invertible Bloom lookup sketches, with DataFrame functions only.
 
-A text is a set of units, by one rule for every text, so that any two texts compare: it
-is cut at line breaks, and within a line at white space after a sign or after a word
-that ends in one of a few letters, so that an edit changes the units it touches and no
-others.  A unit's 64-bit digest holds 34 bits of hash, the unit's length, and 16 bits
-that check both, so what peeling recovers says how much text differs.
+A text is a set of units, by one rule for every text, so that any two texts compare.  A
+paragraph is cut by its content, in any language: at line breaks, after words whose hash
+is a multiple of ``WORD_CUT``, and within words of more than ``LONG_WORD`` code points (texts
+without spaces, rows of digits) after code points that end a run whose hash is a multiple
+of ``CHAR_CUT``.  A unit that is longer than ``LONG_UNIT`` is cut after further words.  So an
+edit changes the units it touches and no others.  A unit's 64-bit digest holds 34 bits of
+hash, the unit's length (with the marks of further cuts, one in some twenty signs), and 16
+bits that check both, so what peeling recovers says how much text differs.
 
 A sketch puts each digest into one cell of each of three sub-tables; a cell keeps a
 count and the XOR of its digests.  Sketches subtract cell by cell, so common units
@@ -37,7 +40,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import discard, materialise, table
+from quarrystone.llm.common import bound, discard, materialise, table
 
 #: Cells for each unit of the two sketches in the first attempt; each later one doubles them.
 CELLS = 3
@@ -55,17 +58,47 @@ _KEY = ["dk", "rid"]
 _NULL = -(1 << 63)
 _TALLY = -1
 
-# Where a unit ends within a line: at white space after these, or after signs of scripts without it.
-_ENDS = r"[ \t\r\n](?<=\n|[.!?,;:|*%&#$)ogyаоя][ \t\r])|(?<=[。！？；，、])"
+#: A line is cut after one in ``WORD_CUT`` words, by their hashes.
+WORD_CUT = 8
+#: Of units of more than ``LONG_UNIT`` code points, those whose words' hashes leave one of these remainders end pieces too.
+LONG_UNIT, MORE_CUTS = 100, (1, 2, 3)
+#: A word of more than ``LONG_WORD`` code points is cut after one in ``CHAR_CUT``, by the hash of ``CHAR_RUN`` in a row.
+LONG_WORD, CHAR_CUT, CHAR_RUN = 48, 24, 4
+#: Signs that mark cuts, and cuts of long units only (in a text they end pieces themselves).
+_CUT, _MORE = "\x01", "\x02"
 
 
 def _long(value: int) -> Column:
     return F.lit(value).cast("long")
 
 
+def _marked_word(word: Column) -> Column:
+    """A long word with a mark after each code point that ends a piece."""
+
+    def mark(chars: Column) -> Column:
+        def one(c: Column, i: Column) -> Column:
+            # what stands near decides, so an edit moves no cut but those beside it
+            near = F.xxhash64(*(F.coalesce(F.get(chars, i - k), F.lit("")) for k in range(CHAR_RUN)))
+            return F.when(F.pmod(near, F.lit(CHAR_CUT)) == 0, F.concat(c, F.lit(_CUT))).otherwise(c)
+
+        return F.array_join(F.transform(chars, one), "")
+
+    return bound(F.array_remove(F.split(word, "", -1), ""), mark)
+
+
+def _marked(word: Column) -> Column:
+    left = F.pmod(F.xxhash64(word), F.lit(WORD_CUT))
+    short = F.when(left == 0, F.concat(word, F.lit(_CUT))).when(left.isin(*MORE_CUTS), F.concat(word, F.lit(_MORE))).otherwise(word)
+    return F.when(F.char_length(word) > LONG_WORD, _marked_word(word)).otherwise(short)
+
+
 def units(text: Column) -> Column:
     """Digests of the distinct units of a text."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(text, _ENDS, -1), ""), _digest))
+    marked = F.array_join(F.transform(F.split(text, " ", -1), _marked), " ")
+    pieces = F.array_remove(F.split(marked, f"[{_CUT}\n]", -1), "")
+    long = lambda u: F.char_length(u) > LONG_UNIT
+    cut = bound(pieces, lambda p: F.when(F.exists(p, long), F.flatten(F.transform(p, lambda u: F.when(long(u), F.split(u, _MORE, -1)).otherwise(F.array(u))))).otherwise(p))
+    return F.array_distinct(F.transform(cut, _digest))
 
 
 def _digest(unit: Column) -> Column:

@@ -6,7 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quarrystone.llm import decontaminate, fingerprint, passage_dedup, quality
@@ -85,8 +86,25 @@ def test_quality_of_edge_rows(spark, edge, none):
 
 
 # ---- fingerprints
+def xx64(*parts):
+    """Spark's xxhash64 of strings, as a signed number."""
+    h = 42
+    for p in parts:
+        h = xxhash.xxh64_intdigest(p.encode(), seed=h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def marked(word):
+    if len(word) > fingerprint.LONG_WORD:
+        near = lambda i: [word[i - k] if i >= k else "" for k in range(fingerprint.CHAR_RUN)]
+        return "".join(c + "\x01" * (xx64(*near(i)) % fingerprint.CHAR_CUT == 0) for i, c in enumerate(word))
+    left = xx64(word) % fingerprint.WORD_CUT
+    return word + ("\x01" if left == 0 else "\x02" if left in fingerprint.MORE_CUTS else "")
+
+
 def units(t):
-    return {x for x in regex.split(fingerprint._ENDS, t) if x}
+    pieces = re.split("[\x01\n]", " ".join(marked(w) for w in t.split(" ")))
+    return {x for p in pieces if p for x in (p.split("\x02") if len(p) > fingerprint.LONG_UNIT else [p])}
 
 
 def likeness(a, b):
@@ -117,16 +135,41 @@ def test_fingerprints_of_a_table(spark, small):
     assert len(prints) == len(set(texts.values())) == len({r.fingerprint for r in got})
 
 
-def test_likeness_moves_smoothly_with_length(spark):
-    rng = random.Random(3)
-    words = ["".join(rng.choice("abdefgiklmnoprstuvy") for _ in range(rng.randint(2, 8))) + rng.choice(["", "", ",", "."]) for _ in range(2000)]
-    whole = " ".join(words)
-    rows = [(whole[:n], whole[: n - 1]) for n in [*range(2, 60), *range(60, 2001, 45), 599, 600, 601]]
+def random_text(kind, n):
+    rng = random.Random(kind)
+    if kind == "numbered words":
+        return " ".join(f"w{k}" for k in range(n))[:n]
+    if kind == "few words":
+        return " ".join(rng.choice(["das", "ist", "ein", "Haus", "und", "der", "Baum", "nicht"]) for _ in range(n))[:n]
+    if kind == "long german words":
+        return " ".join("".join(rng.choice(["recht", "schutz", "versicherung", "gesellschaft", "beitrag"]) for _ in range(rng.randint(1, 5))) for _ in range(n // 8 + 9))[:n]
+    if kind == "table":
+        return "\n".join("\t".join(str(rng.randrange(10**6)) for _ in range(9)) for _ in range(n // 60 + 9))[:n]
+    letters = {"digits": "0123456789", "chinese": "".join(map(chr, range(0x4E00, 0x4F00))), "greek": "αβγδεζηθικλμνξοπρστυ   ", "code": "abc_(){};=+  \n", "emoji": "😀😁😂🤣😃"}[kind]
+    return "".join(rng.choices(letters, k=n))
+
+
+KINDS = ["numbered words", "few words", "long german words", "table", "digits", "chinese", "greek", "code", "emoji"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_likeness_moves_smoothly_in_any_script(spark, kind):
+    """One code point less, at the end or inside, costs no more than some 200 code points of likeness."""
+    rows = []
+    for n in [200, 250, 400, 1000, 1887, 4000, 14_186, 100_000]:
+        text = random_text(kind, n)
+        rows += [(text, text[:-1]), (text, text[: n // 2] + text[n // 2 + 1 :]), (text, text[1:])]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for r in df.select("a", "b", fingerprint.units(F.col("a")).alias("ua"), fingerprint.units(F.col("b")).alias("ub")).collect():
+        assert len(r.ua) == len(units(r.a)) and len(r.ub) == len(units(r.b))
+        assert likeness(units(r.a), units(r.b)) >= 1 - 200 / len(r.a), (kind, len(r.a))
+
+
+def test_signs_of_cuts_in_a_text(spark):
+    rows = [("a\x01b \x02c d\x02" * 40, "\x01"), ("\x02", "\n\n"), (" ", "  ")]
     df = spark.createDataFrame(rows, "a string, b string")
     for r in df.select("a", "b", fingerprint.units(F.col("a")).alias("ua"), fingerprint.units(F.col("b")).alias("ub")).collect():
         assert len(r.ua) == len(units(r.a)) and len(r.ub) == len(units(r.b))
-        # what one lost character can change is its own unit, a few words of all
-        assert likeness(units(r.a), units(r.b)) >= 1 - 60 / len(r.a)
 
 
 def test_fingerprints_subtract_and_peel(spark):
