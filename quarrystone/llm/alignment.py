@@ -5,9 +5,10 @@ A text is encoded by a byte-level vocabulary (A, as space + text) and a piece vo
 cut into groups.  Groups repeat all over a corpus, so a group is looked at once:
 
 1. One map-only pass cuts texts into units at single spaces, where both vocabularies end a
-   token, so that a cut of groups is found once for each unit that a worker's bounded cache
-   keeps.  It gives, for each text, its distinct groups with how often each stands there;
-   and for each task, the dictionary entries it met (key, links, number of its texts).
+   token, and encodes the distinct units of a step once, by the libraries.  It gives, for
+   each text, its distinct groups with how often each stands there; and for each task, the
+   dictionary entries it met (key, links, number of its texts), interned in a worker's table
+   of bounded size.
 2. Entries of equal keys are put together: the dictionary of all distinct groups, the
    links of each expanded once.  A key of one token each is the two ids themselves; a
    longer one is a hash, and should two groups ever share one, all is done again with
@@ -30,7 +31,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,103 +41,195 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.llm import piece_bpe, token_store
-from quarrystone.llm.common import discard, hash_words, materialise, slices, small_batches, table, text_bytes, tidied
-
-#: Units, groups and links that a worker keeps before it starts again.
-UNITS, GROUPS, LINKS = 250_000, 250_000, 2_000_000
-#: Bytes of a unit that is kept.
-UNIT_BYTES = 64
+from quarrystone.llm.common import discard, hash_words, materialise, mix, slices, small_batches, table, text_bytes, tidied
+
+#: Groups and links that a worker keeps before it starts again.
+GROUPS, LINKS = 400_000, 3_000_000
+#: Text bytes of one step.
+STEP_BYTES = 1_500_000
+#: Units that the libraries see in one text.
+JOIN = 128
 #: Groups of the dictionary up to which scores are broadcast to the texts.
 BROADCAST_ROWS = 300_000
-#: Bits of an A id or B id in a pair.
+#: The character by which pieces write a space; in a text it is not given back.
+MARK = piece_bpe.MARK
+#: Bits of a B id in a pair.
 SHIFT = 32
-_LOW = (1 << SHIFT) - 1
+_C = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _flat(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places ``begin[k]``, ..., ``begin[k] + size[k] - 1`` for each k in turn."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _rows_hash(ids: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each run of ids."""
+    with np.errstate(over="ignore"):
+        h = mix(size.astype(np.uint64) + np.uint64(seed) * _C)
+        live, k = np.flatnonzero(size > 0), 0
+        while len(live):
+            h[live] = mix(h[live] * _C + ids[begin[live] + k].astype(np.uint64) + np.uint64(1))
+            k += 1
+            live = live[size[live] > k]
+    return h
+
+
+def byte_letters() -> dict[str, int]:
+    """The characters by which a byte-level vocabulary writes bytes: printable ones stand for themselves, the others are counted from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
+class _Vocabulary:
+    """Ids of units, and the bytes of each id."""
+
+    def __init__(self, encode, pieces: list[bytes]):
+        self.encode = encode
+        self.pool = np.frombuffer(b"".join(pieces), np.uint8)
+        self.size = np.array([*map(len, pieces)], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.encode(texts)
+        return np.fromiter(itertools.chain.from_iterable(found), np.int64, sum(map(len, found))), np.array([*map(len, found)], np.int64)
+
+    def gives_back(self, ids: np.ndarray, data: bytes) -> bool:
+        return self.pool[_flat(self.begin[ids], self.size[ids])].tobytes() == data
 
 
 class Aligner:
     """Groups of units, interned; see the module's text."""
 
     def __init__(self, byte_file: str, piece_file: str, seed: int):
-        self.a = token_store.Encoder(byte_file, 0)
-        self.a.library.encode_special_tokens = True
-        self.b = piece_bpe.codec(piece_file)
-        self.seed = seed.to_bytes(8, "little")
-        mark = piece_bpe.MARK
-        self.b_bytes = [p.replace(mark, " ").encode() for p in self.b.pieces]
-        for i, b in self.b.bytes_of.items():
-            self.b_bytes[i] = bytes([b])
-        self.a_len = self.a.bytes_of.tolist()
-        self.part = re.compile(f"{mark}+[^{mark}]*")
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        a = Tokenizer.from_file(byte_file)
+        a.encode_special_tokens = True
+        b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
+        letters = byte_letters()
+        # a byte-level vocabulary writes each byte as one character; a special token stands for its own string
+        spelled = lambda t: bytes([letters[c] for c in t]) if all(c in letters for c in t) else t.encode()
+        self.a = _Vocabulary(lambda texts: [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)], [spelled(a.id_to_token(i) or "") for i in range(a.get_vocab_size())])
+        piece = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace(MARK, " ").encode()
+        # the library puts the space first itself
+        self.b = _Vocabulary(lambda texts: b.encode([t[1:] for t in texts], num_threads=1), [piece(i) for i in range(b.vocab_size())])
+        self.seed = seed
         self.reset()
 
     def reset(self) -> None:
-        self.units: dict[bytes, tuple] = {}
-        self.groups: dict[str, int] = {}
+        self.groups: dict[int, int] = {}
         self.keys: list[int] = []
+        self.checks: list[int] = []
+        self.names: list[str] = []
         self.links: list[list[int]] = []
         self.pairs: list[tuple[int, ...]] = []
         self.pair_ids: dict[int, int] = {}
+        self.clash: set[int] = set()
         self.docs = np.zeros(1024, np.int64)
         self.held = 0
 
-    def _group(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> int:
-        name = f"{','.join(map(str, a))}|{','.join(map(str, b))}"
-        found = self.groups.get(name)
-        if found is not None:
-            return found
-        links, i, j = [], 0, 0
-        while i < len(a) and j < len(b):
-            links.append(a[i] << SHIFT | b[j])
-            step = ends_a[i] - ends_b[j]
-            i, j = i + (step <= 0), j + (step >= 0)
-        if len(links) == 1:
-            key = links[0]
-        else:
-            key = int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8, key=self.seed).digest(), "little", signed=True) | -(1 << 63)
-        found = self.groups[name] = len(self.keys)
+    def _encoded(self, v: _Vocabulary, units: list[bytes], texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of units end to end, where each id ends in them, and which units are given back byte by byte.
+
+        ``texts``: the units of one text each.
+        """
+        joined = [b"".join([units[k] for k in t]) for t in texts]
+        ids, n = v.ids([x.decode("utf-8", "surrogatepass") for x in joined])
+        ends = np.cumsum(v.size[ids])
+        unit_ends = np.cumsum([*map(len, units)])
+        if v.gives_back(ids, b"".join(joined)) and np.isin(unit_ends, ends).all():
+            return ids, ends, np.ones(len(units), bool)
+        # a text that is not: each unit by itself
+        good, parts, at = np.ones(len(units), bool), [], 0
+        cut = np.concatenate([[0], np.cumsum(n)])
+        for k, t in enumerate(texts):
+            own = ids[cut[k] : cut[k + 1]]
+            if v.gives_back(own, joined[k]) and np.isin(np.cumsum([len(units[u]) for u in t]), np.cumsum(v.size[own])).all():
+                parts.append((own, at + np.cumsum(v.size[own])))
+                at += len(joined[k])
+                continue
+            for u in t:
+                own, _ = v.ids([units[u].decode("utf-8", "surrogatepass")])
+                at += len(units[u])
+                if v.gives_back(own, units[u]):
+                    parts.append((own, at - len(units[u]) + np.cumsum(v.size[own])))
+                else:
+                    good[u] = False
+        return (*(np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in (0, 1)), good)
+
+    def learn(self, units: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Of each unit: A ids, B ids, groups, links and whether both vocabularies give it back; and all interned groups in turn."""
+        # a unit that begins as at a sure cut may follow another in one text
+        inner = [k for k, u in enumerate(units) if len(u) > 1 and not token_store._SPACE_LIST[u[1]]]
+        rest = sorted({*range(len(units))} - {*inner})
+        order = inner + rest
+        texts = [[*range(k, min(k + JOIN, len(inner)))] for k in range(0, len(inner), JOIN)] + [[k] for k in range(len(inner), len(order))]
+        own = [units[k] for k in order]
+        (ids_a, ends_a, good_a), (ids_b, ends_b, good_b) = (self._encoded(v, own, texts) for v in (self.a, self.b))
+        unit_ends = np.cumsum([*map(len, own)]) if own else np.zeros(0, np.int64)
+        ok = good_a & good_b
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        unit = np.searchsorted(unit_ends, ends)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        # a unit that one vocabulary lost has no groups; those before it end with their units
+        keep = ok[unit] if len(unit) else np.zeros(0, bool)
+        begin_a, begin_b = np.concatenate([[0], at_a[:-1] + 1]), np.concatenate([[0], at_b[:-1] + 1])
+        lost_a, lost_b = (~ok[np.searchsorted(unit_ends, e)] if len(e) else np.zeros(0, bool) for e in (ends_a, ends_b))
+        skip_a, skip_b = np.concatenate([[0], np.cumsum(lost_a)]), np.concatenate([[0], np.cumsum(lost_b)])
+        at_a, at_b, begin_a, begin_b, unit = at_a[keep], at_b[keep], begin_a[: len(ends)][keep], begin_b[: len(ends)][keep], unit[keep]
+        size_a = at_a + 1 - begin_a - (skip_a[at_a + 1] - skip_a[begin_a])
+        size_b = at_b + 1 - begin_b - (skip_b[at_b + 1] - skip_b[begin_b])
+        begin_a, begin_b = at_a + 1 - size_a, at_b + 1 - size_b
+        group = self._intern(ids_a, ends_a, begin_a, size_a, ids_b, ends_b, begin_b, size_b)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        sums = [np.bincount(unit, weights=w, minlength=len(order)).astype(np.int64)[back] for w in (size_a, size_b, np.ones(len(unit)), size_a + size_b - 1)]
+        first = np.searchsorted(unit, np.arange(len(order)))[back] if len(order) else back
+        return (*sums, ok[back], group[_flat(first, sums[2])])
+
+    def _intern(self, ids_a, ends_a, begin_a, size_a, ids_b, ends_b, begin_b, size_b) -> np.ndarray:
+        if not len(size_a):
+            return np.zeros(0, np.int64)
+        both = (ids_a[begin_a] << SHIFT) | ids_b[begin_b]
+        more = np.flatnonzero((size_a > 1) | (size_b > 1))
+        run = lambda seed: _rows_hash(ids_a, begin_a[more], size_a[more], seed) * _C ^ _rows_hash(ids_b, begin_b[more], size_b[more], seed + 1)
+        key, check = both.copy(), both.copy()
+        with np.errstate(over="ignore"):
+            # a longer group's key is negative
+            key[more] = (mix(run(4 * self.seed)) | np.uint64(1 << 63)).view(np.int64)
+            check[more] = mix(run(4 * self.seed + 2)).view(np.int64)
+        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        self.clash.update(key[check != check[first][inverse]].tolist())
+        local = np.empty(len(first), np.int64)
+        known = [*map(self.groups.get, key[first].tolist())]
+        for j, (k, at) in enumerate(zip(first.tolist(), known)):
+            if at is None:
+                at = self._add(int(key[k]), int(check[k]), *(x[y : y + n] for x, y, n in ((ids_a, begin_a[k], size_a[k]), (ends_a, begin_a[k], size_a[k]), (ids_b, begin_b[k], size_b[k]), (ends_b, begin_b[k], size_b[k]))))
+            elif self.checks[at] != check[k]:
+                self.clash.add(int(key[k]))
+            local[j] = at
+        return local[inverse]
+
+    def _add(self, key: int, check: int, a: np.ndarray, ends_a: np.ndarray, b: np.ndarray, ends_b: np.ndarray) -> int:
+        a, b = a.tolist(), b.tolist()
+        # an id of either side is linked with those of the other whose ends lie from its start on, up to its end
+        to_a, to_b = np.searchsorted(ends_a, ends_b).tolist(), np.searchsorted(ends_b, ends_a).tolist()
+        links = sorted({(i, to_b[i]) for i in range(len(a))} | {(to_a[j], j) for j in range(len(b))})
+        links = [a[i] << SHIFT | b[j] for i, j in links]
+        at = self.groups[key] = len(self.keys)
         self.keys.append(key)
+        self.checks.append(check)
+        self.names.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
         self.links.append(links)
         self.pairs.append(tuple(self.pair_ids.setdefault(p, len(self.pair_ids)) for p in dict.fromkeys(links)))
         self.held += len(links)
-        return found
-
-    def _unit(self, unit: bytes, a: list[int]) -> tuple | None:
-        """Groups in words, numbers of A ids, B ids and links, and interned groups; None: not given back byte by byte."""
-        text = unit.decode("utf-8", "surrogatepass")
-        if piece_bpe.MARK in text:
-            return None
-        b = [i for part in self.part.findall(text.replace(" ", piece_bpe.MARK)) for i in self.b._unit(part)]
-        if b"".join([self.b_bytes[i] for i in b]) != unit:
-            return None
-        ends_a = [*itertools.accumulate([self.a_len[i] for i in a])]
-        ends_b = [*itertools.accumulate([len(self.b_bytes[i]) for i in b])]
-        if not a or ends_a[-1] != len(unit):
-            return None
-        groups, names, i, j = [], [], 0, 0
-        for end in sorted({*ends_a} & {*ends_b}):
-            k, m = i, j
-            while ends_a[k] < end:
-                k += 1
-            while ends_b[m] < end:
-                m += 1
-            k, m = k + 1, m + 1
-            groups.append(self._group(a[i:k], b[j:m], ends_a[i:k], ends_b[j:m]))
-            names.append(f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:m]))}")
-            i, j = k, m
-        return ";".join(names), len(a), len(b), len(a) + len(b) - len(groups), groups
-
-    def learn(self, units: list[bytes]) -> list[tuple | None]:
-        missing = object()
-        found = [self.units.get(u, missing) for u in units]
-        lost = [k for k, f in enumerate(found) if f is missing]
-        for k, ids in zip(lost, self.a.ask([units[k] for k in lost])):
-            found[k] = self._unit(units[k], np.frombuffer(ids, "<u4").tolist())
-            if len(units[k]) <= UNIT_BYTES:
-                self.units[units[k]] = found[k]
-        return found
+        return at
 
     def full(self) -> bool:
-        return len(self.units) > UNITS or len(self.keys) > GROUPS or self.held > LINKS
+        return len(self.keys) > GROUPS or self.held > LINKS
 
 
 _ALIGNERS: dict[tuple[str, str, int], Aligner] = {}
@@ -167,19 +259,18 @@ def _texts(al: Aligner, some: pa.RecordBatch, row: int, extra: dict[int, int]) -
     doc = np.searchsorted(off[1:], starts, side="right")
     _, first, unit = np.unique(hash_words(data, starts, ends), return_index=True, return_inverse=True)
     raw = data.tobytes()
-    found = al.learn([raw[x:y] for x, y in zip(starts[first].tolist(), ends[first].tolist())])
+    per_a, per_b, per_group, per_link, ok, flat = al.learn([raw[x:y] for x, y in zip(starts[first].tolist(), ends[first].tolist())])
     bad = np.zeros(docs, bool)
-    bad[doc[np.array([f is None for f in found], bool)[unit]]] = True
-    found = [f or ("", 0, 0, 0, []) for f in found]
+    bad[doc[~ok[unit]]] = True
     good = ~bad[doc]
     unit, doc = unit[good], doc[good]
-    sums = [np.bincount(doc, weights=np.array([f[k] for f in found], np.int64)[unit], minlength=docs).astype(np.int64) for k in (1, 2, 3)]
-    size = np.array([len(f[4]) for f in found], np.int64)
-    flat = np.fromiter(itertools.chain.from_iterable([f[4] for f in found]), np.int64, int(size.sum()))
-    begin = np.cumsum(size) - size
-    n = size[unit]
-    group = flat[np.repeat(begin[unit] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    sums = [np.bincount(doc, weights=per[unit], minlength=docs).astype(np.int64) for per in (per_a, per_b, per_link)]
+    n = per_group[unit]
+    group = flat[_flat((np.cumsum(per_group) - per_group)[unit], n)]
     owner = np.repeat(doc, n)
+    cut = np.searchsorted(owner, np.arange(docs + 1)).tolist()
+    names = [*map(al.names.__getitem__, group.tolist())]
+    digests = [hashlib.sha256(";".join(names[x:y]).encode()).hexdigest() if x < y else "" for x, y in zip(cut, cut[1:])]
     # distinct groups of each text, and how often
     codes, times = np.unique(owner * len(al.keys) + group, return_counts=True) if len(group) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     owner, distinct = (codes // len(al.keys), codes % len(al.keys)) if len(codes) else (codes, codes)
@@ -187,10 +278,6 @@ def _texts(al: Aligner, some: pa.RecordBatch, row: int, extra: dict[int, int]) -
         al.docs = np.concatenate([al.docs, np.zeros(2 * len(al.keys) - len(al.docs), np.int64)])
     np.add.at(al.docs, distinct, 1)
     _again(al, owner, distinct, extra)
-    names = [f[0] for f in found]
-    cut = np.searchsorted(doc, np.arange(docs + 1))
-    unit = unit.tolist()
-    digests = [hashlib.sha256(";".join([names[u] for u in unit[x:y]]).encode()).hexdigest() if x < y else "" for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
     keys = np.array(al.keys, np.int64)[distinct] if len(distinct) else distinct
     at = np.searchsorted(owner, np.arange(docs + 1))
     return _batch(
@@ -207,9 +294,8 @@ def _again(al: Aligner, owner: np.ndarray, group: np.ndarray, extra: dict[int, i
     lists = [al.pairs[g] for g in some.tolist()]
     size = np.array([*map(len, lists)], np.int64)
     flat = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(size.sum()))
-    begin = np.cumsum(size) - size
     n = size[at]
-    pair = flat[np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    pair = flat[_flat((np.cumsum(size) - size)[at], n)]
     codes = np.sort(np.repeat(owner, n) * len(al.pair_ids) + pair)
     pairs, more = np.unique(codes[1:][codes[1:] == codes[:-1]] % len(al.pair_ids), return_counts=True)
     for p, m in zip(pairs.tolist(), more.tolist()):
@@ -223,10 +309,13 @@ def _entries(al: Aligner, extra: dict[int, int]) -> Iterator[pa.RecordBatch]:
         part = met[at : at + 20_000]
         links = [al.links[g] for g in part.tolist()]
         yield _batch(len(part), kind=pa.array(np.ones(len(part), np.int32)), key=pa.array([al.keys[g] for g in part.tolist()], pa.int64()), links=pa.array(links, pa.list_(pa.int64())), docs=pa.array(al.docs[part]))
+    if al.clash:
+        yield _batch(len(al.clash), kind=pa.array(np.ones(len(al.clash), np.int32)), key=pa.array(al.clash, pa.int64()), links=pa.array([[]] * len(al.clash), pa.list_(pa.int64())), docs=pa.array(np.zeros(len(al.clash), np.int64)))
     if extra:
         names = np.fromiter(al.pair_ids, np.int64, len(al.pair_ids))
         yield _batch(len(extra), kind=pa.array(np.full(len(extra), 2, np.int32)), key=pa.array(names[np.fromiter(extra, np.int64, len(extra))]), docs=pa.array(extra.values(), pa.int64()))
     al.docs[:] = 0
+    al.clash.clear()
     extra.clear()
 
 
@@ -244,7 +333,7 @@ def group_texts(docs: DataFrame, byte_file: str, piece_file: str, seed: int = 0)
         row = TaskContext.get().partitionId() << 40
         al.docs[:] = 0
         for b in batches:
-            for some in slices(b, "text"):
+            for some in slices(b, "text", STEP_BYTES):
                 yield _texts(al, some, row, extra)
                 row += some.num_rows
                 if al.full():

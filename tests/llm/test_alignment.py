@@ -9,13 +9,6 @@ from quarrystone.llm import alignment
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
-def byte_letters():
-    """The characters by which a byte-level vocabulary writes bytes."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    out = {chr(b): b for b in plain}
-    return out | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
-
-
 def brute(rows):
     """By the libraries' own whole-text encodings and all token pairs of a text."""
     import sentencepiece
@@ -24,7 +17,7 @@ def brute(rows):
     a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    letters = byte_letters()
+    letters = alignment.byte_letters()
     piece = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
     docs, counts = [], Counter()
     for i, text in rows:
@@ -119,10 +112,20 @@ def test_clashing_keys_are_made_again(spark, monkeypatch):
     assert result(run(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute(rows) and len(seen) == 2
 
 
-def test_a_cache_that_starts_again(spark):
+def test_a_table_that_starts_again(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "GROUPS", 3)
+    monkeypatch.setattr(alignment, "STEP_BYTES", 40)
+    rows = [(k, f"the w{k % 17} theatre{k % 5} antidisestablishment a▁b"[: 10 + k]) for k in range(60)]
+    assert result(run(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute(rows)
+
+
+def test_groups_of_equal_keys_in_a_worker_are_told(spark):
     from quarrystone.llm import piece_bpe, token_store
 
     al = alignment.Aligner(token_store.default_tokenizer(), piece_bpe.default_model(), 0)
-    first = al.learn([b" antidisestablishment", b" caf\xc3\xa9"])
-    al.reset()
-    assert al.learn([b" caf\xc3\xa9"])[0][:4] == first[1][:4] and not al.full()
+    al.learn([b" antidisestablishment", b" caf\xc3\xa9"])
+    assert not al.clash and len(al.keys) == len(set(al.names))
+    long = next(k for k, key in enumerate(al.keys) if key < 0)
+    al.checks[long] += 1
+    al.learn([b" antidisestablishment", b" caf\xc3\xa9"])
+    assert al.clash == {al.keys[long]}
