@@ -568,9 +568,18 @@ def event_windows(spark, d):
     return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
-@query()
+@query("""WITH RECURSIVE letters AS (SELECT p_brand AS document, p_size AS page, p_partkey AS n, unnest(generate_series(0, length(p_name) - 1)) AS k, p_name FROM part),
+  chars AS (SELECT document, page, k * 6.0 + CASE WHEN k > 6 THEN 4.0 ELSE 0.0 END AS x0, k * 6.0 + CASE WHEN k > 6 THEN 4.0 ELSE 0.0 END + 5.5 AS x1, n * 1.5 AS top FROM letters),
+  tops AS (SELECT DISTINCT document, page, top FROM chars),
+  begins AS (SELECT document, page, min(top) AS line_top FROM tops GROUP BY document, page
+    UNION ALL SELECT b.document, b.page, min(t.top) FROM begins b JOIN tops t ON t.document = b.document AND t.page = b.page AND t.top - b.line_top > 2.5 GROUP BY b.document, b.page, b.line_top),
+  lines AS (SELECT document, page, line_top, lead(line_top) OVER (PARTITION BY document, page ORDER BY line_top) AS next_top, row_number() OVER (PARTITION BY document, page ORDER BY line_top) - 1 AS line_no FROM begins),
+  placed AS (SELECT c.*, l.line_no FROM chars c JOIN lines l ON c.document = l.document AND c.page = l.page AND c.top >= l.line_top AND (l.next_top IS NULL OR c.top < l.next_top)),
+  cut AS (SELECT *, CASE WHEN x0 - lag(x1) OVER (PARTITION BY document, page, line_no ORDER BY x0, x1) > 2.2 THEN 1 ELSE 0 END AS new FROM placed),
+  words AS (SELECT document, page, line_no, sum(new) OVER (PARTITION BY document, page, line_no ORDER BY x0) AS word_no FROM cut)
+  SELECT document, page, cast(line_no AS INT) AS line_no, cast(word_no AS BIGINT) AS word_no, count(*) AS n_chars FROM words GROUP BY ALL""")
 def line_word_clusters(spark, d):
-    """Anchored clustering keeps state from row to row"""
+    """Anchored lines and words of pages, by windows and folds of short segments"""
     part = table(spark, d, "part")
     letters = part.select(F.col("p_brand").alias("document"), F.col("p_size").alias("page"), F.col("p_partkey").alias("n"), F.posexplode(F.split("p_name", "")).alias("at", "text"))
     chars = letters.where("text <> ''").select(
@@ -605,12 +614,12 @@ def payload(spark, d):
 
 def queries() -> dict:
     """All named queries, those of the rules and sources too."""
-    from quarrystone.plans import checks  # noqa: F401  (registers its queries)
+    from quarrystone.plans import checks, documents  # noqa: F401  (these register their queries)
 
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from quarrystone.plans import checks  # noqa: F401
+    from quarrystone.plans import checks, documents  # noqa: F401
 
     return dict(SQL)

@@ -734,10 +734,21 @@ def _glyph_rows(words: DataFrame, width: float = 5.0) -> DataFrame:
 _ITEMS = "SELECT s.s_suppkey AS document, p.rank AS rank, 1 + (p.rank - 1) // 6 AS page, 40 + 10 * ((p.rank - 1) % 6) AS top, CASE WHEN (s.s_suppkey + p.rank) % 3 = 0 THEN 'NO INGRESO' ELSE 'INGRESO' END AS condition, CASE WHEN p.rank % 5 = 0 THEN 'NSP' ELSE cast(90 - p.rank AS {s}) || '.5' END AS score, 'ANA LUZ' || repeat('A', cast(p.rank % 4 AS INT)) AS name FROM supplier s, {r} p"
 
 
-@query(f"""WITH i AS ({_ITEMS.format(s="VARCHAR", r="(SELECT unnest(generate_series(1, 14)) AS rank)")})
-  SELECT cast(document AS VARCHAR) AS document, cast(page AS INT) AS page, 'CAMANA' AS site, 'GRUPO UNO' AS subgroup, 'DERECHO' AS program, cast(rank AS VARCHAR) AS merit_rank, name, score, condition, CASE WHEN page = 1 THEN 61.5 END::DOUBLE AS floor_score, 'results' AS doc_class FROM i""")
+TABLE_SQL = f"""WITH i AS ({_ITEMS.format(s="VARCHAR", r="(SELECT unnest(generate_series(1, 14)) AS rank)")})
+  SELECT cast(document AS VARCHAR) AS document, cast(page AS INT) AS page, 'CAMANA' AS site, 'GRUPO UNO' AS subgroup, 'DERECHO' AS program, cast(rank AS VARCHAR) AS merit_rank, name, score, condition, CASE WHEN page = 1 THEN 61.5 END::DOUBLE AS floor_score, 'results' AS doc_class FROM i"""
+
+
+@query(TABLE_SQL)
 def geometry_rows(spark, d):
-    """Rows of tables that go on over pages, from characters of known cells"""
+    """Rows of tables that go on over pages, from characters of known cells"""
+    return layout.read_documents(table_chars(spark, d)).select(*TABLE_ROW)
+
+
+TABLE_ROW = ("document", "page", "site", "subgroup", "program", "merit_rank", "name", "score", "condition", "floor_score", "doc_class")
+
+
+def table_chars(spark: SparkSession, d: str) -> DataFrame:
+    """Characters of a table for each supplier, which goes on over three pages."""
     ranks = spark.range(1, 15).select(F.col("id").alias("rank"))
     items = table(spark, d, "supplier").select("s_suppkey").join(F.broadcast(ranks)).select(
         F.col("s_suppkey").cast("string").alias("document"), "rank", (1 + F.floor((F.col("rank") - 1) / 6)).cast("int").alias("page"), (40 + 10 * ((F.col("rank") - 1) % 6)).alias("top"),
@@ -752,8 +763,7 @@ def geometry_rows(spark, d):
     head = [("EXAMEN ORDINARIO - CAMANA", 10, 1), ("GRUPO UNO", 10, 10), ("DERECHO", 10, 20), ("Ord.", 10, 30), ("Nombre", 60, 30), ("Total", 250, 30), ("Condición", 320, 30), ("Nota Minima 61.50", 10, 110)]
     top = F.explode(F.array(*(F.struct(F.lit(w).alias("word"), F.lit(float(x)).alias("x"), F.lit(y).cast("long").alias("top"), F.lit(k).alias("k")) for k, (w, x, y) in enumerate(head))))
     titles = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("document"), top.alias("t")).select("document", F.lit(1).alias("page"), F.col("t.k").cast("long").alias("seq"), "t.word", "t.x", "t.top")
-    chars = _glyph_rows(body.select("document", "page", F.col("seq").cast("long").alias("seq"), "word", "x", F.col("top").cast("long").alias("top")).unionByName(titles))
-    return layout.read_documents(chars).select("document", "page", "site", "subgroup", "program", "merit_rank", "name", "score", "condition", "floor_score", "doc_class")
+    return _glyph_rows(body.select("document", "page", F.col("seq").cast("long").alias("seq"), "word", "x", F.col("top").cast("long").alias("top")).unionByName(titles))
 
 
 @query("""SELECT cast(s_suppkey AS VARCHAR) AS document, CASE WHEN s_suppkey % 2 = 0 THEN 'distancia' ELSE 'presencial' END AS section, program, n + k AS ordinary, 5 * (n + k) + 4 AS total FROM (SELECT s_suppkey, cast(s_nationkey AS INT) AS n FROM supplier),
