@@ -6,7 +6,6 @@ published figures with known faults, cells of known shape, characters of known c
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -22,6 +21,7 @@ from quarrystone.plans.canonical import APPS, applications, table
 from quarrystone.plans.named import query
 from quarrystone.schemas import strings
 from quarrystone.sources import readers, writers
+from quarrystone.sources.shared import scratch
 
 WITH = f"WITH {APPS}"
 COUNTS = "counts AS (SELECT cycle, program, count(*) AS applications, count(*) FILTER (WHERE admitted) AS admitted FROM apps WHERE admitted IS NOT NULL GROUP BY ALL)"
@@ -419,7 +419,7 @@ def rule_examples(spark, d):
 @query(f"{WITH}, {COUNTS} SELECT row_number() OVER (ORDER BY cycle, program) AS line, cycle, program, applications FROM counts")
 def sorted_sink(spark, d):
     """A sorted file of named columns, read back in its order"""
-    path = _scratch(spark)
+    path = scratch(spark)
     writers.write_sorted(_counts(spark, d), path, ["cycle", "program", "applications"], ["cycle", "program"])
     back = readers.read_strings(spark, path, strings("cycle", "program", "applications"))
     # one file: the place of a row in it is the order it was written in
@@ -558,7 +558,7 @@ def chain_counts(spark, d):
 def documentation_rules(spark, d):
     """Documents cite live figures, and every script says what it does"""
     orders = table(spark, d, "orders")
-    path = _scratch(spark)
+    path = scratch(spark)
     years = ", ".join(str(y) for y in range(1992, 1997))
     texts = [("readme.md", f"The years are {years}; there are 7 rows."), ("a.py", '"""Says what it does."""\nx = 1\n'), ("b.py", "x = 1\n")]
     spark.createDataFrame([(t.replace("\n", "\x0b"), n) for n, t in texts], "value string, name string").write.partitionBy("name").text(path)
@@ -573,17 +573,6 @@ def documentation_rules(spark, d):
 
 # ---- sources and sinks
 
-def _scratch(spark: SparkSession) -> str:
-    """A fresh folder that the driver and all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.conf.get("spark.master", "")
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def _nation_strings(spark, d):
     cell = lambda c: F.col(c).cast("string").alias(c)
     return table(spark, d, "nation").select(cell("n_nationkey"), F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name")).alias("n_name"), cell("n_regionkey"))
@@ -592,7 +581,7 @@ def _nation_strings(spark, d):
 @query("SELECT cast(n_regionkey AS VARCHAR) AS cycle, cast(n_nationkey AS VARCHAR) AS n_nationkey, CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS n_name FROM nation")
 def csv_by_cycle(spark, d):
     """A folder of strings for each cycle, empty cells null, the cycle from the folder's name"""
-    path = _scratch(spark)
+    path = scratch(spark)
     _nation_strings(spark, d).withColumnRenamed("n_regionkey", "cycle").write.partitionBy("cycle").option("header", True).csv(path)
     back = readers.read_cycles(spark, path, strings("n_nationkey", "n_name"))
     return back.select(F.regexp_replace("cycle", "^cycle=", "").alias("cycle"), "n_nationkey", "n_name")
@@ -601,7 +590,7 @@ def csv_by_cycle(spark, d):
 @query("SELECT cast(n_nationkey AS VARCHAR) AS n_nationkey, CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS n_name, CASE WHEN n_nationkey % 2 = 0 THEN cast(n_regionkey AS VARCHAR) END AS n_regionkey FROM nation")
 def csv_by_name(spark, d):
     """Files whose headers differ in columns and order"""
-    rows, path = _nation_strings(spark, d), _scratch(spark)
+    rows, path = _nation_strings(spark, d), scratch(spark)
     rows.where("n_nationkey % 2 = 0").select("n_regionkey", "n_name", "n_nationkey").write.option("header", True).csv(f"{path}/a")
     rows.where("n_nationkey % 2 = 1").select("n_nationkey", "n_name").write.option("header", True).csv(f"{path}/b")
     return readers.read_by_name(spark, [f"{path}/a", f"{path}/b"]).select("n_nationkey", "n_name", "n_regionkey")
@@ -610,16 +599,16 @@ def csv_by_name(spark, d):
 @query("SELECT cast(n_regionkey AS VARCHAR) AS n_regionkey, count(*) AS n_rows, count(CASE WHEN n_nationkey % 5 <> 0 THEN n_name END) AS n_names FROM nation GROUP BY ALL")
 def csv_in_sql(spark, d):
     """A CSV in FROM"""
-    path = _scratch(spark)
+    path = scratch(spark)
     _nation_strings(spark, d).write.option("header", True).csv(path)
-    name = readers.csv_relation(spark, path, f"csv_{uuid.uuid4().hex}", strings("n_nationkey", "n_name", "n_regionkey"))
+    name = readers.csv_relation(spark, path, "csv_in_sql_nation", strings("n_nationkey", "n_name", "n_regionkey"))
     return spark.sql(f"SELECT n_regionkey, count(*) AS n_rows, count(n_name) AS n_names FROM {name} GROUP BY n_regionkey")
 
 
 @query("SELECT 'kept_' || cast(n_nationkey AS VARCHAR) AS stem, n_nationkey % 2 = 0 AS new FROM nation WHERE n_nationkey % 3 = 0")
 def file_inventory(spark, d):
     """Files on disk by name, and which of them are not in yet"""
-    path = _scratch(spark)
+    path = scratch(spark)
     names = F.concat(F.when(F.col("n_nationkey") % 3 == 0, "kept_").otherwise("other_"), F.col("n_nationkey").cast("string"))
     table(spark, d, "nation").select(names.alias("stem"), F.repeat(F.lit("x"), 1500).alias("value")).write.partitionBy("stem").text(path)
     stem = F.regexp_extract("path", r"stem=([^/]+)/", 1)
@@ -631,18 +620,20 @@ def file_inventory(spark, d):
 
 @query("SELECT p_brand AS brand, sha256(string_agg(p_name, chr(10) ORDER BY p_partkey)) AS digest, count(*) AS n_lines FROM part GROUP BY p_brand")
 def text_files(spark, d):
-    """Whole texts, line breaks and all; one for each brand, of which there are a fixed number"""
-    path = _scratch(spark)
-    names = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda r: r["p_name"])
-    table(spark, d, "part").groupBy("p_brand").agg(F.array_join(names, "\n").alias("value")).write.partitionBy("p_brand").text(path)
-    back = readers.read_text_files(spark, [path]).select(F.regexp_extract(F.try_url_decode(F.try_url_decode("path")), r"p_brand=([^/]+)/", 1).alias("brand"), F.expr("left(text, length(text) - 1)").alias("text"))
+    """Whole texts, line breaks and all, streamed to one file for each brand and read back"""
+    path = scratch(spark)
+    parts = table(spark, d, "part")
+    first = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("first"))
+    lines = parts.join(first, "p_brand").select("p_brand", "p_partkey", F.concat(F.when(F.col("p_partkey") == F.col("first"), "").otherwise("\n"), "p_name").alias("line"))
+    writers.write_files(lines, path, "p_brand", "p_partkey", "line", ".txt")
+    back = readers.read_text_files(spark, [f"{path}/*.txt"]).select(F.regexp_extract(F.try_url_decode("path"), r"([^/]+)\.txt$", 1).alias("brand"), "text")
     return back.select("brand", F.sha2("text", 256).alias("digest"), F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
 
 
 @query("SELECT r_regionkey, r_name FROM region")
 def json_object(spark, d):
     """One JSON object written and read"""
-    path = _scratch(spark)
+    path = scratch(spark)
     regions = table(spark, d, "region").agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("r_regionkey", "r_name"))).alias("regions"))).alias("value"))
     writers.write_json_object(regions, path)
     back = readers.read_payload(spark, path).select(F.explode("regions").alias("r"))
@@ -662,7 +653,7 @@ def area_dimension(spark, d):
 @query("SELECT n_regionkey, count(*) AS n_rows FROM nation GROUP BY ALL")
 def saved_table(spark, d):
     """A table replaced as a whole"""
-    name = f"saved_{uuid.uuid4().hex}"
+    name = "saved_by_region"
     writers.save_table(table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey")), name)
     return writers.save_table(table(spark, d, "nation").select("n_nationkey", "n_regionkey"), name).groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from quarrystone.operators import layout
 from quarrystone.plans.canonical import table
-from quarrystone.plans.checks import TABLE_ROW, TABLE_SQL, _glyph_rows, table_chars
+from quarrystone.plans.checks import TABLE_ROW, TABLE_SQL, _glyph_rows, _nation_strings, table_chars
 from quarrystone.plans.named import query
-from quarrystone.sources import pdf_chars
+from quarrystone.schemas import strings
+from quarrystone.sources import fetch, pdf_chars, readers, writers
+from quarrystone.sources.shared import scratch
 
 PAGE_HEIGHT = 800
 
@@ -148,3 +150,39 @@ def glued_cells(spark, d):
     rows = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("document"), "s_suppkey", F.lit(1).alias("page"), F.explode(F.array(*words)).alias("w"))
     chars = _glyph_rows(rows.select("document", "page", "w.seq", "w.word", "w.x", "w.top"))
     return layout.read_documents(chars).select("document", "merit_rank", "name", "score", "condition")
+
+
+# ---- fetching and keeping documents
+
+
+@query("""SELECT cast(p_partkey AS VARCHAR) AS document, CASE p_partkey % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 2 THEN 'ok' WHEN 3 THEN 'absent' ELSE 'failed' END AS status,
+  CASE p_partkey % 5 WHEN 0 THEN 'live' WHEN 1 THEN 'archive' WHEN 2 THEN 'archive' END AS origin, CASE p_partkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 1 ELSE 4 END AS attempts,
+  CASE WHEN p_partkey % 5 < 3 THEN octet_length(encode('%PDF-' || p_name)) END::BIGINT AS bytes, CASE WHEN p_partkey % 5 < 3 THEN sha256('%PDF-' || p_name) END AS digest FROM part""")
+def fetched_documents(spark, d):
+    """Documents from where they should be or else from the archive; what is absent is asked for once, what is no PDF twice"""
+    path = scratch(spark)
+    kind = F.col("p_partkey") % 5
+    parts = table(spark, d, "part").select("p_partkey", "p_name", kind.alias("kind"))
+    # live: whole for kind 0, something else for 2 and 4; in the archive: whole for 1 and 2, something else for 4
+    live = parts.where("kind in (0, 2, 4)").select(F.concat(F.lit("live-"), F.col("p_partkey").cast("string")).alias("name"), F.concat(F.when(F.col("kind") == 0, "%PDF-").otherwise("<html>"), "p_name").alias("body"))
+    kept = parts.where("kind in (1, 2, 4)").select(F.concat(F.lit("archive-"), F.col("p_partkey").cast("string")).alias("name"), F.concat(F.when(F.col("kind") == 4, "<html>").otherwise("%PDF-"), "p_name").alias("body"))
+    writers.write_files(live.unionByName(kept).withColumn("at", F.lit(0)), path, "name", "at", "body")
+    place = lambda what: F.concat(F.lit(f"{path}/{what}-"), F.col("p_partkey").cast("string"))
+    requests = parts.select(F.col("p_partkey").cast("string").alias("document"), place("live").alias("url"), F.when(F.col("kind") != 3, place("archive")).alias("other"))
+    got = fetch.fetch(requests, attempts=2, pause=0)
+    return got.select("document", "status", "origin", "attempts", "bytes", F.sha2("content", 256).alias("digest"))
+
+
+@query("""SELECT cast(n_nationkey AS VARCHAR) AS n_nationkey, CASE WHEN n_regionkey = 1 THEN 'again' WHEN n_nationkey % 5 <> 0 THEN n_name END AS n_name, cast(n_regionkey AS VARCHAR) AS document
+  FROM nation WHERE n_regionkey <> 2 AND (n_regionkey <> 1 OR n_nationkey % 2 = 0)""")
+def document_rewrite(spark, d):
+    """Of a table by document one document is written again, twice over, and one is given up; the others stay"""
+    path = scratch(spark)
+    rows = _nation_strings(spark, d).withColumnRenamed("n_regionkey", "document")
+    writers.rewrite_partitions(rows, path, "document", header=True)
+    again = rows.where("document = '1' and cast(n_nationkey as int) % 2 = 0").withColumn("n_name", F.lit("again"))
+    for _ in range(2):
+        writers.rewrite_partitions(again, path, "document", header=True)
+    writers.drop_partitions(rows.where("document = '2'").select("document"), path)
+    back = readers.read_cycles(spark, path, strings("n_nationkey", "n_name"))
+    return back.select("n_nationkey", "n_name", F.regexp_replace("cycle", "^document=", "").alias("document"))
