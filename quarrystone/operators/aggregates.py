@@ -34,40 +34,44 @@ def _pct_rejected() -> Column:
     return 100.0 * F.count_if(~F.col("admitted")) / F.count("admitted")
 
 
-def _summary(rows: DataFrame, keys: list[str], cutoff: Column, width: float) -> DataFrame:
+def _summary(apps: DataFrame, keys: tuple[str, ...], which: Column) -> DataFrame:
+    rows = with_outcome(apps)
     score = nonzero(F.col("score"))
     found = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("applications"),
         F.count_if("admitted").alias("admitted"),
         _pct_rejected().alias("pct_rejected"),
-        F.min(F.when(cutoff, score)).alias("cutoff_score"),
-        F.min(F.when(cutoff, F.col("percentile"))).alias("cutoff_percentile"),
+        F.min(F.when(which, score)).alias("cutoff_score"),
         F.min_by(F.col("floor_score"), F.when(F.col("floor_score").isNotNull(), F.col("row_seq"))).alias("floor_score"),
         F.min(score).alias("min_score"),
         F.max(score).alias("max_score"),
     )
-    middle = windows.positions(rows.where("score <> 0").select(*keys, "score", "row_seq"), tuple(keys), "score", width, ("row_seq",))
-    median = windows.quantiles(middle, tuple(keys), {"median_score": 0.5}).select(*keys, "median_score")
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
-    found = found.join(median.select(*(F.col(k).alias(f"_of_{k}") for k in keys), "median_score"), same, "left").drop(*(f"_of_{k}" for k in keys))
+    if "percentile" in apps.columns:
+        lowest = rows.groupBy(*keys).agg(F.min(F.when(which, F.col("percentile"))).alias("cutoff_percentile"))
+    else:
+        lowest = windows.lowest_percentile(apps, keys, F.col("admitted").isNotNull() & which)
+    median = windows.quantiles(rows.where("score <> 0").select(*keys, "score"), keys, {"median_score": 0.5}).select(*keys, "median_score")
+    # three aggregates by the same key
+    for other in (lowest, median):
+        named = other.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        found = found.join(named, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys)), "left").drop(*(f"_of_{k}" for k in keys))
     trusted = F.col("pct_rejected") >= TRUST_PCT
     rate = F.when((F.col("applications") >= RATE_MIN_ROWS) & trusted, 100.0 * F.col("admitted") / F.col("applications"))
     return found.withColumn("trusted", trusted).withColumn("admission_rate", rate).withColumn("scale", scale_of(F.col("cycle")))
 
 
-def program_cycle_summary(apps: DataFrame, ordinary: str = "ordinario", width: float = BIN) -> DataFrame:
-    """A programme in a cycle.  Needs ``percentile``.
+def program_cycle_summary(apps: DataFrame, ordinary: str = "ordinario") -> DataFrame:
+    """A programme in a cycle.  ``percentile`` (E1) is used where ``apps`` have it; else positions within
+    (document, program) are counted for the lowest admitted scores only.
 
-    All measures but the median combine before the shuffle; the median is that of the scores'
-    places, so no task holds or sorts the scores of a whole group.  ``width``: bins of scores
-    for these places.
+    All measures combine before the shuffle, and no row is ranked, so no task holds or sorts the scores of a group.
     """
-    return _summary(with_outcome(apps), ["cycle", "program"], F.col("admitted") & (F.col("route") == ordinary), width)
+    return _summary(apps, ("cycle", "program"), F.col("admitted") & (F.col("route") == ordinary))
 
 
-def route_comparison(apps: DataFrame, width: float = BIN) -> DataFrame:
+def route_comparison(apps: DataFrame) -> DataFrame:
     """The same by route; the cutoff is that of all admitted of the route."""
-    return _summary(with_outcome(apps), ["cycle", "program", "route"], F.col("admitted"), width)
+    return _summary(apps, ("cycle", "program", "route"), F.col("admitted"))
 
 
 def score_histogram(apps: DataFrame, width: int = BIN) -> DataFrame:
@@ -114,17 +118,15 @@ def seat_occupancy(seats: DataFrame, admitted: DataFrame) -> DataFrame:
     )
 
 
-def score_box(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program"), width: float = BIN) -> DataFrame:
+def score_box(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program")) -> DataFrame:
     """Size, extremes and interpolated quartiles of admitted scores, groups of five or more."""
-    rows = apps.where("admitted and score is not null").select(*keys, "score", "row_seq")
-    placed = windows.positions(rows, keys, "score", width, ("row_seq",))
-    return windows.quantiles(placed, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}).where(F.col("n") >= BOX_MIN)
+    rows = apps.where("admitted and score is not null").select(*keys, "score")
+    return windows.quantiles(rows, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}).where(F.col("n") >= BOX_MIN)
 
 
-def medians(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program"), width: float = BIN) -> DataFrame:
+def medians(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program")) -> DataFrame:
     """The mean of the two middle scores of each group."""
-    placed = windows.positions(apps.where("score is not null").select(*keys, "score", "row_seq"), keys, "score", width, ("row_seq",))
-    return windows.quantiles(placed, keys, {"median_score": 0.5}).select(*keys, "median_score")
+    return windows.quantiles(apps.select(*keys, "score"), keys, {"median_score": 0.5}).select(*keys, "median_score")
 
 
 def route_pivot(routes: DataFrame, main: list[str] | None = None, left_out: str = "lista_aptos") -> DataFrame:

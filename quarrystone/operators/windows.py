@@ -4,57 +4,90 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrystone.functions.scalar import half_even
+from quarrystone.sources.shared import scratch
 
 PERCENTILE_MIN = 5
 SAMPLE_POINTS = 40
-#: Width of the bins by which scores are counted before they are ranked.
+#: Width of the ranges of scores whose totals are summed first.
 BIN_WIDTH = 10
+#: Rows of a sketch of quantiles for each of its bounds, and groups up to which all scores are counted.
+ACCURACY = 2000
+#: Rows of a table that is looked up by which it is broadcast.
+BROADCAST_ROWS = 500_000
 #: Jumps of a median between neighbouring cycles that need an explanation.
 JUMP_UP, JUMP_DOWN = 1.8, 0.55
 SCALE_CHANGE = ("2023", "2024")
 
 
-def positions(rows: DataFrame, keys: tuple[str, ...], score: str = "score", width: float = BIN_WIDTH, tie: tuple[str, ...] = ()) -> DataFrame:
-    """``rows`` with ``at``, the 0-based place of the row's score in its group (equal scores share one, unless
-    ``tie`` orders them), and ``n``, the group's scores; both null without a score.
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table of the application's shared folder: computed once, and its lineage ends there."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Groups are few and may be of any size, so none is sorted as a whole: scores are counted by bins of
-    ``width`` first, running sums over the bins say how many are lower, and only the rows of one bin are ranked.
+
+def lookup(rows: DataFrame, table: DataFrame, keys: tuple[str, ...], how: str = "inner", rows_at_most: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` with the columns of ``table`` (one row a key, of ``written``; null keys are equal).
+
+    Up to ``rows_at_most`` rows of it are broadcast.  Beyond, both sides of the join are plain shuffles, in which adaptive
+    execution splits keys that very many rows hold.
     """
-    # rows without a score go to bins of their own, by a digest of the row
-    spread = F.concat(F.lit("none "), F.pmod(F.xxhash64(*rows.columns), F.lit(64)).cast("string"))
-    binned = rows.withColumn("_bin", F.coalesce(F.floor(F.col(score) / width).cast("string"), spread))
-    counted = binned.where(F.col(score).isNotNull()).groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_count"), F.min(score).alias("_low"))
+    named = table.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    return rows.join(F.broadcast(named) if table.count() <= rows_at_most else named, same, how).drop(*(f"_of_{k}" for k in keys))
+
+
+def lower_counts(rows: DataFrame, keys: tuple[str, ...], score: str = "score", width: float = BIN_WIDTH) -> DataFrame:
+    """keys, score, count, lower, n: of each distinct score how many rows have it, how many of the group are lower, and the group's size.
+
+    No row is ranked: equal scores are counted first (combined before the shuffle, so a common one is no hot key).  Sums run
+    over ranges of ``width`` and then over the distinct scores within one range, so no task sorts all scores of a group.
+    """
+    counts = rows.where(F.col(score).isNotNull()).groupBy(*keys, score).agg(F.count(F.lit(1)).alias("count")).withColumn("_range", F.floor(F.col(score) / width))
     group = Window.partitionBy(*keys)
-    lower = counted.select(
-        *(F.col(k).alias(f"_key_{k}") for k in keys),
-        F.col("_bin").alias("_of"),
-        (F.sum("_count").over(group.orderBy("_low")) - F.col("_count")).alias("_lower"),
-        F.sum("_count").over(group).alias("n"),
-    )
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys), F.col("_bin") == F.col("_of"))
-    within = Window.partitionBy(*keys, "_bin").orderBy(score, *tie)
-    placed = binned.withColumn("_rank", (F.row_number() if tie else F.rank()).over(within)).join(lower, same, "left")
-    at = F.when(F.col(score).isNotNull(), F.col("_lower") + F.col("_rank") - 1)
-    return placed.select(*rows.columns, at.alias("at"), F.when(F.col(score).isNotNull(), F.col("n")).alias("n"))
-
-
-def quantiles(placed: DataFrame, keys: tuple[str, ...], shares: dict[str, float], score: str = "score") -> DataFrame:
-    """Interpolated quantiles, by name, of what ``positions`` gave (with a tie, so that no two rows share a
-    place), with n, low and high.  Two rows of a group make a quantile, so all combines before the shuffle."""
-    aggs = [F.max("n").alias("n"), F.min(score).alias("low"), F.max(score).alias("high")]
-    for name, share in shares.items():
-        k = (F.col("n") - 1) * F.lit(share)
-        low = F.floor(k)
-        at = lambda place: F.max(F.when(F.col("at") == place, F.col(score)))
-        aggs += [at(low).alias(f"_{name}_0"), at(low + 1).alias(f"_{name}_1"), F.max(k - low).alias(f"_{name}_f")]
-    out = placed.where(F.col("at").isNotNull()).groupBy(*keys).agg(*aggs)
+    totals = counts.groupBy(*keys, "_range").agg(F.sum("count").alias("_in_range"))
+    before = totals.select(*keys, "_range", (F.sum("_in_range").over(group.orderBy("_range")) - F.col("_in_range")).alias("_before"), F.sum("_in_range").over(group).alias("n"))
+    inside = F.sum("count").over(Window.partitionBy(*keys, "_range").orderBy(score)) - F.col("count")
+    placed = lookup(counts.withColumn("_inside", inside), written(before), (*keys, "_range"))
+    return placed.select(*keys, score, "count", (F.col("_before") + F.col("_inside")).alias("lower"), "n")
+
+
+def quantiles(rows: DataFrame, keys: tuple[str, ...], shares: dict[str, float], score: str = "score", accuracy: int = ACCURACY) -> DataFrame:
+    """Exact interpolated quantiles of each group, by name, with n, low and high.
+
+    A sketch of bounded size gives, for each share, two scores between which the quantile must lie (its error is at most
+    ``1 / accuracy`` of the group, and they stand three times that to either side).  Then the scores below are counted,
+    and the distinct ones between them: a few thousandths of a large group, all of a small one.
+    """
+    names = list(shares)
+    scored = rows.where(F.col(score).isNotNull())
+    apart = 3.0 / accuracy
+    ends = F.percentile_approx(score, [min(1.0, max(0.0, p + d)) for p in shares.values() for d in (-apart, apart)], accuracy)
+    stats = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(score).alias("low"), F.max(score).alias("high"), ends.alias("_ends"))
+    small = F.col("n") <= accuracy
+    low = lambda k: F.when(small | F.lit(shares[names[k]] <= apart), F.col("low")).otherwise(F.element_at("_ends", 2 * k + 1))
+    high = lambda k: F.when(small | F.lit(shares[names[k]] >= 1 - apart), F.col("high")).otherwise(F.element_at("_ends", 2 * k + 2))
+    stats = stats.select(*keys, "n", "low", "high", F.array(*(F.struct(low(k).alias("from"), high(k).alias("to")) for k in range(len(names)))).alias("_between"))
+    met = lookup(scored.select(*keys, score), written(stats), keys)
+    # null: below the lower of the two; what is above the higher one does not matter
+    places = [F.when(F.col(score) <= F.col("_between")[k]["to"], F.struct(F.lit(k).alias("share"), F.when(F.col(score) >= F.col("_between")[k]["from"], F.col(score)).alias("value"))) for k in range(len(names))]
+    used = met.select(*keys, "n", "low", "high", F.explode(F.array_compact(F.array(*places))).alias("_p")).select(*keys, "n", "low", "high", "_p.*")
+    counts = used.groupBy(*keys, "n", "low", "high", "share", "value").agg(F.count(F.lit(1)).alias("count"))
+    upto = F.sum("count").over(Window.partitionBy(*keys, "share").orderBy(F.col("value").asc_nulls_first()))
+    placed = counts.withColumn("_upto", upto)
+    aggs = []
+    for k, (name, share) in enumerate(shares.items()):
+        place = (F.col("n") - 1) * F.lit(share)
+        floor = F.floor(place)
+        at = lambda p, k=k: F.max(F.when((F.col("share") == k) & (F.col("_upto") > p) & (F.col("_upto") - F.col("count") <= p), F.col("value")))
+        aggs += [at(floor).alias(f"_{name}_0"), at(floor + 1).alias(f"_{name}_1"), F.max(place - floor).alias(f"_{name}_f")]
+    out = placed.groupBy(*keys, "n", "low", "high").agg(*aggs)
     value = lambda name: F.col(f"_{name}_0") + F.col(f"_{name}_f") * (F.coalesce(f"_{name}_1", f"_{name}_0") - F.col(f"_{name}_0"))
-    return out.select(*keys, "n", "low", *(value(name).alias(name) for name in shares), "high")
+    return out.select(*keys, "n", "low", *(value(name).alias(name) for name in names), "high")
 
 
 def percentile_position(apps: DataFrame, keys: tuple[str, ...] = ("document", "program"), score: str = "score", digits: int | None = None, out: str = "percentile", width: float = BIN_WIDTH) -> DataFrame:
@@ -62,11 +95,30 @@ def percentile_position(apps: DataFrame, keys: tuple[str, ...] = ("document", "p
 
     Rows without a score, and groups of fewer than five, get null.
     """
-    placed = positions(apps, keys, score, width)
-    value = 100.0 * F.col("at") / F.col("n")
+    value = 100.0 * F.col("lower") / F.col("n")
     if digits is not None:
         value = half_even(value, digits)
-    return placed.select(*apps.columns, F.when(F.col("n") >= PERCENTILE_MIN, value).alias(out))
+    placed = lower_counts(apps, keys, score, width).where(F.col("n") >= PERCENTILE_MIN).select(*keys, score, value.alias(out))
+    return lookup(apps, written(placed), (*keys, score), "left").select(*apps.columns, out)
+
+
+def lowest_percentile(apps: DataFrame, keys: tuple[str, ...], which: Column, within: tuple[str, ...] = ("document", "program"), score: str = "score", out: str = "cutoff_percentile") -> DataFrame:
+    """The lowest percentile position (E1, within ``within``) of the rows of each ``keys`` group that ``which`` takes.
+
+    A position is the lower the score is, so only the lowest score of each part needs one: what is lower is counted.
+    """
+    part = tuple(dict.fromkeys((*keys, *within)))
+    least = apps.where(which & F.col(score).isNotNull()).groupBy(*part).agg(F.min(score).alias("_least"))
+    least = written(least)
+    bars = written(least.groupBy(*within).agg(F.sort_array(F.collect_set("_least")).alias("_bars")))
+    # rows by the number of bars that they reach: what is below a bar reaches no more than those before it
+    reached = F.size(F.filter("_bars", lambda b: b <= F.col(score)))
+    counts = lookup(apps.where(F.col(score).isNotNull()).select(*within, score), bars, within).groupBy(*within, reached.alias("_reached")).agg(F.count(F.lit(1)).alias("_count"))
+    each = counts.groupBy(*within).agg(F.sum("_count").alias("n"), F.collect_list(F.struct("_reached", "_count")).alias("_counts"))
+    each = lookup(each, bars, within).select(*within, "n", "_counts", F.posexplode("_bars").alias("_k", "_bar"))
+    lower = F.aggregate(F.filter("_counts", lambda c: c["_reached"] <= F.col("_k")), F.lit(0).cast("long"), lambda acc, c: acc + c["_count"])
+    each = each.where(F.col("n") >= PERCENTILE_MIN).select(*within, F.col("_bar").alias("_least"), (100.0 * lower / F.col("n")).alias(out))
+    return lookup(least, written(each), (*within, "_least")).groupBy(*keys).agg(F.min(out).alias(out))
 
 
 def yoy_delta(counts: DataFrame, value: str = "applications", key: str = "program", order: str = "cycle") -> DataFrame:
@@ -86,11 +138,13 @@ def kpi_change(series: DataFrame, values: tuple[str, ...], order: str = "cycle")
     return series.select("*", *changes)
 
 
-def sample_points(rows: DataFrame, keys: tuple[str, ...], score: str = "score", tie: str = "row_seq", most: int = SAMPLE_POINTS, width: float = BIN_WIDTH) -> DataFrame:
+def sample_points(rows: DataFrame, keys: tuple[str, ...], score: str = "score", most: int = SAMPLE_POINTS, width: float = BIN_WIDTH) -> DataFrame:
     """Of each group's sorted scores every ``max(1, n div most)``-th, ``most`` of them, as rows."""
-    step = F.greatest(F.lit(1), F.floor(F.col("n") / most))
-    at = positions(rows.where(F.col(score).isNotNull()).select(*keys, score, tie), keys, score, width, (tie,))
-    return at.where((F.col("n") >= 5) & (F.col("at") % step == 0) & (F.col("at") / step < most)).select(*keys, (F.col("at") / step).cast("long").alias("point"), score)
+    placed = lower_counts(rows.select(*keys, score), keys, score, width).where("n >= 5").withColumn("_step", F.greatest(F.lit(1), F.floor(F.col("n") / most)))
+    # the sampled places that lie among the rows of one score
+    first = F.ceil(F.col("lower") / F.col("_step"))
+    last = F.least(F.floor((F.col("lower") + F.col("count") - 1) / F.col("_step")), F.lit(most - 1))
+    return placed.where(first <= last).select(*keys, F.explode(F.sequence(first, last)).alias("point"), score)
 
 
 def median_jumps(medians: DataFrame, key: str = "program", order: str = "cycle", value: str = "median_score") -> DataFrame:

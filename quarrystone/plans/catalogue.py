@@ -21,7 +21,7 @@ WIDTH = 1000
 
 def _summary(spark: SparkSession, d: str, apps: DataFrame | None = None) -> DataFrame:
     apps = applications(spark, d) if apps is None else apps
-    return aggregates.program_cycle_summary(windows.percentile_position(apps, width=WIDTH), ORDINARY, WIDTH)
+    return aggregates.program_cycle_summary(apps, ORDINARY)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -52,7 +52,7 @@ def program_cycle_summary(spark, d):
          CASE WHEN cycle >= '2024' THEN 'nueva' ELSE 'anterior' END AS scale FROM s""")
 def route_comparison(spark, d):
     """D2"""
-    return _rounded(aggregates.route_comparison(windows.percentile_position(applications(spark, d), width=WIDTH), WIDTH), "median_score")
+    return _rounded(aggregates.route_comparison(applications(spark, d)), "median_score")
 
 
 _BINS = """bins AS (SELECT cycle, program, cast(floor(score / 1000) * 1000 AS BIGINT) AS bin_from, admitted, count(*) AS applications
@@ -134,7 +134,7 @@ def yoy_delta(spark, d):
   SELECT program, from_cycle, to_cycle, round(ratio, 4) AS ratio, from_cycle = '2023' AND to_cycle = '2024' AS scale_change, ratio > 1.8 OR ratio < 0.55 AS jump FROM l WHERE ratio IS NOT NULL""")
 def median_jump(spark, d):
     """E5, Q19"""
-    return _rounded(windows.median_jumps(aggregates.medians(applications(spark, d), width=WIDTH)), "ratio")
+    return _rounded(windows.median_jumps(aggregates.medians(applications(spark, d))), "ratio")
 
 
 _BOX = """box AS (SELECT cycle, program, count(*) AS n, min(score) AS low, round(quantile_cont(score, 0.25), 4) AS q1, round(quantile_cont(score, 0.5), 4) AS median,
@@ -142,7 +142,7 @@ _BOX = """box AS (SELECT cycle, program, count(*) AS n, min(score) AS low, round
 
 
 def _box(spark, d):
-    return _rounded(aggregates.score_box(applications(spark, d), width=WIDTH), "q1", "median", "q3")
+    return _rounded(aggregates.score_box(applications(spark, d)), "q1", "median", "q3")
 
 
 @query(f"{WITH}, {_BOX} SELECT * FROM box")

@@ -429,7 +429,7 @@ def sorted_sink(spark, d):
 @query(f"{WITH}, {COUNTS}, b AS (SELECT cycle, program, min(score) AS low, max(score) AS high FROM apps WHERE admitted AND score IS NOT NULL GROUP BY ALL HAVING count(*) >= 5) SELECT cycle, program, applications, low, high FROM counts JOIN b USING (cycle, program) ORDER BY applications DESC, program, cycle LIMIT 8")
 def lollipops(spark, d):
     """V1, V7, F3, F4"""
-    box = aggregates.score_box(applications(spark, d), width=1000)
+    box = aggregates.score_box(applications(spark, d))
     return serving.boxes_of(_counts(spark, d), box, 8).select("cycle", "program", "applications", "low", "high")
 
 
@@ -519,7 +519,7 @@ def payload_rules(spark, d):
     is_one = lambda *names: F.col("program").isin(*names)
     areas = table(spark, d, "nation").where("n_nationkey % 11 <> 0").select(F.col("n_name").alias("program"), F.lit("a").alias("area"))
     delta = windows.yoy_delta(counts.select("cycle", "program", "applications"))
-    box = aggregates.score_box(apps, width=1000)
+    box = aggregates.score_box(apps)
     bad_box = box.withColumn("n", F.col("n") + F.when(is_one("NATION_4"), 1).otherwise(0)).withColumn("q3", F.when(is_one("NATION_5"), F.col("q1") - 1).otherwise(F.col("q3")))
     gold = counts.select("cycle", "program", (F.col("admitted") > 0).alias("crossed"), F.col("admitted").cast("double").alias("occupancy_pct"))
     seats = gold.where("crossed").where(~is_one("NATION_7")).withColumn("occupancy_pct", F.col("occupancy_pct") + F.when(is_one("NATION_8"), 1).otherwise(0))

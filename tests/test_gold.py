@@ -2,6 +2,8 @@ import statistics
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from quarrystone.operators import aggregates, joins, quality, serving, windows
 from quarrystone.schemas import APPLICATIONS
 
@@ -192,16 +194,42 @@ def test_places_and_quantiles_against_sorting(spark):
         if s is not None:
             groups.setdefault((k, j), []).append(s)
     for width in (1, 10, 1000):
-        for r in windows.positions(df, ("k", "j"), width=width).collect():
-            have = groups.get((r.k, r.j), [])
-            assert (r.at, r.n) == ((None, None) if r.score is None else (sum(x < r.score for x in have), len(have)))
-        placed = windows.positions(df, ("k", "j"), width=width, tie=("row_seq",))
-        assert sorted(r.at for r in placed.where("k = 'a' and j = 1 and score is not null").collect()) == list(range(len(groups["a", 1])))
-        got = {(r.k, r.j): (r.n, r.low, r.q1, r.mid, r.high) for r in windows.quantiles(placed, ("k", "j"), {"q1": 0.25, "mid": 0.5}).collect()}
+        got = {(r.k, r.j, r.score): (r["count"], r.lower, r.n) for r in windows.lower_counts(df, ("k", "j"), width=width).collect()}
+        assert got == {(k, j, x): (have.count(x), sum(y < x for y in have), len(have)) for (k, j), have in groups.items() for x in set(have)}
+    by_place = {(r.k, r.j, r.score, r.row_seq): r.percentile for r in windows.percentile_position(df, ("k", "j")).collect()}
+    assert len(by_place) == len(rows)
+    for k, j, s, seq in rows:
+        have = groups.get((k, j), [])
+        assert by_place[k, j, s, seq] == (None if s is None or len(have) < 5 else 100.0 * sum(x < s for x in have) / len(have))
+    for accuracy in (5, 50, 2000):
+        got = {(r.k, r.j): (r.n, r.low, r.q1, r.mid, r.last, r.high) for r in windows.quantiles(df, ("k", "j"), {"q1": 0.25, "mid": 0.5, "last": 1.0}, accuracy=accuracy).collect()}
         assert set(got) == set(groups)
         for key, have in groups.items():
-            assert np.allclose(got[key], (len(have), min(have), np.quantile(have, 0.25), np.median(have), max(have)))
+            assert np.allclose(got[key], (len(have), min(have), np.quantile(have, 0.25), np.median(have), max(have), max(have)))
+
+
+def test_one_score_that_most_rows_have(spark, monkeypatch):
+    """Nine of ten scores are equal: quantiles, positions and the lowest position are those of sorting, broadcast or not."""
+    import random
+
+    import numpy as np
 
+    rng = random.Random(8)
+    rows = [("2021", f"d{rng.randrange(3)}", "p", rng.choice([True, False, None]), 0.0 if rng.random() < 0.9 else round(rng.uniform(1, 99), 2)) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "cycle string, document string, program string, admitted boolean, score double").repartition(5)
+    have = sorted(r[4] for r in rows)
+    want = {d: sorted(r[4] for r in rows if r[1] == d) for d in ("d0", "d1", "d2")}
+    position = lambda d, s: 100.0 * sum(x < s for x in want[d]) / len(want[d])
+    for at_most in (500_000, 0):
+        monkeypatch.setattr(windows.lookup, "__defaults__", ("inner", at_most))
+        r = windows.quantiles(df, ("cycle", "program"), {"a": 0.05, "b": 0.5, "c": 0.95, "e": 0.99}).first()
+        assert np.allclose((r.a, r.b, r.c, r.e), np.quantile(have, (0.05, 0.5, 0.95, 0.99)))
+        got = windows.percentile_position(df).collect()
+        assert len(got) == 4000 and all(abs(r.percentile - position(r.document, r.score)) < 1e-9 for r in got)
+        least = windows.lowest_percentile(df.where("score > 50 or score = 0"), ("cycle", "program"), F.col("admitted") & (F.col("score") > 0)).first()
+        kept = {d: [x for x in want[d] if x > 50 or x == 0] for d in want}
+        low = {d: min(r[4] for r in rows if r[1] == d and r[3] and r[4] > 50) for d in want}
+        assert abs(least.cutoff_percentile - min(100.0 * sum(x < low[d] for x in kept[d]) / len(kept[d]) for d in want)) < 1e-9
 
 def test_near_names_against_every_name(spark):
     import difflib
