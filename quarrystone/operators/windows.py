@@ -30,15 +30,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: tuple[str, ...], how: str = "inner", rows_at_most: int = BROADCAST_ROWS) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, keys: tuple[str, ...], how: str = "inner", small: bool | None = None) -> DataFrame:
     """``rows`` with the columns of ``table`` (one row a key, of ``written``; null keys are equal).
 
-    Up to ``rows_at_most`` rows of it are broadcast.  Beyond, both sides of the join are plain shuffles, in which adaptive
+    Up to ``BROADCAST_ROWS`` rows of it are broadcast; ``small``: whether it has no more, where that is known.  Beyond, both sides of the join are plain shuffles, in which adaptive
     execution splits keys that very many rows hold.
     """
     named = table.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
-    return rows.join(F.broadcast(named) if table.count() <= rows_at_most else named, same, how).drop(*(f"_of_{k}" for k in keys))
+    return rows.join(F.broadcast(named) if (table.count() <= BROADCAST_ROWS if small is None else small) else named, same, how).drop(*(f"_of_{k}" for k in keys))
 
 
 def lower_counts(rows: DataFrame, keys: tuple[str, ...], score: str = "score", width: float = BIN_WIDTH) -> DataFrame:
@@ -107,18 +107,19 @@ def lowest_percentile(apps: DataFrame, keys: tuple[str, ...], which: Column, wit
 
     A position is the lower the score is, so only the lowest score of each part needs one: what is lower is counted.
     """
-    part = tuple(dict.fromkeys((*keys, *within)))
-    least = apps.where(which & F.col(score).isNotNull()).groupBy(*part).agg(F.min(score).alias("_least"))
-    least = written(least)
-    bars = written(least.groupBy(*within).agg(F.sort_array(F.collect_set("_least")).alias("_bars")))
+    rest = [k for k in keys if k not in within]
+    least = apps.where(which & F.col(score).isNotNull()).groupBy(*within, *rest).agg(F.min(score).alias("_least"))
+    # the bars of a part, in order, with the groups they belong to
+    bars = written(least.groupBy(*within).agg(F.sort_array(F.collect_list(F.struct("_least", *rest))).alias("_bars")))
     # rows by the number of bars that they reach: what is below a bar reaches no more than those before it
-    reached = F.size(F.filter("_bars", lambda b: b <= F.col(score)))
-    counts = lookup(apps.where(F.col(score).isNotNull()).select(*within, score), bars, within).groupBy(*within, reached.alias("_reached")).agg(F.count(F.lit(1)).alias("_count"))
+    reached = F.size(F.filter("_bars", lambda b: b["_least"] <= F.col(score)))
+    small = bars.count() <= BROADCAST_ROWS
+    counts = lookup(apps.where(F.col(score).isNotNull()).select(*within, score), bars, within, small=small).groupBy(*within, reached.alias("_reached")).agg(F.count(F.lit(1)).alias("_count"))
     each = counts.groupBy(*within).agg(F.sum("_count").alias("n"), F.collect_list(F.struct("_reached", "_count")).alias("_counts"))
-    each = lookup(each, bars, within).select(*within, "n", "_counts", F.posexplode("_bars").alias("_k", "_bar"))
+    each = lookup(each, bars, within, small=small).select(*within, "n", "_counts", F.posexplode("_bars").alias("_k", "_bar"))
     lower = F.aggregate(F.filter("_counts", lambda c: c["_reached"] <= F.col("_k")), F.lit(0).cast("long"), lambda acc, c: acc + c["_count"])
-    each = each.where(F.col("n") >= PERCENTILE_MIN).select(*within, F.col("_bar").alias("_least"), (100.0 * lower / F.col("n")).alias(out))
-    return lookup(least, written(each), (*within, "_least")).groupBy(*keys).agg(F.min(out).alias(out))
+    named = [F.col(k) if k in within else F.col(f"_bar.{k}").alias(k) for k in keys]
+    return each.where(F.col("n") >= PERCENTILE_MIN).select(*named, (100.0 * lower / F.col("n")).alias(out)).groupBy(*keys).agg(F.min(out).alias(out))
 
 
 def yoy_delta(counts: DataFrame, value: str = "applications", key: str = "program", order: str = "cycle") -> DataFrame:

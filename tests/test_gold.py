@@ -221,7 +221,7 @@ def test_one_score_that_most_rows_have(spark, monkeypatch):
     want = {d: sorted(r[4] for r in rows if r[1] == d) for d in ("d0", "d1", "d2")}
     position = lambda d, s: 100.0 * sum(x < s for x in want[d]) / len(want[d])
     for at_most in (500_000, 0):
-        monkeypatch.setattr(windows.lookup, "__defaults__", ("inner", at_most))
+        monkeypatch.setattr(windows, "BROADCAST_ROWS", at_most)
         r = windows.quantiles(df, ("cycle", "program"), {"a": 0.05, "b": 0.5, "c": 0.95, "e": 0.99}).first()
         assert np.allclose((r.a, r.b, r.c, r.e), np.quantile(have, (0.05, 0.5, 0.95, 0.99)))
         got = windows.percentile_position(df).collect()
