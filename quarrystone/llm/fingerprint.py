@@ -1,12 +1,12 @@
 """Document fingerprints: invertible Bloom lookup sketches, with DataFrame functions only.
 
 A text is a set of units, by one rule for every text, so that any two texts compare.  A
-paragraph is cut by its content, in any language: at line breaks, after words whose hash
-is a multiple of ``WORD_CUT``, and within words of more than ``LONG_WORD`` code points (texts
+paragraph is cut by its content, in any language: at line breaks, after words that their
+hashes pick (one in ``CUT_EVERY`` code points), and within words of more than ``LONG_WORD`` code points (texts
 without spaces, rows of digits) after code points that end a run whose hash is a multiple
 of ``CHAR_CUT``.  A unit that is longer than ``LONG_UNIT`` is cut after further words.  So an
 edit changes the units it touches and no others.  A unit's 64-bit digest holds 34 bits of
-hash, the unit's length (with the marks of further cuts, one in some twenty signs), and 16
+hash, the unit's length (with the marks of further cuts, one in some fifty signs), and 16
 bits that check both, so what peeling recovers says how much text differs.
 
 A sketch puts each digest into one cell of each of three sub-tables; a cell keeps a
@@ -58,10 +58,10 @@ _KEY = ["dk", "rid"]
 _NULL = -(1 << 63)
 _TALLY = -1
 
-#: A line is cut after one in ``WORD_CUT`` words, by their hashes.
-WORD_CUT = 8
-#: Of units of more than ``LONG_UNIT`` code points, those whose words' hashes leave one of these remainders end pieces too.
-LONG_UNIT, MORE_CUTS = 100, (1, 2, 3)
+#: A line is cut after words, by their hashes and lengths, so that units have so many code points on average.
+CUT_EVERY = 64
+#: Units of more than ``LONG_UNIT`` code points are cut after ``MORE_OFTEN`` times as many words.
+LONG_UNIT, MORE_OFTEN = 160, 3
 #: A word of more than ``LONG_WORD`` code points is cut after one in ``CHAR_CUT``, by the hash of ``CHAR_RUN`` in a row.
 LONG_WORD, CHAR_CUT, CHAR_RUN = 48, 24, 4
 #: Signs that mark cuts, and cuts of long units only (in a text they end pieces themselves).
@@ -87,9 +87,9 @@ def _marked_word(word: Column) -> Column:
 
 
 def _marked(word: Column) -> Column:
-    left = F.pmod(F.xxhash64(word), F.lit(WORD_CUT))
-    short = F.when(left == 0, F.concat(word, F.lit(_CUT))).when(left.isin(*MORE_CUTS), F.concat(word, F.lit(_MORE))).otherwise(word)
-    return F.when(F.char_length(word) > LONG_WORD, _marked_word(word)).otherwise(short)
+    left, size = F.pmod(F.xxhash64(word), F.lit(CUT_EVERY)), F.char_length(word) + 1
+    short = F.when(left < size, F.concat(word, F.lit(_CUT))).when(left < MORE_OFTEN * size, F.concat(word, F.lit(_MORE))).otherwise(word)
+    return F.when(size > LONG_WORD + 1, _marked_word(word)).otherwise(short)
 
 
 def units(text: Column) -> Column:

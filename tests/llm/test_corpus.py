@@ -98,8 +98,8 @@ def marked(word):
     if len(word) > fingerprint.LONG_WORD:
         near = lambda i: [word[i - k] if i >= k else "" for k in range(fingerprint.CHAR_RUN)]
         return "".join(c + "\x01" * (xx64(*near(i)) % fingerprint.CHAR_CUT == 0) for i, c in enumerate(word))
-    left = xx64(word) % fingerprint.WORD_CUT
-    return word + ("\x01" if left == 0 else "\x02" if left in fingerprint.MORE_CUTS else "")
+    left, size = xx64(word) % fingerprint.CUT_EVERY, len(word) + 1
+    return word + ("\x01" if left < size else "\x02" if left < fingerprint.MORE_OFTEN * size else "")
 
 
 def units(t):
