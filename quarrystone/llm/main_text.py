@@ -4,8 +4,8 @@ The standard library's parser runs over the page once.  Block elements end lines
 each line keeps its characters, the tags that stood in it and the container it lies
 in.  The ratios of characters to tags are smoothed with a Gaussian along the page, and
 two-means clustering of their logarithms sets the threshold: lines from it on are
-selected.  The content region follows from them: the ``article`` and ``main`` elements,
-if these hold at least half of the selected text; else the smallest container that
+selected.  The content region follows from them: the ``article`` and ``main`` elements
+that hold selected lines, if these hold at least half of the selected text; else the smallest container that
 holds nearly all of it, and from there outwards while what is added is mostly selected.
 All lines of the region are kept, selected or not, but for those in menus, forms,
 notices, adverts, comments and the like.
@@ -14,7 +14,8 @@ Such parts are known by their element, or by whole names in class, id and role:
 put together (``cookie-notice``) count by their parts, those that say what is not or what
 has something (``no-comments``, ``has-sidebar``) do not, and names that a paragraph may
 have as well (``related-work``) count only where links make up much of the text.  What
-holds most of a page's text is never left out for its name.
+holds most of a page's text is never left out for its name, nor for its element (a form
+around the whole page, a menu left open), unless links make up much of it.
 
 Cases: null or empty html gives empty text; a page without any text too; markup that
 is cut off or left open is read as far as it goes; white space within a line becomes
@@ -38,7 +39,9 @@ from quarrystone.llm.common import small_batches, table, tidied
 # Element names of HTML by their part in a page.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 CONTAINERS = frozenset("article aside blockquote body details dialog div dl fieldset figure footer form header html main menu nav ol section table ul".split())
-DROPPED = frozenset("aside button dialog footer form head header iframe menu nav noscript script select style svg template textarea title".split())
+DROPPED = frozenset("button head iframe noscript script select style svg template textarea title".split())
+#: Left out, too, unless one holds most of a page's text, and that is not links, and it is a form around the page or holds an article (as one left open does).
+FRAMES = frozenset("aside dialog footer form header menu nav".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -93,9 +96,14 @@ class PageEvents(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[list[Piece], int, int]] = []
         self.parent, self.kind = [-1], ["page"]
-        #: tag, container around, whether it is left out, number among the marked elements (0: none)
-        self.open: list[tuple[str, int, bool, int]] = []
+        #: tag, container around, whether it is left out whatever it holds, marked elements around
+        self.open: list[tuple[str, int, bool, tuple[int, ...]]] = []
         self.marks = [""]
+        #: numbers of the marked elements that are open, and those that count in a heading
+        self.own: tuple[int, ...] = ()
+        self.in_heading: tuple[int, ...] = ()
+        #: those around an article
+        self.holders: set[int] = set()
         self.container, self.dropped, self.heading = 0, 0, False
         self.held: list[Piece] = []
         self.tags = self.links = 0
@@ -107,8 +115,8 @@ class PageEvents(HTMLParser):
         self.tags = 0
 
     def hold(self, data: str) -> None:
-        dropped = self.dropped > 0 and not self.heading
-        marks = tuple(mark for *_, mark in self.open if mark)
+        dropped = self.dropped > 0
+        marks = self.in_heading if self.heading else self.own
         if not self.held or (self.held[-1].dropped, self.held[-1].marks) != (dropped, marks):
             self.held.append(Piece(dropped, marks))
         self.held[-1].text += data
@@ -122,6 +130,8 @@ class PageEvents(HTMLParser):
                 self._close(len(self.open) - 1)
             if tag in HEADINGS:
                 self.heading = self._titled()
+                if self.heading:
+                    self.in_heading = tuple(m for m in self.own if self.marks[m] != "header")
         elif tag == "br":
             self.hold(" ")
         self.tags += 1
@@ -131,11 +141,16 @@ class PageEvents(HTMLParser):
         mark = mark_of(attrs)
         if tag in ("html", "body", "main") or (tag == "article" and mark != "comments"):
             mark = ""
+        if tag in FRAMES and mark != "comments":
+            mark = tag if tag in ("header", "form") else "frame"
+        if tag in ("article", "main"):
+            self.holders.update(self.own)
         drop = tag in DROPPED
         if drop or mark or tag in CONTAINERS:
+            self.open.append((tag, self.container, drop, self.own))
             if mark:
                 self.marks.append(mark)
-            self.open.append((tag, self.container, drop, len(self.marks) - 1 if mark else 0))
+                self.own = (*self.own, len(self.marks) - 1)
             self.dropped += drop
             if tag in CONTAINERS:
                 self.parent.append(self.container)
@@ -144,12 +159,12 @@ class PageEvents(HTMLParser):
 
     def _titled(self) -> bool:
         """Whether only header elements of an article or main element hide a heading here."""
-        hides = [t for t, _, drop, _ in self.open if drop]
+        hides = [t for t, _, drop, _ in self.open if drop or t in FRAMES]
         return bool(hides) and all(t == "header" for t in hides) and self.open[0][0] != "header" and any(t in ("article", "main") for t, *_ in self.open)
 
     def _close(self, at: int) -> None:
         while len(self.open) > at:
-            _, self.container, drop, _ = self.open.pop()
+            _, self.container, drop, self.own = self.open.pop()
             self.dropped -= drop
 
     def handle_endtag(self, tag: str) -> None:
@@ -225,9 +240,13 @@ def _left_out(page: PageEvents) -> list[bool]:
                     chars[m] += size
                     linked[m] += p.links
     out = [False]
-    for mark, size, links in zip(page.marks[1:], chars[1:], linked[1:]):
+    for number, (mark, size, links) in enumerate(zip(page.marks[1:], chars[1:], linked[1:]), 1):
         few = size < MOST * whole
-        out.append(size < whole if mark == "comments" else few if mark == "always" else few and links >= LINK_SHARE * size)
+        linked_to = links >= LINK_SHARE * size
+        if mark in ("form", "frame", "header"):
+            out.append(few or linked_to or not (mark == "form" or number in page.holders))
+        else:
+            out.append(size < whole if mark == "comments" else few if mark == "always" else few and linked_to)
     return out
 
 
@@ -245,9 +264,14 @@ def _region(page: PageEvents, texts: list[str], selected: list[bool]) -> list[bo
     named = [False] * n
     for c in range(1, n):
         named[c] = named[page.parent[c]] or page.kind[c] in ("article", "main")
-    held = sum(chosen[c] for c in range(1, n) if named[c] and not named[page.parent[c]])
+    tops = [c for c in range(1, n) if named[c] and not named[page.parent[c]]]
+    held = sum(chosen[c] for c in tops)
     if held and held >= chosen[0] / 2:
-        return named
+        # an article without any selected line is a teaser beside one that has some
+        top = list(range(n))
+        for c in range(1, n):
+            top[c] = top[page.parent[c]] if named[page.parent[c]] else c
+        return [named[c] and chosen[top[c]] > 0 for c in range(n)]
     fit = [c for c in range(n) if page.kind[c] in REGIONS and chosen[c] >= NEARLY_ALL * chosen[0]]
     best = min(fit, key=lambda c: (chosen[c] + other[c], -c))
     # outwards while what comes along is mostly selected text

@@ -257,3 +257,33 @@ def test_pages_of_edge_rows(spark):
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in main_text.extract_main_text(df).collect()) == [(0, "", 0), (1, "", 0), (2, "x", 1), (2, "x", 1)]
     assert main_text.extract_main_text(df.where("false")).count() == 0
+
+
+BODY = "".join(f"<p>This is a long paragraph number {k} of the story with enough words to be selected by its ratio.</p>" for k in range(6))
+
+
+def test_frames_around_a_whole_page():
+    """What holds most of the text is not left out for its element; teasers without selected lines are."""
+    story = [f"This is a long paragraph number {k} of the story with enough words to be selected by its ratio." for k in range(6)]
+    menu = "<nav><ul><li><a href='/a'>One</a></li><li><a href='/b'>Two</a></li></ul></nav>"
+    search = "<form><input><p>Search this site</p></form>"
+    for html in (
+        f"<body><form id='aspnetForm'>{menu}{search}<article>{BODY}</article><footer><p>Imprint</p></footer></form></body>",
+        f"<body><nav><ul><li><a href='/a'>One</a></li></ul><article>{BODY}</article></body>",
+        f"<body>{search}<form><div>{BODY}</div></form>{menu}</body>",
+        f"<body><article>{BODY}</article><section class='related-posts'><article><p><a href='/x'>Short</a></p></article></section></body>",
+        f"<body><header>{menu}<main>{BODY}</main></header></body>",
+    ):
+        assert main_text.main_text(html).split("\n\n") == story, html[:60]
+    # a menu of links stays out however much of the page it is
+    links = "".join(f"<li><a href='/{k}'>A link with quite a long name {k}</a></li>" for k in range(40))
+    assert main_text.main_text(f"<body><nav><ul>{links}</ul></nav><p>{story[0]}</p></body>") == story[0]
+
+
+def test_many_open_marked_elements():
+    import time
+
+    html = "<body>" + "<span class='ad'>" * 1500 + "".join(f"<b>word {k}</b> " for k in range(6000)) + "</body>"
+    began = time.time()
+    assert main_text.main_text(html).startswith("word 0")
+    assert time.time() - began < 6
