@@ -178,6 +178,23 @@ def personal_data(lines: DataFrame, known: list[str] | None = None) -> DataFrame
     return lines.where(holds_identity_number(F.col("line")) | (F.size(names) > 0))
 
 
+def unknown_names(lines: DataFrame, known: DataFrame, key: str = "document", column: str = "name") -> DataFrame:
+    """(``key``, name) of each person's name in ``line`` that the catalogue ``known`` does not hold.
+
+    Names are few beside the lines; they are told from the catalogue by an anti join, which is a broadcast only
+    while the catalogue has no more rows than ``windows.BROADCAST_ROWS``.
+    """
+    found = lines.select(key, F.explode(person_names(F.col("line"))).alias("name")).distinct()
+    names = known.select(F.col(column).alias("name")).where("name is not null").distinct()
+    small = names.limit(windows.BROADCAST_ROWS + 1).count() <= windows.BROADCAST_ROWS
+    return found.join(F.broadcast(names) if small else names, "name", "left_anti").select(key, "name")
+
+
+def never_seen(catalogue: DataFrame, rows: DataFrame, column: str = "program") -> DataFrame:
+    """Q39: names of the catalogue that no row has in any cycle."""
+    return catalogue.select(column).distinct().join(rows.select(column), column, "left_anti")
+
+
 def coverage(apps: DataFrame, catalogue: DataFrame, within: int = 3) -> DataFrame:
     """Q25: cycles whose number of programmes is far from the catalogue's."""
     have = apps.groupBy("cycle").agg(F.countDistinct("program").alias("have"))
@@ -231,7 +248,7 @@ def areas_sum(areas: DataFrame, summary: DataFrame) -> DataFrame:
 
 
 def announced_missing(announced: DataFrame, summary: DataFrame) -> DataFrame:
-    """Q38, Q39: announced (cycle, program) without a row."""
+    """Q38: announced (cycle, program) without a row."""
     return joins.missing_keys(announced, summary, ("cycle", "program"))
 
 

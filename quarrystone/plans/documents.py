@@ -6,13 +6,14 @@ The documents are made from the driver's tables, by rules that SQL can state.
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.operators import layout
-from quarrystone.plans.canonical import table
+from quarrystone.operators import layout, quality
+from quarrystone.plans.canonical import APPS, applications, table
 from quarrystone.plans.checks import TABLE_ROW, TABLE_SQL, _glyph_rows, _nation_strings, table_chars
 from quarrystone.plans.named import query
 from quarrystone.schemas import strings
@@ -186,3 +187,43 @@ def document_rewrite(spark, d):
     writers.drop_partitions(rows.where("document = '2'").select("document"), path)
     back = readers.read_cycles(spark, path, strings("n_nationkey", "n_name"))
     return back.select("n_nationkey", "n_name", F.regexp_replace("cycle", "^document=", "").alias("document"))
+
+
+# ---- rules on what is published
+
+_NAMES = "names AS (SELECT c_custkey, r_name, concat(c_mktsegment, ' ', r_name, ' GARCIA') AS name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+
+
+@query(f"""WITH {_NAMES} SELECT c_custkey, name FROM names WHERE r_name NOT IN ('ASIA', 'EUROPE')""")
+def unknown_names(spark, d):
+    """persons' names in published lines, without those of a catalogue"""
+    places = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    named = table(spark, d, "customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name", F.concat_ws(" ", "c_mktsegment", "r_name", F.lit("GARCIA")).alias("name"))
+    known = named.where("r_name in ('ASIA', 'EUROPE')").select("name").distinct()
+    return quality.unknown_names(named.select("c_custkey", F.concat(F.lit("1. "), "name", F.lit(", 12.5 puntos")).alias("line")), known, "c_custkey")
+
+
+@query(f"""WITH {APPS}, listed AS (SELECT n_name AS program FROM nation UNION ALL SELECT r_name FROM region),
+  have AS (SELECT cycle, count(DISTINCT program) AS have FROM apps GROUP BY cycle), want AS (SELECT cycle, count(DISTINCT program) AS want FROM apps, nation WHERE n_name = program AND n_nationkey % 6 <> 0 OR n_name = program AND cycle > '1996' GROUP BY cycle)
+  SELECT 'pseudonym length' AS rule, count(*) AS violations FROM orders WHERE o_orderkey % 50 = 0
+  UNION ALL SELECT 'no column of names', count(*) FROM information_schema.columns WHERE table_name = 'customer' AND column_name IN ('c_name', 'c_phone')
+  UNION ALL SELECT 'programmes of a cycle', count(*) FROM have JOIN want USING (cycle) WHERE abs(have - want) > 3
+  UNION ALL SELECT 'catalogue appears', count(*) FROM (SELECT DISTINCT program FROM listed) l WHERE program NOT IN (SELECT program FROM apps)""")
+def published_rules(spark, d):
+    """Q16, Q18, Q25, Q39: pseudonyms of one length, no column of names, as many programmes as the catalogue has, each of which appears"""
+    orders = table(spark, d, "orders")
+    digest = F.sha2(F.col("o_custkey").cast("string"), 256)
+    people = orders.select(F.when(F.col("o_orderkey") % 50 == 0, F.substring(digest, 1, 15)).otherwise(F.substring(digest, 1, 16)).alias("person"))
+    nation = table(spark, d, "nation")
+    rows = applications(spark, d).select("cycle", "program")
+    names = nation.select(F.col("n_name").alias("program"), "n_nationkey")
+    by_cycle = rows.distinct().join(F.broadcast(names), "program").where("n_nationkey % 6 <> 0 or cycle > '1996'")
+    listed = names.select("program").unionByName(table(spark, d, "region").select(F.col("r_name").alias("program")))
+    rules = {
+        "pseudonym length": quality.pseudonym_length(people),
+        "no column of names": quality.no_name_column(table(spark, d, "customer"), ("c_name", "c_phone")),
+        "programmes of a cycle": quality.coverage(rows, by_cycle),
+        "catalogue appears": quality.never_seen(listed, rows),
+    }
+    counts = [v.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations") for name, v in rules.items()]
+    return reduce(DataFrame.unionByName, counts)
