@@ -142,19 +142,22 @@ def prefix_resolve(forms: DataFrame, catalogue: DataFrame, least: int = 5) -> Da
     return hits.where("n = 1").select("form", "canonical").join(exact.select("form"), "form", "left_anti").unionByName(exact)
 
 
-def near_names(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
-    """C17: form and the catalogue name whose ratio of matching blocks is highest and ``cutoff`` at least.
+#: Places, and lengths, that one key of the index of pieces spans.
+PLACE_SPAN, LENGTH_SPAN = 6, 6
+
+
+def near_candidates(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
+    """(form, program): all pairs whose ratio of matching blocks can be ``cutoff`` or more.
 
     A ratio of r leaves at most (1 - r) of the characters of both unmatched, so of the shorter text at least
-    the share s = r / (2 - r) matches.  Such texts differ little in length, and cutting a text into
-    ``parts`` pieces, one more than the characters it may lose, leaves one piece that stands whole in the other
-    within that distance of its place.  Pieces are joined on equality with the windows of catalogue names of
-    their length and nearby place; only pairs that meet are compared.  Both sides are shuffled by piece,
-    and no name is collected.
+    the share s = r / (2 - r) matches.  Such texts differ little in length, and cutting a text into pieces, one more
+    than the characters it may lose or gain, leaves one piece that stands whole in the other within that distance of
+    its place.  The catalogue is indexed by piece, span of places and span of lengths; a form looks its pieces up in
+    the few spans that it can reach.  So what meets shares piece, place and length, and no common piece is a hot key.
     """
     if cutoff < 0.9:
         raise ValueError("below 0.9 no piece is sure to stand whole")
-    names = catalogue.select("program").distinct()
+    names = catalogue.select("program").distinct().withColumn("_m", F.char_length("program"))
     size = lambda c: F.char_length(c)
     # characters of a form of n that may be unmatched, at most: n + m < 2n / (2r - 1) or so; with r m / (2 - r) <= n
     lose = lambda n: F.floor(n - cutoff * (n + n * cutoff / (2 - cutoff)) / 2 + 1e-9).cast("int")
@@ -167,17 +170,29 @@ def near_names(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUT
     piece = F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: F.struct(edge(k).alias("at"), F.substr(F.col("form"), edge(k) + 1, edge(k + 1) - edge(k)).alias("piece"))))
     pieces = cut.select("form", "_n", "_lose", "_gain", piece.alias("p")).select("form", "_n", "_lose", "_gain", "p.at", "p.piece")
     lengths = [r["n"] for r in pieces.select(size("piece").alias("n")).distinct().collect()]  # as many as a piece has characters
+    span = lambda low, high, width: F.sequence(F.floor(low / width).cast("int"), F.floor(high / width).cast("int"))
+    low_place = F.greatest(F.lit(0), F.col("at") - F.col("_lose"))
+    asked = pieces.withColumn("_place_span", F.explode(span(low_place, F.col("at") + F.col("_gain"), PLACE_SPAN)))
+    asked = asked.withColumn("_length_span", F.explode(span(F.col("_n") - F.col("_lose"), F.col("_n") + F.col("_gain"), LENGTH_SPAN)))
 
     def pieces_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), size("program") - n + 1))
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_m") - n + 1))
         return F.transform(starts, lambda i: F.struct((i - 1).alias("place"), F.substr(F.col("program"), i, F.lit(n)).alias("piece")))
 
     windows_of = F.explode(F.flatten(F.array(*map(pieces_of, lengths or [1]))))
-    there = names.select("program", windows_of.alias("w")).select("program", "w.place", "w.piece")
+    index = names.select("program", "_m", windows_of.alias("w")).select("program", "_m", "w.place", "w.piece")
+    index = index.withColumn("_place_span", F.floor(F.col("place") / PLACE_SPAN).cast("int")).withColumn("_length_span", F.floor(F.col("_m") / LENGTH_SPAN).cast("int"))
     shift = F.col("place") - F.col("at")
-    met = pieces.join(there, "piece").where((shift >= -F.col("_lose")) & (shift <= F.col("_gain")) & (size("program") <= F.col("_n") + F.col("_gain")))
-    pairs = met.select("form", "program").distinct()
-    scored = pairs.withColumn("_ratio", ratio(F.col("form"), F.col("program"))).where(F.col("_ratio") >= cutoff)
+    met = asked.join(index, ["piece", "_place_span", "_length_span"]).where((shift >= -F.col("_lose")) & (shift <= F.col("_gain")) & (F.col("_m") <= F.col("_n") + F.col("_gain")))
+    return met.select("form", "program").distinct()
+
+
+def near_names(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
+    """C17: form and the catalogue name whose ratio of matching blocks is highest and ``cutoff`` at least.
+
+    Only the pairs of ``near_candidates`` are compared; nothing is collected, and no name is broadcast.
+    """
+    scored = near_candidates(forms, catalogue, cutoff).withColumn("_ratio", ratio(F.col("form"), F.col("program"))).where(F.col("_ratio") >= cutoff)
     return scored.groupBy("form").agg(F.max_by("program", F.struct("_ratio", "program")).alias("canonical"))
 
 

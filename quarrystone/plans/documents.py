@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.operators import layout, quality
+from quarrystone.operators import joins, layout, quality
 from quarrystone.plans.canonical import APPS, applications, table
 from quarrystone.plans.checks import TABLE_ROW, TABLE_SQL, _glyph_rows, _nation_strings, table_chars
 from quarrystone.plans.named import query
@@ -227,3 +227,24 @@ def published_rules(spark, d):
     }
     counts = [v.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations") for name, v in rules.items()]
     return reduce(DataFrame.unionByName, counts)
+
+
+_LETTERS = "upper(translate(md5(cast(p_partkey AS {s})), '0123456789', 'GHIJKLMNOP'))"
+
+
+@query(f"""WITH n AS (SELECT p_partkey % 6 AS kind, {_LETTERS.format(s="VARCHAR")} AS program FROM part)
+  SELECT DISTINCT CASE kind WHEN 0 THEN program WHEN 1 THEN substr(program, 1, 9) || substr(program, 11) WHEN 2 THEN 'X' || program ELSE substr(program, 1, 15) || 'ZZ' || substr(program, 18) END AS form, program AS canonical
+  FROM n WHERE kind < 4""")
+def near_forms(spark, d):
+    """Names of 32 letters with one letter lost, one more or two others (ratios of 0.94 and more), and with five others (0.85)"""
+    names = table(spark, d, "part").select((F.col("p_partkey") % 6).alias("kind"), F.expr(_LETTERS.format(s="STRING")).alias("program"))
+    p = F.col("program")
+    piece = lambda a, n: F.substring(p, a, n)
+    form = (
+        F.when(F.col("kind") == 0, p)
+        .when(F.col("kind") == 1, F.concat(piece(1, 9), piece(11, 40)))
+        .when(F.col("kind") == 2, F.concat(F.lit("X"), p))
+        .when(F.col("kind") == 3, F.concat(piece(1, 15), F.lit("ZZ"), piece(18, 40)))
+        .otherwise(F.concat(F.lit("Z"), piece(2, 7), F.lit("Z"), piece(10, 7), F.lit("Z"), piece(18, 7), F.lit("Z"), piece(26, 6), F.lit("Z")))
+    )
+    return joins.near_names(names.select(form.alias("form")), names)
