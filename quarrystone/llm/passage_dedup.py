@@ -248,8 +248,10 @@ def _passages(clauses: DataFrame, matches: DataFrame, min_words: int, bridge: in
 
 
 def with_copies(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a column that, with ``doc_id``, names each row: a digest of its text, or a
-    number in the order of these where rows repeat."""
+    """``docs`` with a column that, with ``doc_id``, names each row: zero where no id repeats, else a
+    digest of its text, or a number in the order of these where rows repeat."""
+    if not docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return docs.withColumn(name, F.lit(0).cast("long"))
     key = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64("text")]
     if not docs.groupBy(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).count().where("count > 1").limit(1).count():
         return docs.withColumn(name, F.xxhash64("text"))
@@ -285,8 +287,8 @@ def remove_passages(docs: DataFrame, passages: DataFrame, copy_col: str | None =
     """
     doc, copy, at = fresh(docs, "_span_doc", "_span_copy", "_spans")
     spans = passages.groupBy(F.col("doc_id").alias(doc), F.col("copy").alias(copy)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(at))
-    own = F.col(copy_col) if copy_col else F.xxhash64("text")
-    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (own == F.col(copy)), "left")
+    own = F.col(copy_col) == F.col(copy) if copy_col else (F.col(copy) == 0) | (F.xxhash64("text") == F.col(copy))
+    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & own, "left")
     cut = cut_out(F.col("text"), F.col(at))
     out = joined.withColumn("text", F.when(F.col(at).isNotNull(), cut).otherwise(F.col("text"))).withColumn("removed_spans", F.col(at))
     return out.drop(doc, copy, at)
