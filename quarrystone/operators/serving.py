@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrystone.operators import windows
@@ -65,31 +67,35 @@ def sparkline(series: DataFrame, value: str) -> DataFrame:
     return series.where(F.col(value).isNotNull()).join(F.broadcast(ends)).select("cycle", F.coalesce(scaled, F.lit(0.5)).alias("y"))
 
 
+#: Sections of the payload, in order: arrays, or objects by ``cycle|program``.
+SECTIONS = {"cycles": "array", "programs": "array", "by_program": "array", "delta": "object", "by_route": "object", "histogram": "object", "near": "object", "box": "object", "seats": "object"}
+
+
 def payload(summary: DataFrame, delta: DataFrame, pivoted: DataFrame, bins: DataFrame, near: DataFrame, box: DataFrame, points: DataFrame, seats: DataFrame, areas: DataFrame) -> DataFrame:
-    """One JSON object with a row array by programme and maps keyed ``cycle|program``.
+    """The entries of one JSON object: (section, key, place, value), with values in JSON.
 
-    The inputs are aggregates with a row for each programme and cycle, so the one row
-    gathered here is bounded by their number.
+    ``writers.write_json_sections`` makes them a file.  A value holds what belongs to one programme in one cycle
+    (its bins, its sample points), never more; entries of an array are in the order of their keys.
     """
     key = F.concat_ws("|", "cycle", "program")
 
-    def as_map(rows: DataFrame, value, name: str) -> DataFrame:
-        return rows.select(key.alias("k"), value.alias("v")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(name))
+    def entries(section: str, rows: DataFrame, value: Column, name: Column = key) -> DataFrame:
+        # a number, an array or an object as it stands within an object
+        inner = F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+        return rows.select(F.lit(section).alias("section"), name.alias("key"), F.lit(0).alias("place"), inner.alias("value"))
 
     named = summary.join(areas, "program", "left").withColumn("area", F.coalesce("area", F.lit("Z")))
     columns = ["cycle", "program", "area", "applications", "admitted", "admission_rate", "trusted", "cutoff_score", "scale", "min_score", "max_score", "median_score"]
+    per_key = lambda rows, *c: rows.groupBy("cycle", "program").agg(F.array_sort(F.collect_list(F.struct(*c))).alias("all"))
+    boxes = box.join(per_key(points, "point", "score"), ["cycle", "program"], "left")
     parts = [
-        named.agg(F.array_sort(F.collect_set("cycle")).alias("cycles"), F.array_sort(F.collect_set("program")).alias("programs"), F.array_sort(F.collect_list(F.struct(*columns))).alias("by_program")),
-        as_map(delta, F.bround("delta_pct", 1), "delta"),
-        as_map(pivoted, F.array(*(F.col(c) for c in pivoted.columns if c not in ("cycle", "program"))), "by_route"),
-        as_map(bins.groupBy("cycle", "program").agg(F.array_sort(F.collect_list(F.struct("bin_from", "n_admitted", "n_rejected"))).alias("b")), F.col("b"), "histogram"),
-        as_map(near, F.struct("rejected", "near", "near_pct"), "near"),
-        as_map(box.join(points.groupBy("cycle", "program").agg(F.array_sort(F.collect_list(F.struct("point", "score"))).alias("p")), ["cycle", "program"], "left"), F.struct("n", "low", "q1", "median", "q3", "high", F.transform("p", lambda x: F.bround(x["score"], 1)).alias("points")), "box"),
-        as_map(seats.where("crossed"), F.struct("seats", "occupancy_pct"), "seats"),
+        *(entries(f"{c}s", summary.select(c).distinct(), F.col(c), F.col(c)) for c in ("cycle", "program")),
+        entries("by_program", named, F.struct(*columns)),
+        entries("delta", delta, F.bround("delta_pct", 1)),
+        entries("by_route", pivoted, F.array(*(F.col(c) for c in pivoted.columns if c not in ("cycle", "program")))),
+        entries("histogram", per_key(bins, "bin_from", "n_admitted", "n_rejected"), F.col("all")),
+        entries("near", near, F.struct("rejected", "near", "near_pct")),
+        entries("box", boxes, F.struct("n", "low", "q1", "median", "q3", "high", F.transform("all", lambda x: F.bround(x["score"], 1)).alias("points"))),
+        entries("seats", seats.where("crossed"), F.struct("seats", "occupancy_pct")),
     ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.join(part)  # one row each
-    return whole.select(F.to_json(F.struct(*whole.columns)).alias("value"))
-
-
+    return reduce(DataFrame.unionByName, parts)

@@ -5,6 +5,8 @@ Doubles that come from interpolation are rounded to four places on both sides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -594,13 +596,10 @@ def line_word_clusters(spark, d):
     return layout.word_numbers(layout.line_numbers(chars)).groupBy("document", "page", "line_no", "word_no").agg(F.count(F.lit(1)).alias("n_chars"))
 
 
-@query()
-def payload(spark, d):
-    """One JSON object"""
+def payload_entries(spark: SparkSession, d: str) -> DataFrame:
     apps = applications(spark, d)
-    summary = _summary(spark, d)
     return serving.payload(
-        summary,
+        _summary(spark, d, apps),
         windows.yoy_delta(_counts(spark, d)),
         _pivot(spark, d),
         aggregates.outcome_pivot(aggregates.score_histogram(apps, 1000)),
@@ -612,6 +611,35 @@ def payload(spark, d):
     )
 
 
+_SIZES = """SELECT 'cycles' AS section, count(DISTINCT cycle) AS entries, NULL::BIGINT AS total FROM gold
+  UNION ALL SELECT 'programs', count(DISTINCT program), NULL FROM gold UNION ALL SELECT 'by_program', count(*), sum(applications) FROM gold
+  UNION ALL SELECT 'delta', count(*), sum(CASE WHEN delta > 0 THEN 1 ELSE 0 END) FROM (SELECT applications - lag(applications) OVER (PARTITION BY program ORDER BY cycle) AS delta FROM counts) WHERE delta IS NOT NULL
+  UNION ALL SELECT 'by_route', count(*), sum(n) FROM (SELECT cycle, program, count(*) FILTER (WHERE admitted) AS n FROM apps WHERE admitted IS NOT NULL GROUP BY ALL)
+  UNION ALL SELECT 'histogram', count(*), sum(n) FROM (SELECT cycle, program, sum(applications) AS n FROM bins GROUP BY ALL)
+  UNION ALL SELECT 'near', count(*), sum(n) FROM (SELECT cycle, program, count(*) AS n FROM apps WHERE NOT admitted AND score IS NOT NULL AND floor_score IS NOT NULL GROUP BY ALL)
+  UNION ALL SELECT 'box', count(*), sum(n) FROM box
+  UNION ALL SELECT 'seats', count(*), sum(n_nationkey * 7 % 50) FROM gold JOIN nation ON n_name = program WHERE admitted > 0 AND n_nationkey * 7 % 50 > 0"""
+
+
+@query(f"{GOLD}, {_BINS}, {_BOX}, {_COUNTS} SELECT section, entries, cast(total AS BIGINT) AS total FROM ({_SIZES})")
+def payload(spark, d):
+    """A JSON object of nine sections: how many entries each has, and a total of what they say"""
+    value = F.col("value")
+    number = lambda path: F.get_json_object(value, path).cast("long")
+    total_of = lambda kind, each: F.aggregate(F.from_json(value, kind), F.lit(0).cast("long"), each)
+    said = {
+        "by_program": number("$.applications"),
+        "delta": F.when(value.cast("double") > 0, 1).otherwise(0).cast("long"),
+        "by_route": total_of("array<bigint>", lambda acc, n: acc + n),
+        "histogram": total_of("array<struct<n_admitted:bigint,n_rejected:bigint>>", lambda acc, b: acc + b["n_admitted"] + b["n_rejected"]),
+        "near": number("$.rejected"),
+        "box": number("$.n"),
+        "seats": number("$.seats"),
+    }
+    total = reduce(lambda acc, kv: F.when(F.col("section") == kv[0], kv[1]).otherwise(acc), said.items(), F.lit(None).cast("long"))
+    return payload_entries(spark, d).groupBy("section").agg(F.count(F.lit(1)).alias("entries"), F.sum(total).alias("total"))
+
+
 def queries() -> dict:
     """All named queries, those of the rules and sources too."""
     from quarrystone.plans import checks, documents  # noqa: F401  (these register their queries)

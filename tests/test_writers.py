@@ -56,3 +56,24 @@ def test_json_sections(spark, tmp_path):
         assert got == {"none": {}, "list": [{"n": k, "t": 'a"\n'} for k in range(500)], "map": {f'k"{k}é': k for k in range(70)}, "empty": [], "one": [None]}
     writers.write_json_sections(df.where("false"), path, {"a": "array"})
     assert json.load(open(path)) == {"a": []}
+
+
+def test_payload_as_a_file(spark, small, tmp_path):
+    """The written object is the entries, section by section, in order."""
+    from quarrystone.operators import serving
+    from quarrystone.plans import catalogue
+
+    rows = catalogue.payload_entries(spark, small)
+    path = str(tmp_path / "payload.json")
+    writers.write_json_sections(rows, path, serving.SECTIONS)
+    got = json.load(open(path, encoding="utf-8"))
+    want = {s: [] if kind == "array" else {} for s, kind in serving.SECTIONS.items()}
+    for r in sorted(rows.collect(), key=lambda r: (r.section, r.key.encode())):
+        value = json.loads(r.value)
+        if serving.SECTIONS[r.section] == "array":
+            want[r.section].append(value)
+        else:
+            want[r.section][r.key] = value
+    assert list(got) == list(want) and got == want and all(got.values())
+    assert got["cycles"] == sorted(got["cycles"]) and len(got["by_program"]) == len({(p["cycle"], p["program"]) for p in got["by_program"]})
+    assert all(len(b["points"]) <= 40 for b in got["box"].values())
