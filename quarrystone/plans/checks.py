@@ -554,17 +554,21 @@ def chain_counts(spark, d):
     return quality.chain_counts(document(orders, "o_custkey"), document(customer.where("c_custkey % 7 <> 0"), "c_custkey"), document(orders.where("o_orderstatus = 'F'"), "o_custkey")).select("document")
 
 
-@query("""SELECT 'cycles cited' AS rule, count(*) AS violations FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders) WHERE y NOT IN (1992, 1993, 1994, 1995, 1996) UNION ALL SELECT 'row count cited', 1 UNION ALL SELECT 'undocumented scripts', 1""")
+@query("""WITH n AS (SELECT n_nationkey, n_name, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL)
+  SELECT 'customers cited' AS rule, count(*) FILTER (WHERE n_nationkey % 2 = 1) AS violations FROM n UNION ALL SELECT 'undocumented scripts', count(*) FILTER (WHERE n_nationkey % 3 <> 0) FROM n""")
 def documentation_rules(spark, d):
-    """Documents cite live figures, and every script says what it does"""
-    orders = table(spark, d, "orders")
+    """Figures that the texts have to cite, and scripts that have to say what they do; every other text cites another figure"""
     path = scratch(spark)
-    years = ", ".join(str(y) for y in range(1992, 1997))
-    texts = [("readme.md", f"The years are {years}; there are 7 rows."), ("a.py", '"""Says what it does."""\nx = 1\n'), ("b.py", "x = 1\n")]
-    spark.createDataFrame([(t.replace("\n", "\x0b"), n) for n, t in texts], "value string, name string").write.partitionBy("name").text(path)
-    files = readers.read_text_files(spark, [path]).select(F.regexp_extract(F.try_url_decode("path"), r"name=([^/]+)/", 1).alias("path"), F.regexp_replace(F.rtrim("text"), "\x0b", "\n").alias("text"))
-    live = orders.select(F.lit("cycles cited").alias("rule"), F.year("o_orderdate").cast("string").alias("figure")).distinct()
-    live = live.unionByName(orders.agg(F.count(F.lit(1)).cast("string").alias("figure")).select(F.lit("row count cited").alias("rule"), "figure"))
+    customers = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n"))
+    n = table(spark, d, "nation").join(customers, "n_nationkey", "left").na.fill(0, ["n"])
+    figure = lambda more: F.concat("n_name", F.lit(" has "), (F.col("n") + more).cast("string"), F.lit(" customers."))
+    name = F.concat(F.col("n_nationkey").cast("string"), F.lit(".md"))
+    texts = n.select(name.alias("name"), figure(F.col("n_nationkey") % 2).alias("text"))
+    said = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit('# a note\n"""'), "n_name", F.lit('"""\n'))).otherwise("")
+    scripts = n.select(F.concat(F.col("n_nationkey").cast("string"), F.lit(".py")).alias("name"), F.concat(said, F.lit("x = 1\n")).alias("text"))
+    writers.write_files(texts.unionByName(scripts).withColumn("at", F.lit(0)), path, "name", "at", "text")
+    files = readers.read_text_files(spark, [path])
+    live = n.select(F.lit("customers cited").alias("rule"), figure(F.lit(0)).alias("figure"))
     found = quality.not_cited(files.where("path like '%.md'"), live).groupBy("rule").agg(F.count(F.lit(1)).alias("violations"))
     cited = live.select("rule").distinct().join(found, "rule", "left").na.fill(0)
     bare = quality.without_docstring(files.where("path like '%.py'")).agg(F.count(F.lit(1)).alias("violations")).select(F.lit("undocumented scripts").alias("rule"), "violations")
