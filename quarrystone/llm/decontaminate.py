@@ -8,8 +8,10 @@
    are projected into the space and compared with all items by cosine.  Benchmark
    items are a stated query set, taken in blocks; all windows of the corpus are
    searched, and every window above the threshold is a candidate.
-4. Beside it, places are candidates where a text has a run of ``RUN`` words of an item, so
-   that an item that very many texts hold, and whose words so weigh little, is found too.
+4. Beside it, places are candidates where a text has one of ``RUNS`` runs of ``RUN`` words of
+   an item (those that fewest items share), so that an item that very many texts hold, and
+   whose words so weigh little, is found too.  What has none of these runs is found by the
+   cosine alone.
 5. A candidate is confirmed on exact words: the longest common subsequence with the
    words around the window must cover ``overlap`` of the item, and ``answer`` of its
    answer (its last quarter), so paraphrases with other words between still count.
