@@ -34,6 +34,12 @@ def _pct_rejected() -> Column:
     return 100.0 * F.count_if(~F.col("admitted")) / F.count("admitted")
 
 
+def outcome_counts(apps: DataFrame, keys: tuple[str, ...] = ("cycle", "program")) -> DataFrame:
+    """D1, D3 without scores: applications, admitted, share of rejected and trust, in one aggregate that combines before its shuffle."""
+    counted = with_outcome(apps).groupBy(*keys).agg(F.count(F.lit(1)).alias("applications"), F.count_if("admitted").alias("admitted"), _pct_rejected().alias("pct_rejected"))
+    return counted.withColumn("trusted", F.col("pct_rejected") >= TRUST_PCT)
+
+
 def _summary(apps: DataFrame, keys: tuple[str, ...], which: Column) -> DataFrame:
     rows = with_outcome(apps)
     score = nonzero(F.col("score"))

@@ -26,6 +26,11 @@ def _summary(spark: SparkSession, d: str, apps: DataFrame | None = None) -> Data
     return aggregates.program_cycle_summary(apps, ORDINARY)
 
 
+def _outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Where no score is asked for, none is summed up."""
+    return aggregates.outcome_counts(applications(spark, d))
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 4) for c in columns})
 
@@ -97,7 +102,7 @@ def _seats(spark, d):
 
 
 def _occupancy(spark, d):
-    admitted = _summary(spark, d).select("cycle", scalar.alnum_key(F.col("program")).alias("program_key"), "admitted")
+    admitted = _outcomes(spark, d).select("cycle", scalar.alnum_key(F.col("program")).alias("program_key"), "admitted")
     return aggregates.seat_occupancy(_seats(spark, d), admitted)
 
 
@@ -230,7 +235,7 @@ _ALL_CYCLES = "cycles AS (SELECT cast(y AS VARCHAR) AS cycle FROM generate_serie
 @query(f"{GOLD}, {_KPIS}, {_ALL_CYCLES} SELECT cycle, coalesce(applications, 0) AS applications, coalesce(admitted, 0) AS admitted, coalesce(programs, 0) AS programs, coalesce(trusted_programs, 0) AS trusted_programs, trusted_rate FROM cycles LEFT JOIN kpi USING (cycle)")
 def kpi_by_cycle(spark, d):
     """D24, D25"""
-    return aggregates.kpi_series(_summary(spark, d), _cycles(spark))
+    return aggregates.kpi_series(_outcomes(spark, d), _cycles(spark))
 
 
 @query(f"""{GOLD}, {_KPIS}, {_ALL_CYCLES}, s AS (SELECT cycle, coalesce(applications, 0) AS applications, coalesce(admitted, 0) AS admitted FROM cycles LEFT JOIN kpi USING (cycle)),
@@ -239,7 +244,7 @@ def kpi_by_cycle(spark, d):
     CASE WHEN pb <> 0 THEN 100.0::DOUBLE * (admitted - pb) / pb END AS admitted_change_pct FROM l""")
 def kpi_change(spark, d):
     """E3"""
-    series = aggregates.kpi_series(_summary(spark, d), _cycles(spark)).select("cycle", "applications", "admitted")
+    series = aggregates.kpi_series(_outcomes(spark, d), _cycles(spark)).select("cycle", "applications", "admitted")
     return windows.kpi_change(series, ("applications", "admitted"))
 
 
@@ -253,7 +258,7 @@ def _areas(spark, d):
   SELECT *, applications / (sum(applications) OVER (PARTITION BY cycle))::DOUBLE AS share FROM t WHERE applications > 0""")
 def area_share(spark, d):
     """D26, E6, B23, V6"""
-    return serving.area_ring(aggregates.by_area(_summary(spark, d), _areas(spark, d)))
+    return serving.area_ring(aggregates.by_area(_outcomes(spark, d), _areas(spark, d)))
 
 
 @query(f"{WITH}, {_COUNTS} SELECT *, applications / (max(applications) OVER (PARTITION BY cycle))::DOUBLE AS to_max FROM counts")
@@ -285,7 +290,7 @@ def top_boxes(spark, d):
   SELECT cycle, program, applications, admitted, trusted, rejected, near, n, q1, q3 FROM gold LEFT JOIN near USING (cycle, program) LEFT JOIN box USING (cycle, program)""")
 def flat_export(spark, d):
     """C15, B32"""
-    base = _summary(spark, d).select("cycle", "program", "applications", "admitted", "trusted")
+    base = _outcomes(spark, d).select("cycle", "program", "applications", "admitted", "trusted")
     near = aggregates.near_floor(applications(spark, d), 1000.0).drop("near_pct")
     return joins.flat_export(base, near, _box(spark, d).select("cycle", "program", "n", "q1", "q3"))
 
