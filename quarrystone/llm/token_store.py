@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from quarrystone.llm.common import hash_words, shared_dir, slices, small_batches, table, text_bytes, tidied
 
 BLOCK = 128
+#: Text bytes of one step: the more, the more units of a step are equal.
+STEP_BYTES = 2_000_000
 #: Ids after which a segment is closed.
 SEGMENT_IDS = 1 << 20
 #: (ids in a word, bits of each) by selector; selector 0 is the escape.
@@ -348,7 +350,7 @@ def write_tokens(df: DataFrame, path: str, file: str, end_id: int = 2, id_col: s
             )
 
         for b in batches:
-            for some in slices(b, "text"):
+            for some in slices(b, "text", STEP_BYTES):
                 ids, n = enc.encode_column(some.column(1))
                 names += some.column(0).to_pylist()
                 counts += n.tolist()
