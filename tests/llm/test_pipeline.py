@@ -56,4 +56,4 @@ def test_near_copies_between_80_and_85_percent_go(spark, small, pipeline):
 
 def test_registry_names():
     names = list(registry.queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
