@@ -217,9 +217,18 @@ def holds_identity_number(text: Column) -> Column:
     return text.rlike(r"(?<![0-9A-Za-z])\d{8}(?![0-9A-Za-z])")
 
 
-def person_names(text: Column, known: list[str] | None = None) -> Column:
-    """Three or more words of capitals in a row, without function words or known names."""
-    found = F.regexp_extract_all(text, F.lit(r"\b([A-ZÑÁÉÍÓÚ]{3,}(?: [A-ZÑÁÉÍÓÚ]{3,}){2,})\b"), F.lit(1))
+#: Where one of two neighbours is a letter of A-Z or a-z, a digit or an underscore and the other is not.
+ASCII_EDGE = r"(?:(?<![0-9A-Za-z_])(?=[0-9A-Za-z_])|(?<=[0-9A-Za-z_])(?![0-9A-Za-z_]))"
+
+
+def person_names(text: Column, known: list[str] | None = None, ascii_edges: bool = False) -> Column:
+    """Three or more words of capitals in a row, without function words or known names.
+
+    A name begins and ends at the edge of a word of any letters; with ``ascii_edges`` it begins at an ``ASCII_EDGE``
+    and ends where the capitals do, as engines read it whose word characters are those of ASCII.
+    """
+    capitals = "([A-ZÑÁÉÍÓÚ]{3,}(?: [A-ZÑÁÉÍÓÚ]{3,}){2,})"
+    found = F.regexp_extract_all(text, F.lit(ASCII_EDGE + capitals if ascii_edges else rf"\b{capitals}\b"), F.lit(1))
     words = F.array(*(F.lit(w) for w in FUNCTION_WORDS))
     odd = F.filter(found, lambda n: ~F.arrays_overlap(F.split(n, " "), words))
     return F.array_except(odd, F.array(*(F.lit(k) for k in known))) if known else odd
