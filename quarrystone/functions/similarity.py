@@ -9,11 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """Twice the matching characters by the length of both, ``b`` searched for in ``a``."""
+def ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Twice the matching characters by the length of both, ``b`` searched for in ``a``; null where the letters alone
+    show that it is below ``least``."""
+
+    def of(p: str, q: str) -> float | None:
+        pair = difflib.SequenceMatcher(None, q, p)
+        return pair.ratio() if not least or pair.quick_ratio() >= least else None
 
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else difflib.SequenceMatcher(None, q, p).ratio() for p, q in zip(x, y)], dtype="float64")
+        return pd.Series([None if p is None or q is None else of(p, q) for p, q in zip(x, y)], dtype="float64")
 
     return run(a, b)

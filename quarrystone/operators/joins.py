@@ -137,7 +137,7 @@ def prefix_resolve(forms: DataFrame, catalogue: DataFrame, least: int = 5) -> Da
     """
     names = catalogue.select("program").distinct()
     prefixes = names.select("program", F.explode(F.sequence(F.lit(least), F.greatest(F.lit(least), F.char_length("program")))).alias("n")).where("n <= char_length(program)").select("program", F.expr("left(program, n)").alias("form"))
-    hits = forms.select("form").distinct().join(prefixes, "form").groupBy("form").agg(F.count(F.lit(1)).alias("n"), F.min("program").alias("canonical"))
+    hits = forms.select("form").distinct().join(prefixes.hint("merge"), "form").groupBy("form").agg(F.count(F.lit(1)).alias("n"), F.min("program").alias("canonical"))
     exact = forms.select("form").distinct().join(names.select(F.col("program").alias("form")), "form", "left_semi").select("form", F.col("form").alias("canonical"))
     return hits.where("n = 1").select("form", "canonical").join(exact.select("form"), "form", "left_anti").unionByName(exact)
 
@@ -164,8 +164,10 @@ def near_candidates(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZ
     gain = lambda n: F.floor(n * (2 - cutoff) / cutoff + 1e-9).cast("int")
     some = forms.select("form").distinct().where(size("form") >= 1)
     cut = some.withColumn("_n", size("form")).withColumn("_lose", lose(F.col("_n"))).withColumn("_gain", gain(F.col("_n")) - F.col("_n"))
-    # unmatched characters of the form, and places where others come between, break one piece each
-    cut = cut.withColumn("_parts", F.least(F.col("_n"), F.col("_lose") + F.col("_gain") + 1))
+    # unmatched characters of the form, and places where others come between, break one piece each; of n + m characters
+    # at most (1 - r) (n + m) are unmatched in both texts together, whatever m within reach
+    broken = F.floor((1 - cutoff) * (2 * F.col("_n") + F.col("_gain")) + 1e-9).cast("int")
+    cut = cut.withColumn("_parts", F.least(F.col("_n"), broken + 1))
     edge = lambda k: F.floor(k * F.col("_n") / F.col("_parts")).cast("int")
     piece = F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: F.struct(edge(k).alias("at"), F.substr(F.col("form"), edge(k) + 1, edge(k + 1) - edge(k)).alias("piece"))))
     pieces = cut.select("form", "_n", "_lose", "_gain", piece.alias("p")).select("form", "_n", "_lose", "_gain", "p.at", "p.piece")
@@ -183,7 +185,8 @@ def near_candidates(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZ
     index = names.select("program", "_m", windows_of.alias("w")).select("program", "_m", "w.place", "w.piece")
     index = index.withColumn("_place_span", F.floor(F.col("place") / PLACE_SPAN).cast("int")).withColumn("_length_span", F.floor(F.col("_m") / LENGTH_SPAN).cast("int"))
     shift = F.col("place") - F.col("at")
-    met = asked.join(index, ["piece", "_place_span", "_length_span"]).where((shift >= -F.col("_lose")) & (shift <= F.col("_gain")) & (F.col("_m") <= F.col("_n") + F.col("_gain")))
+    # both sides are many times what the planner knows of the names: never broadcast
+    met = asked.join(index.hint("merge"), ["piece", "_place_span", "_length_span"]).where((shift >= -F.col("_lose")) & (shift <= F.col("_gain")) & (F.col("_m") <= F.col("_n") + F.col("_gain")))
     return met.select("form", "program").distinct()
 
 
@@ -192,8 +195,10 @@ def near_names(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUT
 
     Only the pairs of ``near_candidates`` are compared; nothing is collected, and no name is broadcast.
     """
-    scored = near_candidates(forms, catalogue, cutoff).withColumn("_ratio", ratio(F.col("form"), F.col("program"))).where(F.col("_ratio") >= cutoff)
-    return scored.groupBy("form").agg(F.max_by("program", F.struct("_ratio", "program")).alias("canonical"))
+    scored = near_candidates(forms, catalogue, cutoff).withColumn("_ratio", ratio(F.col("form"), F.col("program"), cutoff))
+    # the cutoff after the best of a form: a condition on the ratio alone would have it worked out a second time, before copies of a pair go
+    best = scored.groupBy("form").agg(F.max(F.struct("_ratio", "program")).alias("best")).where(F.col("best._ratio") >= cutoff)
+    return best.select("form", F.col("best.program").alias("canonical"))
 
 
 def resolve_programs(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
