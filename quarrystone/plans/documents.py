@@ -18,7 +18,7 @@ from quarrystone.plans.checks import TABLE_ROW, TABLE_SQL, _glyph_rows, _nation_
 from quarrystone.plans.named import query
 from quarrystone.schemas import strings
 from quarrystone.sources import fetch, pdf_chars, readers, writers
-from quarrystone.sources.shared import scratch
+from quarrystone.sources.shared import dealt, scratch
 
 PAGE_HEIGHT = 800
 
@@ -100,7 +100,7 @@ def pdf_characters(spark, d):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_sampler(v) for v in b.column(1).to_pylist()], pa.binary())], ["document", "content"])
 
-    docs = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("document"), "p_size").mapInArrow(made, "document string, content binary")
+    docs = dealt(table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("document"), "p_size")).mapInArrow(made, "document string, content binary")
     places = [F.round(c, 6).alias(c) for c in ("x0", "x1", "top")]
     return pdf_chars.char_rows(docs).where("warning is null").select("document", "page", "seq", "text", *places)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pyarrow.fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _MARKED: set[tuple[str, str]] = set()
 
@@ -40,3 +40,15 @@ def opened(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 def remove(spark: SparkSession, uri: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Documents of one task.
+PART_DOCUMENTS = 1000
+
+
+def dealt(rows: DataFrame, size: int = PART_DOCUMENTS) -> DataFrame:
+    """Rows in partitions of about ``size``, for work that takes long beside the bytes of a row.
+
+    Files, and shuffles under adaptive execution, are cut by bytes, so a million short rows may be one task.
+    """
+    return rows.repartition(max(1, -(-rows.count() // size)))
