@@ -21,7 +21,7 @@ from quarrystone.plans.canonical import APPS, applications, table
 from quarrystone.plans.named import query
 from quarrystone.schemas import strings
 from quarrystone.sources import readers, writers
-from quarrystone.sources.shared import scratch
+from quarrystone.sources.shared import dealt, scratch
 
 WITH = f"WITH {APPS}"
 COUNTS = "counts AS (SELECT cycle, program, count(*) AS applications, count(*) FILTER (WHERE admitted) AS admitted FROM apps WHERE admitted IS NOT NULL GROUP BY ALL)"
@@ -694,7 +694,7 @@ def _pdf_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pdfs(spark, d):
     rows = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("document"), "p_brand", F.regexp_replace("p_name", r"[^A-Za-z0-9_ #]", "").alias("p_name"))
-    return rows.mapInArrow(_pdf_bytes, "document string, content binary")
+    return dealt(rows).mapInArrow(_pdf_bytes, "document string, content binary")
 
 
 @query("""SELECT cast(p_partkey AS VARCHAR) AS document, p AS page, k AS position, CASE WHEN k = 0 AND p = 1 THEN p_brand ELSE t END AS token FROM part,
