@@ -715,8 +715,12 @@ def pdf_kerned_scan(spark, d):
 def pdf_headers(spark, d):
     """What the first pages say, and the title before the column of totals"""
     docs = _pdfs(spark, d)
-    titles = readers.program_titles(readers.token_rows(docs))
-    return readers.headers(docs).join(titles, "document").select("document", "family", "pages", "process", "exam_date", "conditions", "program")
+    # read once, as contents are parsed for them
+    path = scratch(spark)
+    readers.token_rows(docs).write.parquet(path)
+    tokens = spark.read.parquet(path)
+    titles = readers.program_titles(tokens)
+    return readers.headers(docs, tokens).join(titles, "document").select("document", "family", "pages", "process", "exam_date", "conditions", "program")
 
 
 def _glyph_rows(words: DataFrame, width: float = 5.0) -> DataFrame:
