@@ -749,7 +749,8 @@ TABLE_ROW = ("document", "page", "site", "subgroup", "program", "merit_rank", "n
 def table_chars(spark: SparkSession, d: str) -> DataFrame:
     """Characters of a table for each supplier, which goes on over three pages."""
     ranks = spark.range(1, 15).select(F.col("id").alias("rank"))
-    items = table(spark, d, "supplier").select("s_suppkey").join(F.broadcast(ranks)).select(
+    suppliers = dealt(table(spark, d, "supplier").select("s_suppkey"))
+    items = suppliers.join(F.broadcast(ranks)).select(
         F.col("s_suppkey").cast("string").alias("document"), "rank", (1 + F.floor((F.col("rank") - 1) / 6)).cast("int").alias("page"), (40 + 10 * ((F.col("rank") - 1) % 6)).alias("top"),
         F.when((F.col("s_suppkey") + F.col("rank")) % 3 == 0, "NO INGRESO").otherwise("INGRESO").alias("condition"),
         F.when(F.col("rank") % 5 == 0, "NSP").otherwise(F.concat((90 - F.col("rank")).cast("string"), F.lit(".5"))).alias("score"),
@@ -761,7 +762,7 @@ def table_chars(spark: SparkSession, d: str) -> DataFrame:
     body = items.select("document", "page", "top", cells.alias("v")).select("document", "page", (100 + F.col("top") * 10 + F.col("v.c")).alias("seq"), F.col("v.word").alias("word"), F.col("v.x").alias("x"), "top")
     head = [("EXAMEN ORDINARIO - CAMANA", 10, 1), ("GRUPO UNO", 10, 10), ("DERECHO", 10, 20), ("Ord.", 10, 30), ("Nombre", 60, 30), ("Total", 250, 30), ("Condición", 320, 30), ("Nota Minima 61.50", 10, 110)]
     top = F.explode(F.array(*(F.struct(F.lit(w).alias("word"), F.lit(float(x)).alias("x"), F.lit(y).cast("long").alias("top"), F.lit(k).alias("k")) for k, (w, x, y) in enumerate(head))))
-    titles = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("document"), top.alias("t")).select("document", F.lit(1).alias("page"), F.col("t.k").cast("long").alias("seq"), "t.word", "t.x", "t.top")
+    titles = suppliers.select(F.col("s_suppkey").cast("string").alias("document"), top.alias("t")).select("document", F.lit(1).alias("page"), F.col("t.k").cast("long").alias("seq"), "t.word", "t.x", "t.top")
     return _glyph_rows(body.select("document", "page", F.col("seq").cast("long").alias("seq"), "word", "x", F.col("top").cast("long").alias("top")).unionByName(titles))
 
 
