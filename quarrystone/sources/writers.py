@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrystone.functions.scalar import csv_field
-from quarrystone.sources.shared import opened, scratch
+from quarrystone.sources.shared import PART_DOCUMENTS, opened, scratch
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str, kind: str = "parquet") -> None:
@@ -88,7 +88,10 @@ def write_files(df: DataFrame, path: str, key: str, order: str, value: str, suff
             yield closed()
 
     kept = df.select(F.col(key).cast("string").alias("k"), F.col(order).alias("o"), F.col(value).cast("binary").alias("v"))
-    streams = kept.repartition("k").sortWithinPartitions("k", "o").select("k", "v")
+    # files are work whatever they hold: adaptive execution would put many short ones in one task, as it counts bytes
+    n = kept.count()
+    tasks = max(1, min(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), -(-n // PART_DOCUMENTS))
+    streams = kept.repartition(tasks, "k").sortWithinPartitions("k", "o").select("k", "v")
     listed = scratch(df.sparkSession)
     streams.mapInArrow(run, "name string, bytes bigint, parts bigint").write.parquet(listed)
     files, top = opened(path)
