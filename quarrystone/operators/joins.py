@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarrystone.functions.similarity import ratio
 from quarrystone.operators import windows
 from quarrystone.operators.classify import is_program
+from quarrystone.sources.shared import remove, scratch
 
 FUZZY_CUTOFF = 0.92
 
@@ -54,21 +55,46 @@ def rank_gaps(rows: DataFrame, block: tuple[str, ...], rank: str = "merit_rank")
     return holes.select(*block, F.explode(F.sequence(F.col("_before") + 1, F.col(rank) - 1)).alias("missing_rank"), "block_max")
 
 
-def text_blocks(lines: DataFrame, program: str = "program") -> DataFrame:
+#: Lines of one range of a document, or so.
+PART_LINES = 200_000
+
+
+def text_blocks(lines: DataFrame, program: str = "program", size: int = PART_LINES) -> DataFrame:
     """P10: for each appearance of a programme as a line, the ranks listed below it.
 
     ``lines``: document, line_no, line, with ``program`` the title the line equals (or null).
     A block runs from its title to the first line without a rank after the first rank.
+
+    Lines are cut into ranges of about ``size`` by document and number, so no document is a group.  All that a line needs
+    are counts of the lines up to it, within its range and then by the totals of the ranges before: a block has ended where
+    the last line without a rank has more ranks up to it than stood before the title.
     """
-    w = Window.partitionBy("document").orderBy("line_no")
     rank = F.when(F.trim("line").rlike(r"^\d{1,4}\s"), F.regexp_extract(F.trim("line"), r"^(\d{1,4})\s", 1).cast("int"))
-    marked = lines.withColumn("rank", rank).withColumn("block_no", F.sum(F.when(F.col(program).isNotNull(), 1).otherwise(0)).over(w)).where("block_no > 0")
-    inside = Window.partitionBy("document", "block_no").orderBy("line_no")
-    title = F.first(program).over(inside)
-    begun = F.max(F.when(F.col("rank").isNotNull(), 1).otherwise(0)).over(inside)
-    step = marked.withColumn("title", title).withColumn("begun", begun)
-    step = step.withColumn("ended", F.max(F.when((F.col("begun") == 1) & F.col("rank").isNull(), 1).otherwise(0)).over(inside))
-    return step.where("rank is not null and ended = 0").select("document", "block_no", F.col("title").alias("program"), "rank")
+    rows = lines.select("document", "line_no", F.col(program).alias("program"), rank.alias("rank"))
+    spark, path = lines.sparkSession, scratch(lines.sparkSession)
+    rows.write.option("maxRecordsPerFile", size).parquet(path)
+    marked = spark.read.schema(rows.schema).parquet(path)
+    n = max(1, -(-marked.count() // size))
+    # files and ranges by number: what is cut by bytes holds very many short lines
+    ranges = marked.repartitionByRange(n, "document", "line_no").withColumn("_part", F.spark_partition_id()).repartition(n, "_part")
+    w = Window.partitionBy("_part", "document").orderBy("line_no")
+    same = Window.partitionBy("_part", "document", "line_no")
+    placed = ranges.withColumns({"_titles": F.count("program").over(w), "_ranks": F.count("rank").over(w), "_title": F.last("program", ignorenulls=True).over(w), "_same": F.count("rank").over(same)})
+    before_title = F.max(F.when(F.col("program").isNotNull(), F.col("_ranks") - F.col("_same"))).over(w)
+    other, last = F.max(F.when(F.col("rank").isNull(), F.col("_ranks"))).over(w), F.lead(F.lit(True)).over(w).isNull()
+    placed = placed.withColumns({"_before_title": before_title, "_other": other, "_last": last})
+    placed = windows.written(placed.select("document", "_part", "rank", "_titles", "_ranks", "_title", "_before_title", "_other", "_last"))
+    remove(spark, path)
+    earlier = Window.partitionBy("document").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    upto = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    totals = placed.where("_last").withColumns({"_titles_0": upto("_titles"), "_ranks_0": upto("_ranks"), "_title_0": F.last("_title", ignorenulls=True).over(earlier)})
+    highest = lambda c: F.max(F.col("_ranks_0") + F.col(c)).over(earlier)
+    carried = totals.select("document", "_part", "_titles_0", "_ranks_0", "_title_0", highest("_before_title").alias("_before_title_0"), highest("_other").alias("_other_0"))
+    met = windows.lookup(placed.where("rank is not null"), windows.written(carried), ("document", "_part"))
+    begins = F.coalesce(F.col("_ranks_0") + F.col("_before_title"), "_before_title_0")
+    ended = F.coalesce(F.greatest(F.col("_ranks_0") + F.col("_other"), "_other_0") > begins, F.lit(False))
+    met = met.withColumn("block_no", F.col("_titles_0") + F.col("_titles")).where((F.col("block_no") > 0) & ~ended)
+    return met.select("document", "block_no", F.coalesce("_title", "_title_0").alias("program"), "rank")
 
 
 def gap_origin(gaps: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -76,8 +102,10 @@ def gap_origin(gaps: DataFrame, blocks: DataFrame) -> DataFrame:
     tops = blocks.groupBy("document", "block_no", "program").agg(F.max("rank").alias("block_max"))
     first = tops.groupBy("document", "program", "block_max").agg(F.min("block_no").alias("block_no"))
     found = gaps.join(first, ["document", "program", "block_max"], "left")
-    hit = blocks.select("document", "block_no", F.col("rank").alias("missing_rank")).distinct().withColumn("_printed", F.lit(True))
-    joined = found.join(hit, ["document", "block_no", "missing_rank"], "left")
+    asked = ["document", "block_no", "missing_rank"]
+    # of the ranks of all blocks only those asked for are sorted or kept
+    hit = blocks.select("document", "block_no", F.col("rank").alias("missing_rank")).join(found.select(*asked), asked, "left_semi").distinct().withColumn("_printed", F.lit(True))
+    joined = found.join(hit, asked, "left")
     label = F.when(F.col("block_no").isNull(), "unverified").when(F.col("_printed"), "lost").otherwise("source")
     return joined.withColumn("origin", label).drop("_printed")
 
