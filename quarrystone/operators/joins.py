@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import bisect
+import math
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,63 +173,91 @@ def prefix_resolve(forms: DataFrame, catalogue: DataFrame, least: int = 5) -> Da
     return hits.where("n = 1").select("form", "canonical").join(exact.select("form"), "form", "left_anti").unionByName(exact)
 
 
-#: Places, and lengths, that one key of the index of pieces spans.
-PLACE_SPAN, LENGTH_SPAN = 6, 6
+def _width(n: int) -> int:
+    """How many lengths are in the class of a length: one below 64, and then so many that 32 classes double a length."""
+    return 1 << max(0, n.bit_length() - 6)
+
+
+def _reach(of_forms: list[int], of_names: list[int], cutoff: float) -> list[tuple[int, int, int, int, int]]:
+    """(class, length of a name, pieces, lost, gained): what forms of a class of lengths and names of a length, whose ratio
+    can be ``cutoff``, have to share.
+
+    Of n + m characters of both an even or odd number is unmatched, as n + m is; at most ``lost`` of them are of the form
+    and ``gained`` of the name.
+    """
+    classes: dict[int, list[int]] = {}
+    for n in of_forms:
+        classes.setdefault(n - n % _width(n), []).append(n)
+    out = []
+    for c, held in classes.items():
+        low, high = held[0] * cutoff / (2 - cutoff) - 1, held[-1] * (2 - cutoff) / cutoff + 1
+        for m in of_names[bisect.bisect_left(of_names, low) : bisect.bisect_right(of_names, high)]:
+            unmatched = [(n, n + m - 2 * math.ceil(cutoff * (n + m) / 2 - 1e-9)) for n in held]
+            near = [(n, u) for n, u in unmatched if abs(n - m) <= u]
+            if near:
+                most = max(u for _, u in near)
+                out.append((c, m, most + 1, (most + near[-1][0] - m) // 2, (most + m - near[0][0]) // 2))
+    return out
+
+
+def _candidates(forms: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
+    """The pairs of ``near_candidates``, of distinct forms and names; some more than once."""
+    numbers = lambda rows, *columns: forms.sparkSession.createDataFrame(pa.Table.from_arrays([pa.array([r[k] for r in rows], pa.int32()) for k in range(len(columns))], columns))
+    # no more lengths than the longest text has characters
+    held, known = (sorted(r["n"] for r in t.select(F.char_length(c).alias("n")).distinct().where("n > 0").collect()) for t, c in ((forms, "form"), (names, "program")))
+    reach = _reach(held, known, cutoff)
+    pieces: dict[int, set[int]] = {}
+    for c, _, k, _, _ in reach:
+        pieces.setdefault(c, set()).add(k)
+    cuts = [(n, c, k) for n in held for c in [n - n % _width(n)] for k in pieces.get(c, ())]
+
+    edge = lambda i: F.floor(i * F.col("_class") / F.col("_pieces")).cast("int")
+    piece = lambda text, moved: F.substr(text, edge(F.col("_piece")) + 1 + moved, edge(F.col("_piece") + 1) - edge(F.col("_piece")))
+    # a digest for short rows that sort fast; what only shares a digest is too far apart
+    key = lambda text, moved: F.xxhash64(piece(F.col(text), moved), "_class", "_pieces", "_piece").alias("_key")
+    each = F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("_piece")
+    asked = forms.withColumn("_n", F.char_length("form")).join(F.broadcast(numbers(cuts, "_n", "_class", "_pieces")), "_n").select("form", "_class", "_pieces", each)
+    asked = asked.select(key("form", F.lit(0)), "form")
+    index = names.withColumn("_m", F.char_length("program")).join(F.broadcast(numbers(reach, "_class", "_m", "_pieces", "_lost", "_gained")), "_m").select("program", "_class", "_pieces", "_lost", "_gained", each)
+    # of i characters up to gained come in, and up to lost go
+    come = F.explode(F.sequence(F.greatest(F.lit(0), F.col("_piece") - F.col("_lost")), F.least("_piece", "_gained"))).alias("_come")
+    index = index.select("program", "_class", "_pieces", "_piece", come).select(key("program", 2 * F.col("_come") - F.col("_piece")), "program")
+    # both sides are many times what the planner knows of the names: never broadcast
+    unmatched = (1 - cutoff) * (F.char_length("form") + F.char_length("program")) + 1e-9
+    return asked.join(index.hint("merge"), "_key").where(F.levenshtein("form", "program") <= unmatched).select("form", "program")
 
 
 def near_candidates(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
     """(form, program): all pairs whose ratio of matching blocks can be ``cutoff`` or more.
 
-    A ratio of r leaves at most (1 - r) of the characters of both unmatched, so of the shorter text at least
-    the share s = r / (2 - r) matches.  Such texts differ little in length, and cutting a text into pieces, one more
-    than the characters it may lose or gain, leaves one piece that stands whole in the other within that distance of
-    its place.  The catalogue is indexed by piece, span of places and span of lengths; a form looks its pieces up in
-    the few spans that it can reach.  So what meets shares piece, place and length, and no common piece is a hot key.
+    A ratio of r leaves at most (1 - r) of the characters of both unmatched, say u.  A form is cut into u + 1 pieces, and the
+    characters that it has to lose and to gain to become the name are counted from the left.  At the first piece i (from 0)
+    by whose end there are no more than i of them, there were i before it and are none in it: it stands whole in the name,
+    moved by -i, 2 - i .. i places.  So what meets shares the lengths, the number of the piece, the piece and one of few
+    places, and no common piece is a hot key.  Of what meets, pairs of too many single edits are left out.
     """
     if cutoff < 0.9:
-        raise ValueError("below 0.9 no piece is sure to stand whole")
-    names = catalogue.select("program").distinct().withColumn("_m", F.char_length("program"))
-    size = lambda c: F.char_length(c)
-    # characters of a form of n that may be unmatched, at most: n + m < 2n / (2r - 1) or so; with r m / (2 - r) <= n
-    lose = lambda n: F.floor(n - cutoff * (n + n * cutoff / (2 - cutoff)) / 2 + 1e-9).cast("int")
-    gain = lambda n: F.floor(n * (2 - cutoff) / cutoff + 1e-9).cast("int")
-    some = forms.select("form").distinct().where(size("form") >= 1)
-    cut = some.withColumn("_n", size("form")).withColumn("_lose", lose(F.col("_n"))).withColumn("_gain", gain(F.col("_n")) - F.col("_n"))
-    # unmatched characters of the form, and places where others come between, break one piece each; of n + m characters
-    # at most (1 - r) (n + m) are unmatched in both texts together, whatever m within reach
-    broken = F.floor((1 - cutoff) * (2 * F.col("_n") + F.col("_gain")) + 1e-9).cast("int")
-    cut = cut.withColumn("_parts", F.least(F.col("_n"), broken + 1))
-    edge = lambda k: F.floor(k * F.col("_n") / F.col("_parts")).cast("int")
-    piece = F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: F.struct(edge(k).alias("at"), F.substr(F.col("form"), edge(k) + 1, edge(k + 1) - edge(k)).alias("piece"))))
-    pieces = cut.select("form", "_n", "_lose", "_gain", piece.alias("p")).select("form", "_n", "_lose", "_gain", "p.at", "p.piece")
-    lengths = [r["n"] for r in pieces.select(size("piece").alias("n")).distinct().collect()]  # as many as a piece has characters
-    span = lambda low, high, width: F.sequence(F.floor(low / width).cast("int"), F.floor(high / width).cast("int"))
-    low_place = F.greatest(F.lit(0), F.col("at") - F.col("_lose"))
-    asked = pieces.withColumn("_place_span", F.explode(span(low_place, F.col("at") + F.col("_gain"), PLACE_SPAN)))
-    asked = asked.withColumn("_length_span", F.explode(span(F.col("_n") - F.col("_lose"), F.col("_n") + F.col("_gain"), LENGTH_SPAN)))
-
-    def pieces_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_m") - n + 1))
-        return F.transform(starts, lambda i: F.struct((i - 1).alias("place"), F.substr(F.col("program"), i, F.lit(n)).alias("piece")))
-
-    windows_of = F.explode(F.flatten(F.array(*map(pieces_of, lengths or [1]))))
-    index = names.select("program", "_m", windows_of.alias("w")).select("program", "_m", "w.place", "w.piece")
-    index = index.withColumn("_place_span", F.floor(F.col("place") / PLACE_SPAN).cast("int")).withColumn("_length_span", F.floor(F.col("_m") / LENGTH_SPAN).cast("int"))
-    shift = F.col("place") - F.col("at")
-    # both sides are many times what the planner knows of the names: never broadcast
-    met = asked.join(index.hint("merge"), ["piece", "_place_span", "_length_span"]).where((shift >= -F.col("_lose")) & (shift <= F.col("_gain")) & (F.col("_m") <= F.col("_n") + F.col("_gain")))
-    return met.select("form", "program").distinct()
+        raise ValueError("below 0.9 pieces are too short to be rare")
+    return _candidates(forms.select("form").distinct(), catalogue.select("program").distinct(), cutoff).distinct()
 
 
 def near_names(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
     """C17: form and the catalogue name whose ratio of matching blocks is highest and ``cutoff`` at least.
 
-    Only the pairs of ``near_candidates`` are compared; nothing is collected, and no name is broadcast.
+    Only pairs of ``near_candidates`` are compared; nothing is collected, and no name is broadcast.  Names within a quarter
+    of the distance come first, as their pieces are four times as long: a form that has one needs no other search.
     """
-    scored = near_candidates(forms, catalogue, cutoff).withColumn("_ratio", ratio(F.col("form"), F.col("program"), cutoff))
-    # the cutoff after the best of a form: a condition on the ratio alone would have it worked out a second time, before copies of a pair go
-    best = scored.groupBy("form").agg(F.max(F.struct("_ratio", "program")).alias("best")).where(F.col("best._ratio") >= cutoff)
-    return best.select("form", F.col("best.program").alias("canonical"))
+    if cutoff < 0.9:
+        raise ValueError("below 0.9 pieces are too short to be rare")
+    rest, names = windows.written(forms.select("form").distinct()), windows.written(catalogue.select("program").distinct())
+    found = []
+    for least in (1 - (1 - cutoff) / 4, cutoff):
+        scored = _candidates(rest, names, least).withColumn("_ratio", ratio(F.col("form"), F.col("program"), least))
+        # the cutoff after the best of a form: a condition on the ratio alone would have it worked out a second time
+        best = scored.groupBy("form").agg(F.max(F.struct("_ratio", "program")).alias("best")).where(F.col("best._ratio") >= least)
+        found.append(windows.written(best.select("form", F.col("best.program").alias("canonical"))))
+        rest = rest.join(found[-1].select("form"), "form", "left_anti")
+    return reduce(DataFrame.unionByName, found)
 
 
 def resolve_programs(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:

@@ -229,6 +229,8 @@ def published_rules(spark, d):
     return reduce(DataFrame.unionByName, counts)
 
 
+#: Names that one task makes.
+PART_NAMES = 50_000
 _LETTERS = "upper(translate(md5(cast(p_partkey AS {s})), '0123456789', 'GHIJKLMNOP'))"
 
 
@@ -237,7 +239,8 @@ _LETTERS = "upper(translate(md5(cast(p_partkey AS {s})), '0123456789', 'GHIJKLMN
   FROM n WHERE kind < 4""")
 def near_forms(spark, d):
     """Names of 32 letters with one letter lost, one more or two others (ratios of 0.94 and more), and with five others (0.85)"""
-    names = table(spark, d, "part").select((F.col("p_partkey") % 6).alias("kind"), F.expr(_LETTERS.format(s="STRING")).alias("program"))
+    parts = dealt(table(spark, d, "part").select("p_partkey"), PART_NAMES)
+    names = parts.select((F.col("p_partkey") % 6).alias("kind"), F.expr(_LETTERS.format(s="STRING")).alias("program"))
     p = F.col("program")
     piece = lambda a, n: F.substring(p, a, n)
     form = (
