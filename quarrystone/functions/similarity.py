@@ -9,11 +9,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: From this length on the library leaves out common characters.
+LONG = 200
+
+
 def ratio(a: Column, b: Column, least: float = 0.0) -> Column:
-    """Twice the matching characters by the length of both, ``b`` searched for in ``a``; null where the letters alone
-    show that it is below ``least``."""
+    """Twice the matching characters by the length of both, ``b`` searched for in ``a``; null where the letters of a long
+    pair alone show that it is below ``least``."""
+
+    def matching(s: str, t: str) -> int:
+        """Characters in matching blocks, as the library counts them in texts that are not long: those of the longest block
+        (of several the first in ``s``, then in ``t``), and of the texts before it and after it."""
+        size = at = 0
+        for i in range(len(s)):
+            while i + size < len(s) and s[i : i + size + 1] in t:
+                size, at = size + 1, i
+        if not size:
+            return 0
+        to = t.index(s[at : at + size])
+        return size + matching(s[:at], t[:to]) + matching(s[at + size :], t[to + size :])
 
     def of(p: str, q: str) -> float | None:
+        if len(p) < LONG:
+            return 2.0 * matching(q, p) / (len(p) + len(q)) if p or q else 1.0
         pair = difflib.SequenceMatcher(None, q, p)
         return pair.ratio() if not least or pair.quick_ratio() >= least else None
 

@@ -4,7 +4,9 @@ import difflib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from quarrystone.functions.similarity import ratio
 from quarrystone.operators import joins
 
 
@@ -53,3 +55,14 @@ def test_nothing_near(spark):
     f, c = tables(spark, ["", None, "A", "ABCDEFGHIJKLMNOP"], ["", None, "B"])
     assert joins.near_names(f, c).collect() == []
     assert joins.near_names(f.limit(0), c).collect() == [] and joins.near_names(f, c.limit(0)).collect() == []
+
+
+def test_ratios_are_those_of_the_library(spark):
+    rng = random.Random(11)
+    pairs = [("", ""), ("A", ""), ("", "A"), ("A" * 199, "A" * 200), ("A" * 200, "A" * 199), ("AB" * 110, "BA" * 110)]
+    for letters in ("A", "AB", "ABCDEFGH ", "é😀a"):
+        for _ in range(300):
+            p = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+            pairs.append((p, edited(rng, p, 3) if len(p) > 6 and rng.random() < 0.7 else "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))))
+    got = spark.createDataFrame(pairs, "a string, b string").withColumn("r", ratio(F.col("a"), F.col("b"))).collect()
+    assert len(got) == len(pairs) and all(r.r == difflib.SequenceMatcher(None, r.b, r.a).ratio() for r in got)
