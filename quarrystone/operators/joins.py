@@ -223,8 +223,8 @@ def _candidates(forms: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
     come = F.explode(F.sequence(F.greatest(F.lit(0), F.col("_piece") - F.col("_lost")), F.least("_piece", "_gained"))).alias("_come")
     index = index.select("program", "_class", "_pieces", "_piece", come).select(key("program", 2 * F.col("_come") - F.col("_piece")), "program")
     # both sides are many times what the planner knows of the names: never broadcast
-    unmatched = (1 - cutoff) * (F.char_length("form") + F.char_length("program")) + 1e-9
-    return asked.join(index.hint("merge"), "_key").where(F.levenshtein("form", "program") <= unmatched).select("form", "program")
+    unmatched = f"cast({1 - cutoff!r}D * (char_length(form) + char_length(program)) + 1e-9D as int)"
+    return asked.join(index.hint("merge"), "_key").where(F.expr(f"levenshtein(form, program, {unmatched}) >= 0")).select("form", "program")
 
 
 def near_candidates(forms: DataFrame, catalogue: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
